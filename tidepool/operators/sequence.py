@@ -29,6 +29,7 @@ DEFAULT_SPLIT_SECONDS = 3600
 
 
 def bucket_col(ts: str, split_seconds: int) -> Column:
+    """Time bucket id used to split a key into independently sorted segments."""
     return F.expr(f"unix_micros(`{ts}`) div {int(split_seconds) * 1_000_000}")
 
 
@@ -58,12 +59,12 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], ts: str, *,
     """
     running = dict(running or {})
     prev, nxt, key_first = list(prev or []), list(nxt or []), list(key_first or [])
-    kb = keys + ["_b"]
-    base = df.withColumn("_b", bucket_col(ts, split_seconds))
+    kb = keys + ["__ks_b"]
+    base = df.withColumn("__ks_b", bucket_col(ts, split_seconds))
     for name, (_, expr) in running.items():
-        base = base.withColumn(f"_v_{name}", expr)
+        base = base.withColumn(f"__ks_v_{name}", expr)
     if index:
-        base = base.withColumn("_v_index", F.lit(1))
+        base = base.withColumn("__ks_v_index", F.lit(1))
     fn = {"sum": F.sum, "min": F.min, "max": F.max}
 
     # 1. local pass per (key, bucket)
@@ -71,54 +72,54 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], ts: str, *,
     wd = Window.partitionBy(*kb).orderBy(*_ord(order, reverse)).rowsBetween(_UNB, _CUR)
     loc = base
     for name, (kind, _) in running.items():
-        loc = loc.withColumn(f"_l_{name}", fn[kind](f"_v_{name}").over(wd))
+        loc = loc.withColumn(f"__ks_l_{name}", fn[kind](f"__ks_v_{name}").over(wd))
     if index:
-        loc = loc.withColumn("_l_index", F.row_number().over(wf).cast("bigint"))
+        loc = loc.withColumn("__ks_l_index", F.row_number().over(wf).cast("bigint"))
     for c in prev:
-        loc = loc.withColumn(f"_lp_{c}", F.lag(c).over(wf))
+        loc = loc.withColumn(f"__ks_lp_{c}", F.lag(c).over(wf))
     for c in nxt:
-        loc = loc.withColumn(f"_ln_{c}", F.lead(c).over(wf))
+        loc = loc.withColumn(f"__ks_ln_{c}", F.lead(c).over(wf))
     if prev:
-        loc = loc.withColumn("_is_first", F.lag(F.lit(1)).over(wf).isNull())
+        loc = loc.withColumn("__ks_is_first", F.lag(F.lit(1)).over(wf).isNull())
     if nxt:
-        loc = loc.withColumn("_is_last", F.lead(F.lit(1)).over(wf).isNull())
+        loc = loc.withColumn("__ks_is_last", F.lead(F.lit(1)).over(wf).isNull())
 
     # 2. bucket summary (partial aggregation on the input), carry across buckets
     order_struct = F.struct(*[F.col(c) for c in order])
-    aggs = [fn[kind](f"_v_{name}").alias(f"_t_{name}") for name, (kind, _) in running.items()]
+    aggs = [fn[kind](f"__ks_v_{name}").alias(f"__ks_t_{name}") for name, (kind, _) in running.items()]
     if index:
-        aggs.append(F.count(F.lit(1)).alias("_t_index"))
+        aggs.append(F.count(F.lit(1)).alias("__ks_t_index"))
     first_cols = sorted(set(nxt + key_first))
     if first_cols:
-        aggs.append(F.min_by(F.struct(*first_cols), order_struct).alias("_bfirst"))
+        aggs.append(F.min_by(F.struct(*first_cols), order_struct).alias("__ks_bfirst"))
     if prev:
-        aggs.append(F.max_by(F.struct(*prev), order_struct).alias("_blast"))
+        aggs.append(F.max_by(F.struct(*prev), order_struct).alias("__ks_blast"))
     if not aggs:
-        return loc.drop("_b")
+        return loc.drop("__ks_b")
     summ = base.groupBy(*kb).agg(*aggs)
-    wk = Window.partitionBy(*keys).orderBy(F.col("_b"))
-    wkd = Window.partitionBy(*keys).orderBy(F.col("_b").desc() if reverse else F.col("_b"))
+    wk = Window.partitionBy(*keys).orderBy(F.col("__ks_b"))
+    wkd = Window.partitionBy(*keys).orderBy(F.col("__ks_b").desc() if reverse else F.col("__ks_b"))
     carry_cols = list(kb)
     for name, (kind, _) in running.items():
-        summ = summ.withColumn(f"_c_{name}", fn[kind](f"_t_{name}").over(wkd.rowsBetween(_UNB, -1)))
-        carry_cols.append(f"_c_{name}")
+        summ = summ.withColumn(f"__ks_c_{name}", fn[kind](f"__ks_t_{name}").over(wkd.rowsBetween(_UNB, -1)))
+        carry_cols.append(f"__ks_c_{name}")
     if index:
-        summ = summ.withColumn("_c_index", F.sum("_t_index").over(wk.rowsBetween(_UNB, -1)))
-        carry_cols.append("_c_index")
+        summ = summ.withColumn("__ks_c_index", F.sum("__ks_t_index").over(wk.rowsBetween(_UNB, -1)))
+        carry_cols.append("__ks_c_index")
     if prev:
-        summ = summ.withColumn("_carry_prev", F.lag("_blast").over(wk))
-        carry_cols.append("_carry_prev")
+        summ = summ.withColumn("__ks_carry_prev", F.lag("__ks_blast").over(wk))
+        carry_cols.append("__ks_carry_prev")
     if nxt:
-        summ = summ.withColumn("_carry_next", F.lead("_bfirst").over(wk))
-        carry_cols.append("_carry_next")
+        summ = summ.withColumn("__ks_carry_next", F.lead("__ks_bfirst").over(wk))
+        carry_cols.append("__ks_carry_next")
     if key_first:
-        summ = summ.withColumn("_carry_kfirst", F.first("_bfirst").over(wk.rowsBetween(_UNB, _CUR)))
-        carry_cols.append("_carry_kfirst")
+        summ = summ.withColumn("__ks_carry_kfirst", F.first("__ks_bfirst").over(wk.rowsBetween(_UNB, _CUR)))
+        carry_cols.append("__ks_carry_kfirst")
     out = loc.join(summ.select(*carry_cols), on=kb, how="inner")
 
     # 3. combine local values with the carry
     for name, (kind, _) in list(running.items()) + ([("index", ("sum", None))] if index else []):
-        local, carry = F.col(f"_l_{name}"), F.col(f"_c_{name}")
+        local, carry = F.col(f"__ks_l_{name}"), F.col(f"__ks_c_{name}")
         if kind == "sum":
             val = F.when(carry.isNull(), local).otherwise(local + carry)
         elif kind == "min":
@@ -127,14 +128,14 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], ts: str, *,
             val = F.greatest(local, carry)
         out = out.withColumn(index if name == "index" else name, val)
     for c in prev:
-        out = out.withColumn(f"prev_{c}", F.when(F.col("_is_first"), F.col("_carry_prev")[c])
-                             .otherwise(F.col(f"_lp_{c}")))
+        out = out.withColumn(f"prev_{c}", F.when(F.col("__ks_is_first"), F.col("__ks_carry_prev")[c])
+                             .otherwise(F.col(f"__ks_lp_{c}")))
     for c in nxt:
-        out = out.withColumn(f"next_{c}", F.when(F.col("_is_last"), F.col("_carry_next")[c])
-                             .otherwise(F.col(f"_ln_{c}")))
+        out = out.withColumn(f"next_{c}", F.when(F.col("__ks_is_last"), F.col("__ks_carry_next")[c])
+                             .otherwise(F.col(f"__ks_ln_{c}")))
     for c in key_first:
-        out = out.withColumn(f"first_{c}", F.col("_carry_kfirst")[c])
-    return out.drop(*[c for c in out.columns if c.startswith("_")])
+        out = out.withColumn(f"first_{c}", F.col("__ks_carry_kfirst")[c])
+    return out.drop(*[c for c in out.columns if c.startswith("__ks")])
 
 
 def shifted(df: DataFrame, keys: list[str], index: str, cols: list[str], k: int,

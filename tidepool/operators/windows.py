@@ -7,7 +7,8 @@ Pane rewrite (OPT-P): a sliding window of ``size``/``slide`` copies each row
 ``size/slide`` times. For mergeable aggregates (count, sum, min, max) we first
 aggregate tumbling panes of ``gcd(size, slide)`` and only replicate the pane
 partials, so the fan-out applies to panes, not rows. Both steps use Spark's
-built-in ``window`` (Expand + hash aggregate with map-side partial merge).
+one ``explode`` of the valid window starts plus a hash aggregate with
+map-side partial merge.
 """
 
 from __future__ import annotations
@@ -33,36 +34,56 @@ def _measure(kind: str, col) -> Column:
     return _FN[kind](col)
 
 
+def window_starts(t_us: Column, size_s: int, slide_s: int) -> Column:
+    """Array of the starts (epoch µs) of every window ``[s, s+size)`` holding ``t_us``.
+
+    ``sequence(first, last, slide)`` lists exactly the valid windows, so one
+    ``explode`` replaces the per-slide ``Expand`` projections of
+    ``F.window`` (hundreds of them for 1 h / 5 s, which defeats codegen).
+    """
+    size, slide = int(size_s) * 1_000_000, int(slide_s) * 1_000_000
+    last = F.floor(t_us / F.lit(slide)).cast("bigint") * slide
+    first = (F.floor((t_us - F.lit(size)) / F.lit(slide)).cast("bigint") + 1) * slide
+    return F.sequence(first, last, F.lit(slide).cast("bigint"))
+
+
 def window_agg(df: DataFrame, ts: str, size_s: int, slide_s: int | None = None,
                keys: list[str] | None = None,
                measures: dict[str, tuple[str, str | Column | None]] | None = None,
-               panes: bool | None = None, bounds: str = "ms") -> DataFrame:
-    """Tumbling (``slide_s`` None) or sliding keyed aggregate.
+               panes: bool | None = None) -> DataFrame:
+    """Tumbling (``slide_s`` None) or sliding keyed aggregate (batch).
 
     ``measures``: ``{out: (kind, col)}``, kind in count/sum/min/max.
     ``panes``: force/deny the pane rewrite; default on when fan-out > 1.
-    ``bounds``: ``"ms"`` for epoch-ms BIGINT bounds, ``"ts"`` to keep TIMESTAMPs.
+    Output: keys, ``window_start``, ``window_end`` (epoch ms), measures.
     """
     keys = list(keys or [])
     measures = measures or {"cnt": ("count", None)}
     slide_s = slide_s or size_s
-    size, slide = _dur(size_s), _dur(slide_s)
     fan_out = -(-size_s // slide_s)
     use_panes = (fan_out > 1) if panes is None else (panes and fan_out > 1)
-    if use_panes:
-        pane_s = gcd(int(size_s), int(slide_s))
-        pane = (df.groupBy(*keys, F.window(ts, _dur(pane_s)).start.alias("_pane"))
+    t_us = F.unix_micros(F.col(ts))
+    if fan_out == 1:
+        pane_us = int(size_s) * 1_000_000
+        win = (df.groupBy(*keys, (F.floor(t_us / F.lit(pane_us)).cast("bigint") * pane_us).alias("_ws"))
+                 .agg(*[_measure(k, c).alias(n) for n, (k, c) in measures.items()]))
+    elif use_panes:
+        pane_us = gcd(int(size_s), int(slide_s)) * 1_000_000
+        pane = (df.groupBy(*keys, (F.floor(t_us / F.lit(pane_us)).cast("bigint") * pane_us).alias("_p"))
                   .agg(*[_measure(k, c).alias(n) for n, (k, c) in measures.items()]))
-        win = (pane.groupBy(*keys, F.window("_pane", size, slide).alias("_w"))
+        win = (pane.select(*keys, F.explode(window_starts(F.col("_p"), size_s, slide_s)).alias("_ws"),
+                           *measures.keys())
+                   .groupBy(*keys, "_ws")
                    .agg(*[_FN[_MERGE[k]](n).alias(n) for n, (k, _) in measures.items()]))
     else:
-        win = (df.groupBy(*keys, F.window(ts, size, slide).alias("_w"))
+        cols = [F.col(c) if isinstance(c, str) else c for _, (_, c) in measures.items() if c is not None]
+        ex = df.select(*keys, *[c for c in cols],
+                       F.explode(window_starts(t_us, size_s, slide_s)).alias("_ws"))
+        win = (ex.groupBy(*keys, "_ws")
                  .agg(*[_measure(k, c).alias(n) for n, (k, c) in measures.items()]))
-    if bounds == "ms":
-        start, end = F.unix_millis("_w.start"), F.unix_millis("_w.end")
-    else:
-        start, end = F.col("_w.start"), F.col("_w.end")
-    return win.select(*keys, start.alias("window_start"), end.alias("window_end"),
+    size_ms = int(size_s) * 1000
+    return win.select(*keys, (F.col("_ws") / 1000).cast("bigint").alias("window_start"),
+                      ((F.col("_ws") / 1000).cast("bigint") + size_ms).alias("window_end"),
                       *measures.keys())
 
 
@@ -73,13 +94,13 @@ def sliding_count(df: DataFrame, ts: str, keys: list[str], size_s: int, slide_s:
 
 
 def assign_windows(df: DataFrame, ts: str, size_s: int, slide_s: int | None = None) -> DataFrame:
-    """Attach every (sliding) window holding the row: ``window_start``/``window_end`` ms."""
+    """Attach every window holding the row: ``window_start``/``window_end`` (epoch ms)."""
     slide_s = slide_s or size_s
-    w = F.window(ts, _dur(size_s), _dur(slide_s))
-    return (df.withColumn("_w", w)
-              .withColumn("window_start", F.unix_millis("_w.start"))
-              .withColumn("window_end", F.unix_millis("_w.end"))
-              .drop("_w"))
+    ws = F.explode(window_starts(F.unix_micros(F.col(ts)), size_s, slide_s))
+    return (df.select("*", ws.alias("_ws"))
+              .withColumn("window_start", (F.col("_ws") / 1000).cast("bigint"))
+              .withColumn("window_end", F.col("window_start") + int(size_s) * 1000)
+              .drop("_ws"))
 
 
 def window_running_count(df: DataFrame, ts: str, key: str, order: list[str], size_s: int,
