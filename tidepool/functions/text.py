@@ -38,7 +38,7 @@ def tokenize_jvm(df: DataFrame, text_col: str = "value", sep: str = " ",
 
 def normalize_int(col) -> Column:
     """PRJ-8: integer text normalisation ("007" -> "7"); malformed -> NULL."""
-    return F.try_cast(F.trim(_c(col)), "int").cast("string")
+    return F.trim(_c(col)).try_cast("int").cast("string")
 
 
 def first_match_index(col, values: list[str]) -> Column:
