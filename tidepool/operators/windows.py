@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tidepool.operators.sequence import keyed_scan
 
+PANE_MIN_FAN_OUT = 12
 _MERGE = {"count": "sum", "sum": "sum", "min": "min", "max": "max"}
 _FN = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
 
@@ -54,14 +55,16 @@ def window_agg(df: DataFrame, ts: str, size_s: int, slide_s: int | None = None,
     """Tumbling (``slide_s`` None) or sliding keyed aggregate (batch).
 
     ``measures``: ``{out: (kind, col)}``, kind in count/sum/min/max.
-    ``panes``: force/deny the pane rewrite; default on when fan-out > 1.
+    ``panes``: force/deny the pane rewrite; default on when fan-out > 12
+    (at that replication the pane partials pay for their extra shuffle as soon
+    as a few events share a (key, pane); on very sparse keys direct is cheaper).
     Output: keys, ``window_start``, ``window_end`` (epoch ms), measures.
     """
     keys = list(keys or [])
     measures = measures or {"cnt": ("count", None)}
     slide_s = slide_s or size_s
     fan_out = -(-size_s // slide_s)
-    use_panes = (fan_out > 1) if panes is None else (panes and fan_out > 1)
+    use_panes = (fan_out > PANE_MIN_FAN_OUT) if panes is None else (panes and fan_out > 1)
     t_us = F.unix_micros(F.col(ts))
     if fan_out == 1:
         pane_us = int(size_s) * 1_000_000
