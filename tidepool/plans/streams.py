@@ -18,11 +18,16 @@ from tidepool.plans.registry import register
 from tidepool.plans.sqlfrag import US, ev, sliding
 from tidepool.streaming.runner import events_stream, run_append, run_foreach_batch
 from tidepool.streaming.stateful import (ClickCapProcessor, ConsecutiveFailProcessor,
-                                         JumpProcessor, run_ordered)
+                                         CountWindowProcessor, EveryNthProcessor, JumpProcessor,
+                                         RisingProcessor, RollingReduceProcessor,
+                                         SlidingCountProcessor, run_ordered)
 from tidepool.streaming.windows import (rank_batches, stream_uv_approx, stream_uv_exact,
                                         stream_window_agg)
 
 FAIL_WITHIN_S = 6 * 3600
+RISE_S = 6 * 3600
+ORDER_LIMIT_S = 6 * 3600
+SESSION_GAP_S = 6 * 3600
 CLICK_CAP = 3
 JUMP = 40.0
 BAND_S = 30 * 60
@@ -189,3 +194,137 @@ def stream_running_count(spark, sf):
     run_foreach_batch(counts, sink, f"{base}/ckpt", mode="update")
     upd = _read(spark, f"{base}/out")
     return upd.groupBy("user_id").agg(F.max("cnt").alias("cnt"))
+
+
+def _ordered(spark, sf, name, processor, out_schema, payload=("value",), where=None):
+    sdf, base = events_stream(spark, sf, name, where=where)
+    out = run_ordered(sdf, "user_id", "ts", "event_id", list(payload), processor, out_schema)
+    run_append(out, f"{base}/out", f"{base}/ckpt")
+    return _read(spark, f"{base}/out")
+
+
+# --- PAT-9 on a stream: rise alert with an event-time deadline ---------------------------------
+@register("stream_rising_alert", f"""
+WITH a AS (SELECT user_id, event_id, ts, epoch_us(ts) AS t, value,
+                  lag(value) OVER ({_W}) AS pv FROM events),
+b AS (SELECT *, sum(CASE WHEN pv IS NULL OR value < pv THEN 1 ELSE 0 END)
+                    OVER ({_W} ROWS UNBOUNDED PRECEDING) AS run_id FROM a),
+r AS (SELECT user_id, run_id, min(t) AS run_start,
+             min(CASE WHEN value > pv THEN t END) AS first_rise FROM b GROUP BY ALL)
+SELECT r.user_id, r.first_rise // 1000 AS rise_start_ms,
+       (r.first_rise + {RISE_S * US}) // 1000 AS alert_ms
+FROM r LEFT JOIN r n ON n.user_id = r.user_id AND n.run_id = r.run_id + 1
+WHERE r.first_rise IS NOT NULL AND (n.run_start IS NULL OR n.run_start > r.first_rise + {RISE_S * US})
+  AND r.first_rise + {RISE_S * US} < {_wm()} * 1000
+""")
+def stream_rising_alert(spark, sf):
+    return _ordered(spark, sf, "rising", RisingProcessor(RISE_S),
+                    "user_id long, rise_start_ms long, alert_ms long")
+
+
+# --- WIN-12 on a stream: count window of 5 rows, min ----------------------------------------------
+@register("stream_count_window_min", f"""
+WITH r AS (SELECT user_id, value, epoch_us(ts) AS t,
+                  (row_number() OVER ({_W}) - 1) // 5 + 1 AS window_no FROM events)
+SELECT user_id, window_no, min_value FROM (
+  SELECT user_id, window_no, min(value) AS min_value, count(*) AS n, max(t) AS last_t
+  FROM r GROUP BY ALL)
+WHERE n = 5 AND last_t < {_wm()} * 1000
+""")
+def stream_count_window_min(spark, sf):
+    return _ordered(spark, sf, "count_window", CountWindowProcessor(5),
+                    "user_id long, window_no long, min_value double")
+
+
+# --- WIN-13 on a stream: every 2 rows, sum of the last 10 -------------------------------------------
+@register("stream_count_window_sliding_sum", f"""
+WITH r AS (SELECT user_id, epoch_us(ts) AS t, row_number() OVER ({_W}) AS row_no,
+                  sum(value) OVER ({_W} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS s
+           FROM events)
+SELECT user_id, row_no, round(s, 2) AS sum_value FROM r
+WHERE row_no % 2 = 0 AND t < {_wm()} * 1000
+""")
+def stream_count_window_sliding_sum(spark, sf):
+    return _ordered(spark, sf, "count_window_sliding", SlidingCountProcessor(10, 2),
+                    "user_id long, row_no long, sum_value double")
+
+
+# --- WIN-15 on a stream: every 3rd event of a user ----------------------------------------------------
+@register("stream_every_nth", f"""
+SELECT user_id, event_id, row_no FROM (
+  SELECT event_id, user_id, epoch_us(ts) AS t, row_number() OVER ({_W}) AS row_no FROM events)
+WHERE row_no % 3 = 0 AND t < {_wm()} * 1000
+""")
+def stream_every_nth(spark, sf):
+    return _ordered(spark, sf, "every_nth", EveryNthProcessor(3),
+                    "user_id long, event_id long, row_no long")
+
+
+# --- AGG-6 on a stream: rolling reduce per event -------------------------------------------------------
+@register("stream_rolling_reduce", f"""
+SELECT user_id, event_id, reduced_ts_s, reduced_value FROM (
+  SELECT event_id, user_id, epoch_us(ts) AS t,
+         first_value(CAST(floor(epoch(ts)) AS BIGINT)) OVER ({_W}) + row_number() OVER ({_W}) - 1
+             AS reduced_ts_s,
+         CASE WHEN row_number() OVER ({_W}) = 1 THEN value ELSE value + 10 END AS reduced_value
+  FROM events)
+WHERE t < {_wm()} * 1000
+""")
+def stream_rolling_reduce(spark, sf):
+    return _ordered(spark, sf, "rolling_reduce", RollingReduceProcessor(),
+                    "user_id long, event_id long, reduced_ts_s long, reduced_value double")
+
+
+# --- WIN-14 on a stream: session windows, emitted when the gap has passed the watermark ---------------
+@register("stream_session_counts", f"""
+WITH g AS (SELECT user_id, t, event_id,
+                  CASE WHEN lag(t) OVER (PARTITION BY user_id ORDER BY t, event_id)
+                       > t - {SESSION_GAP_S * US} THEN 0 ELSE 1 END AS new_s
+           FROM ({ev()})),
+s AS (SELECT user_id, t, sum(new_s) OVER (PARTITION BY user_id ORDER BY t, event_id) AS sid FROM g)
+SELECT * FROM (
+  SELECT user_id, min(t) // 1000 AS session_start,
+         (max(t) + {SESSION_GAP_S * US}) // 1000 AS session_end, count(*) AS cnt
+  FROM s GROUP BY user_id, sid)
+WHERE session_end <= {_wm()}
+""")
+def stream_session_counts(spark, sf):
+    sdf, base = events_stream(spark, sf, "sessions")
+    out = (sdf.withWatermark("ts", "0 seconds")
+              .groupBy("user_id", F.session_window("ts", f"{SESSION_GAP_S} seconds").alias("s"))
+              .agg(F.count(F.lit(1)).alias("cnt"))
+              .select("user_id", F.unix_millis("s.start").alias("session_start"),
+                      F.unix_millis("s.end").alias("session_end"), "cnt"))
+    run_append(out, f"{base}/out", f"{base}/ckpt")
+    return _read(spark, f"{base}/out")
+
+
+# --- PAT-5 on a stream: one verdict per (user, day) once the day has closed --------------------------
+@register("stream_order_match", f"""
+WITH f AS (SELECT user_id, epoch_ms(date_trunc('day', ts)) AS day_ms,
+                  min(CASE WHEN event_type = 'click' THEN epoch_us(ts) END) AS c,
+                  min(CASE WHEN event_type = 'purchase' THEN epoch_us(ts) END) AS p
+           FROM events WHERE event_type IN ('click', 'purchase') GROUP BY ALL)
+SELECT user_id, day_ms,
+       CASE WHEN c IS NOT NULL AND p IS NOT NULL AND p < c + {ORDER_LIMIT_S * US} THEN 'payed successfully'
+            WHEN c IS NOT NULL AND p IS NOT NULL THEN 'payed but already timeout'
+            WHEN c IS NOT NULL THEN 'order timeout'
+            ELSE 'already payed but not found create log' END AS result
+FROM f WHERE day_ms + 86400000 <= {_wm("event_type IN ('click', 'purchase')")}
+""")
+def stream_order_match(spark, sf):
+    sdf, base = events_stream(spark, sf, "order_match",
+                              where=F.col("event_type").isin("click", "purchase"))
+    t = F.unix_micros("ts")
+    day = (sdf.withWatermark("ts", "0 seconds")
+              .groupBy("user_id", F.window("ts", "1 day").alias("d"))
+              .agg(F.min(F.when(F.col("event_type") == "click", t)).alias("c"),
+                   F.min(F.when(F.col("event_type") == "purchase", t)).alias("p")))
+    c, p = F.col("c"), F.col("p")
+    res = (F.when(c.isNotNull() & p.isNotNull() & (p < c + ORDER_LIMIT_S * US), "payed successfully")
+            .when(c.isNotNull() & p.isNotNull(), "payed but already timeout")
+            .when(c.isNotNull(), "order timeout")
+            .otherwise("already payed but not found create log"))
+    out = day.select("user_id", F.unix_millis("d.start").alias("day_ms"), res.alias("result"))
+    run_append(out, f"{base}/out", f"{base}/ckpt")
+    return _read(spark, f"{base}/out")

@@ -44,26 +44,42 @@ class OrderedKeyProcessor(StatefulProcessor):
             self.handle.registerTimer(t)
         return iter([])
 
+    def step(self, key, carry, row):
+        raise NotImplementedError
+
+    def on_watermark(self, key, carry, wm_us: int):
+        """Called after every release with the watermark: emit what time alone
+        decides (timeouts). Returns ``(carry, outputs)``."""
+        return carry, []
+
+    def deadline_us(self, carry) -> int | None:
+        """Event time at which ``on_watermark`` must run even without new rows."""
+        return None
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         wm_us = timerValues.getCurrentWatermarkInMs() * 1000
         pending = list(self.pending.get()) if self.pending.exists() else []
         ready = sorted(r for r in pending if r[0] < wm_us)
-        if not ready:
-            return iter([])
-        keep = [r for r in pending if r[0] >= wm_us]
-        if keep:
-            self.pending.put(keep)
-        else:
-            self.pending.clear()
+        if ready:
+            keep = [r for r in pending if r[0] >= wm_us]
+            if keep:
+                self.pending.put(keep)
+            else:
+                self.pending.clear()
         carry = self.carry.get() if self.carry.exists() else None
         out = []
         for r in ready:
             carry, emitted = self.step(key, carry, r)
             out.extend(emitted)
+        carry, emitted = self.on_watermark(key, carry, wm_us)
+        out.extend(emitted)
         if carry is None:
             self.carry.clear()
         else:
             self.carry.update(carry)
+            d = self.deadline_us(carry)
+            if d is not None:
+                self.handle.registerTimer(d // 1000 + 1)
         if not out:
             return iter([])
         return iter([pd.DataFrame(out, columns=self.out_columns)])
@@ -131,6 +147,115 @@ class ClickCapProcessor(OrderedKeyProcessor):
         return (day, n), out
 
 
+class RisingProcessor(OrderedKeyProcessor):
+    """PAT-9: after the first rise of a run (no drop since), alert once when
+    event time passes first rise + duration without a drop at or before it."""
+
+    row_fields = "value double"
+    # last value, deadline of the armed timer (or NULL), first rise time, alerted in this run
+    carry_schema = "value double, deadline bigint, rise bigint, alerted boolean"
+    out_columns = ["user_id", "rise_start_ms", "alert_ms"]
+
+    def __init__(self, duration_s: int):
+        self.d_us = duration_s * 1_000_000
+
+    def _fire(self, key, carry):
+        v, deadline, rise, _ = carry
+        return (v, None, rise, True), [(key[0], rise // 1000, deadline // 1000)]
+
+    def step(self, key, carry, row):
+        ts_us, _, v = row
+        out = []
+        if carry is not None and carry[1] is not None and ts_us > carry[1]:
+            carry, out = self._fire(key, carry)
+        if carry is None or v < carry[0]:           # first row or a drop: new run
+            return (v, None, None, False), out
+        if v > carry[0] and carry[1] is None and not carry[3]:
+            return (v, ts_us + self.d_us, ts_us, False), out
+        return (v, carry[1], carry[2], carry[3]), out
+
+    def on_watermark(self, key, carry, wm_us):
+        if carry is not None and carry[1] is not None and carry[1] < wm_us:
+            return self._fire(key, carry)
+        return carry, []
+
+    def deadline_us(self, carry):
+        return carry[1]
+
+
+class CountWindowProcessor(OrderedKeyProcessor):
+    """WIN-12: every ``n`` rows of a key emit the min of ``value``; reset."""
+
+    row_fields = "value double"
+    carry_schema = "n bigint, window_no bigint, mn double"
+    out_columns = ["user_id", "window_no", "min_value"]
+
+    def __init__(self, n: int):
+        self.n = n
+
+    def step(self, key, carry, row):
+        _, _, v = row
+        n, w, mn = carry if carry is not None else (0, 0, None)
+        n, mn = n + 1, v if mn is None else min(mn, v)
+        if n == self.n:
+            return (0, w + 1, None), [(key[0], w + 1, mn)]
+        return (n, w, mn), []
+
+
+class SlidingCountProcessor(OrderedKeyProcessor):
+    """WIN-13: every ``slide`` rows, the sum of the last ``size`` values
+    (the carry holds at most ``size`` values: bounded state)."""
+
+    row_fields = "value double"
+    carry_schema = "row_no bigint, last array<double>"
+    out_columns = ["user_id", "row_no", "sum_value"]
+
+    def __init__(self, size: int, slide: int):
+        self.size, self.slide = size, slide
+
+    def step(self, key, carry, row):
+        _, _, v = row
+        rn, last = carry if carry is not None else (0, [])
+        rn, last = rn + 1, (list(last) + [v])[-self.size:]
+        out = [(key[0], rn, round(sum(last), 2))] if rn % self.slide == 0 else []
+        return (rn, last), out
+
+
+class EveryNthProcessor(OrderedKeyProcessor):
+    """WIN-15: emit every ``n``-th row of a key."""
+
+    row_fields = "value double"
+    carry_schema = "row_no bigint"
+    out_columns = ["user_id", "event_id", "row_no"]
+
+    def __init__(self, n: int):
+        self.n = n
+
+    def step(self, key, carry, row):
+        _, rid, _ = row
+        rn = (carry[0] if carry is not None else 0) + 1
+        return (rn,), ([(key[0], rid, rn)] if rn % self.n == 0 else [])
+
+
+class RollingReduceProcessor(OrderedKeyProcessor):
+    """AGG-6: first row unchanged, then ``(prev.ts + step, cur.value + bump)``."""
+
+    row_fields = "value double"
+    carry_schema = "ts_s bigint"
+    out_columns = ["user_id", "event_id", "reduced_ts_s", "reduced_value"]
+
+    def __init__(self, step_s: int = 1, bump: float = 10.0):
+        self.step_s, self.bump = step_s, bump
+
+    def step(self, key, carry, row):
+        ts_us, rid, v = row
+        if carry is None:
+            ts_s = ts_us // 1_000_000
+            return (ts_s,), [(key[0], rid, ts_s, v)]
+        ts_s = carry[0] + self.step_s
+        return (ts_s,), [(key[0], rid, ts_s, v + self.bump)]
+
+
 def run_ordered(sdf: DataFrame, key: str, ts: str, id_col: str, payload: list[str],
                 processor: OrderedKeyProcessor, out_schema: str, delay_s: int = 0) -> DataFrame:
     """Apply an ``OrderedKeyProcessor`` per ``key`` with event-time timers."""
