@@ -14,7 +14,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidepool.functions.text import ASCII_SPACE, tokenize
+from tidepool.operators.aggregates import payment_totals
 from tidepool.plans.registry import register
+from tidepool.sources.parse import parse_pay_result
+from tidepool.sources.tables import load_table
+from tidepool.sources.text import stream_lines
 from tidepool.plans.sqlfrag import US, ev, sliding
 from tidepool.streaming.runner import events_stream, run_append, run_foreach_batch
 from tidepool.streaming.stateful import (ClickCapProcessor, ConsecutiveFailProcessor,
@@ -328,3 +333,66 @@ def stream_order_match(spark, sf):
     out = day.select("user_id", F.unix_millis("d.start").alias("day_ms"), res.alias("result"))
     run_append(out, f"{base}/out", f"{base}/ckpt")
     return _read(spark, f"{base}/out")
+
+
+def _final_updates(spark, sdf_counts, base, keys, value):
+    """Run an update-mode aggregate; per-batch folders; last value per key."""
+
+    def sink(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
+
+    run_foreach_batch(sdf_counts, sink, f"{base}/ckpt", mode="update")
+    upd = _read(spark, f"{base}/out")
+    return (upd.groupBy(*keys).agg(F.max_by(value, "batch_id").alias(value)))
+
+
+# --- SRC-3 + PRJ-6 + AGG-2 on a stream: running word counts over a landing folder of text files ----
+@register("stream_word_count", """
+SELECT word, count(*) AS cnt FROM (
+  SELECT unnest(regexp_split_to_array(text, '[ \\t\\n\\x0B\\f\\r]+')) AS word FROM documents)
+WHERE length(word) > 0 GROUP BY word
+""")
+def stream_word_count(spark, sf):
+    from tidepool.streaming.runner import scratch
+
+    base = scratch(spark, "word_count")
+    docs = load_table(spark, sf, "documents").select("doc_id", "text")
+    # land the documents as text files (line breaks are whitespace, so counts are unchanged)
+    docs.select("text").repartition(4).write.mode("append").text(f"{base}/landing")
+    lines = stream_lines(spark, f"{base}/landing", max_files_per_trigger=1)
+    counts = tokenize(lines, "value", ASCII_SPACE).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+    return _final_updates(spark, counts, base, ["word"], "cnt")
+
+
+# --- PRJ-4 + AGG-3 on a stream: payment totals over JSON result lines --------------------------------
+@register("stream_payment_totals", """
+WITH p AS (
+SELECT CASE WHEN event_type = 'purchase' THEN '0000' ELSE '0001' END AS bussinessRst,
+       value AS chargefee, CAST(event_id AS VARCHAR) AS requestId,
+       strftime(ts, '%Y%m%d%H%M%S') || lpad(CAST((epoch_us(ts) // 1000 % 1000) AS VARCHAR), 3, '0')
+           AS receiveNotifyTime
+FROM events)
+SELECT count(*) AS all_orders, count(*) FILTER (WHERE bussinessRst = '0000') AS success_orders,
+       CAST(sum(CAST(chargefee AS DECIMAL(12, 2))) FILTER (WHERE bussinessRst = '0000') AS DOUBLE)
+           AS success_money,
+       arg_max(receiveNotifyTime, (receiveNotifyTime, requestId))
+           FILTER (WHERE bussinessRst = '0000') AS last_success_time
+FROM p
+""")
+def stream_payment_totals(spark, sf):
+    from tidepool.plans.basics import _pay_lines
+
+    sdf, base = events_stream(spark, sf, "payments")
+    p = parse_pay_result(_pay_lines(sdf))
+    ok = F.col("bussinessRst") == "0000"
+    totals = payment_totals(p, ok, F.col("chargefee"), F.struct("receiveNotifyTime", "requestId"),
+                            "receiveNotifyTime").withColumn("_k", F.lit(0))
+
+    def sink(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
+
+    run_foreach_batch(totals, sink, f"{base}/ckpt", mode="complete")
+    out = _read(spark, f"{base}/out")
+    last = out.agg(F.max("batch_id").alias("b"))
+    return out.join(last, out.batch_id == last.b).select(
+        "all_orders", "success_orders", "success_money", "last_success_time")
