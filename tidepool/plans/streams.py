@@ -396,3 +396,42 @@ def stream_payment_totals(spark, sf):
     last = out.agg(F.max("batch_id").alias("b"))
     return out.join(last, out.batch_id == last.b).select(
         "all_orders", "success_orders", "success_money", "last_success_time")
+
+
+# --- WIN-1 on a stream: hourly page views -----------------------------------------------------------
+@register("stream_pv_hourly", f"""
+SELECT * FROM (
+  SELECT (t // {3600 * US} + 1) * 3600000 AS window_end, count(*) AS pv
+  FROM ({ev("event_type = 'view'")}) GROUP BY ALL)
+WHERE window_end <= {_wm("event_type = 'view'")}
+""")
+def stream_pv_hourly(spark, sf):
+    sdf, base = events_stream(spark, sf, "pv", where=F.col("event_type") == "view")
+    out = stream_window_agg(sdf, "ts", 3600, None, [], {"pv": ("count", None)})
+    run_append(out.select("window_end", "pv"), f"{base}/out", f"{base}/ckpt")
+    return _read(spark, f"{base}/out")
+
+
+# --- JN-3 on streams: views and clicks of a user in the same hour (stream-stream) ---------------------
+@register("stream_window_join_inner", f"""
+WITH v AS (SELECT user_id, event_id AS view_id, epoch_us(ts) // {3600 * US} AS b
+           FROM events WHERE event_type = 'view'),
+c AS (SELECT user_id, event_id AS click_id, epoch_us(ts) // {3600 * US} AS b
+      FROM events WHERE event_type = 'click')
+SELECT v.user_id, (v.b + 1) * 3600000 AS window_end, view_id, click_id
+FROM v JOIN c ON v.user_id = c.user_id AND v.b = c.b
+""")
+def stream_window_join_inner(spark, sf):
+    vs, base = events_stream(spark, sf, "wj_v", where=F.col("event_type") == "view")
+    cs, _ = events_stream(spark, sf, "wj_c", where=F.col("event_type") == "click")
+    v = (vs.withWatermark("ts", "0 seconds")
+           .select(F.col("user_id").alias("v_user"), F.col("event_id").alias("view_id"),
+                   F.window("ts", "1 hour").alias("vw")))
+    c = (cs.withWatermark("ts", "0 seconds")
+           .select(F.col("user_id").alias("c_user"), F.col("event_id").alias("click_id"),
+                   F.window("ts", "1 hour").alias("cw")))
+    j = v.join(c, (F.col("v_user") == F.col("c_user")) & (F.col("vw") == F.col("cw")), "inner")
+    out = j.select(F.col("v_user").alias("user_id"), F.unix_millis("vw.end").alias("window_end"),
+                   "view_id", "click_id")
+    run_append(out, f"{base}/out", f"{base}/ckpt")
+    return _read(spark, f"{base}/out")
