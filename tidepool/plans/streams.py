@@ -4,10 +4,12 @@
 under the checkpoint folder and replayed one file per micro-batch with
 ``availableNow``. Results are read back as a batch DataFrame.
 
-Oracles: append-mode streams only emit what the final watermark has closed
-(open windows and rows newer than the watermark stay in state), so each
-oracle restricts the batch answer to that closed part; the final watermark is
-``max(event time in ms) - delay``.
+Oracles: append-mode windows and time-outs are only emitted once the final
+watermark has closed them (open windows stay in state), so those oracles
+restrict the batch answer to the closed part; the final watermark is
+``max(event time in ms) - delay``. Per-row state machines run with delay 0
+(ascending event time) and step every row on arrival, so their oracle is the
+whole batch answer.
 """
 
 from __future__ import annotations
@@ -115,7 +117,6 @@ WITH s AS (SELECT user_id, event_id, event_type, epoch_us(ts) AS t,
 SELECT user_id, pid AS first_event_id, event_id AS last_event_id, pts // 1000 AS first_fail_ms,
        t // 1000 AS last_fail_ms
 FROM s WHERE event_type = 'error' AND pt = 'error' AND t - pts < {FAIL_WITHIN_S * US}
-  AND t < {_wm()} * 1000
 """)
 def stream_login_fail(spark, sf):
     sdf, base = events_stream(spark, sf, "login_fail")
@@ -132,7 +133,7 @@ def stream_login_fail(spark, sf):
 SELECT user_id, event_id, prev_value, value FROM (
   SELECT user_id, event_id, value, epoch_us(ts) AS t, lag(value) OVER ({_W}) AS prev_value
   FROM events)
-WHERE abs(value - prev_value) > {JUMP} AND t < {_wm()} * 1000
+WHERE abs(value - prev_value) > {JUMP}
 """)
 def stream_jump_alert(spark, sf):
     sdf, base = events_stream(spark, sf, "jump")
@@ -150,7 +151,7 @@ WITH r AS (SELECT event_id, user_id, epoch_ms(date_trunc('day', ts)) AS day_ms,
            FROM events WHERE event_type = 'click')
 SELECT user_id, event_id, day_ms, click_no,
        CASE WHEN click_no <= {CLICK_CAP} THEN 'pass' ELSE 'warn' END AS kind
-FROM r WHERE click_no <= {CLICK_CAP + 1} AND t < {_wm("event_type = 'click'")} * 1000
+FROM r WHERE click_no <= {CLICK_CAP + 1}
 """)
 def stream_click_cap(spark, sf):
     sdf, base = events_stream(spark, sf, "click_cap", where=F.col("event_type") == "click")
@@ -234,7 +235,7 @@ WITH r AS (SELECT user_id, value, epoch_us(ts) AS t,
 SELECT user_id, window_no, min_value FROM (
   SELECT user_id, window_no, min(value) AS min_value, count(*) AS n, max(t) AS last_t
   FROM r GROUP BY ALL)
-WHERE n = 5 AND last_t < {_wm()} * 1000
+WHERE n = 5
 """)
 def stream_count_window_min(spark, sf):
     return _ordered(spark, sf, "count_window", CountWindowProcessor(5),
@@ -247,7 +248,7 @@ WITH r AS (SELECT user_id, epoch_us(ts) AS t, row_number() OVER ({_W}) AS row_no
                   sum(value) OVER ({_W} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS s
            FROM events)
 SELECT user_id, row_no, round(s, 2) AS sum_value FROM r
-WHERE row_no % 2 = 0 AND t < {_wm()} * 1000
+WHERE row_no % 2 = 0
 """)
 def stream_count_window_sliding_sum(spark, sf):
     return _ordered(spark, sf, "count_window_sliding", SlidingCountProcessor(10, 2),
@@ -258,7 +259,7 @@ def stream_count_window_sliding_sum(spark, sf):
 @register("stream_every_nth", f"""
 SELECT user_id, event_id, row_no FROM (
   SELECT event_id, user_id, epoch_us(ts) AS t, row_number() OVER ({_W}) AS row_no FROM events)
-WHERE row_no % 3 = 0 AND t < {_wm()} * 1000
+WHERE row_no % 3 = 0
 """)
 def stream_every_nth(spark, sf):
     return _ordered(spark, sf, "every_nth", EveryNthProcessor(3),
@@ -273,7 +274,6 @@ SELECT user_id, event_id, reduced_ts_s, reduced_value FROM (
              AS reduced_ts_s,
          CASE WHEN row_number() OVER ({_W}) = 1 THEN value ELSE value + 10 END AS reduced_value
   FROM events)
-WHERE t < {_wm()} * 1000
 """)
 def stream_rolling_reduce(spark, sf):
     return _ordered(spark, sf, "rolling_reduce", RollingReduceProcessor(),

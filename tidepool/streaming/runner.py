@@ -59,7 +59,7 @@ def run_foreach_batch(sdf: DataFrame, fn, ckpt: str, mode: str = "append") -> No
     q.awaitTermination()
 
 
-def events_stream(spark: SparkSession, sf_dir: str, name: str, n_files: int = 8,
+def events_stream(spark: SparkSession, sf_dir: str, name: str, n_files: int = 4,
                   where=None) -> tuple[DataFrame, str]:
     """Stage ``events`` (optionally filtered) as time-ordered files and open a
     stream over them with ``ts`` as TIMESTAMP. Returns (stream, scratch dir)."""

@@ -1,11 +1,14 @@
 """Event-ordered keyed state machines on streams (PAT-1, PAT-7, PAT-8, ...).
 
 Within a micro-batch the rows of a key arrive unordered and may be late by up
-to the watermark delay. ``OrderedKeyProcessor`` therefore buffers rows in list
-state, registers an event-time timer per buffered millisecond, and when the
-watermark passes releases the buffered rows older than it, sorted by
-``(ts_us, id)``, through ``step`` — a small per-row function over a carried
-state tuple. State survives restarts with the query checkpoint.
+to the watermark delay. With a delay, ``OrderedKeyProcessor`` buffers rows in
+list state and registers an event-time timer per key and batch; when the
+watermark passes, the buffered rows older than it are released sorted by
+``(ts_us, id)`` through ``step`` — a small per-row function over a carried
+state tuple. With delay 0 (ascending event time) no row older than the
+watermark can arrive later, so each batch is sorted and stepped directly
+(equal timestamps split across batches are taken in arrival order).
+State survives restarts with the query checkpoint.
 """
 
 from __future__ import annotations
@@ -27,52 +30,38 @@ class OrderedKeyProcessor(StatefulProcessor):
     carry_schema = ""
     out_columns: list[str] = []
 
+    # Set by run_ordered: buffer rows until the watermark passes them (delay > 0),
+    # or process each micro-batch directly (delay 0: event time ascends, no row
+    # older than the watermark can arrive later).
+    buffered = True
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", f"ts_us bigint, id bigint, {self.row_fields}")
+        if self.buffered:
+            self.pending = handle.getListState("pending",
+                                               f"ts_us bigint, id bigint, {self.row_fields}")
         self.carry = handle.getValueState("carry", self.carry_schema)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        cols = ["ts_us", "id"] + [f.split()[0] for f in self.row_fields.split(",")]
-        timers = set()
-        for pdf in rows:
-            recs = list(zip(*(pdf[c].tolist() for c in cols)))
-            self.pending.appendList(recs)
-            timers.update(int(t) // 1000 + 1 for t in pdf["ts_us"])
-        existing = set(self.handle.listTimers())
-        for t in sorted(timers - existing):
-            self.handle.registerTimer(t)
-        return iter([])
+        self.cols = ["ts_us", "id"] + [f.split()[0] for f in self.row_fields.split(",")]
 
     def step(self, key, carry, row):
         raise NotImplementedError
 
     def on_watermark(self, key, carry, wm_us: int):
-        """Called after every release with the watermark: emit what time alone
-        decides (timeouts). Returns ``(carry, outputs)``."""
+        """Called with the watermark once every row older than it has been
+        stepped: emit what time alone decides (timeouts). Returns ``(carry, outputs)``."""
         return carry, []
 
     def deadline_us(self, carry) -> int | None:
         """Event time at which ``on_watermark`` must run even without new rows."""
         return None
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
-        pending = list(self.pending.get()) if self.pending.exists() else []
-        ready = sorted(r for r in pending if r[0] < wm_us)
-        if ready:
-            keep = [r for r in pending if r[0] >= wm_us]
-            if keep:
-                self.pending.put(keep)
-            else:
-                self.pending.clear()
-        carry = self.carry.get() if self.carry.exists() else None
-        out = []
-        for r in ready:
-            carry, emitted = self.step(key, carry, r)
-            out.extend(emitted)
-        carry, emitted = self.on_watermark(key, carry, wm_us)
-        out.extend(emitted)
+    def _records(self, rows):
+        recs = []
+        for pdf in rows:
+            recs.extend(zip(*(pdf[c].tolist() for c in self.cols)))
+        return recs
+
+    def _finish(self, carry, out):
         if carry is None:
             self.carry.clear()
         else:
@@ -84,6 +73,43 @@ class OrderedKeyProcessor(StatefulProcessor):
             return iter([])
         return iter([pd.DataFrame(out, columns=self.out_columns)])
 
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        recs = self._records(rows)
+        if self.buffered:
+            self.pending.appendList(recs)
+            # one timer per key and batch: when it fires every row of this batch
+            # is older than the watermark and gets released (in order).
+            self.handle.registerTimer(max(r[0] for r in recs) // 1000 + 1)
+            return iter([])
+        recs.sort()
+        carry = self.carry.get() if self.carry.exists() else None
+        carry, out = self.on_watermark(key, carry, timerValues.getCurrentWatermarkInMs() * 1000)
+        for r in recs:
+            carry, emitted = self.step(key, carry, r)
+            out.extend(emitted)
+        return self._finish(carry, out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
+        ready = []
+        if self.buffered and self.pending.exists():
+            pending = list(self.pending.get())
+            ready = sorted(r for r in pending if r[0] < wm_us)
+            if ready:
+                keep = [r for r in pending if r[0] >= wm_us]
+                if keep:
+                    self.pending.put(keep)
+                else:
+                    self.pending.clear()
+        carry = self.carry.get() if self.carry.exists() else None
+        out = []
+        for r in ready:
+            carry, emitted = self.step(key, carry, r)
+            out.extend(emitted)
+        carry, emitted = self.on_watermark(key, carry, wm_us)
+        out.extend(emitted)
+        return self._finish(carry, out)
+
     def close(self) -> None:
         pass
 
@@ -259,6 +285,7 @@ class RollingReduceProcessor(OrderedKeyProcessor):
 def run_ordered(sdf: DataFrame, key: str, ts: str, id_col: str, payload: list[str],
                 processor: OrderedKeyProcessor, out_schema: str, delay_s: int = 0) -> DataFrame:
     """Apply an ``OrderedKeyProcessor`` per ``key`` with event-time timers."""
+    processor.buffered = delay_s > 0
     src = (sdf.withWatermark(ts, f"{int(delay_s)} seconds")
               .select(key, F.unix_micros(ts).alias("ts_us"), F.col(id_col).alias("id"),
                       *payload, ts))
