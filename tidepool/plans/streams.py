@@ -435,3 +435,96 @@ def stream_window_join_inner(spark, sf):
                    "view_id", "click_id")
     run_append(out, f"{base}/out", f"{base}/ckpt")
     return _read(spark, f"{base}/out")
+
+
+# --- JN-5 on a stream: stream-static lookup (checked-size broadcast); same answer as lookup_join -----
+def _lookup_sql():
+    from tidepool.plans.registry import ORACLE
+    import tidepool.plans.joins  # noqa: F401  (registers lookup_join)
+
+    return ORACLE["lookup_join"]
+
+
+@register("stream_lookup_join", _lookup_sql())
+def stream_lookup_join(spark, sf):
+    from pyspark.sql import types as T
+
+    from tidepool.operators.joins import lookup
+    from tidepool.plans import joins as J
+
+    small = spark.createDataFrame(
+        [(i, n, f) for i, (n, f) in enumerate(J.LOOKUP_ROWS)],
+        T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("name", T.StringType()),
+                      T.StructField("factor", T.DoubleType())]))
+    sdf, base = events_stream(spark, sf, "lookup")
+    j = lookup(sdf.select("event_id", "event_type", "value"), small, "event_type", "name",
+               ["factor"], "pos")
+    hit = F.col("factor").isNotNull()
+    out = j.select("event_id",
+                   F.when(hit, F.col("event_type")).otherwise(F.lit(J.NO_MATCH_NAME)).alias("name"),
+                   F.when(hit, (F.col("value").cast("decimal(12,2)")
+                                * F.col("factor").cast("decimal(8,2)")).cast("double"))
+                   .otherwise(F.lit(J.NO_MATCH_AMOUNT)).alias("amount"))
+    run_append(out, f"{base}/out", f"{base}/ckpt")
+    return _read(spark, f"{base}/out")
+
+
+# --- PAT-6 on a stream: verdict per (user, day) once the day has closed ---------------------------------
+@register("stream_order_verdict", f"""
+WITH f AS (SELECT user_id, epoch_ms(date_trunc('day', ts)) AS day_ms,
+                  min(CASE WHEN event_type = 'click' THEN epoch_us(ts) END) AS c,
+                  arg_min(CASE WHEN event_type = 'click' THEN event_id END,
+                          CASE WHEN event_type = 'click' THEN (epoch_us(ts), event_id) END) AS ci,
+                  min(CASE WHEN event_type = 'purchase' THEN epoch_us(ts) END) AS p,
+                  arg_min(CASE WHEN event_type = 'purchase' THEN event_id END,
+                          CASE WHEN event_type = 'purchase' THEN (epoch_us(ts), event_id) END) AS pi
+           FROM events WHERE event_type IN ('click', 'purchase') GROUP BY ALL)
+SELECT user_id, day_ms,
+       CASE WHEN p IS NOT NULL AND p <= c + {ORDER_LIMIT_S * US} THEN 'order payed successfully'
+            ELSE 'order timeout' END AS result
+FROM f WHERE c IS NOT NULL AND NOT (p IS NOT NULL AND (p < c OR (p = c AND pi < ci)))
+  AND day_ms + 86400000 <= {_wm("event_type IN ('click', 'purchase')")}
+""")
+def stream_order_verdict(spark, sf):
+    sdf, base = events_stream(spark, sf, "order_verdict",
+                              where=F.col("event_type").isin("click", "purchase"))
+    st = F.struct(F.unix_micros("ts").alias("t"), F.col("event_id").alias("i"))
+    day = (sdf.withWatermark("ts", "0 seconds")
+              .groupBy("user_id", F.window("ts", "1 day").alias("d"))
+              .agg(F.min(F.when(F.col("event_type") == "click", st)).alias("c"),
+                   F.min(F.when(F.col("event_type") == "purchase", st)).alias("p")))
+    c, p = F.col("c"), F.col("p")
+    pay_first = p.isNotNull() & ((p.t < c.t) | ((p.t == c.t) & (p.i < c.i)))
+    ok = p.isNotNull() & (p.t <= c.t + ORDER_LIMIT_S * US)
+    out = (day.where(c.isNotNull() & ~pay_first)
+              .select("user_id", F.unix_millis("d.start").alias("day_ms"),
+                      F.when(ok, "order payed successfully").otherwise("order timeout").alias("result")))
+    run_append(out, f"{base}/out", f"{base}/ckpt")
+    return _read(spark, f"{base}/out")
+
+
+# --- JN-4 on streams: left outer window join; unmatched views emitted when the hour closes ---------------
+@register("stream_window_join_left", f"""
+WITH v AS (SELECT user_id, event_id AS view_id, epoch_us(ts) // {3600 * US} AS b
+           FROM events WHERE event_type = 'view'),
+c AS (SELECT user_id, event_id AS click_id, epoch_us(ts) // {3600 * US} AS b
+      FROM events WHERE event_type = 'click'),
+j AS (SELECT v.user_id, (v.b + 1) * 3600000 AS window_end, view_id, click_id
+      FROM v LEFT JOIN c ON v.user_id = c.user_id AND v.b = c.b)
+SELECT * FROM j WHERE click_id IS NOT NULL
+   OR window_end <= least({_wm("event_type = 'view'")}, {_wm("event_type = 'click'")})
+""")
+def stream_window_join_left(spark, sf):
+    vs, base = events_stream(spark, sf, "wjl_v", where=F.col("event_type") == "view")
+    cs, _ = events_stream(spark, sf, "wjl_c", where=F.col("event_type") == "click")
+    v = (vs.withWatermark("ts", "0 seconds")
+           .select(F.col("user_id").alias("v_user"), F.col("event_id").alias("view_id"),
+                   F.window("ts", "1 hour").alias("vw")))
+    c = (cs.withWatermark("ts", "0 seconds")
+           .select(F.col("user_id").alias("c_user"), F.col("event_id").alias("click_id"),
+                   F.window("ts", "1 hour").alias("cw")))
+    j = v.join(c, (F.col("v_user") == F.col("c_user")) & (F.col("vw") == F.col("cw")), "left_outer")
+    out = j.select(F.col("v_user").alias("user_id"), F.unix_millis("vw.end").alias("window_end"),
+                   "view_id", "click_id")
+    run_append(out, f"{base}/out", f"{base}/ckpt")
+    return _read(spark, f"{base}/out")
