@@ -15,9 +15,13 @@ US = 1_000_000
 
 
 def _bucket_bounds(t_us: Column, lower_us: int, upper_us: int, width_us: int):
-    lo = F.floor((t_us - F.lit(lower_us)) / F.lit(width_us)).cast("bigint")
-    hi = F.floor((t_us + F.lit(upper_us)) / F.lit(width_us)).cast("bigint")
-    return lo, hi
+    return _bucket(t_us - F.lit(lower_us), width_us), _bucket(t_us + F.lit(upper_us), width_us)
+
+
+def _bucket(t_us: Column, width_us: int) -> Column:
+    """``floor(t / width)`` in exact integer math."""
+    w = F.lit(int(width_us)).cast("bigint")
+    return (t_us - F.pmod(t_us, w)) / w
 
 
 def interval_join(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str,
@@ -29,8 +33,9 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, lts: str, rts: st
     width = int(bucket_s or max(lower_s, upper_s, 1)) * US
     lt, rt = F.unix_micros(F.col(lts)), F.unix_micros(F.col(rts))
     lo, hi = _bucket_bounds(lt, lower_s * US, upper_s * US, width)
-    l2 = left.withColumn("_lt", lt).withColumn("_jb", F.explode(F.sequence(lo, hi)))
-    r2 = right.withColumn("_rt", rt).withColumn("_jb", F.floor(rt / F.lit(width)).cast("bigint"))
+    l2 = left.withColumn("_lt", lt).withColumn(
+        "_jb", F.explode(F.sequence(lo.cast("bigint"), hi.cast("bigint"))))
+    r2 = right.withColumn("_rt", rt).withColumn("_jb", _bucket(rt, width).cast("bigint"))
     j = l2.join(r2, on=[key, "_jb"], how="inner")
     j = j.where((F.col("_rt") >= F.col("_lt") - lower_s * US) & (F.col("_rt") <= F.col("_lt") + upper_s * US))
     return j.drop("_jb", "_lt", "_rt")
@@ -62,8 +67,8 @@ def window_join(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str,
     NULL right columns when its window holds no right row of the key.
     """
     size = int(size_s) * US
-    lw = left.withColumn("_wb", F.floor(F.unix_micros(F.col(lts)) / F.lit(size)).cast("bigint"))
-    rw = right.withColumn("_wb", F.floor(F.unix_micros(F.col(rts)) / F.lit(size)).cast("bigint"))
+    lw = left.withColumn("_wb", _bucket(F.unix_micros(F.col(lts)), size).cast("bigint"))
+    rw = right.withColumn("_wb", _bucket(F.unix_micros(F.col(rts)), size).cast("bigint"))
     j = lw.join(rw, on=[key, "_wb"], how=how)
     return j.withColumn("window_end", (F.col("_wb") + 1) * (size // 1000)).drop("_wb")
 

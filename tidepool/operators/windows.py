@@ -43,9 +43,13 @@ def window_starts(t_us: Column, size_s: int, slide_s: int) -> Column:
     ``F.window`` (hundreds of them for 1 h / 5 s, which defeats codegen).
     """
     size, slide = int(size_s) * 1_000_000, int(slide_s) * 1_000_000
-    last = F.floor(t_us / F.lit(slide)).cast("bigint") * slide
-    first = (F.floor((t_us - F.lit(size)) / F.lit(slide)).cast("bigint") + 1) * slide
-    return F.sequence(first, last, F.lit(slide).cast("bigint"))
+    return F.sequence(floor_to(t_us - F.lit(size), slide) + F.lit(slide), floor_to(t_us, slide),
+                      F.lit(slide).cast("bigint"))
+
+
+def floor_to(t_us: Column, step_us: int) -> Column:
+    """Largest multiple of ``step_us`` not above ``t_us`` (exact integer math)."""
+    return t_us - F.pmod(t_us, F.lit(int(step_us)).cast("bigint"))
 
 
 def window_agg(df: DataFrame, ts: str, size_s: int, slide_s: int | None = None,
@@ -68,11 +72,11 @@ def window_agg(df: DataFrame, ts: str, size_s: int, slide_s: int | None = None,
     t_us = F.unix_micros(F.col(ts))
     if fan_out == 1:
         pane_us = int(size_s) * 1_000_000
-        win = (df.groupBy(*keys, (F.floor(t_us / F.lit(pane_us)).cast("bigint") * pane_us).alias("_ws"))
+        win = (df.groupBy(*keys, floor_to(t_us, pane_us).alias("_ws"))
                  .agg(*[_measure(k, c).alias(n) for n, (k, c) in measures.items()]))
     elif use_panes:
         pane_us = gcd(int(size_s), int(slide_s)) * 1_000_000
-        pane = (df.groupBy(*keys, (F.floor(t_us / F.lit(pane_us)).cast("bigint") * pane_us).alias("_p"))
+        pane = (df.groupBy(*keys, floor_to(t_us, pane_us).alias("_p"))
                   .agg(*[_measure(k, c).alias(n) for n, (k, c) in measures.items()]))
         win = (pane.select(*keys, F.explode(window_starts(F.col("_p"), size_s, slide_s)).alias("_ws"),
                            *measures.keys())
@@ -85,8 +89,8 @@ def window_agg(df: DataFrame, ts: str, size_s: int, slide_s: int | None = None,
         win = (ex.groupBy(*keys, "_ws")
                  .agg(*[_measure(k, c).alias(n) for n, (k, c) in measures.items()]))
     size_ms = int(size_s) * 1000
-    return win.select(*keys, (F.col("_ws") / 1000).cast("bigint").alias("window_start"),
-                      ((F.col("_ws") / 1000).cast("bigint") + size_ms).alias("window_end"),
+    return win.select(*keys, F.expr("_ws div 1000").alias("window_start"),
+                      (F.expr("_ws div 1000") + size_ms).alias("window_end"),
                       *measures.keys())
 
 
@@ -101,7 +105,7 @@ def assign_windows(df: DataFrame, ts: str, size_s: int, slide_s: int | None = No
     slide_s = slide_s or size_s
     ws = F.explode(window_starts(F.unix_micros(F.col(ts)), size_s, slide_s))
     return (df.select("*", ws.alias("_ws"))
-              .withColumn("window_start", (F.col("_ws") / 1000).cast("bigint"))
+              .withColumn("window_start", F.expr("_ws div 1000"))
               .withColumn("window_end", F.col("window_start") + int(size_s) * 1000)
               .drop("_ws"))
 
