@@ -59,3 +59,36 @@ def test_shifted_matches_lag_k(spark):
     w = Window.partitionBy("k").orderBy("ts", "id")
     exp = df.withColumn("b_id", F.lag("id", 3).over(w))
     assert _rows(got, ["id", "b_id"]) == _rows(exp, ["id", "b_id"])
+
+
+def test_hot_key_is_split_across_partitions(spark):
+    """One key holds ~90% of the rows: keyed_scan spreads it over (key, bucket)
+    partitions, while a plain per-key window puts it into a single task."""
+    base = datetime(2024, 1, 1)
+    rows = [(i, 0 if i % 10 else 1 + i % 7, base + timedelta(seconds=i), 1.0) for i in range(20000)]
+    df = spark.createDataFrame(rows, "id long, k long, ts timestamp, v double")
+    # plan as for large data: no partition coalescing, no broadcast of either side
+    confs = {"spark.sql.adaptive.coalescePartitions.enabled": "false",
+             "spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    saved = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        def max_share(d):
+            # aggregate rn so the window stage is not pruned away
+            sizes = (d.groupBy(F.spark_partition_id().alias("p"))
+                      .agg(F.count("rn").alias("n"), F.max("rn").alias("m")).collect())
+            return max(r["n"] for r in sizes) / 20000
+
+        split = keyed_scan(df, ["k"], ["ts", "id"], "ts", split_seconds=600, index="rn")
+        plain = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("ts", "id")))
+        assert max_share(plain) >= 0.9
+        assert max_share(split) < 0.5
+        assert sorted(split.select("id", "rn").collect()) == sorted(plain.select("id", "rn").collect())
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
