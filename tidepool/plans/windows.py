@@ -21,8 +21,8 @@ CHANNELS = ["wechat", "weibo", "appstore", "huaweistore"]
 def _channel(col="user_id"):
     expr = None
     for i, name in enumerate(CHANNELS):
-        expr = (F.when(F.col(col) % 4 == i, name) if expr is None
-                else expr.when(F.col(col) % 4 == i, name))
+        expr = (F.when(F.pmod(F.col(col), F.lit(4)) == i, name) if expr is None
+                else expr.when(F.pmod(F.col(col), F.lit(4)) == i, name))
     return expr
 
 
@@ -155,8 +155,12 @@ FROM w GROUP BY ALL
 """)
 def channel_counts(spark, sf):
     ev_ = (load_events(spark, sf).where(F.col("event_type") != "signup")
-           .select("ts", _channel().alias("channel"), F.col("event_type").alias("behavior")))
-    return sliding_count(ev_, "ts", ["channel", "behavior"], 3600, 10)
+           .select("ts", F.pmod("user_id", F.lit(4)).alias("channel_no"),
+                   F.col("event_type").alias("behavior")))
+    # count on the narrow channel number; the name is attached after aggregation
+    w = sliding_count(ev_, "ts", ["channel_no", "behavior"], 3600, 10)
+    return w.select(_channel("channel_no").alias("channel"), "behavior", "window_start",
+                    "window_end", "cnt")
 
 
 # --- WIN-7: global marketing total with literal labels, 1 h / 10 s -----------------------
