@@ -124,3 +124,32 @@ def test_buffered_processor_orders_late_rows(spark):
     got = sorted((r.event_id, r.prev_value, r.value) for r in spark.read.parquet(f"{base}/out").collect())
     # event order 0 (10) -> 1 (55) -> 2 (100) -> 3 (101): jumps at 1 and 2; row 4 is past the watermark
     assert got == [(1, 10.0, 55.0), (2, 55.0, 100.0)]
+
+
+def test_top_n_refined_by_late_rows(spark):
+    """TOP-2: a late row (within the lateness) changes an already emitted ranking."""
+    from tidepool.streaming.windows import latest_top_n, refine_top_n
+
+    base = scratch(spark, "refine")
+    b = datetime(2024, 1, 1)
+    rows_a = [(0, 1, b + timedelta(seconds=1), 1.0), (1, 2, b + timedelta(seconds=2), 1.0),
+              (2, 2, b + timedelta(seconds=3), 1.0), (3, 9, b + timedelta(seconds=15), 1.0)]
+    schema = _stage(spark, base, "a", rows_a)
+    # late rows for window [0,10): item 1 overtakes item 2
+    _stage(spark, base, "b", [(4, 1, b + timedelta(seconds=4), 1.0), (5, 1, b + timedelta(seconds=5), 1.0),
+                              (6, 9, b + timedelta(seconds=18), 1.0)])
+    sdf = read_staged(spark, f"{base}/in", schema).withColumnRenamed("user_id", "item")
+    counts = (sdf.withWatermark("ts", "60 seconds")
+                 .groupBy("item", F.window("ts", "10 seconds").alias("w"))
+                 .agg(F.count(F.lit(1)).alias("c"))
+                 .select("item", F.unix_millis("w.end").alias("window_end"), "c"))
+    q = (counts.writeStream.outputMode("update")
+               .foreachBatch(refine_top_n(f"{base}/out", ["window_end"], "item", "c", 1))
+               .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    versions = spark.read.parquet(f"{base}/out")
+    first = min(r.window_end for r in versions.collect())
+    history = sorted((r.batch_id, r.item, r.c) for r in versions.where(F.col("window_end") == first).collect())
+    assert history[0][1:] == (2, 2) and history[-1][1:] == (1, 3)
+    final = {r.window_end: (r.item, r.c) for r in latest_top_n(versions, ["window_end"]).collect()}
+    assert final[first] == (1, 3)

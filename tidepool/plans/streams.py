@@ -528,3 +528,26 @@ def stream_window_join_left(spark, sf):
                    "view_id", "click_id")
     run_append(out, f"{base}/out", f"{base}/ckpt")
     return _read(spark, f"{base}/out")
+
+
+# --- TOP-2 + WIN-10 on a stream: top 5 per window, refined as (late) rows update the counts ---------
+@register("stream_hot_pages_refined", f"""
+WITH w AS ({sliding(ev("event_type = 'click'"), 600, 60, "item_id")}),
+c AS (SELECT item_id, (ws + {600 * US}) // 1000 AS window_end, count(*) AS click_count
+      FROM w GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY click_count DESC, item_id)
+      AS top_rank FROM c)
+SELECT window_end, item_id, click_count, top_rank FROM r WHERE top_rank <= 5
+""")
+def stream_hot_pages_refined(spark, sf):
+    from tidepool.streaming.windows import latest_top_n, refine_top_n
+
+    sdf, base = events_stream(spark, sf, "hot_pages_refined", where=F.col("event_type") == "click")
+    counts = (sdf.withWatermark("ts", "60 seconds")
+                 .groupBy("item_id", F.window("ts", "600 seconds", "60 seconds").alias("w"))
+                 .agg(F.count(F.lit(1)).alias("click_count"))
+                 .select("item_id", F.unix_millis("w.end").alias("window_end"), "click_count"))
+    run_foreach_batch(counts, refine_top_n(f"{base}/out", ["window_end"], "item_id", "click_count", 5),
+                      f"{base}/ckpt", mode="update")
+    return latest_top_n(_read(spark, f"{base}/out"), ["window_end"]).select(
+        "window_end", "item_id", "click_count", "top_rank")

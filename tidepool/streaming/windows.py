@@ -77,3 +77,43 @@ def rank_batches(out_path: str, partition: list[str], by: str, tie: list[str], n
         ranked.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
     return fn
+
+
+def refine_top_n(out_path: str, partition: list[str], key: str, count: str, n: int,
+                 rank_col: str = "top_rank"):
+    """TOP-2 with late refinements: a ``foreachBatch`` function for an
+    ``update``-mode windowed count (watermark delay = allowed lateness).
+
+    A batch carries only the changed ``(window, key, count)`` rows, and counts
+    only grow, so the new top-n of a touched window is the top-n of (its
+    previous top-n ∪ the changed rows). State is therefore n rows per window.
+    Each batch writes the refreshed top-n of the windows it touched as version
+    ``batch_id``; ``latest_top_n`` reads the newest version per window.
+    """
+    from pyspark.sql.utils import AnalysisException
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        upd = batch.select(*partition, key, count)
+        cand = upd
+        try:
+            prev = latest_top_n(spark.read.parquet(out_path), partition, rank_col)
+            touched = upd.select(*partition).distinct()
+            cand = cand.unionByName(prev.join(touched, on=partition, how="left_semi")
+                                    .select(*partition, key, count))
+        except AnalysisException:
+            pass  # first batch: no previous versions
+        best = cand.groupBy(*partition, key).agg(F.max(count).alias(count))
+        w = Window.partitionBy(*partition).orderBy(F.col(count).desc(), F.col(key))
+        ranked = (best.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
+                      .where(F.col(rank_col) <= n))
+        ranked.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+
+    return fn
+
+
+def latest_top_n(versions: DataFrame, partition: list[str], rank_col: str = "top_rank") -> DataFrame:
+    """Newest top-n version of each window from ``refine_top_n`` output."""
+    w = Window.partitionBy(*partition)
+    return (versions.withColumn("_v", F.max("batch_id").over(w))
+                    .where(F.col("batch_id") == F.col("_v")).drop("_v", "batch_id"))
