@@ -25,6 +25,7 @@ from tidepool.sources.text import stream_lines
 from tidepool.plans.sqlfrag import US, ev, sliding
 from tidepool.streaming.runner import events_stream, run_append, run_foreach_batch
 from tidepool.streaming.stateful import (ClickCapProcessor, ConsecutiveFailProcessor,
+                                         CreatePayProcessor,
                                          CountWindowProcessor, EveryNthProcessor, JumpProcessor,
                                          RisingProcessor, RollingReduceProcessor,
                                          SlidingCountProcessor, run_ordered)
@@ -551,3 +552,28 @@ def stream_hot_pages_refined(spark, sf):
                       f"{base}/ckpt", mode="update")
     return latest_top_n(_read(spark, f"{base}/out"), ["window_end"]).select(
         "window_end", "item_id", "click_count", "top_rank")
+
+
+# --- PAT-4 on a stream: each create settled by the first later pay, or timed out by the watermark ------
+@register("stream_order_timeout_seq", f"""
+WITH s AS (SELECT user_id, epoch_ms(date_trunc('day', ts)) AS day_ms, event_id, event_type,
+                  epoch_us(ts) AS t,
+                  min(CASE WHEN event_type = 'purchase' THEN epoch_us(ts) END) OVER (
+                      PARTITION BY user_id, date_trunc('day', ts) ORDER BY ts, event_id
+                      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS np
+           FROM events WHERE event_type IN ('click', 'purchase'))
+SELECT user_id, day_ms, event_id AS create_event_id,
+       CASE WHEN np IS NOT NULL AND np - t < {ORDER_LIMIT_S * US} THEN 'payed successfully'
+            ELSE 'timeout' END AS result
+FROM s WHERE event_type = 'click'
+  AND (np IS NOT NULL OR t + {ORDER_LIMIT_S * US} < {_wm("event_type IN ('click', 'purchase')")} * 1000)
+""")
+def stream_order_timeout_seq(spark, sf):
+    sdf, base = events_stream(spark, sf, "order_timeout",
+                              where=F.col("event_type").isin("click", "purchase"))
+    sdf = sdf.withColumn("day_ms", F.unix_millis(F.date_trunc("day", "ts")))
+    out = run_ordered(sdf, ["user_id", "day_ms"], "ts", "event_id", ["event_type"],
+                      CreatePayProcessor("click", "purchase", ORDER_LIMIT_S),
+                      "user_id long, day_ms long, create_event_id long, result string")
+    run_append(out, f"{base}/out", f"{base}/ckpt")
+    return _read(spark, f"{base}/out")

@@ -282,14 +282,59 @@ class RollingReduceProcessor(OrderedKeyProcessor):
         return (ts_s,), [(key[0], rid, ts_s, v + self.bump)]
 
 
-def run_ordered(sdf: DataFrame, key: str, ts: str, id_col: str, payload: list[str],
+class CreatePayProcessor(OrderedKeyProcessor):
+    """PAT-4: every ``create`` is settled by the first later ``pay`` of the key
+    (success when less than ``limit`` later, else timeout); a create whose
+    deadline the watermark has passed times out, because any later pay would
+    be too late. Keys are composite, e.g. (user, day)."""
+
+    row_fields = "event_type string"
+    carry_schema = "ts array<bigint>, ids array<bigint>"
+    out_columns = ["user_id", "day_ms", "create_event_id", "result"]
+
+    def __init__(self, create: str, pay: str, limit_s: int):
+        self.create, self.pay, self.limit_us = create, pay, limit_s * 1_000_000
+
+    def step(self, key, carry, row):
+        ts_us, rid, etype = row
+        ts, ids = (list(carry[0]), list(carry[1])) if carry is not None else ([], [])
+        out = []
+        if etype == self.create:
+            ts.append(ts_us)
+            ids.append(rid)
+        elif etype == self.pay and ts:
+            for c, i in zip(ts, ids):
+                ok = ts_us - c < self.limit_us
+                out.append((key[0], key[1], i, "payed successfully" if ok else "timeout"))
+            ts, ids = [], []
+        return ((ts, ids) if ts else None), out
+
+    def on_watermark(self, key, carry, wm_us):
+        if carry is None:
+            return carry, []
+        keep_t, keep_i, out = [], [], []
+        for c, i in zip(carry[0], carry[1]):
+            if c + self.limit_us < wm_us:
+                out.append((key[0], key[1], i, "timeout"))
+            else:
+                keep_t.append(c)
+                keep_i.append(i)
+        return ((keep_t, keep_i) if keep_t else None), out
+
+    def deadline_us(self, carry):
+        return min(carry[0]) + self.limit_us if carry and carry[0] else None
+
+
+def run_ordered(sdf: DataFrame, key, ts: str, id_col: str, payload: list[str],
                 processor: OrderedKeyProcessor, out_schema: str, delay_s: int = 0) -> DataFrame:
-    """Apply an ``OrderedKeyProcessor`` per ``key`` with event-time timers."""
+    """Apply an ``OrderedKeyProcessor`` per ``key`` (a column or a list of
+    columns) with event-time timers."""
+    keys = [key] if isinstance(key, str) else list(key)
     processor.buffered = delay_s > 0
     src = (sdf.withWatermark(ts, f"{int(delay_s)} seconds")
-              .select(key, F.unix_micros(ts).alias("ts_us"), F.col(id_col).alias("id"),
+              .select(*keys, F.unix_micros(ts).alias("ts_us"), F.col(id_col).alias("id"),
                       *payload, ts))
-    return (src.groupBy(key)
+    return (src.groupBy(*keys)
                .transformWithStateInPandas(statefulProcessor=processor,
                                            outputStructType=out_schema,
                                            outputMode="Append", timeMode="EventTime"))
