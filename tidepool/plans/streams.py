@@ -577,3 +577,37 @@ def stream_order_timeout_seq(spark, sf):
                       "user_id long, day_ms long, create_event_id long, result string")
     run_append(out, f"{base}/out", f"{base}/ckpt")
     return _read(spark, f"{base}/out")
+
+
+# --- JN-2 on streams: full outer interval join; unmatched rows leave when their band has closed ---------
+@register("stream_reconcile", f"""
+WITH p AS (SELECT user_id, event_id AS purchase_id, epoch_us(ts) AS pt FROM events WHERE event_type = 'purchase'),
+c AS (SELECT user_id, event_id AS click_id, epoch_us(ts) AS ct FROM events WHERE event_type = 'click'),
+m AS (SELECT p.user_id, purchase_id, click_id FROM p JOIN c ON p.user_id = c.user_id
+      AND c.ct BETWEEN p.pt - {BAND_S * US} AND p.pt + {BAND_S * US}),
+wm AS (SELECT least({_wm("event_type = 'purchase'")}, {_wm("event_type = 'click'")}) * 1000 AS w)
+SELECT 'matched' AS tag, user_id, purchase_id, click_id FROM m
+UNION ALL
+SELECT 'unmatched_left', user_id, purchase_id, NULL FROM p
+WHERE purchase_id NOT IN (SELECT purchase_id FROM m) AND pt + {BAND_S * US} < (SELECT w FROM wm)
+UNION ALL
+SELECT 'unmatched_right', user_id, NULL, click_id FROM c
+WHERE click_id NOT IN (SELECT click_id FROM m) AND ct + {BAND_S * US} < (SELECT w FROM wm)
+""")
+def stream_reconcile(spark, sf):
+    ps, base = events_stream(spark, sf, "rec_p", where=F.col("event_type") == "purchase")
+    cs, _ = events_stream(spark, sf, "rec_c", where=F.col("event_type") == "click")
+    p = ps.select(F.col("user_id").alias("p_user"), F.col("event_id").alias("purchase_id"),
+                  F.col("ts").alias("pts")).withWatermark("pts", "0 seconds")
+    c = cs.select(F.col("user_id").alias("c_user"), F.col("event_id").alias("click_id"),
+                  F.col("ts").alias("cts")).withWatermark("cts", "0 seconds")
+    cond = ((F.col("p_user") == F.col("c_user"))
+            & (F.col("cts") >= F.col("pts") - F.expr(f"INTERVAL {BAND_S} SECONDS"))
+            & (F.col("cts") <= F.col("pts") + F.expr(f"INTERVAL {BAND_S} SECONDS")))
+    j = p.join(c, cond, "full_outer")
+    tag = (F.when(F.col("purchase_id").isNotNull() & F.col("click_id").isNotNull(), "matched")
+            .when(F.col("purchase_id").isNotNull(), "unmatched_left").otherwise("unmatched_right"))
+    out = j.select(tag.alias("tag"), F.coalesce("p_user", "c_user").alias("user_id"),
+                   "purchase_id", "click_id")
+    run_append(out, f"{base}/out", f"{base}/ckpt")
+    return _read(spark, f"{base}/out")
