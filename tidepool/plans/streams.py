@@ -25,7 +25,7 @@ from tidepool.sources.text import stream_lines
 from tidepool.plans.sqlfrag import US, ev, sliding
 from tidepool.streaming.runner import events_stream, run_append, run_foreach_batch
 from tidepool.streaming.stateful import (ClickCapProcessor, ConsecutiveFailProcessor,
-                                         CreatePayProcessor,
+                                         CreatePayProcessor, NInARowProcessor, RunningSumProcessor,
                                          CountWindowProcessor, EveryNthProcessor, JumpProcessor,
                                          RisingProcessor, RollingReduceProcessor,
                                          SlidingCountProcessor, run_ordered)
@@ -611,3 +611,33 @@ def stream_reconcile(spark, sf):
                    "purchase_id", "click_id")
     run_append(out, f"{base}/out", f"{base}/ckpt")
     return _read(spark, f"{base}/out")
+
+
+# --- PAT-3 on a stream: N fails in a row within a bound ------------------------------------------------
+@register("stream_n_failures", f"""
+WITH s AS (SELECT user_id, event_id, event_type, epoch_us(ts) AS t,
+                  sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END)
+                      OVER ({_W} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS nf,
+                  lag(epoch_us(ts), 2) OVER ({_W}) AS t0,
+                  lag(event_id, 2) OVER ({_W}) AS id0
+           FROM events)
+SELECT user_id, id0 AS first_event_id, event_id AS last_event_id, t0 // 1000 AS first_fail_ms,
+       t // 1000 AS last_fail_ms
+FROM s WHERE nf = 3 AND t0 IS NOT NULL AND t - t0 < {48 * 3600 * US}
+""")
+def stream_n_failures(spark, sf):
+    return _ordered(spark, sf, "n_failures", NInARowProcessor("error", 3, 48 * 3600),
+                    "user_id long, first_event_id long, last_event_id long, first_fail_ms long, "
+                    "last_fail_ms long", payload=("event_type",))
+
+
+# --- AGG-7 on a stream: running sum per event --------------------------------------------------------------
+@register("stream_rolling_sum", f"""
+SELECT user_id, event_id,
+       CAST(sum(CAST(value AS DECIMAL(12, 2))) OVER ({_W} ROWS UNBOUNDED PRECEDING) AS DOUBLE)
+       AS running_sum
+FROM events
+""")
+def stream_rolling_sum(spark, sf):
+    return _ordered(spark, sf, "rolling_sum", RunningSumProcessor(),
+                    "user_id long, event_id long, running_sum double")

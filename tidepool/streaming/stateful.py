@@ -282,6 +282,43 @@ class RollingReduceProcessor(OrderedKeyProcessor):
         return (ts_s,), [(key[0], rid, ts_s, v + self.bump)]
 
 
+class NInARowProcessor(OrderedKeyProcessor):
+    """PAT-3: ``n`` consecutive ``kind`` rows spanning less than ``within``;
+    the carry keeps at most the last ``n - 1`` rows of the current streak."""
+
+    row_fields = "event_type string"
+    carry_schema = "ts array<bigint>, ids array<bigint>"
+    out_columns = ["user_id", "first_event_id", "last_event_id", "first_fail_ms", "last_fail_ms"]
+
+    def __init__(self, kind: str, n: int, within_s: int):
+        self.kind, self.n, self.within_us = kind, n, within_s * 1_000_000
+
+    def step(self, key, carry, row):
+        ts_us, rid, etype = row
+        if etype != self.kind:
+            return None, []
+        ts = (list(carry[0]) if carry is not None else []) + [ts_us]
+        ids = (list(carry[1]) if carry is not None else []) + [rid]
+        out = []
+        if len(ts) >= self.n and ts_us - ts[-self.n] < self.within_us:
+            out.append((key[0], ids[-self.n], rid, ts[-self.n] // 1000, ts_us // 1000))
+        keep = self.n - 1
+        return (ts[-keep:], ids[-keep:]), out
+
+
+class RunningSumProcessor(OrderedKeyProcessor):
+    """AGG-7: running sum per key on every row, accumulated in exact cents."""
+
+    row_fields = "value double"
+    carry_schema = "cents bigint"
+    out_columns = ["user_id", "event_id", "running_sum"]
+
+    def step(self, key, carry, row):
+        _, rid, v = row
+        cents = (carry[0] if carry is not None else 0) + int(round(v * 100))
+        return (cents,), [(key[0], rid, cents / 100)]
+
+
 class CreatePayProcessor(OrderedKeyProcessor):
     """PAT-4: every ``create`` is settled by the first later ``pay`` of the key
     (success when less than ``limit`` later, else timeout); a create whose
