@@ -163,7 +163,8 @@ def int_mean_q(spark, sf):
 # --- AGG-10: cumulative count across daily windows -----------------------------------------------
 @register("cumulative_window_count", f"""
 SELECT user_id, window_end, cnt,
-       sum(cnt) OVER (PARTITION BY user_id ORDER BY window_end ROWS UNBOUNDED PRECEDING) AS cumulative
+       CAST(sum(cnt) OVER (PARTITION BY user_id ORDER BY window_end ROWS UNBOUNDED PRECEDING) AS BIGINT)
+           AS cumulative
 FROM (SELECT user_id, (epoch_us(ts) // {86400 * 10**6} + 1) * 86400000 AS window_end,
              count(*) AS cnt FROM events GROUP BY ALL)
 """)
