@@ -21,6 +21,18 @@ def test_pane_equals_direct(spark, sf_small):
               window_agg(ev, "ts", size, slide, keys, m, panes=False))
 
 
+def test_deltas_equal_direct(spark, sf_small):
+    from tidepool.operators.windows import sliding_agg_deltas
+
+    ev = load_events(spark, sf_small)
+    for size, slide, keys in ((3600, 300, ["item_id"]), (600, 5, ["user_id"]), (10, 3, []),
+                              (3600, 10, ["event_type"])):
+        m = {"c": ("count", None), "s": ("sum", "value")}
+        a = window_agg(ev, "ts", size, slide, keys, m, method="direct").withColumn("s", F.round("s", 6))
+        b = sliding_agg_deltas(ev, "ts", size, slide, keys, m).withColumn("s", F.round("s", 6))
+        _same(a, b)
+
+
 def test_sliding_window_membership(spark):
     t = datetime(2024, 1, 1, 0, 0, 7)
     df = spark.createDataFrame([(1, t)], "k long, ts timestamp")

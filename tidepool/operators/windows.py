@@ -3,8 +3,13 @@
 Window bounds are epoch-aligned and half-open ``[start, end)``. Outputs carry
 ``window_start`` / ``window_end`` as epoch milliseconds (BIGINT).
 
-Pane rewrite (OPT-P): a sliding window of ``size``/``slide`` copies each row
-``size/slide`` times. For mergeable aggregates (count, sum, min, max) we first
+Delta form (default for sliding count/sum): each row becomes two deltas, a
+skew-safe running sum per key gives the value between change points, and the
+windows are generated after the last shuffle — no row is replicated
+``size/slide`` times (see ``sliding_agg_deltas``).
+
+Pane rewrite (OPT-P, used for min/max): a sliding window of ``size``/``slide``
+copies each row ``size/slide`` times. For mergeable aggregates (count, sum, min, max) we first
 aggregate tumbling panes of ``gcd(size, slide)`` and only replicate the pane
 partials, so the fan-out applies to panes, not rows. Both steps use Spark's
 one ``explode`` of the valid window starts plus a hash aggregate with
@@ -55,10 +60,13 @@ def floor_to(t_us: Column, step_us: int) -> Column:
 def window_agg(df: DataFrame, ts: str, size_s: int, slide_s: int | None = None,
                keys: list[str] | None = None,
                measures: dict[str, tuple[str, str | Column | None]] | None = None,
-               panes: bool | None = None) -> DataFrame:
+               panes: bool | None = None, method: str | None = None) -> DataFrame:
     """Tumbling (``slide_s`` None) or sliding keyed aggregate (batch).
 
     ``measures``: ``{out: (kind, col)}``, kind in count/sum/min/max.
+    ``method`` for sliding windows: ``deltas`` (count/sum: no row replication,
+    see ``sliding_agg_deltas``; the default when it applies), ``panes`` or
+    ``direct``. ``panes=True/False`` forces ``panes``/``direct``.
     ``panes``: force/deny the pane rewrite; default on when fan-out > 12
     (at that replication the pane partials pay for their extra shuffle as soon
     as a few events share a (key, pane); on very sparse keys direct is cheaper).
@@ -68,6 +76,13 @@ def window_agg(df: DataFrame, ts: str, size_s: int, slide_s: int | None = None,
     measures = measures or {"cnt": ("count", None)}
     slide_s = slide_s or size_s
     fan_out = -(-size_s // slide_s)
+    invertible = all(k in ("count", "sum") for k, _ in measures.values())
+    if method is None and panes is None and fan_out > 1 and invertible:
+        method = "deltas"
+    if method == "deltas":
+        return sliding_agg_deltas(df, ts, size_s, slide_s, keys, measures)
+    if method is not None:
+        panes = method == "panes"
     use_panes = (fan_out > PANE_MIN_FAN_OUT) if panes is None else (panes and fan_out > 1)
     t_us = F.unix_micros(F.col(ts))
     if fan_out == 1:
@@ -95,9 +110,10 @@ def window_agg(df: DataFrame, ts: str, size_s: int, slide_s: int | None = None,
 
 
 def sliding_count(df: DataFrame, ts: str, keys: list[str], size_s: int, slide_s: int,
-                  out: str = "cnt", panes: bool | None = None) -> DataFrame:
-    """WIN-4 / WIN-6: sliding keyed count."""
-    return window_agg(df, ts, size_s, slide_s, keys, {out: ("count", None)}, panes)
+                  out: str = "cnt", panes: bool | None = None,
+                  method: str | None = None) -> DataFrame:
+    """WIN-4 / WIN-6: sliding keyed count (delta form by default)."""
+    return window_agg(df, ts, size_s, slide_s, keys, {out: ("count", None)}, panes, method)
 
 
 def assign_windows(df: DataFrame, ts: str, size_s: int, slide_s: int | None = None) -> DataFrame:
@@ -164,3 +180,57 @@ def session_agg(df: DataFrame, ts: str, key: str, gap_s: int,
               .agg(*[_measure(k, c).alias(n) for n, (k, c) in measures.items()])
               .select(key, F.unix_millis("_s.start").alias("session_start"),
                       F.unix_millis("_s.end").alias("session_end"), *measures.keys()))
+
+
+def sliding_agg_deltas(df: DataFrame, ts: str, size_s: int, slide_s: int,
+                       keys: list[str] | None = None,
+                       measures: dict[str, tuple[str, str | Column | None]] | None = None,
+                       split_seconds: int | None = None) -> DataFrame:
+    """Sliding count/sum without replicating rows (difference array + prefix sums).
+
+    A row at ``t`` belongs to the window starts ``first(t) .. last(t)``; it adds
+    ``+v`` at ``first(t)`` and ``-v`` at ``last(t) + slide``. Per key, a running
+    sum of these deltas ordered by window start (skew-safe ``keyed_scan``)
+    gives the value on each stretch between two change points, and each
+    stretch with a positive count expands locally into its windows.
+
+    Only two delta rows per input row are shuffled (fewer after the map-side
+    combine), instead of ``size/slide`` copies; the windows are generated
+    after the last shuffle, without a final aggregate. Count/sum only (min/max
+    are not invertible: use ``window_agg``).
+    """
+    keys = list(keys or [])
+    measures = measures or {"cnt": ("count", None)}
+    for kind, _ in measures.values():
+        if kind not in ("count", "sum"):
+            raise ValueError("sliding_agg_deltas supports count and sum only")
+    size, slide = int(size_s) * 1_000_000, int(slide_s) * 1_000_000
+    t_us = F.unix_micros(F.col(ts))
+    first = floor_to(t_us - F.lit(size), slide) + F.lit(slide)
+    after = floor_to(t_us, slide) + F.lit(slide)
+    vals = {"__n": F.lit(1).cast("bigint")}
+    for name, (kind, col) in measures.items():
+        if kind == "sum":
+            vals[name] = F.col(col) if isinstance(col, str) else col
+    deltas = F.array(
+        F.struct(first.alias("ws"), *[v.alias(n) for n, v in vals.items()]),
+        F.struct(after.alias("ws"), *[(-v).alias(n) for n, v in vals.items()]))
+    d = (df.select(*keys, F.explode(deltas).alias("_d"))
+           .select(*keys, "_d.*")
+           .groupBy(*keys, "ws").agg(*[F.sum(n).alias(n) for n in vals]))
+    d = d.withColumn("_wts", F.timestamp_micros("ws"))
+    running = {f"r{n}": ("sum", F.col(n)) for n in vals}
+    scan_keys = keys
+    if not keys:  # global window: one constant key, still split by time buckets
+        d, scan_keys = d.withColumn("_all", F.lit(0)), ["_all"]
+    scanned = keyed_scan(d, scan_keys, ["_wts"], "_wts", running=running, nxt=["ws"],
+                         split_seconds=split_seconds or max(int(size_s) * 4, 3600))
+    live = scanned.where(F.col("r__n") > 0)
+    starts = F.explode(F.sequence(F.col("ws"), F.col("next_ws") - F.lit(slide), F.lit(slide).cast("bigint")))
+    out = live.select(*keys, starts.alias("_ws"), *[F.col(f"r{n}").alias(n) for n in vals])
+    size_ms = int(size_s) * 1000
+    cols = []
+    for name, (kind, _) in measures.items():
+        cols.append((F.col("__n") if kind == "count" else F.col(name)).alias(name))
+    return out.select(*keys, F.expr("_ws div 1000").alias("window_start"),
+                      (F.expr("_ws div 1000") + size_ms).alias("window_end"), *cols)
