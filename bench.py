@@ -1,7 +1,7 @@
 """Benchmark: run every registered query on $BENCH_SF_DIR and print one JSON line.
 
 Each query is fully computed with a ``noop`` write (no collect to Python).
-Extra entries time the sliding-window pane rewrite against the direct form.
+Extra entries time the three sliding-window methods (deltas, panes, direct).
 ``value`` is the total of the batch queries; the streaming twins (file replay
 with availableNow, dominated by per-micro-batch overhead at this size) are
 timed separately under ``stream_queries`` (BENCH_STREAMS=0 skips them).
@@ -53,10 +53,10 @@ def main() -> None:
             stream_times[n] = round(time.perf_counter() - t0, 3)
     if not only:
         ev = load_events(spark, sf_dir).where(F.col("event_type") != "signup")
-        for label, panes in (("channel_counts_pane", True), ("channel_counts_direct", False)):
+        for method in ("deltas", "panes", "direct"):
             df = sliding_count(ev.withColumn("ch", F.col("user_id") % 4), "ts",
-                               ["ch", "event_type"], 3600, 10, panes=panes)
-            times[label] = round(_run(df), 3)
+                               ["ch", "event_type"], 3600, 10, method=method)
+            times[f"channel_counts_{method}"] = round(_run(df), 3)
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "total_query_seconds",
                       "value": round(sum(v for k, v in times.items() if k in QUERIES), 3),
