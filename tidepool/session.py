@@ -23,6 +23,19 @@ BASE_CONF = {
 }
 
 
+# Subset of BASE_CONF that can be changed on a running session (SQL confs).
+RUNTIME_CONF = {k: v for k, v in BASE_CONF.items() if k.startswith("spark.sql.")}
+
+
+def apply_runtime_conf(spark: SparkSession) -> SparkSession:
+    """Apply the tidepool SQL settings to a session built elsewhere (UTC time
+    zone, AQE, RocksDB state store for keyed state, ...)."""
+    for k, v in RUNTIME_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    return spark
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "tidepool", extra: dict | None = None) -> SparkSession:
     """Build (or fetch) a session with the tidepool defaults.
