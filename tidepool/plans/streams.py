@@ -26,6 +26,7 @@ from tidepool.plans.sqlfrag import US, ev, sliding
 from tidepool.streaming.runner import events_stream, run_append, run_foreach_batch
 from tidepool.streaming.stateful import (ClickCapProcessor, ConsecutiveFailProcessor,
                                          CreatePayProcessor, NInARowProcessor, RunningSumProcessor,
+                                         WindowRunningCountProcessor,
                                          CountWindowProcessor, EveryNthProcessor, JumpProcessor,
                                          RisingProcessor, RollingReduceProcessor,
                                          SlidingCountProcessor, run_ordered)
@@ -641,3 +642,45 @@ FROM events
 def stream_rolling_sum(spark, sf):
     return _ordered(spark, sf, "rolling_sum", RunningSumProcessor(),
                     "user_id long, event_id long, running_sum double")
+
+
+# --- WIN-8 on a stream: running count per element inside each (user, sliding window) ---------------------
+@register("stream_window_running_count", f"""
+WITH w AS ({sliding(ev(), 86400, 21600, "event_id, user_id, t")})
+SELECT event_id, user_id, ws // 1000 AS window_start, (ws + {86400 * US}) // 1000 AS window_end,
+       row_number() OVER (PARTITION BY user_id, ws ORDER BY t, event_id) AS running_count
+FROM w
+""")
+def stream_window_running_count(spark, sf):
+    sdf, base = events_stream(spark, sf, "window_running_count")
+    w = (sdf.select("*", F.window("ts", "86400 seconds", "21600 seconds").alias("w"))
+            .withColumn("window_start", F.unix_millis("w.start"))
+            .withColumn("window_end", F.unix_millis("w.end")).drop("w"))
+    out = run_ordered(w, ["user_id", "window_start"], "ts", "event_id", ["window_end"],
+                      WindowRunningCountProcessor(),
+                      "user_id long, window_start long, event_id long, window_end long, "
+                      "running_count long")
+    run_append(out, f"{base}/out", f"{base}/ckpt")
+    return _read(spark, f"{base}/out").select("event_id", "user_id", "window_start", "window_end",
+                                               "running_count")
+
+
+# --- TOP-3 on a stream: composite key item-user, top 3 per window ------------------------------------------
+@register("stream_hot_items_composite", f"""
+WITH w AS ({sliding(ev("event_type = 'view'"), 3600, 300,
+                    "CAST(item_id AS VARCHAR) || '-' || CAST(user_id AS VARCHAR) AS item_user")}),
+c AS (SELECT item_user, (ws + {3600 * US}) // 1000 AS window_end, count(*) AS view_count
+      FROM w GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY view_count DESC, item_user)
+      AS top_rank FROM c)
+SELECT window_end, item_user, view_count, top_rank FROM r
+WHERE top_rank <= 3 AND window_end <= {_wm("event_type = 'view'")}
+""")
+def stream_hot_items_composite(spark, sf):
+    sdf, base = events_stream(spark, sf, "hot_items_composite", where=F.col("event_type") == "view")
+    sdf = sdf.withColumn("item_user", F.concat_ws("-", "item_id", "user_id"))
+    counts = stream_window_agg(sdf, "ts", 3600, 300, ["item_user"],
+                               {"view_count": ("count", None)}, panes=True)
+    run_foreach_batch(counts, rank_batches(f"{base}/out", ["window_end"], "view_count",
+                                           ["item_user"], 3), f"{base}/ckpt")
+    return _read(spark, f"{base}/out").select("window_end", "item_user", "view_count", "top_rank")

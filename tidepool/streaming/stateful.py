@@ -319,6 +319,19 @@ class RunningSumProcessor(OrderedKeyProcessor):
         return (cents,), [(key[0], rid, cents / 100)]
 
 
+class WindowRunningCountProcessor(OrderedKeyProcessor):
+    """WIN-8: inside each (key, window) number the rows 1..n in event order."""
+
+    row_fields = "window_end bigint"
+    carry_schema = "n bigint"
+    out_columns = ["user_id", "window_start", "event_id", "window_end", "running_count"]
+
+    def step(self, key, carry, row):
+        _, rid, wend = row
+        n = (carry[0] if carry is not None else 0) + 1
+        return (n,), [(key[0], key[1], rid, wend, n)]
+
+
 class CreatePayProcessor(OrderedKeyProcessor):
     """PAT-4: every ``create`` is settled by the first later ``pay`` of the key
     (success when less than ``limit`` later, else timeout); a create whose
