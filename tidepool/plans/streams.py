@@ -26,7 +26,7 @@ from tidepool.plans.sqlfrag import US, ev, sliding
 from tidepool.streaming.runner import events_stream, run_append, run_foreach_batch
 from tidepool.streaming.stateful import (ClickCapProcessor, ConsecutiveFailProcessor,
                                          CreatePayProcessor, NInARowProcessor, RunningSumProcessor,
-                                         WindowRunningCountProcessor,
+                                         WindowRunningCountProcessor, CumulativeWindowProcessor,
                                          CountWindowProcessor, EveryNthProcessor, JumpProcessor,
                                          RisingProcessor, RollingReduceProcessor,
                                          SlidingCountProcessor, run_ordered)
@@ -684,3 +684,20 @@ def stream_hot_items_composite(spark, sf):
     run_foreach_batch(counts, rank_batches(f"{base}/out", ["window_end"], "view_count",
                                            ["item_user"], 3), f"{base}/ckpt")
     return _read(spark, f"{base}/out").select("window_end", "item_user", "view_count", "top_rank")
+
+
+# --- AGG-10 on a stream: per-day counts with a never-reset cumulative total -------------------------------
+@register("stream_cumulative_window_count", f"""
+WITH d AS (SELECT user_id, (epoch_us(ts) // {86400 * US} + 1) * 86400000 AS window_end, count(*) AS cnt
+           FROM events GROUP BY ALL),
+c AS (SELECT user_id, window_end, cnt,
+             CAST(sum(cnt) OVER (PARTITION BY user_id ORDER BY window_end ROWS UNBOUNDED PRECEDING) AS BIGINT)
+                 AS cumulative,
+             lead(window_end) OVER (PARTITION BY user_id ORDER BY window_end) AS next_end
+      FROM d)
+SELECT user_id, window_end, cnt, cumulative FROM c
+WHERE next_end IS NOT NULL OR window_end < {_wm()}
+""")
+def stream_cumulative_window_count(spark, sf):
+    return _ordered(spark, sf, "cumulative", CumulativeWindowProcessor(86400),
+                    "user_id long, window_end long, cnt long, cumulative long")

@@ -332,6 +332,41 @@ class WindowRunningCountProcessor(OrderedKeyProcessor):
         return (n,), [(key[0], key[1], rid, wend, n)]
 
 
+class CumulativeWindowProcessor(OrderedKeyProcessor):
+    """AGG-10: per key, the count of each tumbling window and the total over
+    all its windows so far (never reset). A window is emitted when a row of a
+    later window arrives or when the watermark passes its end."""
+
+    row_fields = "value double"
+    carry_schema = "win_start bigint, cnt bigint, before bigint"
+    out_columns = ["user_id", "window_end", "cnt", "cumulative"]
+
+    def __init__(self, size_s: int):
+        self.size_us = size_s * 1_000_000
+
+    def _emit(self, key, carry):
+        start, cnt, before = carry
+        return (None, 0, before + cnt), [(key[0], (start + self.size_us) // 1000, cnt, before + cnt)]
+
+    def step(self, key, carry, row):
+        ts_us = row[0]
+        start = ts_us - ts_us % self.size_us
+        out = []
+        if carry is not None and carry[0] is not None and carry[0] != start:
+            carry, out = self._emit(key, carry)
+        before = carry[2] if carry is not None else 0
+        cnt = carry[1] + 1 if carry is not None and carry[0] == start else 1
+        return (start, cnt, before), out
+
+    def on_watermark(self, key, carry, wm_us):
+        if carry is not None and carry[0] is not None and carry[0] + self.size_us < wm_us:
+            return self._emit(key, carry)
+        return carry, []
+
+    def deadline_us(self, carry):
+        return carry[0] + self.size_us if carry[0] is not None else None
+
+
 class CreatePayProcessor(OrderedKeyProcessor):
     """PAT-4: every ``create`` is settled by the first later ``pay`` of the key
     (success when less than ``limit`` later, else timeout); a create whose
