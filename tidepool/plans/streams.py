@@ -701,3 +701,30 @@ WHERE next_end IS NOT NULL OR window_end < {_wm()}
 def stream_cumulative_window_count(spark, sf):
     return _ordered(spark, sf, "cumulative", CumulativeWindowProcessor(86400),
                     "user_id long, window_end long, cnt long, cumulative long")
+
+
+# --- TOP-4 on a stream: the top-3 ranking of each closed window rendered as one text block -------------
+@register("stream_hot_items_report", f"""
+WITH w AS ({sliding(ev("event_type = 'view'"), 3600, 300, "item_id")}),
+c AS (SELECT item_id, (ws + {3600 * US}) // 1000 AS window_end, count(*) AS view_count
+      FROM w GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY view_count DESC, item_id)
+      AS top_rank FROM c)
+SELECT window_end, string_agg(printf('No%d: id=%d count=%d', top_rank, item_id, view_count),
+                              chr(10) ORDER BY top_rank) AS report
+FROM r WHERE top_rank <= 3 AND window_end <= {_wm("event_type = 'view'")} GROUP BY window_end
+""")
+def stream_hot_items_report(spark, sf):
+    from tidepool.operators.ranking import render_ranking, top_n
+
+    sdf, base = events_stream(spark, sf, "hot_items_report", where=F.col("event_type") == "view")
+    counts = stream_window_agg(sdf, "ts", 3600, 300, ["item_id"], {"view_count": ("count", None)},
+                               panes=True)
+
+    def render(batch, batch_id):
+        ranked = top_n(batch, ["window_end"], "view_count", ["item_id"], 3, rank_col="top_rank")
+        (render_ranking(ranked, "window_end", "item_id", "view_count", rank_col="top_rank")
+         .write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}"))
+
+    run_foreach_batch(counts, render, f"{base}/ckpt")
+    return _read(spark, f"{base}/out").select("window_end", "report")
