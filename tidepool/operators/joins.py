@@ -8,7 +8,7 @@ never all pairs of a key, and AQE's skew-join splits a hot ``(key, bucket)``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 US = 1_000_000
@@ -42,21 +42,37 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, lts: str, rts: st
 
 
 def reconcile(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str, lid: str, rid: str,
-              lower_s: int, upper_s: int) -> DataFrame:
+              lower_s: int, upper_s: int, bucket_s: int | None = None) -> DataFrame:
     """JN-2: matched pairs plus the unmatched rows of each side, tagged.
 
-    ``matched`` comes from the bucketed interval join; the unmatched sides are
-    anti-joins on the row ids (shuffle on id: no key skew).
+    One full outer join on ``(key, bucket)`` with the band predicate: left rows
+    are listed in every bucket their band touches, right rows in their own, so
+    each pair is found exactly once, an unmatched right row appears once, and
+    an unmatched left row once per bucket copy. A window partitioned by the
+    left id (by the right id for right-only rows — ids, so no key skew)
+    counts each left row's matches and keeps one copy of the unmatched ones.
+    Each input is scanned and shuffled once.
     """
-    m = interval_join(left, right, key, lts, rts, lower_s, upper_s)
-    matched = m.select(F.lit("matched").alias("tag"), key, F.col(lid), F.col(rid))
-    ul = (left.join(m.select(lid).distinct(), on=lid, how="left_anti")
-              .select(F.lit("unmatched_left").alias("tag"), key, F.col(lid),
-                      F.lit(None).cast(right.schema[rid].dataType).alias(rid)))
-    ur = (right.join(m.select(rid).distinct(), on=rid, how="left_anti")
-               .select(F.lit("unmatched_right").alias("tag"), key,
-                       F.lit(None).cast(left.schema[lid].dataType).alias(lid), F.col(rid)))
-    return matched.unionByName(ul).unionByName(ur)
+    width = int(bucket_s or max(lower_s, upper_s, 1)) * US
+    lt, rt = F.unix_micros(F.col(lts)), F.unix_micros(F.col(rts))
+    lo, hi = _bucket_bounds(lt, lower_s * US, upper_s * US, width)
+    l2 = left.select(F.col(key).alias("_lk"), F.col(lid), lt.alias("_lt"),
+                     F.explode(F.sequence(lo.cast("bigint"), hi.cast("bigint"))).alias("_jb"))
+    r2 = right.select(F.col(key).alias("_rk"), F.col(rid), rt.alias("_rt"),
+                      _bucket(rt, width).cast("bigint").alias("_rjb"))
+    cond = ((F.col("_lk") == F.col("_rk")) & (F.col("_jb") == F.col("_rjb"))
+            & (F.col("_rt") >= F.col("_lt") - lower_s * US)
+            & (F.col("_rt") <= F.col("_lt") + upper_s * US))
+    j = l2.join(r2, cond, "full_outer")
+    w = Window.partitionBy(F.col(lid), F.when(F.col(lid).isNull(), F.col(rid)))
+    j = (j.withColumn("_n", F.count(F.col(rid)).over(w))
+          .withColumn("_i", F.row_number().over(w.orderBy(F.col(rid).asc_nulls_last(), F.col("_jb")))))
+    tag = (F.when(F.col(lid).isNotNull() & F.col(rid).isNotNull(), "matched")
+            .when(F.col(lid).isNull(), "unmatched_right").otherwise("unmatched_left"))
+    keep = ((F.col(lid).isNotNull() & F.col(rid).isNotNull()) | F.col(lid).isNull()
+            | ((F.col("_n") == 0) & (F.col("_i") == 1)))
+    return j.where(keep).select(tag.alias("tag"), F.coalesce("_lk", "_rk").alias(key),
+                                F.col(lid), F.col(rid))
 
 
 def window_join(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str, size_s: int,
