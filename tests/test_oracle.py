@@ -30,3 +30,15 @@ def test_entry_smoke(spark):
     assert df.columns == ["window_end", "item_id", "view_count", "top_rank"]
     assert df.count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_entry_wrappers_apply_session_settings(spark, sf_small):
+    import __spark_entry__ as e
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = e.queries()["pv_hourly"](spark, sf_small)
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+        assert df.count() > 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
