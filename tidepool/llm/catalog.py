@@ -1,11 +1,14 @@
 """The operators' queries and, where SQL can express them, their SQL."""
 
-from tidepool.llm import exact_dedup, sharding
+from tidepool.llm import exact_dedup, language_id, sharding, url_filter
 
 QUERIES = {
+    "op1_url_filter": url_filter.op1_url_filter,
     "op4_sharding": sharding.op4_sharding,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op7_language_id": language_id.op7_language_id,
 }
 ORACLE = {
+    "op1_url_filter": url_filter.OP1_SQL,
     "op6_exact_dedup": exact_dedup.OP6_SQL,
 }
