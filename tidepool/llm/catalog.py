@@ -1,10 +1,11 @@
 """The operators' queries and, where SQL can express them, their SQL."""
 
-from tidepool.llm import exact_dedup, language_id, sharding, url_filter
+from tidepool.llm import exact_dedup, jaccard_join, language_id, sharding, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
     "op4_sharding": sharding.op4_sharding,
+    "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_language_id": language_id.op7_language_id,
 }
