@@ -1,6 +1,6 @@
 """The operators' queries and, where SQL can express them, their SQL."""
 
-from tidepool.llm import exact_dedup, jaccard_join, language_id, sharding, url_filter
+from tidepool.llm import exact_dedup, jaccard_join, language_id, repeated_bytes, sharding, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -8,6 +8,7 @@ QUERIES = {
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_language_id": language_id.op7_language_id,
+    "op10_repeated_bytes": repeated_bytes.op10_repeated_bytes,
 }
 ORACLE = {
     "op1_url_filter": url_filter.OP1_SQL,
