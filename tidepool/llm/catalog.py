@@ -1,6 +1,6 @@
 """The operators' queries and, where SQL can express them, their SQL."""
 
-from tidepool.llm import decontamination, exact_dedup, jaccard_join, language_id, repeated_bytes, sharding, url_filter
+from tidepool.llm import decontamination, exact_dedup, jaccard_join, language_id, mixing, repeated_bytes, sharding, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -8,6 +8,7 @@ QUERIES = {
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_language_id": language_id.op7_language_id,
+    "op8_mixing": mixing.op8_mixing,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_repeated_bytes": repeated_bytes.op10_repeated_bytes,
 }
