@@ -33,6 +33,7 @@ from tidepool.llm.common import new_path, table, written
 
 CAPACITY = 64 << 20
 STEP = 6
+MAX_BROADCAST_SLOTS = 1 << 20
 
 ENTRY = "bucket int, h long, text string, n long, keep_id long"
 INDEX = "bucket int, h long, chain int, text_sha256 string, text string, keep_id long, group_size long"
@@ -112,6 +113,8 @@ def build_index(spark: SparkSession, rows: DataFrame, docs: DataFrame, capacity:
                                   "bucket int, lo long, hi long")
     slots = slots.select(F.explode(F.sequence("lo", "hi")).alias("slot"), "bucket")
     slot = F.shiftrightunsigned("h", 64 - deep) if deep else F.lit(0).cast("long")
+    if 2 ** deep <= MAX_BROADCAST_SLOTS:  # else the rows are shuffled to the directory
+        slots = F.broadcast(slots)
     placed = docs.withColumn("slot", slot).join(slots, "slot")
     entries = placed.select("bucket", "h", "text", "doc_id").mapInArrow(_combine, ENTRY)
     path = new_path(spark, "hash-index")
