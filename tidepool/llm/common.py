@@ -6,7 +6,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SCRATCH: dict[str, str] = {}
@@ -52,6 +52,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def bit_array(spark: SparkSession, at: DataFrame, bits: int) -> Column:
+    """The positions ``at(at)`` below ``bits`` as one array of 64-bit words (a
+    scalar subquery of ``bits / 8`` bytes). Words are or-ed together where the
+    positions are, then by word."""
+    one = at.select(F.expr("at div 64").alias("word"), F.expr("shiftleft(1L, cast(at % 64 as int))").alias("bits"))
+    every = spark.range(bits // 64).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+    words = written(spark, one.unionByName(every).groupBy("word").agg(F.bit_or("bits").alias("bits")), "bits")
+    inorder = F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"])
+    return words.agg(inorder.alias("words")).scalar()
+
+
+def bit_at(words: Column, at: Column) -> Column:
+    return F.getbit(F.element_at(words, (F.floor(at / 64) + 1).cast("int")), (at % 64).cast("int")) == 1
+
+
+def likely(spark: SparkSession, keys: DataFrame, columns: list[str], bits: int = 1 << 24):
+    """A condition on ``columns`` that every row of ``keys`` meets and few
+    others do, for use before a join: it keeps rows without a partner from
+    being moved. 2 MB whatever the size; when crowded it lets more rows pass."""
+    def slot(seed: int) -> Column:
+        return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(bits))
+
+    words = bit_array(spark, keys.select(F.explode(F.array(slot(1), slot(2))).alias("at")), bits)
+    return bit_at(words, slot(1)) & bit_at(words, slot(2))
+
+
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)`` (long ids): rows ``(node, root)``
     for every node of an edge, root being its smallest reachable id.

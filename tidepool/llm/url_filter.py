@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import table, written
+from tidepool.llm.common import bit_array, bit_at, table, written
 
 # The rules of the query (host, path, verdict).
 RULES = [
@@ -74,19 +74,11 @@ class Level:
         return F.pmod(F.xxhash64(F.lit(self.seed * 64 + i), key), F.lit(self.bits))
 
     def build(self, spark: SparkSession, keys: DataFrame) -> None:
-        """Words are or-ed together where the keys are, then by word."""
-        at = keys.select(F.explode(F.array(*[self.position(F.col("key"), i) for i in range(self.hashes)])).alias("at"))
-        one = at.select(F.expr("at div 64").alias("word"), F.expr("shiftleft(1L, cast(at % 64 as int))").alias("bits"))
-        every = spark.range(self.bits // 64).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
-        words = written(spark, one.unionByName(every).groupBy("word").agg(F.bit_or("bits").alias("bits")), "bloom")
-        inorder = F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"])
-        self.words = words.agg(inorder.alias("words")).scalar()
+        at = F.array(*[self.position(F.col("key"), i) for i in range(self.hashes)])
+        self.words = bit_array(spark, keys.select(F.explode(at).alias("at")), self.bits)
 
     def holds(self, key: Column) -> Column:
-        def bit(p: Column) -> Column:
-            word = F.element_at(self.words, (F.floor(p / 64) + 1).cast("int"))
-            return F.getbit(word, (p % 64).cast("int")) == 1
-        return reduce(lambda a, b: a & b, [bit(self.position(key, i)) for i in range(self.hashes)])
+        return reduce(lambda a, b: a & b, [bit_at(self.words, self.position(key, i)) for i in range(self.hashes)])
 
 
 class Cascade:
