@@ -11,7 +11,7 @@ span and windows cannot contradict each other.
 Every span of the four kinds holds an ASCII digit or an ``@``, so windows
 without either cannot hold one and are not decoded; that drops no case. A
 model span stays only if it overlaps no base span and has its kind's least
-evidence (``EVIDENCE``).
+evidence (``evidence``).
 
 The model is trained on the driver on at most ``SAMPLE_WINDOWS`` windows, those
 with the smallest hash among about ``SAMPLE_DOCS`` documents chosen by hash;
@@ -41,9 +41,6 @@ WINDOW, STRIDE = 96, 48
 SAMPLE_DOCS, SAMPLE_WINDOWS = 3000, 1500
 TAGS = 1 + 2 * len(KINDS)  # O, then B and I of each kind
 CHARS, PADDING, EMBED, HIDDEN = 131, 130, 16, 24
-# least characters of a model span, and what it must hold
-EVIDENCE = {"email": (6, re.compile(r"@")), "ip": (7, re.compile(r"[0-9](.*\.){3}.*[0-9]", re.S)),
-            "card": (13, re.compile(r"([^0-9]*[0-9]){13}")), "phone": (9, re.compile(r"([^0-9]*[0-9]){9}"))}
 TRIGGER = re.compile(r"[0-9@]")
 # Written so that a long run of characters is passed over once; see ``base_spans``.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -61,6 +58,17 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def evidence(kind: str, span: str) -> bool:
+    """What a model span must hold, whatever stands between its parts."""
+    digits = re.sub("[^0-9]", "", span)
+    if kind == "email":
+        return "@" in span.strip("@") and "." in span
+    if kind == "ip":
+        parts = re.findall("[0-9]+", span)
+        return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
+    return 13 <= len(digits) <= 19 and luhn(digits) if kind == "card" else 9 <= len(digits) <= 15
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) by the rules, leftmost and not overlapping per kind."""
     out, done, at = [], 0, text.find("@")
@@ -123,7 +131,6 @@ _MASK = np.zeros((TAGS, TAGS), np.float32)
 for _k in range(len(KINDS)):
     _MASK[:, 2 + 2 * _k] = -1e4
     _MASK[1 + 2 * _k, 2 + 2 * _k] = _MASK[2 + 2 * _k, 2 + 2 * _k] = 0
-_FIRST = np.array([0] + [0, -1e4] * len(KINDS), np.float32)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -198,14 +205,14 @@ class Tagger:
         n, (steps, batch) = windows.shape[0], e.shape[:2]
         y, tr, cols = tags.T, self.p["trans"] + _MASK, np.arange(batch)
         alpha, beta = np.empty_like(e), np.zeros_like(e)
-        alpha[0] = e[0] + _FIRST
+        alpha[0] = e[0]  # a window may begin inside a span
         for t in range(1, steps):
             alpha[t] = logsumexp(alpha[t - 1][:, :, None] + tr, 1) + e[t]
         for t in range(steps - 2, -1, -1):
             beta[t] = logsumexp(tr[None] + (e[t + 1] + beta[t + 1])[:, None, :], 2)
         z = logsumexp(alpha[-1], 1)
         de = np.exp(alpha + beta - z[None, :, None])
-        gold = e[0, cols, y[0]] + _FIRST[y[0]]
+        gold = e[0, cols, y[0]]
         dtr = np.zeros_like(tr)
         for t in range(1, steps):
             dtr += np.exp(alpha[t - 1][:, :, None] + tr + (e[t] + beta[t])[:, None, :] - z[:, None, None]).sum(0)
@@ -240,7 +247,7 @@ class Tagger:
     def decode(self, e: np.ndarray) -> np.ndarray:
         """Viterbi over steps x batch x tags."""
         tr, steps = self.p["trans"] + _MASK, len(e)
-        best, back = e[0] + _FIRST, np.empty(e.shape, np.int8)
+        best, back = e[0], np.empty(e.shape, np.int8)
         for t in range(1, steps):
             way = best[:, :, None] + tr
             back[t] = way.argmax(1)
@@ -302,8 +309,7 @@ def all_spans(model: Tagger | None, texts: list[str]) -> list[tuple[list, list]]
     for text, more in zip(texts, found):
         base, extra = base_spans(text), []
         for k, s, e in sorted(more, key=lambda x: x[1]):
-            least, holds = EVIDENCE[KINDS[k]]
-            if e - s >= least and holds.search(text[s:e]) and all(e <= s2 or e2 <= s for _, s2, e2 in base):
+            if evidence(KINDS[k], text[s:e]) and all(e <= s2 or e2 <= s for _, s2, e2 in base):
                 extra.append((k, s, e))
         out.append((base, sorted(base + extra)))
     return out
