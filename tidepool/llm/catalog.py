@@ -1,10 +1,11 @@
 """The operators' queries and, where SQL can express them, their SQL."""
 
-from tidepool.llm import decontamination, exact_dedup, jaccard_join, language_id, mixing, pii, repeated_bytes, sharding, url_filter
+from tidepool.llm import decontamination, exact_dedup, jaccard_join, language_id, line_dedup, mixing, pii, repeated_bytes, sharding, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
     "op2_pii": pii.op2_pii,
+    "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_sharding": sharding.op4_sharding,
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
