@@ -8,7 +8,7 @@ training accuracy. A text is ambiguous when its bits differ from the chosen
 codeword in more places than the code can correct.
 
 The classifiers are fitted on a bounded sample: at most ``per_lang`` labelled
-texts of each language, those with the smallest hash of doc_id. The sample's
+texts of each language, chosen by hash of doc_id. The sample's
 texts are turned into vectors of fixed length by tasks; only these vectors
 reach the driver. The fitted weights (``N_FEATURES`` x bits) go to the tasks.
 
@@ -33,6 +33,7 @@ from tidepool.llm.common import table
 
 N_FEATURES = 4096
 PER_LANG = 300
+MAX_LANGS = 1000
 RIDGE = 0.3
 SHARPNESS = 3.0
 _LETTER = re.compile(r"[^\W\d_]")
@@ -121,9 +122,15 @@ def decode(model: Model, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 def fit(labelled: DataFrame, per_lang: int = PER_LANG) -> Model:
     """Fit on ``labelled(doc_id, text, lang)``, a bounded sample of it."""
+    known = labelled.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").select("lang", "doc_id")
+    # about twice the sample of each language by a hash bound, so that no task sees a whole language
+    share = known.groupBy("lang").agg((F.lit(2.0 * per_lang) / F.count("*")).alias("share"))
+    if share.count() > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
+    few = (known.join(F.broadcast(share), "lang")
+           .where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.col("share") * (1 << 30)).select("lang", "doc_id"))
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = (labelled.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").select("lang", "doc_id")
-           .withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= per_lang).select("doc_id", "lang").distinct())
+    ids = few.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= per_lang).select("doc_id", "lang").distinct()
 
     @F.pandas_udf("binary")
     def vector(texts: pd.Series) -> pd.Series:
