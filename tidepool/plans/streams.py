@@ -1,15 +1,11 @@
 """Streaming twins: the batch analytics run as Structured Streaming queries.
 
-``events`` (filtered as the batch query does) is staged as time-ordered files
-under the checkpoint folder and replayed one file per micro-batch with
+``events`` (filtered as the batch query does) is staged as time-ordered slices
+under the checkpoint folder and replayed one slice per micro-batch with
 ``availableNow``. Results are read back as a batch DataFrame.
 
-Oracles: append-mode windows and time-outs are only emitted once the final
-watermark has closed them (open windows stay in state), so those oracles
-restrict the batch answer to the closed part; the final watermark is
-``max(event time in ms) - delay``. Per-row state machines run with delay 0
-(ascending event time) and step every row on arrival, so their oracle is the
-whole batch answer.
+Windows, sessions, days, joins and deadlines are closed at the end of the input
+(``events_stream(close=True)``), so every oracle is the whole batch answer.
 """
 
 from __future__ import annotations
@@ -42,10 +38,6 @@ JUMP = 40.0
 BAND_S = 30 * 60
 
 
-def _wm(where: str = "TRUE") -> str:
-    return f"(SELECT max(epoch_us(ts)) // 1000 FROM events WHERE {where})"
-
-
 def _read(spark, path):
     return spark.read.parquet(path)
 
@@ -58,10 +50,10 @@ c AS (SELECT item_id, (ws + {3600 * US}) // 1000 AS window_end, count(*) AS view
 r AS (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY view_count DESC, item_id)
       AS top_rank FROM c)
 SELECT window_end, item_id, view_count, top_rank FROM r
-WHERE top_rank <= 3 AND window_end <= {_wm("event_type = 'view'")}
+WHERE top_rank <= 3
 """)
 def stream_hot_items(spark, sf):
-    sdf, base = events_stream(spark, sf, "hot_items", where=F.col("event_type") == "view")
+    sdf, base = events_stream(spark, sf, "hot_items", where=F.col("event_type") == "view", close=True)
     counts = stream_window_agg(sdf, "ts", 3600, 300, ["item_id"],
                                {"view_count": ("count", None)}, panes=True)
     run_foreach_batch(counts, rank_batches(f"{base}/out", ["window_end"], "view_count",
@@ -76,10 +68,9 @@ SELECT * FROM (
   SELECT user_id, ws // 1000 AS window_start, (ws + {10 * US}) // 1000 AS window_end,
          min(value) AS min_value
   FROM w GROUP BY ALL)
-WHERE window_end <= {_wm()}
 """)
 def stream_sliding_min(spark, sf):
-    sdf, base = events_stream(spark, sf, "sliding_min")
+    sdf, base = events_stream(spark, sf, "sliding_min", close=True)
     out = stream_window_agg(sdf, "ts", 10, 3, ["user_id"], {"min_value": ("min", "value")},
                             panes=True)
     run_append(out, f"{base}/out", f"{base}/ckpt")
@@ -91,10 +82,9 @@ def stream_sliding_min(spark, sf):
 SELECT * FROM (
   SELECT (t // {3600 * US} + 1) * 3600000 AS window_end, count(DISTINCT user_id) AS uv
   FROM ({ev("event_type = 'view'")}) GROUP BY ALL)
-WHERE window_end <= {_wm("event_type = 'view'")}
 """)
 def stream_uv_hourly(spark, sf):
-    sdf, base = events_stream(spark, sf, "uv", where=F.col("event_type") == "view")
+    sdf, base = events_stream(spark, sf, "uv", where=F.col("event_type") == "view", close=True)
     run_append(stream_uv_exact(sdf, "ts", "user_id", 3600), f"{base}/out", f"{base}/ckpt")
     return _read(spark, f"{base}/out")
 
@@ -102,7 +92,7 @@ def stream_uv_hourly(spark, sf):
 # --- AGG-9 on a stream (HLL; rows-only) ----------------------------------------------------------
 @register("stream_uv_approx", None)
 def stream_uv_approx_q(spark, sf):
-    sdf, base = events_stream(spark, sf, "uv_approx", where=F.col("event_type") == "view")
+    sdf, base = events_stream(spark, sf, "uv_approx", where=F.col("event_type") == "view", close=True)
     run_append(stream_uv_approx(sdf, "ts", "user_id", 3600), f"{base}/out", f"{base}/ckpt")
     return _read(spark, f"{base}/out")
 
@@ -204,8 +194,8 @@ def stream_running_count(spark, sf):
     return upd.groupBy("user_id").agg(F.max("cnt").alias("cnt"))
 
 
-def _ordered(spark, sf, name, processor, out_schema, payload=("value",), where=None):
-    sdf, base = events_stream(spark, sf, name, where=where)
+def _ordered(spark, sf, name, processor, out_schema, payload=("value",), where=None, close=False):
+    sdf, base = events_stream(spark, sf, name, where=where, close=close)
     out = run_ordered(sdf, "user_id", "ts", "event_id", list(payload), processor, out_schema)
     run_append(out, f"{base}/out", f"{base}/ckpt")
     return _read(spark, f"{base}/out")
@@ -223,11 +213,10 @@ SELECT r.user_id, r.first_rise // 1000 AS rise_start_ms,
        (r.first_rise + {RISE_S * US}) // 1000 AS alert_ms
 FROM r LEFT JOIN r n ON n.user_id = r.user_id AND n.run_id = r.run_id + 1
 WHERE r.first_rise IS NOT NULL AND (n.run_start IS NULL OR n.run_start > r.first_rise + {RISE_S * US})
-  AND r.first_rise + {RISE_S * US} < {_wm()} * 1000
 """)
 def stream_rising_alert(spark, sf):
     return _ordered(spark, sf, "rising", RisingProcessor(RISE_S),
-                    "user_id long, rise_start_ms long, alert_ms long")
+                    "user_id long, rise_start_ms long, alert_ms long", close=True)
 
 
 # --- WIN-12 on a stream: count window of 5 rows, min ----------------------------------------------
@@ -293,10 +282,9 @@ SELECT * FROM (
   SELECT user_id, min(t) // 1000 AS session_start,
          (max(t) + {SESSION_GAP_S * US}) // 1000 AS session_end, count(*) AS cnt
   FROM s GROUP BY user_id, sid)
-WHERE session_end <= {_wm()}
 """)
 def stream_session_counts(spark, sf):
-    sdf, base = events_stream(spark, sf, "sessions")
+    sdf, base = events_stream(spark, sf, "sessions", close=True)
     out = (sdf.withWatermark("ts", "0 seconds")
               .groupBy("user_id", F.session_window("ts", f"{SESSION_GAP_S} seconds").alias("s"))
               .agg(F.count(F.lit(1)).alias("cnt"))
@@ -317,11 +305,11 @@ SELECT user_id, day_ms,
             WHEN c IS NOT NULL AND p IS NOT NULL THEN 'payed but already timeout'
             WHEN c IS NOT NULL THEN 'order timeout'
             ELSE 'already payed but not found create log' END AS result
-FROM f WHERE day_ms + 86400000 <= {_wm("event_type IN ('click', 'purchase')")}
+FROM f
 """)
 def stream_order_match(spark, sf):
     sdf, base = events_stream(spark, sf, "order_match",
-                              where=F.col("event_type").isin("click", "purchase"))
+                              where=F.col("event_type").isin("click", "purchase"), close=True)
     t = F.unix_micros("ts")
     day = (sdf.withWatermark("ts", "0 seconds")
               .groupBy("user_id", F.window("ts", "1 day").alias("d"))
@@ -360,7 +348,7 @@ def stream_word_count(spark, sf):
     base = scratch(spark, "word_count")
     docs = load_table(spark, sf, "documents").select("doc_id", "text")
     # land the documents as text files (line breaks are whitespace, so counts are unchanged)
-    docs.select("text").repartition(4).write.mode("append").text(f"{base}/landing")
+    docs.select("text").write.mode("append").text(f"{base}/landing")
     lines = stream_lines(spark, f"{base}/landing", max_files_per_trigger=1)
     counts = tokenize(lines, "value", ASCII_SPACE).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
     return _final_updates(spark, counts, base, ["word"], "cnt")
@@ -405,10 +393,9 @@ def stream_payment_totals(spark, sf):
 SELECT * FROM (
   SELECT (t // {3600 * US} + 1) * 3600000 AS window_end, count(*) AS pv
   FROM ({ev("event_type = 'view'")}) GROUP BY ALL)
-WHERE window_end <= {_wm("event_type = 'view'")}
 """)
 def stream_pv_hourly(spark, sf):
-    sdf, base = events_stream(spark, sf, "pv", where=F.col("event_type") == "view")
+    sdf, base = events_stream(spark, sf, "pv", where=F.col("event_type") == "view", close=True)
     out = stream_window_agg(sdf, "ts", 3600, None, [], {"pv": ("count", None)})
     run_append(out.select("window_end", "pv"), f"{base}/out", f"{base}/ckpt")
     return _read(spark, f"{base}/out")
@@ -485,11 +472,10 @@ SELECT user_id, day_ms,
        CASE WHEN p IS NOT NULL AND p <= c + {ORDER_LIMIT_S * US} THEN 'order payed successfully'
             ELSE 'order timeout' END AS result
 FROM f WHERE c IS NOT NULL AND NOT (p IS NOT NULL AND (p < c OR (p = c AND pi < ci)))
-  AND day_ms + 86400000 <= {_wm("event_type IN ('click', 'purchase')")}
 """)
 def stream_order_verdict(spark, sf):
     sdf, base = events_stream(spark, sf, "order_verdict",
-                              where=F.col("event_type").isin("click", "purchase"))
+                              where=F.col("event_type").isin("click", "purchase"), close=True)
     st = F.struct(F.unix_micros("ts").alias("t"), F.col("event_id").alias("i"))
     day = (sdf.withWatermark("ts", "0 seconds")
               .groupBy("user_id", F.window("ts", "1 day").alias("d"))
@@ -513,12 +499,13 @@ c AS (SELECT user_id, event_id AS click_id, epoch_us(ts) // {3600 * US} AS b
       FROM events WHERE event_type = 'click'),
 j AS (SELECT v.user_id, (v.b + 1) * 3600000 AS window_end, view_id, click_id
       FROM v LEFT JOIN c ON v.user_id = c.user_id AND v.b = c.b)
-SELECT * FROM j WHERE click_id IS NOT NULL
-   OR window_end <= least({_wm("event_type = 'view'")}, {_wm("event_type = 'click'")})
+SELECT * FROM j
 """)
 def stream_window_join_left(spark, sf):
-    vs, base = events_stream(spark, sf, "wjl_v", where=F.col("event_type") == "view")
-    cs, _ = events_stream(spark, sf, "wjl_c", where=F.col("event_type") == "click")
+    vs, base = events_stream(spark, sf, "wjl_v", where=F.col("event_type") == "view",
+                          close={"user_id": -1})
+    cs, _ = events_stream(spark, sf, "wjl_c", where=F.col("event_type") == "click",
+                          close={"user_id": -2})
     v = (vs.withWatermark("ts", "0 seconds")
            .select(F.col("user_id").alias("v_user"), F.col("event_id").alias("view_id"),
                    F.window("ts", "1 hour").alias("vw")))
@@ -534,7 +521,7 @@ def stream_window_join_left(spark, sf):
 
 # --- TOP-2 + WIN-10 on a stream: top 5 per window, refined as (late) rows update the counts ---------
 @register("stream_hot_pages_refined", f"""
-WITH w AS ({sliding(ev("event_type = 'click'"), 600, 60, "item_id")}),
+WITH w AS ({sliding(ev("event_type = 'click'"), 600, 5, "item_id")}),
 c AS (SELECT item_id, (ws + {600 * US}) // 1000 AS window_end, count(*) AS click_count
       FROM w GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY click_count DESC, item_id)
@@ -546,7 +533,7 @@ def stream_hot_pages_refined(spark, sf):
 
     sdf, base = events_stream(spark, sf, "hot_pages_refined", where=F.col("event_type") == "click")
     counts = (sdf.withWatermark("ts", "60 seconds")
-                 .groupBy("item_id", F.window("ts", "600 seconds", "60 seconds").alias("w"))
+                 .groupBy("item_id", F.window("ts", "600 seconds", "5 seconds").alias("w"))
                  .agg(F.count(F.lit(1)).alias("click_count"))
                  .select("item_id", F.unix_millis("w.end").alias("window_end"), "click_count"))
     run_foreach_batch(counts, refine_top_n(f"{base}/out", ["window_end"], "item_id", "click_count", 5),
@@ -567,11 +554,10 @@ SELECT user_id, day_ms, event_id AS create_event_id,
        CASE WHEN np IS NOT NULL AND np - t < {ORDER_LIMIT_S * US} THEN 'payed successfully'
             ELSE 'timeout' END AS result
 FROM s WHERE event_type = 'click'
-  AND (np IS NOT NULL OR t + {ORDER_LIMIT_S * US} < {_wm("event_type IN ('click', 'purchase')")} * 1000)
 """)
 def stream_order_timeout_seq(spark, sf):
     sdf, base = events_stream(spark, sf, "order_timeout",
-                              where=F.col("event_type").isin("click", "purchase"))
+                              where=F.col("event_type").isin("click", "purchase"), close=True)
     sdf = sdf.withColumn("day_ms", F.unix_millis(F.date_trunc("day", "ts")))
     out = run_ordered(sdf, ["user_id", "day_ms"], "ts", "event_id", ["event_type"],
                       CreatePayProcessor("click", "purchase", ORDER_LIMIT_S),
@@ -585,19 +571,20 @@ def stream_order_timeout_seq(spark, sf):
 WITH p AS (SELECT user_id, event_id AS purchase_id, epoch_us(ts) AS pt FROM events WHERE event_type = 'purchase'),
 c AS (SELECT user_id, event_id AS click_id, epoch_us(ts) AS ct FROM events WHERE event_type = 'click'),
 m AS (SELECT p.user_id, purchase_id, click_id FROM p JOIN c ON p.user_id = c.user_id
-      AND c.ct BETWEEN p.pt - {BAND_S * US} AND p.pt + {BAND_S * US}),
-wm AS (SELECT least({_wm("event_type = 'purchase'")}, {_wm("event_type = 'click'")}) * 1000 AS w)
+      AND c.ct BETWEEN p.pt - {BAND_S * US} AND p.pt + {BAND_S * US})
 SELECT 'matched' AS tag, user_id, purchase_id, click_id FROM m
 UNION ALL
 SELECT 'unmatched_left', user_id, purchase_id, NULL FROM p
-WHERE purchase_id NOT IN (SELECT purchase_id FROM m) AND pt + {BAND_S * US} < (SELECT w FROM wm)
+WHERE purchase_id NOT IN (SELECT purchase_id FROM m)
 UNION ALL
 SELECT 'unmatched_right', user_id, NULL, click_id FROM c
-WHERE click_id NOT IN (SELECT click_id FROM m) AND ct + {BAND_S * US} < (SELECT w FROM wm)
+WHERE click_id NOT IN (SELECT click_id FROM m)
 """)
 def stream_reconcile(spark, sf):
-    ps, base = events_stream(spark, sf, "rec_p", where=F.col("event_type") == "purchase")
-    cs, _ = events_stream(spark, sf, "rec_c", where=F.col("event_type") == "click")
+    ps, base = events_stream(spark, sf, "rec_p", where=F.col("event_type") == "purchase",
+                          close={"user_id": -1})
+    cs, _ = events_stream(spark, sf, "rec_c", where=F.col("event_type") == "click",
+                          close={"user_id": -2})
     p = ps.select(F.col("user_id").alias("p_user"), F.col("event_id").alias("purchase_id"),
                   F.col("ts").alias("pts")).withWatermark("pts", "0 seconds")
     c = cs.select(F.col("user_id").alias("c_user"), F.col("event_id").alias("click_id"),
@@ -674,10 +661,10 @@ c AS (SELECT item_user, (ws + {3600 * US}) // 1000 AS window_end, count(*) AS vi
 r AS (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY view_count DESC, item_user)
       AS top_rank FROM c)
 SELECT window_end, item_user, view_count, top_rank FROM r
-WHERE top_rank <= 3 AND window_end <= {_wm("event_type = 'view'")}
+WHERE top_rank <= 3
 """)
 def stream_hot_items_composite(spark, sf):
-    sdf, base = events_stream(spark, sf, "hot_items_composite", where=F.col("event_type") == "view")
+    sdf, base = events_stream(spark, sf, "hot_items_composite", where=F.col("event_type") == "view", close=True)
     sdf = sdf.withColumn("item_user", F.concat_ws("-", "item_id", "user_id"))
     counts = stream_window_agg(sdf, "ts", 3600, 300, ["item_user"],
                                {"view_count": ("count", None)}, panes=True)
@@ -696,11 +683,10 @@ c AS (SELECT user_id, window_end, cnt,
              lead(window_end) OVER (PARTITION BY user_id ORDER BY window_end) AS next_end
       FROM d)
 SELECT user_id, window_end, cnt, cumulative FROM c
-WHERE next_end IS NOT NULL OR window_end < {_wm()}
 """)
 def stream_cumulative_window_count(spark, sf):
     return _ordered(spark, sf, "cumulative", CumulativeWindowProcessor(86400),
-                    "user_id long, window_end long, cnt long, cumulative long")
+                    "user_id long, window_end long, cnt long, cumulative long", close=True)
 
 
 # --- TOP-4 on a stream: the top-3 ranking of each closed window rendered as one text block -------------
@@ -712,12 +698,12 @@ r AS (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY view_count D
       AS top_rank FROM c)
 SELECT window_end, string_agg(printf('No%d: id=%d count=%d', top_rank, item_id, view_count),
                               chr(10) ORDER BY top_rank) AS report
-FROM r WHERE top_rank <= 3 AND window_end <= {_wm("event_type = 'view'")} GROUP BY window_end
+FROM r WHERE top_rank <= 3 GROUP BY window_end
 """)
 def stream_hot_items_report(spark, sf):
     from tidepool.operators.ranking import render_ranking, top_n
 
-    sdf, base = events_stream(spark, sf, "hot_items_report", where=F.col("event_type") == "view")
+    sdf, base = events_stream(spark, sf, "hot_items_report", where=F.col("event_type") == "view", close=True)
     counts = stream_window_agg(sdf, "ts", 3600, 300, ["item_id"], {"view_count": ("count", None)},
                                panes=True)
 

@@ -16,28 +16,53 @@ from pyspark.sql import functions as F
 from tidepool.session import checkpoint_dir
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    return checkpoint_dir(spark, f"tidepool-stream/{name}-{uuid.uuid4().hex[:10]}")
+# Rows of one staged file and of one micro-batch; both only set parallelism and
+# batch size, never the result.
+ROWS_PER_FILE = 1_000_000
+ROWS_PER_BATCH = 50_000_000
+MIN_BATCHES = 4
+END_AFTER = "INTERVAL 3650 DAYS"
 
 
-def stage_files(df: DataFrame, path: str, ts: str, n_files: int) -> str:
-    """Write ``df`` as ``n_files`` time slices, one write after the other, so a
-    file stream (which orders files by modification time) replays the slices
-    in event-time order, one per micro-batch. Slice bounds come from
-    ``approxQuantile`` (``n_files - 1`` numbers reach the driver)."""
+def scratch(spark: SparkSession, name: str) -> str:
+    """Folder of one run of a stream. ``spark.tidepool.stream.run`` names the
+    run: a job that sets it continues an interrupted run of the same name."""
+    run = spark.conf.get("spark.tidepool.stream.run", None) or uuid.uuid4().hex[:10]
+    return checkpoint_dir(spark, f"tidepool-stream/{name}-{run}")
+
+
+def stage_files(df: DataFrame, path: str, ts: str, close: bool | dict = False) -> int:
+    """Write ``df`` as time slices, one write after the other, so a file stream
+    (which orders files by modification time) replays them in event-time order.
+    Returns the number of files of a slice, which is the stream's batch size.
+
+    Slice bounds are approximate quantiles (1 % error, a small sketch per
+    task); every slice is written in parallel, into as many files as its rows
+    ask for. Rows without a time go into the first slice.
+
+    ``close`` appends the end of the input: one row of NULLs far later than all
+    others. It moves the watermark past every open window and deadline, and
+    its own window never closes, so it is never part of a result. A dict gives
+    values for some columns: a join needs a key (filters on null keys are moved
+    below the watermark), one that no other row has.
+    """
     t = F.unix_micros(F.col(ts))
-    df = df.withColumn("_t", t)
-    cuts = df.approxQuantile("_t", [i / n_files for i in range(1, n_files)], 0.0)
-    bounds = [None] + sorted(set(int(c) for c in cuts)) + [None]
+    n = df.count()
+    n_slices = max(MIN_BATCHES, -(-n // ROWS_PER_BATCH))
+    n_files = max(1, -(-n // (n_slices * ROWS_PER_FILE)))
+    cuts = df.select(t.alias("_t")).approxQuantile("_t", [i / n_slices for i in range(1, n_slices)], 0.01) if n else []
+    bounds = [None, *sorted({int(c) for c in cuts}), None]
     for lo, hi in zip(bounds[:-1], bounds[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col("_t") >= lo)
-        if hi is not None:
-            cond = cond & (F.col("_t") < hi)
-        (df.where(cond).drop("_t").sortWithinPartitions(ts).coalesce(1)
-           .write.mode("append").parquet(path))
-    return path
+        mine = F.col(ts).isNull() if lo is None else F.lit(False)
+        at = (F.lit(True) if lo is None else t >= lo) & (F.lit(True) if hi is None else t < hi)
+        df.where(mine | at).repartition(n_files).sortWithinPartitions(ts).write.mode("append").parquet(path)
+    if close and n:
+        last = df.agg(F.max(ts).alias("last")).select((F.col("last") + F.expr(END_AFTER)).alias("last"))
+        known = close if isinstance(close, dict) else {}
+        end = last.select(*[(F.col("last") if c == ts else F.lit(known.get(c))).cast(df.schema[c].dataType).alias(c)
+                            for c in df.columns])
+        end.write.mode("append").parquet(path)
+    return n_files
 
 
 def read_staged(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
@@ -59,17 +84,17 @@ def run_foreach_batch(sdf: DataFrame, fn, ckpt: str, mode: str = "append") -> No
     q.awaitTermination()
 
 
-def events_stream(spark: SparkSession, sf_dir: str, name: str, n_files: int = 4,
-                  where=None) -> tuple[DataFrame, str]:
-    """Stage ``events`` (optionally filtered) as time-ordered files and open a
-    stream over them with ``ts`` as TIMESTAMP. Returns (stream, scratch dir)."""
+def events_stream(spark: SparkSession, sf_dir: str, name: str, where=None,
+                  close: bool | dict = False) -> tuple[DataFrame, str]:
+    """Stage ``events`` (optionally filtered; without the raw ``props``) in time
+    order and open a stream over it with ``ts`` as TIMESTAMP. ``close``: the
+    end of the input closes all windows. Returns (stream, scratch dir)."""
     from tidepool.sources.tables import load_events
 
     base = scratch(spark, name)
-    ev = load_events(spark, sf_dir)
+    ev = load_events(spark, sf_dir).drop("props")
     if where is not None:
         ev = ev.where(where)
-    path = stage_files(ev, f"{base}/input", "ts", n_files)
-    schema = spark.read.parquet(path).schema
-    sdf = read_staged(spark, path, schema).withColumn("ts", F.col("ts").cast("timestamp"))
+    n_files = stage_files(ev, f"{base}/input", "ts", close)
+    sdf = read_staged(spark, f"{base}/input", ev.schema, n_files).withColumn("ts", F.col("ts").cast("timestamp"))
     return sdf, base
