@@ -2,7 +2,7 @@
 
 from tidepool.functions.timecols import (epoch_ms, epoch_us, epoch_s, utc_day, next_midnight,
                                          render_ms, parse_log_time)
-from tidepool.functions.text import tokenize, tokenize_jvm, normalize_int, first_match_index
+from tidepool.functions.text import tokenize, tokenize_jvm, normalize_int
 
 __all__ = ["epoch_ms", "epoch_us", "epoch_s", "utc_day", "next_midnight", "render_ms",
-           "parse_log_time", "tokenize", "tokenize_jvm", "normalize_int", "first_match_index"]
+           "parse_log_time", "tokenize", "tokenize_jvm", "normalize_int"]

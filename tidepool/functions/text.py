@@ -36,11 +36,8 @@ def tokenize_jvm(df: DataFrame, text_col: str = "value", sep: str = " ",
               .select(F.explode(F.split("_t", esc)).alias(out)))
 
 
-def normalize_int(col) -> Column:
-    """PRJ-8: integer text normalisation ("007" -> "7"); malformed -> NULL."""
-    return F.trim(_c(col)).try_cast("int").cast("string")
-
-
-def first_match_index(col, values: list[str]) -> Column:
-    """1-based position of ``col`` in ``values`` (0 when absent)."""
-    return F.array_position(F.array(*[F.lit(v) for v in values]), _c(col))
+def normalize_int(col, lenient: bool = True) -> Column:
+    """PRJ-8: integer text normalisation ("007" -> "7"). Text that is no 64-bit
+    integer gives NULL when ``lenient``, else an error (an ANSI cast)."""
+    t = F.trim(_c(col))
+    return (t.try_cast("bigint") if lenient else t.cast("bigint")).cast("string")

@@ -53,14 +53,15 @@ def int_mean(col: Column) -> Column:
 
 
 def payment_totals(df: DataFrame, ok: Column, money: Column, order: Column,
-                   when_col: str) -> DataFrame:
-    """AGG-3: all-order count, success count, success money, last success time.
+                   when_col: str, money_type: str = "decimal(38,10)") -> DataFrame:
+    """AGG-3: all-order count, success count, success money (summed as
+    ``money_type``), last success time.
 
     One global aggregate: each task pre-aggregates, a single tiny merge
     finishes (no single-task bottleneck)."""
     return df.agg(F.count(F.lit(1)).alias("all_orders"),
                   F.count_if(ok).alias("success_orders"),
-                  F.sum(F.when(ok, money.cast("decimal(12,2)"))).cast("double").alias("success_money"),
+                  F.sum(F.when(ok, money.cast(money_type))).cast("double").alias("success_money"),
                   F.max_by(F.when(ok, F.col(when_col)), F.when(ok, order)).alias("last_success_time"))
 
 

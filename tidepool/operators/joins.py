@@ -90,12 +90,10 @@ def window_join(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str,
 
 
 def lookup(df: DataFrame, small: DataFrame, key: str, small_key: str, value_cols: list[str],
-           order_col: str, case_insensitive: bool = True, max_rows: int = 100_000) -> DataFrame:
+           order_col: str, case_insensitive: bool = True) -> DataFrame:
     """JN-5: lookup join, first match (by ``order_col``) wins.
 
-    The lookup side is broadcast only after checking it holds at most
-    ``max_rows`` rows (``limit(max_rows + 1).count()`` reads no more than
-    that); otherwise the join is left to the planner (shuffle join).
+    The planner and AQE choose the join by the lookup side's size in bytes.
     """
     norm = (lambda c: F.lower(F.col(c))) if case_insensitive else (lambda c: F.col(c))
     dedup = (small.withColumn("_lk", norm(small_key))
@@ -103,5 +101,4 @@ def lookup(df: DataFrame, small: DataFrame, key: str, small_key: str, value_cols
                   .agg(F.min_by(F.struct(*value_cols, small_key), F.col(order_col)).alias("_m")))
     dedup = dedup.select("_lk", *[F.col(f"_m.{c}").alias(c) for c in value_cols],
                          F.col(f"_m.{small_key}").alias("_matched_name"))
-    side = F.broadcast(dedup) if small.limit(max_rows + 1).count() <= max_rows else dedup
-    return df.withColumn("_lk", norm(key)).join(side, on="_lk", how="left").drop("_lk")
+    return df.withColumn("_lk", norm(key)).join(dedup, on="_lk", how="left").drop("_lk")

@@ -46,8 +46,8 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], ts: str, *,
     """Add per-key scan columns to ``df`` in the order given by ``order``.
 
     ``order`` must be a total order within a key (e.g. ``[ts, event_id]``) and
-    its first column must be the timestamp ``ts`` (buckets follow it). Keys
-    must not be NULL.
+    its first column must be the timestamp ``ts`` (buckets follow it). Rows
+    with a NULL key are a key of their own; NULL times come first.
 
     * ``running``: ``{out: (kind, expr)}`` with kind ``sum``/``min``/``max`` —
       inclusive running aggregate from the key's first row (or, with
@@ -115,7 +115,10 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], ts: str, *,
     if key_first:
         summ = summ.withColumn("__ks_carry_kfirst", F.first("__ks_bfirst").over(wk.rowsBetween(_UNB, _CUR)))
         carry_cols.append("__ks_carry_kfirst")
-    out = loc.join(summ.select(*carry_cols), on=kb, how="inner")
+    # null-safe: rows without a key or a time form a key or a bucket of their own
+    carry = summ.select(*[F.col(c).alias(f"__ks_k{i}") if c in kb else F.col(c) for i, c in enumerate(carry_cols)])
+    same = [F.col(c).eqNullSafe(F.col(f"__ks_k{i}")) for i, c in enumerate(kb)]
+    out = loc.join(carry, on=same, how="inner")
 
     # 3. combine local values with the carry
     for name, (kind, _) in list(running.items()) + ([("index", ("sum", None))] if index else []):

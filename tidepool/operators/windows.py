@@ -209,9 +209,12 @@ def sliding_agg_deltas(df: DataFrame, ts: str, size_s: int, slide_s: int,
     first = floor_to(t_us - F.lit(size), slide) + F.lit(slide)
     after = floor_to(t_us, slide) + F.lit(slide)
     vals = {"__n": F.lit(1).cast("bigint")}
-    for name, (kind, col) in measures.items():
+    for name, (kind, col) in measures.items():  # NULLs neither count nor add
+        c = F.col(col) if isinstance(col, str) else col
         if kind == "sum":
-            vals[name] = F.col(col) if isinstance(col, str) else col
+            vals[name] = F.coalesce(c, F.lit(0))
+        if c is not None:
+            vals[f"__c_{name}"] = F.when(c.isNotNull(), 1).otherwise(0).cast("bigint")
     deltas = F.array(
         F.struct(first.alias("ws"), *[v.alias(n) for n, v in vals.items()]),
         F.struct(after.alias("ws"), *[(-v).alias(n) for n, v in vals.items()]))
@@ -230,7 +233,8 @@ def sliding_agg_deltas(df: DataFrame, ts: str, size_s: int, slide_s: int,
     out = live.select(*keys, starts.alias("_ws"), *[F.col(f"r{n}").alias(n) for n in vals])
     size_ms = int(size_s) * 1000
     cols = []
-    for name, (kind, _) in measures.items():
-        cols.append((F.col("__n") if kind == "count" else F.col(name)).alias(name))
+    for name, (kind, col) in measures.items():
+        held = F.col("__n" if col is None else f"__c_{name}")
+        cols.append((held if kind == "count" else F.when(held > 0, F.col(name))).alias(name))
     return out.select(*keys, F.expr("_ws div 1000").alias("window_start"),
                       (F.expr("_ws div 1000") + size_ms).alias("window_end"), *cols)

@@ -176,11 +176,13 @@ def cumulative_window_count_q(spark, sf):
 
 # --- AGG-11: counted input (observed metric) feeding a per-type count -----------------------------
 @register("counted_types", """
-SELECT event_type, count(*) AS cnt FROM events GROUP BY ALL
+SELECT event_type, count(*) AS cnt, (SELECT count(*) FROM events) AS rows_read FROM events GROUP BY ALL
 """)
 def counted_types(spark, sf):
-    ev, _obs = with_metric(_ev(spark, sf, "event_type"), "events_read")
-    return ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("cnt"))
+    ev, obs = with_metric(_ev(spark, sf, "event_type"), "events_read")
+    counts = ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("cnt"))
+    counts.write.format("noop").mode("overwrite").save()  # the metric is known once an action has run
+    return counts.withColumn("rows_read", F.lit(obs.get["rows"]).cast("bigint"))
 
 
 # --- PRJ-1: comma records with stray spaces -> typed columns -------------------------------------
@@ -244,7 +246,7 @@ FROM events
 """)
 def normalize_int_q(spark, sf):
     ev = _ev(spark, sf).select("event_id", F.lpad(F.col("item_id").cast("string"), 4, "0").alias("token"))
-    return ev.withColumn("normalized", normalize_int("token"))
+    return ev.withColumn("normalized", normalize_int("token", lenient=False))
 
 
 # --- PRJ-4: JSON payment results (missing provinceCode -> 0) ---------------------------------------
@@ -292,9 +294,13 @@ def payment_totals_q(spark, sf):
 
 
 # --- PRJ-9: executing partition per row (layout dependent -> rows-only) ----------------------------
-@register("with_partition", None)
+@register("with_partition", """
+SELECT event_id, user_id, TRUE AS has_partition FROM events
+""")
 def with_partition_q(spark, sf):
-    return with_partition(_ev(spark, sf, "event_id", "user_id"))
+    # which partition a row is in depends on the layout; that it names one does not
+    p = with_partition(_ev(spark, sf, "event_id", "user_id"))
+    return p.select("event_id", "user_id", (F.col("partition") >= 0).alias("has_partition"))
 
 
 # --- SNK-4: hash upsert, last value per field wins --------------------------------------------------

@@ -14,11 +14,12 @@ from tidepool.operators.patterns import (adjacent_pair, cap_per_key, followed_by
                                          rising_alert)
 from tidepool.operators.windows import sliding_count
 from tidepool.plans.registry import register
-from tidepool.plans.sqlfrag import US
+from tidepool.plans.sqlfrag import ITEM, US
 from tidepool.sources.tables import load_events, load_table
 
 ORDER = ["ts", "event_id"]
 FAIL_WITHIN_S = 6 * 3600
+SEQ_WITHIN_S = 9 * 3600  # PAT-2 has a bound of its own, half as long again as PAT-1's
 N_FAIL, N_FAIL_WITHIN_S = 3, 48 * 3600
 ORDER_LIMIT_S = 6 * 3600
 CLICK_CAP = 3
@@ -64,11 +65,11 @@ WITH s AS (SELECT user_id, event_id, event_type, epoch_us(ts) AS t,
            FROM events)
 SELECT user_id, pid AS first_event_id, event_id AS last_event_id, pts // 1000 AS first_fail_ms,
        t // 1000 AS last_fail_ms, '{MSG_LOGIN_SEQ}' AS msg
-FROM s WHERE event_type = 'error' AND pt = 'error' AND t - pts < {FAIL_WITHIN_S * US}
+FROM s WHERE event_type = 'error' AND pt = 'error' AND t - pts < {SEQ_WITHIN_S * US}
 """)
 def login_fail_seq(spark, sf):
     ev = load_events(spark, sf).select("event_id", "user_id", "ts", "event_type")
-    r = adjacent_pair(ev, "user_id", ORDER, "ts", "event_type", "error", "error", FAIL_WITHIN_S)
+    r = adjacent_pair(ev, "user_id", ORDER, "ts", "event_type", "error", "error", SEQ_WITHIN_S)
     return r.withColumn("msg", F.lit(MSG_LOGIN_SEQ))
 
 
@@ -152,10 +153,10 @@ def order_verdict_q(spark, sf):
                          ORDER_LIMIT_S)
 
 
-# --- PAT-7: click cap per (user, UTC day) ----------------------------------------------------
+# --- PAT-7: click cap per (user, item, UTC day) ----------------------------------------------------
 _CAP_SQL = f"""
-WITH r AS (SELECT event_id, user_id, {_DAY_MS} AS day_ms, ts,
-                  row_number() OVER (PARTITION BY user_id, date_trunc('day', ts)
+WITH r AS (SELECT event_id, user_id, {ITEM} AS item_id, {_DAY_MS} AS day_ms, ts,
+                  row_number() OVER (PARTITION BY user_id, {ITEM}, date_trunc('day', ts)
                                      ORDER BY ts, event_id) AS click_no
            FROM events WHERE event_type = 'click')
 """
@@ -163,25 +164,25 @@ WITH r AS (SELECT event_id, user_id, {_DAY_MS} AS day_ms, ts,
 
 def _capped(spark, sf):
     clicks = _day(load_events(spark, sf).where(F.col("event_type") == "click")
-                  .select("event_id", "user_id", "ts"))
-    return cap_per_key(clicks, ["user_id", "day_ms"], ORDER, CLICK_CAP)
+                  .select("event_id", "user_id", "item_id", "ts"))
+    return cap_per_key(clicks, ["user_id", "item_id", "day_ms"], ORDER, CLICK_CAP)
 
 
 @register("click_cap_pass", _CAP_SQL + f"""
-SELECT event_id, user_id, day_ms, click_no FROM r WHERE click_no <= {CLICK_CAP}
+SELECT event_id, user_id, item_id, day_ms, click_no FROM r WHERE click_no <= {CLICK_CAP}
 """)
 def click_cap_pass(spark, sf):
     return (_capped(spark, sf).where(F.col("click_no") <= CLICK_CAP)
-            .select("event_id", "user_id", "day_ms", "click_no"))
+            .select("event_id", "user_id", "item_id", "day_ms", "click_no"))
 
 
 @register("click_cap_warn", _CAP_SQL + f"""
-SELECT user_id, day_ms, event_id AS blocked_event_id, '{MSG_CLICK_CAP.format(CLICK_CAP)}' AS msg
+SELECT user_id, item_id, day_ms, event_id AS blocked_event_id, '{MSG_CLICK_CAP.format(CLICK_CAP)}' AS msg
 FROM r WHERE click_no = {CLICK_CAP + 1}
 """)
 def click_cap_warn(spark, sf):
     return (_capped(spark, sf).where(F.col("click_no") == CLICK_CAP + 1)
-            .select("user_id", "day_ms", F.col("event_id").alias("blocked_event_id"),
+            .select("user_id", "item_id", "day_ms", F.col("event_id").alias("blocked_event_id"),
                     F.lit(MSG_CLICK_CAP.format(CLICK_CAP)).alias("msg")))
 
 
@@ -200,11 +201,10 @@ def region_clicks(spark, sf):
     passed = _capped(spark, sf).where(F.col("click_no") <= CLICK_CAP)
     cust = load_table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
     geo = passed.join(cust, on="user_id").select("ts", "c_nationkey")
-    # aggregate on the narrow integer key; names are attached to the (much
-    # smaller) result. nation is a fixed 25-row dimension: broadcast is bounded.
+    # aggregate on the narrow integer key; names are attached to the (much smaller) result
     w = sliding_count(geo, "ts", ["c_nationkey"], 3600, 5)
-    nation = F.broadcast(load_table(spark, sf, "nation").select(
-        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nation")))
+    nation = load_table(spark, sf, "nation").select(
+        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nation"))
     return w.join(nation, on="c_nationkey").select(
         "nation", "window_end",
         F.date_format(F.timestamp_millis("window_end"), "yyyy-MM-dd HH:mm:ss").alias("window_end_text"),

@@ -18,7 +18,7 @@ from tidepool.plans.registry import register
 from tidepool.sources.parse import parse_pay_result
 from tidepool.sources.tables import load_table
 from tidepool.sources.text import stream_lines
-from tidepool.plans.sqlfrag import US, ev, sliding
+from tidepool.plans.sqlfrag import ITEM, US, ev, sliding
 from tidepool.streaming.runner import events_stream, run_append, run_foreach_batch
 from tidepool.streaming.stateful import (ClickCapProcessor, ConsecutiveFailProcessor,
                                          CreatePayProcessor, NInARowProcessor, RunningSumProcessor,
@@ -90,11 +90,20 @@ def stream_uv_hourly(spark, sf):
 
 
 # --- AGG-9 on a stream (HLL; rows-only) ----------------------------------------------------------
-@register("stream_uv_approx", None)
+@register("stream_uv_approx", f"""
+SELECT DISTINCT (t // {3600 * US} + 1) * 3600000 AS window_end, TRUE AS within_5_percent
+FROM ({ev("event_type = 'view'")})
+""")
 def stream_uv_approx_q(spark, sf):
+    from tidepool.operators.distinct import uv_exact
+    from tidepool.sources.tables import load_events
+
     sdf, base = events_stream(spark, sf, "uv_approx", where=F.col("event_type") == "view", close=True)
     run_append(stream_uv_approx(sdf, "ts", "user_id", 3600), f"{base}/out", f"{base}/ckpt")
-    return _read(spark, f"{base}/out")
+    views = load_events(spark, sf).where(F.col("event_type") == "view")
+    both = _read(spark, f"{base}/out").join(uv_exact(views, "ts", "user_id", 3600).select("window_end", "uv"), "window_end", "full")
+    near = F.abs(F.col("uv_approx") - F.col("uv")) <= 0.05 * F.col("uv")
+    return both.select("window_end", F.coalesce(near, F.lit(False)).alias("within_5_percent"))
 
 
 _W = "PARTITION BY user_id ORDER BY ts, event_id"
@@ -137,19 +146,19 @@ def stream_jump_alert(spark, sf):
 
 # --- PAT-7 on a stream: passed clicks and warnings, tagged -------------------------------------------
 @register("stream_click_cap", f"""
-WITH r AS (SELECT event_id, user_id, epoch_ms(date_trunc('day', ts)) AS day_ms, epoch_us(ts) AS t,
-                  row_number() OVER (PARTITION BY user_id, date_trunc('day', ts)
+WITH r AS (SELECT event_id, user_id, {ITEM} AS item_id, epoch_ms(date_trunc('day', ts)) AS day_ms, epoch_us(ts) AS t,
+                  row_number() OVER (PARTITION BY user_id, {ITEM}, date_trunc('day', ts)
                                      ORDER BY ts, event_id) AS click_no
            FROM events WHERE event_type = 'click')
-SELECT user_id, event_id, day_ms, click_no,
+SELECT user_id, item_id, event_id, day_ms, click_no,
        CASE WHEN click_no <= {CLICK_CAP} THEN 'pass' ELSE 'warn' END AS kind
 FROM r WHERE click_no <= {CLICK_CAP + 1}
 """)
 def stream_click_cap(spark, sf):
     sdf, base = events_stream(spark, sf, "click_cap", where=F.col("event_type") == "click")
     sdf = sdf.withColumn("day_ms", F.unix_millis(F.date_trunc("day", "ts")))
-    out = run_ordered(sdf, "user_id", "ts", "event_id", ["day_ms"], ClickCapProcessor(CLICK_CAP),
-                      "user_id long, event_id long, day_ms long, click_no long, kind string")
+    out = run_ordered(sdf, ["user_id", "item_id"], "ts", "event_id", ["day_ms"], ClickCapProcessor(CLICK_CAP),
+                      "user_id long, item_id long, event_id long, day_ms long, click_no long, kind string")
     run_append(out, f"{base}/out", f"{base}/ckpt")
     return _read(spark, f"{base}/out")
 

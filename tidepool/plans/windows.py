@@ -75,7 +75,7 @@ SELECT window_end, item_id, click_count, top_rank FROM r WHERE top_rank <= 5
 """)
 def hot_pages_top5(spark, sf):
     clicks = load_events(spark, sf).where(F.col("event_type") == "click")
-    counts = sliding_count(clicks, "ts", ["item_id"], 600, 5, out="click_count", panes=True)
+    counts = sliding_count(clicks, "ts", ["item_id"], 600, 5, out="click_count")
     return (top_n(counts, ["window_end"], "click_count", ["item_id"], 5, rank_col="top_rank")
             .select("window_end", "item_id", "click_count", "top_rank"))
 
@@ -139,10 +139,16 @@ def uv_hourly_exact(spark, sf):
 
 
 # --- AGG-9: approximate hourly UV (HLL; no exact oracle -> rows-only) -------------------
-@register("uv_hourly_approx", None)
+@register("uv_hourly_approx", f"""
+SELECT DISTINCT (t // {3600 * US} + 1) * 3600000 AS window_end, TRUE AS within_5_percent
+FROM ({ev("event_type = 'view'")})
+""")
 def uv_hourly_approx(spark, sf):
+    """The sketch against the exact count, per window."""
     views = load_events(spark, sf).where(F.col("event_type") == "view")
-    return uv_approx(views, "ts", "user_id", 3600).select("window_end", "uv_approx")
+    both = (uv_approx(views, "ts", "user_id", 3600).select("window_end", "uv_approx")
+            .join(uv_exact(views, "ts", "user_id", 3600).select("window_end", "uv"), "window_end"))
+    return both.select("window_end", (F.abs(F.col("uv_approx") - F.col("uv")) <= 0.05 * F.col("uv")).alias("within_5_percent"))
 
 
 # --- FIL-2 + WIN-6: channel counts, 1 h / 10 s (fan-out 360) -----------------------------

@@ -23,6 +23,8 @@ BASE_CONF = {
 }
 
 
+_SCRATCH: dict[str, str] = {}  # scratch folder of each local application
+
 # Subset of BASE_CONF that can be changed on a running session (SQL confs).
 RUNTIME_CONF = {k: v for k, v in BASE_CONF.items() if k.startswith("spark.sql.")}
 
@@ -61,12 +63,16 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession, sub: str = "") -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster sets it to a shared file system. Only when it is unset (local
-    tests) a fresh scratch folder is created and registered.
+    The cluster sets it to a shared file system. Where it is unset, a scratch
+    folder is made, on a local master only: executors elsewhere could not see it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="tidepool-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        app = spark.sparkContext.applicationId
+        if app not in _SCRATCH:
+            _SCRATCH[app] = tempfile.mkdtemp(prefix="tidepool-ckpt-")
+        base = _SCRATCH[app]
     return os.path.join(base, sub) if sub else base

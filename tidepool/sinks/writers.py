@@ -16,15 +16,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def print_sink(df: DataFrame, label: str, n: int = 20):
-    """SNK-1: labelled console output (batch: ``show``; stream: console sink)."""
-    out = df.select(F.lit(label).alias("label"), "*")
+def labelled_lines(df: DataFrame, label: str) -> DataFrame:
+    """Every row as one line: the label, then the row as JSON."""
+    return df.select(F.concat(F.lit(f"{label}> "), F.to_json(F.struct("*"))).alias("value"))
+
+
+def print_sink(df: DataFrame, label: str, path: str | None = None):
+    """SNK-1: every row as a labelled line. A batch goes to text files under
+    ``path`` (written by the tasks) or, without one, to the executors' standard
+    output; a stream gives a writer that prints every row of its batches."""
+    lines = labelled_lines(df, label)
     if df.isStreaming:
-        return out.writeStream.format("console").option("truncate", "false")
-    out.show(n, truncate=False)
+        return lines.writeStream.foreachBatch(lambda batch, _: batch.foreachPartition(_print_lines))
+    if path:
+        lines.write.mode("overwrite").text(path)
+    else:
+        lines.foreachPartition(_print_lines)
     return None
 
 
+def _print_lines(rows) -> None:
+    for r in rows:
+        print(r.value)
+
+
+def preview(df: DataFrame, label: str, n: int = 20) -> None:
+    """The first ``n`` rows on the driver's console."""
+    df.select(F.lit(label).alias("label"), "*").show(n, truncate=False)
+
+
 def latest_per_key(df: DataFrame, keys: list[str], value_cols: list[str],
                    order: Column) -> DataFrame:
     """Last row per key by ``order`` (``max_by``: partial aggregation, no sort)."""

@@ -14,6 +14,8 @@ State survives restarts with the query checkpoint.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
+from math import fsum
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -152,12 +154,12 @@ class JumpProcessor(OrderedKeyProcessor):
 
 
 class ClickCapProcessor(OrderedKeyProcessor):
-    """PAT-7: per key and UTC day pass the first ``cap`` rows, warn once at
+    """PAT-7: per key (user, item) and UTC day pass the first ``cap`` rows, warn once at
     ``cap + 1``; the counter resets when the day changes."""
 
     row_fields = "day_ms bigint"
     carry_schema = "day_ms bigint, n bigint"
-    out_columns = ["user_id", "event_id", "day_ms", "click_no", "kind"]
+    out_columns = ["user_id", "item_id", "event_id", "day_ms", "click_no", "kind"]
 
     def __init__(self, cap: int):
         self.cap = cap
@@ -167,9 +169,9 @@ class ClickCapProcessor(OrderedKeyProcessor):
         n = carry[1] + 1 if carry is not None and carry[0] == day else 1
         out = []
         if n <= self.cap:
-            out.append((key[0], rid, day, n, "pass"))
+            out.append((*key, rid, day, n, "pass"))
         elif n == self.cap + 1:
-            out.append((key[0], rid, day, n, "warn"))
+            out.append((*key, rid, day, n, "warn"))
         return (day, n), out
 
 
@@ -243,7 +245,7 @@ class SlidingCountProcessor(OrderedKeyProcessor):
         _, _, v = row
         rn, last = carry if carry is not None else (0, [])
         rn, last = rn + 1, (list(last) + [v])[-self.size:]
-        out = [(key[0], rn, round(sum(last), 2))] if rn % self.slide == 0 else []
+        out = [(key[0], rn, fsum(last))] if rn % self.slide == 0 else []
         return (rn, last), out
 
 
@@ -302,34 +304,44 @@ class NInARowProcessor(OrderedKeyProcessor):
         out = []
         if len(ts) >= self.n and ts_us - ts[-self.n] < self.within_us:
             out.append((key[0], ids[-self.n], rid, ts[-self.n] // 1000, ts_us // 1000))
-        keep = self.n - 1
-        return (ts[-keep:], ids[-keep:]), out
+        drop = len(ts) - (self.n - 1)  # with n = 1 nothing is kept
+        return (ts[max(drop, 0):], ids[max(drop, 0):]), out
 
 
 class RunningSumProcessor(OrderedKeyProcessor):
-    """AGG-7: running sum per key on every row, accumulated in exact cents."""
+    """AGG-7: running sum per key on every row, exact in the decimal digits of
+    the values; NULL adds nothing."""
 
     row_fields = "value double"
-    carry_schema = "cents bigint"
+    carry_schema = "total string"
     out_columns = ["user_id", "event_id", "running_sum"]
 
     def step(self, key, carry, row):
         _, rid, v = row
-        cents = (carry[0] if carry is not None else 0) + int(round(v * 100))
-        return (cents,), [(key[0], rid, cents / 100)]
+        total = Decimal(carry[0]) if carry is not None else Decimal(0)
+        if v is not None and v == v:
+            total += Decimal(repr(v))
+        return (str(total),), [(key[0], rid, float(total))]
 
 
 class WindowRunningCountProcessor(OrderedKeyProcessor):
     """WIN-8: inside each (key, window) number the rows 1..n in event order."""
 
     row_fields = "window_end bigint"
-    carry_schema = "n bigint"
+    carry_schema = "n bigint, window_end bigint"
     out_columns = ["user_id", "window_start", "event_id", "window_end", "running_count"]
 
     def step(self, key, carry, row):
         _, rid, wend = row
         n = (carry[0] if carry is not None else 0) + 1
-        return (n,), [(key[0], key[1], rid, wend, n)]
+        return (n, wend), [(key[0], key[1], rid, wend, n)]
+
+    def on_watermark(self, key, carry, wm_us):
+        """A window that the watermark has passed gets no more rows: forget it."""
+        return (None if carry is not None and carry[1] * 1000 < wm_us else carry), []
+
+    def deadline_us(self, carry):
+        return carry[1] * 1000
 
 
 class CumulativeWindowProcessor(OrderedKeyProcessor):

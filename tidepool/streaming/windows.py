@@ -54,11 +54,12 @@ def stream_uv_exact(sdf: DataFrame, ts: str, user: str, size_s: int, delay_s: in
              .select(F.unix_millis("w.end").alias("window_end"), "uv"))
 
 
-def stream_uv_approx(sdf: DataFrame, ts: str, user: str, size_s: int, delay_s: int = 0) -> DataFrame:
+def stream_uv_approx(sdf: DataFrame, ts: str, user: str, size_s: int, delay_s: int = 0,
+                     rsd: float = 0.01) -> DataFrame:
     """AGG-9 on a stream: HLL per window (bounded state per window)."""
     w = sdf.withWatermark(ts, f"{int(delay_s)} seconds")
     return (w.groupBy(F.window(ts, f"{size_s} seconds").alias("w"))
-             .agg(F.approx_count_distinct(user).alias("uv_approx"))
+             .agg(F.approx_count_distinct(user, rsd).alias("uv_approx"))
              .select(F.unix_millis("w.end").alias("window_end"), "uv_approx"))
 
 
@@ -90,24 +91,21 @@ def refine_top_n(out_path: str, partition: list[str], key: str, count: str, n: i
     Each batch writes the refreshed top-n of the windows it touched as version
     ``batch_id``; ``latest_top_n`` reads the newest version per window.
     """
-    from pyspark.sql.utils import AnalysisException
-
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        upd = batch.select(*partition, key, count)
+        upd = batch.select(*partition, key, count).persist()  # used twice: the stateful part runs once
         cand = upd
-        try:
+        if batch_id > 0:  # the first batch has no previous versions
             prev = latest_top_n(spark.read.parquet(out_path), partition, rank_col)
             touched = upd.select(*partition).distinct()
             cand = cand.unionByName(prev.join(touched, on=partition, how="left_semi")
                                     .select(*partition, key, count))
-        except AnalysisException:
-            pass  # first batch: no previous versions
         best = cand.groupBy(*partition, key).agg(F.max(count).alias(count))
         w = Window.partitionBy(*partition).orderBy(F.col(count).desc(), F.col(key))
         ranked = (best.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
                       .where(F.col(rank_col) <= n))
         ranked.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        upd.unpersist()
 
     return fn
 
