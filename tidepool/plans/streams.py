@@ -540,7 +540,7 @@ SELECT window_end, item_id, click_count, top_rank FROM r WHERE top_rank <= 5
 def stream_hot_pages_refined(spark, sf):
     from tidepool.streaming.windows import latest_top_n, refine_top_n
 
-    sdf, base = events_stream(spark, sf, "hot_pages_refined", where=F.col("event_type") == "click")
+    sdf, base = events_stream(spark, sf, "hot_pages_refined", where=F.col("event_type") == "click", late_s=60)
     counts = (sdf.withWatermark("ts", "60 seconds")
                  .groupBy("item_id", F.window("ts", "600 seconds", "5 seconds").alias("w"))
                  .agg(F.count(F.lit(1)).alias("click_count"))
@@ -723,3 +723,60 @@ def stream_hot_items_report(spark, sf):
 
     run_foreach_batch(counts, render, f"{base}/ckpt")
     return _read(spark, f"{base}/out").select("window_end", "report")
+
+
+# --- WM-2/3/4: the same answers from out-of-order input, with a delay that covers the disorder ----------
+LATE_S = {"pv": 3600, "login": 3 * 3600, "sum": 5 * 3600}
+
+
+def _same_as(name):
+    from tidepool.plans.registry import ORACLE
+
+    return ORACLE[name]
+
+
+@register("stream_pv_hourly_late", _same_as("stream_pv_hourly"))
+def stream_pv_hourly_late(spark, sf):
+    sdf, base = events_stream(spark, sf, "pv_late", where=F.col("event_type") == "view", close=True, late_s=LATE_S["pv"])
+    out = stream_window_agg(sdf, "ts", 3600, None, [], {"pv": ("count", None)}, delay_s=LATE_S["pv"])
+    run_append(out.select("window_end", "pv"), f"{base}/out", f"{base}/ckpt")
+    return _read(spark, f"{base}/out")
+
+
+@register("stream_login_fail_late", _same_as("stream_login_fail"))
+def stream_login_fail_late(spark, sf):
+    sdf, base = events_stream(spark, sf, "login_fail_late", close={"user_id": -1}, late_s=LATE_S["login"])
+    out = run_ordered(sdf, "user_id", "ts", "event_id", ["event_type"], ConsecutiveFailProcessor("error", FAIL_WITHIN_S),
+                      "user_id long, first_event_id long, last_event_id long, first_fail_ms long, "
+                      "last_fail_ms long", delay_s=LATE_S["login"])
+    run_append(out, f"{base}/out", f"{base}/ckpt")
+    return _read(spark, f"{base}/out")
+
+
+@register("stream_rolling_sum_late", _same_as("stream_rolling_sum"))
+def stream_rolling_sum_late(spark, sf):
+    sdf, base = events_stream(spark, sf, "rolling_sum_late", close={"user_id": -1}, late_s=LATE_S["sum"])
+    out = run_ordered(sdf, "user_id", "ts", "event_id", ["value"], RunningSumProcessor(),
+                      "user_id long, event_id long, running_sum double", delay_s=LATE_S["sum"])
+    run_append(out, f"{base}/out", f"{base}/ckpt")
+    return _read(spark, f"{base}/out")
+
+
+# --- WIN-9: early results: every batch refreshes the open windows it touched; the last one is final -------
+@register("stream_pv_early", _same_as("stream_pv_hourly"))
+def stream_pv_early(spark, sf):
+    sdf, base = events_stream(spark, sf, "pv_early", where=F.col("event_type") == "view")
+    counts = (sdf.withWatermark("ts", "0 seconds").groupBy(F.window("ts", "1 hour").alias("w"))
+                 .agg(F.count(F.lit(1)).alias("pv")).select(F.unix_millis("w.end").alias("window_end"), "pv"))
+    return _final_updates(spark, counts, base, ["window_end"], "pv")
+
+
+# --- PAT-2 on a stream: its own bound -----------------------------------------------------------------
+@register("stream_login_fail_seq", _same_as("login_fail_seq"))
+def stream_login_fail_seq(spark, sf):
+    from tidepool.plans import patterns as P
+
+    out = _ordered(spark, sf, "login_fail_seq", ConsecutiveFailProcessor("error", P.SEQ_WITHIN_S),
+                   "user_id long, first_event_id long, last_event_id long, first_fail_ms long, last_fail_ms long",
+                   payload=("event_type",))
+    return out.withColumn("msg", F.lit(P.MSG_LOGIN_SEQ))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.session import checkpoint_dir
@@ -31,9 +31,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return checkpoint_dir(spark, f"tidepool-stream/{name}-{run}")
 
 
-def stage_files(df: DataFrame, path: str, ts: str, close: bool | dict = False) -> int:
+def stage_files(df: DataFrame, path: str, ts: str, close: bool | dict = False,
+                arrival: Column | None = None) -> int:
     """Write ``df`` as time slices, one write after the other, so a file stream
-    (which orders files by modification time) replays them in event-time order.
+    (which orders files by modification time) replays them in order of ``arrival``
+    (epoch µs; default: the event time).
     Returns the number of files of a slice, which is the stream's batch size.
 
     Slice bounds are approximate quantiles (1 % error, a small sketch per
@@ -46,7 +48,7 @@ def stage_files(df: DataFrame, path: str, ts: str, close: bool | dict = False) -
     values for some columns: a join needs a key (filters on null keys are moved
     below the watermark), one that no other row has.
     """
-    t = F.unix_micros(F.col(ts))
+    t = F.unix_micros(F.col(ts)) if arrival is None else arrival
     n = df.count()
     n_slices = max(MIN_BATCHES, -(-n // ROWS_PER_BATCH))
     n_files = max(1, -(-n // (n_slices * ROWS_PER_FILE)))
@@ -85,16 +87,20 @@ def run_foreach_batch(sdf: DataFrame, fn, ckpt: str, mode: str = "append") -> No
 
 
 def events_stream(spark: SparkSession, sf_dir: str, name: str, where=None,
-                  close: bool | dict = False) -> tuple[DataFrame, str]:
+                  close: bool | dict = False, late_s: int = 0) -> tuple[DataFrame, str]:
     """Stage ``events`` (optionally filtered; without the raw ``props``) in time
     order and open a stream over it with ``ts`` as TIMESTAMP. ``close``: the
-    end of the input closes all windows. Returns (stream, scratch dir)."""
+    end of the input closes all windows. ``late_s``: every event arrives up to
+    that much after its time (by a hash of its id), so the stream is out of
+    order. Returns (stream, scratch dir)."""
     from tidepool.sources.tables import load_events
 
     base = scratch(spark, name)
     ev = load_events(spark, sf_dir).drop("props")
     if where is not None:
         ev = ev.where(where)
-    n_files = stage_files(ev, f"{base}/input", "ts", close)
+    delay = F.pmod(F.xxhash64("event_id"), F.lit(late_s * 1_000_000)) if late_s else None
+    arrival = None if delay is None else F.unix_micros("ts") + delay
+    n_files = stage_files(ev, f"{base}/input", "ts", close, arrival)
     sdf = read_staged(spark, f"{base}/input", ev.schema, n_files).withColumn("ts", F.col("ts").cast("timestamp"))
     return sdf, base
