@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 _SCRATCH: dict[str, str] = {}
 
@@ -52,6 +53,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def with_place(docs: DataFrame) -> DataFrame:
+    """Add ``place_file`` and ``place_row``, which name a row of a table in files for good."""
+    try:
+        return docs.select("*", F.col("_metadata.file_path").alias("place_file"), F.col("_metadata.row_index").alias("place_row"))
+    except AnalysisException:  # not a file source
+        return docs.select("*", F.lit("").alias("place_file"), F.monotonically_increasing_id().alias("place_row"))
+
+
 def bit_array(spark: SparkSession, at: DataFrame, bits: int) -> Column:
     """The positions ``at(at)`` below ``bits`` as one array of 64-bit words (a
     scalar subquery of ``bits / 8`` bytes). Words are or-ed together where the
@@ -89,23 +98,24 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """
     e = edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     e = written(spark, e, "cc")
-    mark = None
-    while True:
+
+    def state() -> tuple:
+        return tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("v") % 1000003)).first())
+
+    mark = state()
+    while mark[0]:
         # large star: every larger neighbour of u points to u's smallest
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
         # small star: u and its smaller neighbours point to the smallest of them
         low2 = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low2, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
                  .where("u != v").distinct())
-        nxt = written(spark, small, "cc")
-        drop_written(spark, e)
-        e = nxt
-        got = e.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"),
-                    F.sum((F.col("v") % 1000003)).alias("s")).first()
-        if got == mark:
+        old, e = e, written(spark, small, "cc")
+        drop_written(spark, old)
+        was, mark = mark, state()
+        if was == mark:
             break
-        mark = got
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

@@ -38,24 +38,39 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from tidepool.llm.common import components, drop_written, table, written
+from tidepool.llm.common import components, likely, table, with_place, written
 from tidepool.llm.shingles import U, mix, pieces, shingle_hashes, word_hashes
 
-GROUPS = 64
 LEAF = 256
 LEAF_TOKENS = 400_000
 SAMPLE_DOCS = 10_000
 _COMMON = 63
 
 
-def with_place(docs: DataFrame) -> DataFrame:
-    """Add ``_file`` and ``_row``, which name a row of a table in files for good."""
-    try:
-        return docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    except AnalysisException:  # not a file source
-        return docs.select("*", F.lit("").alias("_file"), F.monotonically_increasing_id().alias("_row"))
+def size_bands(num: int, den: int) -> np.ndarray:
+    """Lower bounds of size bands, each 1/t^2 times the one before. Linked sets
+    are in the same band or, the smaller one near its upper end, in adjacent ones."""
+    out = [1]
+    while out[-1] < 1 << 40:
+        out.append(max(out[-1] + 1, int(out[-1] * (den / num) ** 2)))
+    return np.array(out, np.int64)
+
+
+def groups_of(n: int) -> int:
+    """Groups of a set of ``n`` tokens: a power of two of about n / 6, so that
+    the bound tells unrelated sets of any size apart; 64 to 4096."""
+    return 1 << min(12, max(6, (n * 4 // 25).bit_length()))
+
+
+def point(ids: np.ndarray) -> np.ndarray:
+    g = groups_of(len(ids))
+    return np.bincount((ids & U(g - 1)).astype(np.int64), minlength=g).astype(np.int32)
+
+
+def folded(p: np.ndarray, g: int) -> np.ndarray:
+    """The point on ``g`` groups, a divisor of its own number."""
+    return p.reshape(-1, g).sum(0)
 
 
 class TokenOrder:
@@ -112,30 +127,42 @@ def fit_order(docs: DataFrame, k: int, sample_docs: int = SAMPLE_DOCS) -> TokenO
     return TokenOrder(np.minimum(np.log2(level + 1), 15).astype(np.uint8), np.sort(common.id.to_numpy(np.int64).view(np.uint64)), k)
 
 
-POINTS = ("_file string, _row long, doc_id long, n long, sig1 long, sig2 long, point binary, routes array<long>")
+POINTS = ("place_file string, place_row long, doc_id long, n long, sig1 long, sig2 long, point binary, routes array<long>")
 
 
 def point_maker(order: TokenOrder, num: int, den: int):
+    bands = size_bands(num, den)
+
+    def routes_of(ids: np.ndarray) -> np.ndarray:
+        """Prefix tokens, in the band of the set's size and, if a larger set of
+        the next band could link with it, in that one."""
+        n = len(ids)
+        prefix = ids[:n - (num * n + den - 1) // den + 1]
+        band = int(np.searchsorted(bands, n, side="right"))  # bands[band] starts the next one
+        out = [prefix ^ mix(np.array([band], np.uint64))]
+        if den * n >= num * int(bands[band]):
+            out.append(prefix ^ mix(np.array([band + 1], np.uint64)))
+        return np.concatenate(out).view(np.int64)
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             seen, out = set(), ([], [], [], [], [])
             for _, ids in order.sets(b.column("text")):
                 n = len(ids)
                 sig = int(mix(ids).sum()), int(mix(ids ^ U(0x5851F42D4C957F2D)).sum())
-                # equal sets of a batch are routed once
-                prefix = n - (num * n + den - 1) // den + 1 if n and sig not in seen else 0
+                routes = routes_of(ids) if n and sig not in seen else np.zeros(0, np.int64)  # equal sets of a batch once
                 seen.add(sig)
                 out[0].append(n)
                 out[1].append(sig[0] - (1 << 63))
                 out[2].append(sig[1] - (1 << 63))
-                out[3].append(np.bincount((ids & U(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype(np.int32).tobytes())
-                out[4].append(ids[:prefix].view(np.int64))
+                out[3].append(point(ids).tobytes())
+                out[4].append(routes)
             at = np.cumsum([0, *map(len, out[4])]).astype(np.int32)
             routes = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(out[4]) if out[4] else np.zeros(0, np.int64)))
-            yield pa.record_batch([b.column("_file"), b.column("_row"), b.column("doc_id"), pa.array(out[0], pa.int64()),
+            yield pa.record_batch([b.column("place_file"), b.column("place_row"), b.column("doc_id"), pa.array(out[0], pa.int64()),
                                    pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
                                    pa.array(out[3], pa.binary()), routes],
-                                  names=["_file", "_row", "doc_id", "n", "sig1", "sig2", "point", "routes"])
+                                  names=["place_file", "place_row", "doc_id", "n", "sig1", "sig2", "point", "routes"])
     return make
 
 
@@ -182,6 +209,21 @@ def near_pairs(pa_: np.ndarray, na: np.ndarray, pb: np.ndarray, nb: np.ndarray,
         yield ai[x], bj[y]
 
 
+def all_near_pairs(points: list, sizes: np.ndarray, a: np.ndarray, b: np.ndarray, num: int, den: int):
+    """``near_pairs`` of the rows ``a`` with the rows ``b``, level by level of
+    the number of groups: linked sizes are within a factor of two, so their
+    numbers of groups are equal or adjacent."""
+    width = np.array([len(p) for p in points])
+    for g in sorted(set(width.tolist())):
+        ia, ib = a[(width[a] == g) | (width[a] == 2 * g)], b[(width[b] == g) | (width[b] == 2 * g)]
+        if not len(ia) or not len(ib):
+            continue
+        pa_, pb = (np.stack([folded(points[i], g) for i in i_]) for i_ in (ia, ib))
+        for x, y in near_pairs(pa_, sizes[ia], pb, sizes[ib], num, den):
+            mine = np.minimum(width[ia[x]], width[ib[y]]) == g
+            yield ia[x[mine]], ib[y[mine]]
+
+
 class Forest:
     def __init__(self):
         self.up: dict[int, int] = {}
@@ -193,32 +235,31 @@ class Forest:
             x = up[x]
         return x
 
-    def join(self, x: int, y: int) -> bool:
+    def join(self, x: int, y: int) -> None:
         x, y = self.root(x), self.root(y)
-        if x != y:
-            self.up[max(x, y)] = min(x, y)
-        return x != y
+        self.up[max(x, y)] = min(x, y)
 
 
 def leaf_joiner(num: int, den: int, exact: bool):
-    """Rows sorted by leaf pair -> edges of a spanning forest of each pair's
-    links: pairs within the bound, or, if ``exact``, verified on the sets."""
+    """Rows sorted by leaf pair -> for each pair of leaves a spanning forest, as
+    edges to the roots, of its links: pairs within the bound, or, if ``exact``,
+    verified on the sets."""
 
     def join(rows: list) -> list[tuple[int, int]]:
         side = np.array([r[0] for r in rows])
         nodes, sizes = [r[1] for r in rows], np.array([r[2] for r in rows], np.int64)
         if exact:
             sets = [np.frombuffer(r[3], np.uint64) for r in rows]
-            points = np.stack([np.bincount((s & U(GROUPS - 1)).astype(np.int64), minlength=GROUPS) for s in sets])
+            points = [point(s) for s in sets]
         else:
-            points = np.stack([np.frombuffer(r[3], np.int32) for r in rows])
+            points = [np.frombuffer(r[3], np.int32) for r in rows]
         a = np.flatnonzero(side == 0)
         b = np.flatnonzero(side == 1)
         inside = not len(b)
         b = a if inside else b
-        forest, out = Forest(), []
-        for x, y in near_pairs(points[a], sizes[a], points[b], sizes[b], num, den):
-            for i, j in zip(a[x].tolist(), b[y].tolist()):
+        forest = Forest()
+        for x, y in all_near_pairs(points, sizes, a, b, num, den):
+            for i, j in zip(x.tolist(), y.tolist()):
                 if (inside and i >= j) or nodes[i] == nodes[j] or forest.root(nodes[i]) == forest.root(nodes[j]):
                     continue
                 if exact:
@@ -226,8 +267,7 @@ def leaf_joiner(num: int, den: int, exact: bool):
                     if den * both < num * (sizes[i] + sizes[j] - both):
                         continue
                 forest.join(nodes[i], nodes[j])
-                out.append((nodes[i], nodes[j]))
-        return out
+        return [(x, forest.root(x)) for x in list(forest.up) if forest.root(x) != x]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, rows, out = None, [], []
@@ -247,14 +287,15 @@ def leaf_joiner(num: int, den: int, exact: bool):
     return run
 
 
-def join_leaves(spark: SparkSession, points: DataFrame, num: int, den: int, exact: bool) -> DataFrame:
-    """Edges within each ``root`` of ``points(root, node, n, payload)``."""
+def leaf_pairs(points: DataFrame, num: int, den: int) -> DataFrame:
+    """``points(root, node, n)`` with ``pairs``, the leaf pairs that each point
+    takes part in: (band, kind, i, j, side)."""
     step = 1.01 * math.log(den / num)
     sizes = points.groupBy("root").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
-    sizes = sizes.withColumn("small", (F.col("c") <= LEAF) & (F.col("s") <= LEAF_TOKENS)).drop("c", "s")
+    sizes = sizes.where("c > 1").withColumn("small", (F.col("c") <= LEAF) & (F.col("s") <= LEAF_TOKENS)).drop("c", "s")
     p = points.join(sizes, "root")
-    alone = p.where("small").select("root", F.lit(0).alias("band"), F.lit(0).alias("kind"), F.lit(0).alias("i"),
-                                    F.lit(0).alias("j"), F.lit(0).alias("side"), "node", "n", "payload")
+    one = F.expr("array(named_struct('band', 0, 'kind', 0, 'i', 0, 'j', 0, 'side', 0))")
+    alone = p.where("small").select("root", "node", "n", one.alias("pairs"))
     big = p.where("NOT small").drop("small").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / step).cast("int"))
     leaves = big.groupBy("root", "band").agg(F.ceil(F.greatest(F.count("*") / LEAF, F.sum("n") / LEAF_TOKENS)).cast("int").alias("k"))
     around = (leaves.select("root", "band", F.lit("own").alias("w"), "k")
@@ -262,56 +303,84 @@ def join_leaves(spark: SparkSession, points: DataFrame, num: int, den: int, exac
               .unionByName(leaves.select("root", (F.col("band") + 1).alias("band"), F.lit("prev").alias("w"), "k"))
               .groupBy("root", "band").pivot("w", ["own", "next", "prev"]).agg(F.first("k")))
     big = big.join(around, ["root", "band"]).withColumn("sub", F.pmod(F.xxhash64("node"), F.col("own")).cast("int"))
-    big = big.select("root", "node", "n", "payload", F.explode(F.expr("""concat(
+    return alone.unionByName(big.select("root", "node", "n", F.expr("""concat(
         transform(sequence(0, own - 1), x -> named_struct('band', band, 'kind', 0, 'i', least(sub, x), 'j', greatest(sub, x), 'side', int(sub > x))),
         if(next is null, array(), transform(sequence(0, next - 1), x -> named_struct('band', band, 'kind', 1, 'i', sub, 'j', x, 'side', 0))),
         if(prev is null, array(), transform(sequence(0, prev - 1), x -> named_struct('band', band - 1, 'kind', 1, 'i', x, 'j', sub, 'side', 1)))
-        )""")).alias("e")).select("root", F.col("e.band").alias("band"), F.col("e.kind").alias("kind"), F.col("e.i").alias("i"),
-                                  F.col("e.j").alias("j"), F.col("e.side").alias("side"), "node", "n", "payload")
+        )""").alias("pairs")))
+
+
+def join_leaves(points: DataFrame, num: int, den: int, exact: bool) -> DataFrame:
+    """Edges among ``points(root, node, n, pairs, payload)``."""
     pair = ["root", "band", "kind", "i", "j"]
-    return (alone.unionByName(big).repartition(*pair).sortWithinPartitions(*pair)
-            .select(*pair, F.col("side"), "node", "n", "payload")
+    each = points.select("root", "node", "n", "payload", F.explode("pairs").alias("p")).select("root", "p.*", "node", "n", "payload")
+    return (each.repartition(*pair).sortWithinPartitions(*pair).select(*pair, "side", "node", "n", "payload")
             .mapInArrow(leaf_joiner(num, den, exact), "a long, b long"))
 
 
 def similar_sets(spark: SparkSession, docs: DataFrame, k: int, num: int, den: int, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """One row per document: _file, _row (see ``with_place``), doc_id, n
-    (distinct ``k``-word shingles), component_id. Documents link where
+    """One row per document: place_file, place_row (see ``with_place``), doc_id, n
+    (distinct ``k``-word shingles), component_id, root (names the component;
+    null for an empty set). Documents link where
     ``den * intersection >= num * union``."""
     placed = with_place(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     order = fit_order(docs.select("doc_id", "text"), k, sample_docs)
     points = placed.mapInArrow(point_maker(order, num, den), POINTS).withColumn("row", F.monotonically_increasing_id())
     points = written(spark, points, "sets")
 
-    # routing: sets that share a routed token, in order of that token
-    meet = Window.partitionBy("token").orderBy("sig1")
+    # routing: sets that share a routed token meet at the smallest of them
+    meet = Window.partitionBy("token")
     routed = points.select("sig1", F.explode("routes").alias("token"))
-    chain = (routed.withColumn("b", F.lag("sig1").over(meet)).where("b != sig1").select(F.col("sig1").alias("a"), "b").distinct())
-    subtree = components(spark, chain)
+    star = routed.withColumn("b", F.min("sig1").over(meet)).where("b != sig1").select(F.col("sig1").alias("a"), "b").distinct()
+    subtree = components(spark, star)
 
     classes = (points.where("n > 0").groupBy("sig1", "sig2", "n").agg(F.min("row").alias("node"), F.min("doc_id").alias("first_id")))
     classes = written(spark, classes, "classes")
-    cand = (classes.join(subtree.withColumnRenamed("node", "sig1"), "sig1")
-            .join(points.select(F.col("row").alias("node"), "_file", "_row", F.col("point").alias("payload")), "node")
-            .select("root", "node", "n", "_file", "_row", "payload"))
-    cand = written(spark, cand, "candidates")
-
-    near = components(spark, join_leaves(spark, cand.select("root", "node", "n", "payload"), num, den, exact=False))
-    left = cand.drop("root", "payload").join(near, "node")
-    sets = (placed.drop("doc_id").join(left, ["_file", "_row"]).select("root", "node", "n", "text")
-            .mapInArrow(set_maker(order), "root long, node long, n long, payload binary"))
-    sets = written(spark, sets, "candidate-sets")
-    linked = components(spark, join_leaves(spark, sets, num, den, exact=True))
-    drop_written(spark, sets)
+    cand = classes.join(subtree.withColumnRenamed("node", "sig1"), "sig1").select("root", "node", "n")
+    own = points.select(F.col("row").alias("node"), F.col("point").alias("payload"))
+    near = components(spark, join_leaves(leaf_pairs(written(spark, cand, "candidates"), num, den).join(own, "node"), num, den, False))
+
+    left = near.join(classes.select("node", "n"), "node").select("root", "node", "n")
+    left = leaf_pairs(written(spark, left, "candidates"), num, den).join(
+        points.select(F.col("row").alias("node"), "place_file", "place_row"), "node")
+    left = written(spark, left, "candidates")
+    texts = placed.select("place_file", "place_row", "text").where(likely(spark, left, ["place_file", "place_row"]))
+    sets = (texts.join(left, ["place_file", "place_row"]).select("root", "node", "n", "pairs", "text")
+            .mapInArrow(set_maker(order), f"root long, node long, n long, pairs {left.schema['pairs'].dataType.simpleString()}, payload binary"))
+    linked = components(spark, join_leaves(sets, num, den, True))
 
     root = classes.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = root.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    ids = root.join(first, "root").select("sig1", "sig2", "n", "component_id")
-    own = points.select("_file", "_row", "doc_id", "n", "sig1", "sig2")
-    return (own.where("n > 0").join(ids, ["sig1", "sig2", "n"]).select("_file", "_row", "doc_id", "n", "component_id")
-            .unionByName(own.where("n = 0").select("_file", "_row", "doc_id", "n", F.col("doc_id").alias("component_id"))))
+    ids = root.join(first, "root").select("sig1", "sig2", "n", "component_id", "root")
+    own = points.select("place_file", "place_row", "doc_id", "n", "sig1", "sig2")
+    return (own.where("n > 0").join(ids, ["sig1", "sig2", "n"]).select("place_file", "place_row", "doc_id", "n", "component_id", "root")
+            .unionByName(own.where("n = 0").select("place_file", "place_row", "doc_id", "n", F.col("doc_id").alias("component_id"),
+                                                   F.lit(None).cast("long").alias("root"))))
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = similar_sets(spark, table(spark, sf_dir, "documents"), 3, 90, 100)
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+OP5_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], chr(1)))
+                                      WHEN len(ws) > 0 THEN [array_to_string(ws, chr(1))] ELSE [] END) AS shingle
+  FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 90 * (na.n + nb.n - count(*))
+), reach(x, y) AS (
+  SELECT doc_id, doc_id FROM w UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+)
+SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach.y) AS component_id
+FROM w JOIN reach ON reach.x = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id GROUP BY w.doc_id
+"""
