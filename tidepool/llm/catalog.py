@@ -16,5 +16,7 @@ QUERIES = {
 }
 ORACLE = {
     "op1_url_filter": url_filter.OP1_SQL,
+    "op3_line_dedup": line_dedup.OP3_SQL,
+    "op5_jaccard_join": jaccard_join.OP5_SQL,
     "op6_exact_dedup": exact_dedup.OP6_SQL,
 }

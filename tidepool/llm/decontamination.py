@@ -1,7 +1,7 @@
 """Benchmark decontamination by template windows.
 
 Texts and benchmark items become token sequences in which numbers, names
-(capitalised words inside a sentence) and units after a number are typed
+(capitalised words inside a sentence, not words in capitals) and units after a number are typed
 placeholders. Every window of ``WINDOW`` tokens of an item is a template; its
 hash is looked up in every document. A hit is checked on the tokens
 themselves, and the slots of all hits of one alignment of a document with an
@@ -30,8 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import table, written
-from tidepool.llm.jaccard_join import with_place
+from tidepool.llm.common import table, with_place, written
 
 WINDOW = 10
 NEED = 4
@@ -48,7 +47,7 @@ UNITS = ["mm", "cm", "m", "km", "mg", "g", "kg", "t", "ml", "l", "s", "min", "h"
 def tokens(text: Column) -> Column:
     """Lower-cased words; names start with U+0001, units with U+0002."""
     t = F.translate(F.coalesce(text, F.lit("")), "\x01\x02", "  ")
-    names = r"(?<=[\p{L}\p{N},;] )(?=\p{Lu}\p{L})"
+    names = r"(?<=[\p{L}\p{N},;] )(?=\p{Lu}\p{Ll})"
     units = r"(?i)(?<=[0-9] )(?=(?:" + "|".join(UNITS) + r")\b)"
     t = F.when(t.rlike(names), F.regexp_replace(t, names, "\x01")).otherwise(t)
     t = F.when(t.rlike(r"[0-9] \p{L}"), F.regexp_replace(t, units, "\x02")).otherwise(t)
@@ -117,28 +116,28 @@ def sieved(w: int, slots: int, held: Column) -> Column:
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Pairs of documents and items: _file, _row, doc_id, item_id,
+    """Pairs of documents and items: place_file, place_row, doc_id, item_id,
     matched_windows, item_windows, n_slots."""
     index = templates(spark, items)
     lengths = sorted((r.w, r.n) for r in index.groupBy("w").agg(F.count("*").alias("n")).collect())
-    d = with_place(docs.select("doc_id", "text")).select("_file", "_row", "doc_id", tokens(F.col("text")).alias("words"))
+    d = with_place(docs.select("doc_id", "text")).select("place_file", "place_row", "doc_id", tokens(F.col("text")).alias("words"))
     d = d.select("*", symbols(F.col("words")).alias("s"))
     found = F.array().cast("array<struct<at:int,hash:bigint,w:int,words:array<string>>>")
     for w, n in lengths:
         slots = min(MAX_SIEVE, max(1 << 12, 1 << (64 * n - 1).bit_length()))
 
         found = F.concat(found, sieved(w, slots, sieve(index.where(F.col("w") == w), slots)))
-    hits = d.select("_file", "_row", "doc_id", F.explode(found).alias("x")).select("_file", "_row", "doc_id", "x.*")
+    hits = d.select("place_file", "place_row", "doc_id", F.explode(found).alias("x")).select("place_file", "place_row", "doc_id", "x.*")
     same = F.forall(F.zip_with("words", "item_words", lambda a, b: canonical(a) == canonical(b)), lambda ok: ok)
     both = F.zip_with("words", "item_words", lambda a, b: F.struct(kind(a).alias("kind"), a.alias("here"), b.alias("there")))
     slots = F.filter(both, lambda x: x["kind"].isNotNull())
     pairs = hits.join(index, ["w", "hash"]).where(same).withColumn("slots", slots)
-    aligned = (pairs.groupBy("_file", "_row", "doc_id", "item_id", "item_windows", (F.col("at") - F.col("item_at")).alias("shift"))
+    aligned = (pairs.groupBy("place_file", "place_row", "doc_id", "item_id", "item_windows", (F.col("at") - F.col("item_at")).alias("shift"))
                .agg(F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"), F.collect_set("item_at").alias("ats")))
     # as many (here, there) pairs as values on either side: a one-to-one map
     distinct = lambda side: F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["kind"], x[side]))))
     held = aligned.where((F.size("slots") == distinct("here")) & (F.size("slots") == distinct("there")))
-    out = (held.groupBy("_file", "_row", "doc_id", "item_id", "item_windows")
+    out = (held.groupBy("place_file", "place_row", "doc_id", "item_id", "item_windows")
            .agg(F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("matched_windows"),
                 F.max(F.size("slots")).alias("n_slots")))
     return out.where(F.col("matched_windows") >= F.least(F.lit(NEED), F.col("item_windows")))

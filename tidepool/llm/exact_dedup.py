@@ -33,6 +33,7 @@ from tidepool.llm.common import new_path, table, written
 
 CAPACITY = 64 << 20
 STEP = 6
+MAX_DEPTH = 24  # a bucket at this depth grows beyond its capacity; its owner reads it in sequence
 MAX_BROADCAST_SLOTS = 1 << 20
 
 ENTRY = "bucket int, h long, text string, n long, keep_id long"
@@ -49,15 +50,15 @@ def directory(keys: DataFrame, capacity: int) -> list[tuple[int, int]]:
         depth = full[0][0]
         deeper = min(64, depth + STEP)
         want = F.shiftrightunsigned("h", 64 - depth).isin([p for _, p in full]) if depth else F.lit(True)
-        sums = {r.p: r.b for r in keys.where(want).groupBy(F.shiftrightunsigned("h", 64 - deeper).alias("p"))
-                .agg(F.sum("bytes").alias("b")).collect()}
+        sums = {r.p: (r.b, r.n) for r in keys.where(want).groupBy(F.shiftrightunsigned("h", 64 - deeper).alias("p"))
+                .agg(F.sum("bytes").alias("b"), F.count("*").alias("n")).collect()}
         full = []
         todo = [(depth, p) for p in sorted({p >> (deeper - depth) for p in sums})] or [(0, 0)]
         while todo:
             d, p = todo.pop()
             lo, hi = p << (deeper - d), (p + 1) << (deeper - d)
-            held = sum(sums.get(x, 0) for x in range(lo, hi))
-            if held <= capacity or d >= 60:
+            held, n = (sum(x) for x in zip((0, 0), *(sums[x] for x in range(lo, hi) if x in sums)))
+            if held <= capacity or n <= 1 or d >= MAX_DEPTH:
                 done.append((d, p))
             elif d < deeper:
                 todo += [(d + 1, 2 * p), (d + 1, 2 * p + 1)]

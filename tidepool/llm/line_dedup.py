@@ -31,8 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import likely, table, written
-from tidepool.llm.jaccard_join import with_place
+from tidepool.llm.common import likely, table, with_place, written
 from tidepool.llm.shingles import U, mix, pieces, powers, word_hashes
 
 MIN_WORDS = 5
@@ -146,7 +145,7 @@ def repeated_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """One row per document: file, row (its place), doc_id, n_lines,
     n_removed, removed (line numbers from 0)."""
     placed = with_place(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select(
-        F.xxhash64("_file").alias("file"), F.col("_row").alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+        F.xxhash64("place_file").alias("file"), F.col("place_row").alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     lines = written(spark, placed.mapInArrow(line_maker, LINES), "lines")
     order = [F.col("doc_id").isNull().alias("late"), F.col("doc_id"), F.col("file"), F.col("row"), F.col("line")]
     first = (lines.where("words > 0").groupBy("key", "words", "half1", "half2", "half3", "half4")
@@ -207,3 +206,36 @@ def without_lines(text, removed):
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repeated_lines(spark, table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.concat_ws(",", F.transform("removed", lambda x: x.cast("string"))).alias("removed"))
+
+
+OP3_SQL = r"""
+WITH raw AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i
+  FROM documents WHERE text IS NOT NULL AND text <> ''
+), w AS (
+  SELECT doc_id, i, list_filter(regexp_split_to_array(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                      '[ \t\x0B\f\r]+'), lambda x: x <> '') AS ws
+  FROM raw
+), f AS (
+  SELECT ws, min((doc_id, i)) AS at, row_number() OVER (ORDER BY min((doc_id, i))) AS rank FROM w WHERE len(ws) > 0 GROUP BY ws
+), v AS (
+  SELECT rank, -1 AS hole, md5(array_to_string(ws, chr(1))) AS v FROM f WHERE len(ws) >= 5
+  UNION ALL
+  SELECT rank, k, md5(array_to_string(list_concat(ws[1:k], ws[k + 2:]), chr(1)))
+  FROM (SELECT rank, ws, unnest(range(0, len(ws))) AS k FROM f WHERE len(ws) >= 5)
+), near AS (
+  SELECT DISTINCT rank FROM (
+    SELECT rank, hole, min(rank) OVER (PARTITION BY v, hole) AS replaced,
+           min(CASE WHEN hole < 0 THEN rank END) OVER (PARTITION BY v) AS whole,
+           min(CASE WHEN hole >= 0 THEN rank END) OVER (PARTITION BY v) AS longer
+    FROM v)
+  WHERE CASE WHEN hole < 0 THEN longer < rank ELSE least(replaced, whole) < rank END
+), gone AS (
+  SELECT w.doc_id, count(*) AS n, string_agg(CAST(w.i AS VARCHAR), ',' ORDER BY w.i) AS removed
+  FROM w JOIN f ON w.ws = f.ws LEFT JOIN near ON near.rank = f.rank
+  WHERE near.rank IS NOT NULL OR f.at <> (w.doc_id, w.i) GROUP BY w.doc_id
+)
+SELECT d.doc_id, CASE WHEN coalesce(d.text, '') = '' THEN 0 ELSE len(string_split(d.text, chr(10))) END AS n_lines,
+       coalesce(gone.n, 0) AS n_removed, coalesce(gone.removed, '') AS removed
+FROM documents d LEFT JOIN gone ON gone.doc_id = d.doc_id
+"""

@@ -6,16 +6,19 @@ counted over a bounded sample of labelled documents (at most ``SAMPLE``, those
 with the smallest hash of doc_id), gives every document its posterior over the
 domains. With n the tokens, p the posteriors and x the rate of a document, the
 expected tokens of domain d are ``sum n p_d x``. Rates start at 1 and follow
-projected gradient descent on ``sum_d (sum n p_d x - target_d)^2 / share_d``
-(share_d: the domain's expected tokens at rate 1) under ``x >= 0``:
+projected gradient descent on the squared misses of the targets under
+``x >= 0``; with ``miss_d = sum n p_d x - target_d``,
 
-    x <- max(0, x - sum_d p_d (sum n p_d x - target_d) / share_d)
+    x <- max(0, x - step * sum_d p_d g_d),   H g = miss,   H_de = sum over x > 0 of n p_d p_e
 
-A round is one aggregation over the posteriors that returns one number per
-domain; rates are a function of these numbers, and are written every
-``REWRITE`` rounds. The anchor domain's target is its own share, the others
-follow from the weights. A rate above 1 means copies; ``copies`` rounds it up
-or down by a hash of the document, so the expectation is kept.
+H scales the gradient by the tokens that can still move (a domains x domains
+matrix), so small domains and rates at zero do not slow it down; the step is
+halved when a round gains too little. A round is one aggregation over the
+posteriors that returns the misses and H; rates are a function of these
+numbers, and are written every ``REWRITE`` rounds. The anchor domain's target
+is its own share, the others follow from the weights. A rate above 1 means
+copies; ``copies`` rounds it up or down by a hash of the document, so the
+expectation is kept.
 
 All of it is DataFrame functions. Texts are read once; words are summed per
 document where they are read.
@@ -29,11 +32,11 @@ table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import table, written
-from tidepool.llm.jaccard_join import with_place
+from tidepool.llm.common import table, with_place, written
 
 DOMAINS = ("high", "low", "toxic")
 WEIGHTS = {"high": 0.85, "low": 0.10, "toxic": 0.05}
@@ -41,7 +44,7 @@ ANCHOR = "high"
 SAMPLE = 20_000
 BUCKETS = 1 << 16
 LONGEST = 500
-ROUNDS, REWRITE, NEAR = 40, 8, 1e-4
+ROUNDS, REWRITE, NEAR = 40, 6, 1e-4
 
 
 def words(text: Column) -> Column:
@@ -86,14 +89,14 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = S
 
 
 def posteriors(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """_file, _row, doc_id, text_key, n_tokens and p_<domain> of every document."""
+    """place_file, place_row, doc_id, text_key, n_tokens and p_<domain> of every document."""
     prior, weights = fit(spark, docs, labels)
     d = with_place(docs.select("doc_id", "text")).select(
-        F.monotonically_increasing_id().alias("id"), "_file", "_row", "doc_id", F.xxhash64("text").alias("text_key"),
+        F.monotonically_increasing_id().alias("id"), "place_file", "place_row", "doc_id", F.xxhash64("text").alias("text_key"),
         words(F.col("text")).alias("words"))
-    d = d.select("id", "_file", "_row", "doc_id", "text_key", F.explode_outer("words").alias("word"))
+    d = d.select("id", "place_file", "place_row", "doc_id", "text_key", F.explode_outer("words").alias("word"))
     at = bucket(F.col("word")) + 1
-    keys = ["id", "_file", "_row", "doc_id", "text_key"]
+    keys = ["id", "place_file", "place_row", "doc_id", "text_key"]
     sums = (d.select(*keys, F.col("word").isNotNull().cast("int").alias("one"),
                      *[F.when(F.col("word").isNotNull(), F.element_at(w, at)).otherwise(F.lit(0.0)).alias(k) for k, w in weights.items()])
             .groupBy(*keys).agg(F.sum("one").alias("n_tokens"), *[F.sum(F.col(k).cast("double")).alias(k) for k in weights]))
@@ -109,25 +112,33 @@ def solve_rates(spark: SparkSession, post: DataFrame, weights: dict[str, float]
     """Add ``rate`` to posteriors (see the module's text)."""
     state = written(spark, post.withColumn("rate", F.lit(1.0)), "rates")
 
-    def expected(x: Column) -> dict[str, float]:
-        got = state.agg(*[F.sum(F.col("n_tokens") * F.col(f"p_{d}") * x).alias(d) for d in DOMAINS]).first()
-        return {d: got[d] or 0.0 for d in DOMAINS}
-
-    share = expected(F.lit(1.0))
-    live = [d for d in DOMAINS if share[d] > 0 and weights.get(d, 0) > 0]
-    if anchor not in live or len(live) < 2:
+    def sums(x: Column) -> tuple[np.ndarray, np.ndarray]:
+        """Expected tokens of each domain, and H."""
+        n, p = F.col("n_tokens"), [F.col(f"p_{d}") for d in DOMAINS]
+        live = F.when(x > 0, n).otherwise(0)
+        got = state.agg(*[F.sum(n * a * x) for a in p], *[F.sum(live * a * b) for a in p for b in p]).first()
+        got = np.array([v or 0.0 for v in got])
+        return got[:len(p)], got[len(p):].reshape(len(p), len(p))
+
+    got, h = sums(F.lit(1.0))
+    use = [i for i, d in enumerate(DOMAINS) if got[i] > 0 and weights.get(d, 0) > 0]
+    if anchor not in [DOMAINS[i] for i in use] or len(use) < 2:
         return state
-    target = {d: share[anchor] * weights[d] / weights[anchor] for d in live}
-    x, got = F.col("rate"), share
+    target = {i: got[DOMAINS.index(anchor)] * weights[DOMAINS[i]] / weights[anchor] for i in use}
+    x, step, was = F.col("rate"), 1.0, np.inf
     for t in range(1, ROUNDS + 1):
-        off = {d: (got[d] - target[d]) / share[d] for d in live}
-        if max(abs(got[d] / target[d] - 1) for d in live) < NEAR:
+        miss = np.array([got[i] - target[i] for i in use])
+        worst = max(abs(got[i] / target[i] - 1) for i in use)
+        if worst < NEAR:
             break
-        x = F.greatest(F.lit(0.0), x - sum((F.col(f"p_{d}") * off[d] for d in live), F.lit(0.0)))
+        step = step / 2 if worst > 0.9 * was else min(1.0, step * 1.5)
+        was = worst
+        g = step * np.linalg.lstsq(h[np.ix_(use, use)], miss, rcond=1e-12)[0]
+        x = F.greatest(F.lit(0.0), x - sum((F.col(f"p_{DOMAINS[i]}") * float(v) for i, v in zip(use, g)), F.lit(0.0)))
         if t % REWRITE == 0:
             state = written(spark, state.withColumn("rate", x), "rates")
             x = F.col("rate")
-        got = expected(x)
+        got, h = sums(x)
     return state.withColumn("rate", x)
 
 
