@@ -19,11 +19,13 @@ the operators' modules define. No SQL expresses a trained classifier, so
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm import decontamination, jaccard_join, language_id, mixing, sharding
-from tidepool.llm.common import likely, new_path, table, with_place, written
+from tidepool.llm.common import delete_path, likely, new_path, noting, table, with_place, written
 
 MIN_SCORE = 0.5
 N_SHARDS = 16
@@ -51,6 +53,23 @@ def _without(spark: SparkSession, docs: DataFrame, places: DataFrame) -> DataFra
     return may.join(gone, on, "left_anti").select("__doc.*").unionByName(other.select("__doc.*"))
 
 
+_LEFT: list[str] = []
+
+
+def _stage(step):
+    """``step``, after deleting the tables that the stage before it wrote for
+    itself: that stage's result has been written and read again."""
+    @wraps(step)
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _LEFT:
+            delete_path(spark, _LEFT.pop())
+        with noting(_LEFT):
+            return step(spark, docs, sf_dir)
+
+    return stage
+
+
+@_stage
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judge = language_id.predictor(language_id.fit_documents(docs))
     told = docs.select(*_columns(docs), judge("text").alias("__judged"))
@@ -59,6 +78,7 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return told.where(keep).drop("__judged")
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     sets = written(spark, jaccard_join.similar_sets(spark, docs, 5, 80, 100), "similar")
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *PLACE)).alias("at")
@@ -66,11 +86,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return _without(spark, docs, sets.where("root IS NOT NULL").join(stays, PLACE, "left_anti"))
 
 
+@_stage
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = decontamination.contaminated(spark, docs, table(spark, sf_dir, "benchmark"))
     return _without(spark, docs, found.select(*PLACE).distinct())
 
 
+@_stage
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rated = mixing.mixed(spark, docs, table(spark, sf_dir, "labels"))
     changed = written(spark, rated.where("copies != 1").select(
@@ -81,6 +103,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return copied.select("__doc.*").unionByName(other.select("__doc.*"))
 
 
+@_stage
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(spark, docs, N_SHARDS)
 

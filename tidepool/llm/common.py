@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,8 +30,25 @@ def shared_dir(spark: SparkSession) -> str:
     return _SCRATCH[app]
 
 
+_NOTED: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
+    for paths in _NOTED:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def noting(paths: list[str]):
+    """Note in ``paths`` the folders that are written meanwhile, so that the
+    caller can delete them once nothing reads them any more."""
+    _NOTED.append(paths)
+    try:
+        yield
+    finally:
+        _NOTED.remove(paths)
 
 
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -43,10 +61,14 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def delete_path(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_written(spark: SparkSession, df: DataFrame) -> None:
     """Delete a table made by ``written`` that no later step reads."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(df._tidepool_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete_path(spark, df._tidepool_path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

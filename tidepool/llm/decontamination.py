@@ -1,10 +1,10 @@
 """Benchmark decontamination by template windows.
 
 Texts and benchmark items become token sequences in which numbers, names
-(capitalised words inside a sentence, not words in capitals) and units after a number are typed
-placeholders. Every window of ``WINDOW`` tokens of an item is a template; its
-hash is looked up in every document. A hit is checked on the tokens
-themselves, and the slots of all hits of one alignment of a document with an
+(capitalised words inside a sentence, not words in capitals) and units after a
+number are typed placeholders. Every window of ``WINDOW`` tokens of an item is
+a template; its hash is looked up in every document. A hit is checked on the
+tokens themselves, and the slots of all hits of one alignment of a document with an
 item must be consistent: equal values of the item stand for equal values of
 the document and different for different ones. So a question asked again with
 other numbers or names is caught, and a text that merely has numbers and names
@@ -95,12 +95,17 @@ def templates(spark: SparkSession, items: DataFrame) -> DataFrame:
 
 def sieve(templates_: DataFrame, slots: int) -> Column:
     """The templates' hashes as a binary literal of ``slots`` bytes, 1 where a
-    hash falls. At most ``slots`` numbers reach the driver."""
-    used = templates_.select(F.pmod(F.col("hash"), F.lit(slots)).cast("int").alias("slot")).distinct().collect()
-    out = bytearray(slots)
-    for r in used:
-        out[r.slot] = 1
-    return F.lit(bytes(out))
+    hash falls. Bitmaps of 32,768 slots reach the driver, ``slots / 8`` bytes."""
+    at = templates_.select(F.pmod(F.col("hash"), F.lit(slots)).alias("slot"))
+    bitmaps = (at.groupBy(F.expr("slot div 32768").alias("part"))
+               .agg(F.bitmap_construct_agg(F.col("slot") % 32768).alias("bits")).collect())
+    out = bytearray(-(-slots // 32768) * 32768)
+    for r in bitmaps:
+        for i, byte in enumerate(bytes(r.bits)):
+            if byte:
+                for j in range(8):
+                    out[r.part * 32768 + i * 8 + j] = byte >> j & 1
+    return F.lit(bytes(out[:slots]))
 
 
 def sieved(w: int, slots: int, held: Column) -> Column:
