@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from tidepool.llm.common import components, likely, table, with_place, written
 from tidepool.llm.shingles import U, mix, pieces, shingle_hashes, word_hashes
 
-LEAF = 256
+LEAF = 512
 LEAF_TOKENS = 400_000
 SAMPLE_DOCS = 10_000
 _COMMON = 63
@@ -68,6 +68,15 @@ def point(ids: np.ndarray) -> np.ndarray:
     return np.bincount((ids & U(g - 1)).astype(np.int64), minlength=g).astype(np.int32)
 
 
+def packed(p: np.ndarray) -> bytes:
+    """A byte a group where that is enough, else four."""
+    return b"\1" + p.astype(np.uint8).tobytes() if p.max(initial=0) < 256 else b"\4" + p.tobytes()
+
+
+def unpacked(b: bytes) -> np.ndarray:
+    return np.frombuffer(b, np.uint8 if b[0] == 1 else np.int32, offset=1).astype(np.int32)
+
+
 def folded(p: np.ndarray, g: int) -> np.ndarray:
     """The point on ``g`` groups, a divisor of its own number."""
     return p.reshape(-1, g).sum(0)
@@ -155,7 +164,7 @@ def point_maker(order: TokenOrder, num: int, den: int):
                 out[0].append(n)
                 out[1].append(sig[0] - (1 << 63))
                 out[2].append(sig[1] - (1 << 63))
-                out[3].append(point(ids).tobytes())
+                out[3].append(packed(point(ids)))
                 out[4].append(routes)
             at = np.cumsum([0, *map(len, out[4])]).astype(np.int32)
             routes = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(out[4]) if out[4] else np.zeros(0, np.int64)))
@@ -252,7 +261,7 @@ def leaf_joiner(num: int, den: int, exact: bool):
             sets = [np.frombuffer(r[3], np.uint64) for r in rows]
             points = [point(s) for s in sets]
         else:
-            points = [np.frombuffer(r[3], np.int32) for r in rows]
+            points = [unpacked(r[3]) for r in rows]
         a = np.flatnonzero(side == 0)
         b = np.flatnonzero(side == 1)
         inside = not len(b)
