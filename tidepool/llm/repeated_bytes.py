@@ -40,8 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import table, written
-from tidepool.llm.jaccard_join import with_place
+from tidepool.llm.common import likely, table, with_place, written
 from tidepool.llm.shingles import _BACK, _BASE, U, mix, pieces, powers
 
 SEED = 64
@@ -259,7 +258,7 @@ def remove_repeated(spark: SparkSession, docs: DataFrame, length: int = 200, kee
     text = F.coalesce(F.col("text"), F.lit(""))
     named = with_place(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))).withColumn(
         "text_key", F.xxhash64("text")).withColumn("n", F.octet_length("text"))
-    texts = named.groupBy("text_key", "n").agg(F.count("*").alias("rows"), F.min(F.struct("_file", "_row")).alias("at"))
+    texts = named.groupBy("text_key", "n").agg(F.count("*").alias("rows"), F.min(F.struct("place_file", "place_row")).alias("at"))
     texts = written(spark, texts, "texts")
 
     found = named.select("text_key", "text").mapInArrow(seed_maker(length), MARKS)
@@ -281,16 +280,21 @@ def remove_repeated(spark: SparkSession, docs: DataFrame, length: int = 200, kee
 
     asks = (marks.where("ask").groupBy("text_key", "n")
             .agg(F.collect_list(F.struct("seed", "pos", (F.col("same") == 1).alias("alone"))).alias("asks"))
-            .join(texts.select("text_key", "n", "at._file", "at._row"), ["text_key", "n"]))
-    contexts = (named.select("_file", "_row", "text").join(asks, ["_file", "_row"]).select("text_key", "n", "text", "asks")
+            .join(texts.select("text_key", "n", "at.place_file", "at.place_row"), ["text_key", "n"]))
+    asks = written(spark, asks, "asks")
+    contexts = (named.select("place_file", "place_row", "text").where(likely(spark, asks, ["place_file", "place_row"])).join(asks, ["place_file", "place_row"]).select("text_key", "n", "text", "asks")
                 .mapInArrow(context_maker(length), "seed long, text_key long, n int, pos int, alone boolean, bytes binary"))
     partial = (contexts.repartition("seed").sortWithinPartitions("seed")
                .mapInArrow(collection_maker(length), "text_key long, n int, pos int, until int"))
 
     spans = (known.unionByName(copies).unionByName(partial).groupBy("text_key", "n")
              .agg(F.collect_set(F.struct("pos", "until")).alias("spans")))
-    return (named.select("doc_id", "text", "text_key", "n").join(spans, ["text_key", "n"], "left")
-            .select("doc_id", "text", "spans").mapInArrow(cutter(keep_text), CUT))
+    spans = written(spark, spans, "spans")
+    held = likely(spark, spans, ["text_key", "n"])  # other texts lose nothing and are not moved
+    rows = named.select("doc_id", "text", "text_key", "n")
+    some = rows.where(held).join(spans, ["text_key", "n"], "left").select("doc_id", "text", "spans")
+    none = rows.where(~held).select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
+    return some.unionByName(none).mapInArrow(cutter(keep_text), CUT)
 
 
 def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
