@@ -31,6 +31,19 @@ def test_rates_match_targets(spark):
     assert np.allclose((n[:, None] * p * x[:, None]).sum(0), totals, rtol=0.02)
 
 
+def test_default_targets_remove_low_and_toxic(spark):
+    """Domains with the shares of the corpus: low and toxic go, the anchor stays."""
+    rng = np.random.default_rng(7)
+    top = rng.choice(3, 2000, p=(0.87, 0.065, 0.065))
+    p = np.full((2000, 3), 1e-4)
+    p[np.arange(2000), top] = 1 - 2e-4
+    rows = [(i, int(rng.integers(100, 900)), *map(float, p[i])) for i in range(2000)]
+    post = spark.createDataFrame(rows, "id long, n_tokens long, p_high double, p_low double, p_toxic double")
+    rate = mixing.solve_rates(spark, post).orderBy("id").toPandas().rate.to_numpy()
+    assert rate[top == 0].min() > 0.98 and rate[top == 0].max() < 1.02
+    assert rate[top == 1].max() < 0.2 and rate[top == 2].max() < 0.01
+
+
 def test_mixing_of_documents(spark, docs, no_docs):
     labels = docs.where("doc_id < 30").select("doc_id", (F.col("doc_id") % 5 != 0).cast("int").alias("quality"), (F.col("doc_id") % 7 == 0).cast("int").alias("toxic"))
     out = mixing.mixed(spark, docs, labels.unionByName(labels.limit(3))).collect()
