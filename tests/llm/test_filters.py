@@ -168,3 +168,20 @@ def test_decontamination(spark, docs, no_docs, tmp_path):
     assert (4, 11) not in got
     assert decontamination.contaminated(spark, no_docs, items).count() == 0
     assert decontamination.contaminated(spark, docs, items.limit(0)).count() == 0
+
+
+def test_decontamination_of_copies_in_other_dress(spark, tmp_path):
+    """Copies that a search for lower-cased words finds: other case, no
+    punctuation, other white space; and names changed after a line break."""
+    r = random.Random(12)
+    start = sentence(r, 3)
+    item = f"{start}. The {sentence(r, 8)}; When Tom has 5 km to go, Ann {sentence(r, 7)}. Later {sentence(r, 6)}"
+    short = "The old Tom Miller and his dog Rex walk to the sea"
+    copies = [item, item.lower(), item.upper(), item.title(), re.sub(r"[^\w ]", "", item), item.replace(" ", "\n"), item.replace(" ", "  "),
+              item.replace("Tom", "Bob").replace("Ann", "Eve").replace(" ", "\n")]
+    shorts = [short, short.lower(), short.upper(), short.title(), short.replace(" ", "  ")]
+    rows = [(i, f"{sentence(r, 9)} {t} {sentence(r, 9)}") for i, t in enumerate(copies + shorts)] + [(99, sentence(r, 300).title())]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    items = spark.createDataFrame([(1, item), (2, short)], "item_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in decontamination.contaminated(spark, spark.read.parquet(str(tmp_path / "d")), items).collect()}
+    assert got == {(i, 1) for i in range(8)} | {(i, 2) for i in range(8, 13)}
