@@ -118,6 +118,33 @@ def test_repeated_bytes(spark, docs):
     assert got == want
 
 
+def test_large_seed_groups_are_split(spark, tmp_path, monkeypatch):
+    """A passage in all documents, with surroundings that differ, partly agree
+    or agree at the text's edge: no collection is above the bound."""
+    rng = np.random.default_rng(8)
+    word = lambda n: "".join(rng.choice(list("abcdefgh"), n))
+    passage, before, after = word(90), [word(140) for _ in range(3)], [word(140) for _ in range(3)]
+    texts = [f"{word(150)}{passage}{word(150)}" for _ in range(12)]
+    texts += [f"{word(30)}{before[i % 3][-(20 + 9 * i % 120):]}{passage}{after[i // 3 % 3][:130 - 7 * i % 120]}{word(30)}" for i in range(24)]
+    texts += [passage + after[0], passage + after[0][:115] + "x", before[0] + passage, "y" + before[0][30:] + passage]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    sizes, split = [], repeated_bytes.split_groups
+
+    def noted(*args):
+        groups, whole = split(*args)
+        sizes.extend(r["count"] for r in groups.groupBy("seed").count().collect())
+        return groups, whole
+
+    monkeypatch.setattr(repeated_bytes, "CONTEXTS", 4)
+    monkeypatch.setattr(repeated_bytes, "split_groups", noted)
+    got = {r.doc_id: bytes(r.kept_text).decode() for r in repeated_bytes.remove_repeated(spark, spark.read.parquet(str(tmp_path / "d"))).collect()}
+    seen = Counter(t[i:i + 200] for t in texts for i in range(len(t) - 199))
+    for d, t in enumerate(texts):
+        gone = {j for i in range(len(t) - 199) if seen[t[i:i + 200]] > 1 for j in range(i, i + 200)}
+        assert got[d] == "".join(c for j, c in enumerate(t) if j not in gone)
+    assert sizes and max(sizes) <= 4 and sum(map(len, got.values())) < sum(map(len, texts))
+
+
 def test_inserted_columns_find_every_repeat():
     rng = np.random.default_rng(3)
     text = rng.integers(97, 99, (60, 40)).astype(np.uint8)

@@ -24,6 +24,14 @@ shuffle's) that each task reads in sequence, a bounded number of contexts at a
 time; inserting whole documents would take as many passes over the corpus as
 its longest document has bytes.
 
+*Large groups.* A seed with more than ``CONTEXTS`` different contexts is split
+exactly: of the ``length - SEED`` further bytes of a repetition around the seed
+at least half lie on its left or at least half on its right, so a context goes
+under two keys, the seed with half of them on either side. A key held once has
+no partner, keys of at most ``CONTEXTS`` contexts are collections, and others
+are split again by half of the bytes still open, until none is open and the
+equal keys are the repetitions themselves.
+
 Texts are named by their 64-bit hash and length; a text that several rows hold
 is repeated as a whole. Defined results: null text is empty; texts under
 ``length`` bytes lose nothing; repeated rows and null doc_ids are documents
@@ -189,7 +197,7 @@ def insert_columns(symbols: np.ndarray, group: np.ndarray, length: int) -> tuple
     return first, last
 
 
-def collection_maker(length: int):
+def collection_maker(length: int, contexts: int = CONTEXTS):
     """Contexts in order of their seed -> repeated intervals of their texts."""
     side = length - SEED
 
@@ -208,7 +216,7 @@ def collection_maker(length: int):
         for b in batches:
             rows = list(zip(*(b.column(i).to_pylist() for i in range(6))))
             for row in rows:
-                if len(held) >= CONTEXTS and row[0] != held[-1][0]:
+                if len(held) >= contexts and row[0] != held[-1][0]:
                     yield solve(held)
                     held = []
                 held.append(row)
@@ -217,6 +225,34 @@ def collection_maker(length: int):
     return run
 
 
+def split_groups(spark: SparkSession, contexts: DataFrame, length: int, limit: int) -> tuple[DataFrame | None, DataFrame]:
+    """Groups of at most ``limit`` contexts that hold, together with the second
+    table's intervals, every repetition among the contexts of equal seeds."""
+    side, cols = length - SEED, ["text_key", "n", "pos", "alone", "bytes"]
+    level = written(spark, contexts.select("seed", *cols, F.lit(0).alias("left"), F.lit(0).alias("right")), "split")
+    open_, groups = side, None
+    while open_ and not level.isEmpty():
+        half = -(-open_ // 2)
+        open_ -= half
+        two = F.array(F.struct((F.col("left") + half).alias("left"), F.col("right").alias("right")),
+                      F.struct(F.col("left").alias("left"), (F.col("right") + half).alias("right")))
+        keyed = level.select("seed", *cols, F.explode(two).alias("to")).select("seed", *cols, "to.*")
+        held = F.substring("bytes", F.lit(side + 1) - F.col("left"), F.col("left") + F.col("right") + SEED)
+        keyed = keyed.withColumn("held", held).where("substring(held, 1, 1) != X'FF' AND substring(held, -1, 1) != X'FF'")
+        keyed = written(spark, keyed.select(F.xxhash64("seed", "left", "right", "held").alias("seed"), *cols, "left", "right"), "split")
+        size = keyed.groupBy("seed").agg(F.count("*").alias("size")).where("size > 1")
+        sized = written(spark, keyed.join(size, "seed"), "split")
+        if not open_:
+            level = sized
+            break
+        few = sized.where(F.col("size") <= limit).select("seed", *cols)
+        groups = few if groups is None else groups.unionByName(few)
+        level = sized.where(F.col("size") > limit).drop("size")
+    start = F.col("pos") - F.col("left")
+    whole = level.where("alone").select("text_key", "n", start.cast("int").alias("pos"), (start + length).cast("int").alias("until"))
+    return groups, whole
+
+
 CUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_text binary, kept_sha256 string"
 
 
@@ -266,9 +302,10 @@ def remove_repeated(spark: SparkSession, docs: DataFrame, length: int = 200, kee
     marks = (found.withColumn("same", F.count("*").over(by_context))
              .withColumn("nth", F.row_number().over(by_context.orderBy("text_key", "pos")))
              .withColumn("all", F.count("*").over(by_seed))
+             .withColumn("many", F.sum(F.expr("int(until = 0 AND nth = 1)")).over(by_seed) > CONTEXTS)
              .where("until > 0 OR all > 1")
              .withColumn("ask", F.expr("until = 0 AND all > same AND nth = 1"))
-             .select("seed", "text_key", "n", "pos", "until", "same", "ask"))
+             .select("seed", "text_key", "n", "pos", "until", "same", "ask", F.expr("ask AND many").alias("many")))
     marks = written(spark, marks, "marks")
 
     side = length - SEED
@@ -278,14 +315,24 @@ def remove_repeated(spark: SparkSession, docs: DataFrame, length: int = 200, kee
     copies = texts.where((F.col("rows") > 1) & (F.col("n") >= length)).select(
         "text_key", "n", F.lit(0).alias("pos"), F.col("n").alias("until"))
 
-    asks = (marks.where("ask").groupBy("text_key", "n")
-            .agg(F.collect_list(F.struct("seed", "pos", (F.col("same") == 1).alias("alone"))).alias("asks"))
-            .join(texts.select("text_key", "n", "at.place_file", "at.place_row"), ["text_key", "n"]))
-    asks = written(spark, asks, "asks")
-    contexts = (named.select("place_file", "place_row", "text").where(likely(spark, asks, ["place_file", "place_row"])).join(asks, ["place_file", "place_row"]).select("text_key", "n", "text", "asks")
+    def contexts(marked: DataFrame) -> DataFrame:
+        asks = (marked.groupBy("text_key", "n")
+                .agg(F.collect_list(F.struct("seed", "pos", (F.col("same") == 1).alias("alone"))).alias("asks"))
+                .join(texts.select("text_key", "n", "at.place_file", "at.place_row"), ["text_key", "n"]))
+        asks = written(spark, asks, "asks")
+        return (named.select("place_file", "place_row", "text").where(likely(spark, asks, ["place_file", "place_row"])).join(asks, ["place_file", "place_row"]).select("text_key", "n", "text", "asks")
                 .mapInArrow(context_maker(length), "seed long, text_key long, n int, pos int, alone boolean, bytes binary"))
-    partial = (contexts.repartition("seed").sortWithinPartitions("seed")
-               .mapInArrow(collection_maker(length), "text_key long, n int, pos int, until int"))
+
+    def repeated(groups: DataFrame) -> DataFrame:
+        return (groups.repartition("seed").sortWithinPartitions("seed")
+                .mapInArrow(collection_maker(length, CONTEXTS), "text_key long, n int, pos int, until int"))
+
+    partial = repeated(contexts(marks.where("ask AND NOT many")))
+    if not marks.where("many").isEmpty():
+        groups, whole = split_groups(spark, contexts(marks.where("many")), length, CONTEXTS)
+        partial = partial.unionByName(whole)
+        if groups is not None:
+            partial = partial.unionByName(repeated(groups))
 
     spans = (known.unionByName(copies).unionByName(partial).groupBy("text_key", "n")
              .agg(F.collect_set(F.struct("pos", "until")).alias("spans")))
