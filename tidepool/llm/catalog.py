@@ -1,6 +1,6 @@
 """The operators' queries and, where SQL can express them, their SQL."""
 
-from tidepool.llm import decontamination, exact_dedup, jaccard_join, language_id, line_dedup, mixing, pii, repeated_bytes, sharding, url_filter
+from tidepool.llm import decontamination, exact_dedup, filter_audit, jaccard_join, language_id, line_dedup, mixing, pii, repeated_bytes, sharding, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -13,10 +13,12 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_repeated_bytes": repeated_bytes.op10_repeated_bytes,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
 }
 ORACLE = {
     "op1_url_filter": url_filter.OP1_SQL,
     "op3_line_dedup": line_dedup.OP3_SQL,
     "op5_jaccard_join": jaccard_join.OP5_SQL,
     "op6_exact_dedup": exact_dedup.OP6_SQL,
+    "op11_filter_audit": filter_audit.OP11_SQL,
 }
