@@ -1,6 +1,6 @@
 """The operators' queries and, where SQL can express them, their SQL."""
 
-from tidepool.llm import decontamination, exact_dedup, filter_audit, jaccard_join, language_id, line_dedup, mixing, pii, repeated_bytes, sharding, url_filter
+from tidepool.llm import bpe, decontamination, exact_dedup, filter_audit, jaccard_join, language_id, line_dedup, mixing, pii, repeated_bytes, sharding, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_repeated_bytes": repeated_bytes.op10_repeated_bytes,
     "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_bpe": bpe.op12_bpe,
 }
 ORACLE = {
     "op1_url_filter": url_filter.OP1_SQL,

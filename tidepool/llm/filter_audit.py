@@ -119,11 +119,12 @@ def filter_masks(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Dat
     mask = (_bit(n_words < 200, 0) + _bit(100 * F.size(F.array_distinct("words")) < 50 * n_words, 1)
             + _bit(100 * capitals.cast("long") > 2 * n_text.cast("long"), 2) + _bit(F.col("text").rlike(r"[#$%&*|]"), 3))
     told = written(spark, told.select("doc_id", "part", mask.alias("mask"), F.unhex(F.sha2("text", 256)).alias("name")), "filters")
-    first = told.groupBy("name").agg(F.min("doc_id").alias("first_id"))
+    # the first of each text, by name and doc_id: a name with very many copies is spread by their doc_ids
+    first = told.groupBy("name").agg(F.min("doc_id").alias("doc_id")).select("name", "doc_id", F.lit(False).alias("copy"))
     known = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.coalesce(F.max(F.col("quality") == 1), F.lit(False)).alias("good"), F.coalesce(F.max(F.col("toxic") == 1), F.lit(False)).alias("toxic"))
-    copy = F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False))
-    return told.join(first, "name").join(known, "doc_id", "left").select("part", (F.col("mask") + _bit(copy, 4)).alias("mask"), "good", "toxic")
+    copy = F.coalesce("copy", F.col("doc_id").isNotNull())
+    return told.join(first, ["name", "doc_id"], "left").join(known, "doc_id", "left").select("part", (F.col("mask") + _bit(copy, 4)).alias("mask"), "good", "toxic")
 
 
 def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
