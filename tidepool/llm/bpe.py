@@ -10,7 +10,7 @@ token strings go into one file of plain arrays (a few MB, bounded by
 ``SparkContext.addFile``; all workers of an executor map the same pages.
 
 Texts are then encoded in Arrow batches: words are looked up in the automaton,
-all different words of a batch at a time, one byte per step. Words that it
+all different words of some texts at a time, one byte per step. Words that it
 doesn't have are merged exactly, pair by pair, lowest rank first and leftmost
 among equals, through a heap, so that a word of a million letters takes
 n log n steps.
@@ -33,8 +33,8 @@ import hashlib
 import heapq
 import json
 import mmap
+import re
 import uuid
-from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -50,13 +50,17 @@ from pyspark.sql import functions as F
 from tidepool.llm.common import drop_written, shared_dir, table, written
 
 TOKENIZER = "word_bpe_49k.json"  # of the installed package of public tokenizers
-LEXICON = 65_536  # words of the automaton at most
+LEXICON = 262_144  # words of the automaton at most
 PIECE = 1 << 20  # characters looked at together
-HELD = 1 << 16  # unseen words that a task remembers
+HELD = 1 << 17  # unseen words that a task remembers
 
 # The split pattern of the tokenizer file.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORDS = regex.compile(SPLIT.replace(r"\s", r"\p{White_Space}"))
+SPACES = regex.compile(r"\p{White_Space}+")
+SHORT = 40  # bytes of a word up to which looking for the lowest rank each time is faster than a heap
+ID_BITS = 20
+NO_MERGE = 1 << 62
 
 
 def byte_symbols() -> list[str]:
@@ -72,6 +76,7 @@ def byte_symbols() -> list[str]:
     return out
 
 
+@lru_cache(maxsize=1)
 def unicode_differences() -> tuple[dict[str, str], dict[str, str]]:
     """Characters that the installed tokenizers library lower-cases otherwise
     than Python, with its result, and characters that it puts into another class
@@ -79,7 +84,7 @@ def unicode_differences() -> tuple[dict[str, str], dict[str, str]]:
     class: the two follow different versions of Unicode."""
     from tokenizers import Regex, normalizers, pre_tokenizers
 
-    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and c != 10]
+    chars = [chr(c) for lo, hi in ((0x80, 0xD800), (0xE000, 0x40000), (0xE0000, 0xE1000)) for c in range(lo, hi)]
     small = normalizers.Lowercase().normalize_str("\n".join(chars)).split("\n")
     lower = {c: x for c, x in zip(chars, small) if c.lower() != x}
     every, other = "".join(chars), {}
@@ -92,42 +97,56 @@ def unicode_differences() -> tuple[dict[str, str], dict[str, str]]:
 
 
 class Splitter:
-    """Cuts texts into special tokens and words; ``special``: string to id;
-    ``lower`` and ``other``: see ``unicode_differences``."""
+    """Cuts texts into special tokens and chunks between white space, and chunks
+    into words. ``special``: string to id; ``lower`` and ``other``: see
+    ``unicode_differences``. Characters in these (``odd``) take a slower way."""
 
     def __init__(self, special: dict[str, int], lower: dict[str, str], other: dict[str, str]):
         self.special, self.lower, self.other = special, lower, other
         self.cut = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True))) or r"(?!)")
         self.small, self.signs = str.maketrans({**lower, "Σ": "σ"}), str.maketrans(other)  # no final sigma
-        self.odd = {*lower, *lower.values(), *other}
+        self.odd = {*lower, *lower.values(), *other, *"\x1c\x1d\x1e\x1f"}  # str.split takes those four for spaces
+        plain = [(a, b) for a, b in (("\0", "\x1b"), (" ", "\u0557"), ("\u2000", "\u206f"), ("\u3000", "\u9fff")) if not any(a <= c <= b for c in self.odd)]
+        self.unusual = re.compile("[^" + "".join(f"{re.escape(a)}-{re.escape(b)}" for a, b in plain) + "]")
 
     def pieces(self, text: str) -> Iterator[int | list[str]]:
-        """Special tokens (an id) and, between them, words of normalized text, in
-        lists of the words of about ``PIECE`` characters."""
+        """Special tokens (an id) and, between them, lists of the chunks of about
+        ``PIECE`` characters of normalized text."""
         at = 0
         for m in [*self.cut.finditer(text), None]:
             part = normalize("NFC", text[at:m.start() if m else len(text)])
-            odd = not part.isascii() and not self.odd.isdisjoint(part)
+            odd = self.unusual.search(part) and not self.odd.isdisjoint(part)
             part = (part.translate(self.small) if odd else part.replace("Σ", "σ")).lower()
             lo = 0
             while lo < len(part):
                 hi = part.find(" ", lo + PIECE)
                 hi = len(part) if hi < 0 else hi
-                if odd:
-                    signs = part[lo:hi].translate(self.signs)  # as long as the part
-                    yield [part[lo + w.start():lo + w.end()] for w in WORDS.finditer(signs)]
-                else:
-                    yield WORDS.findall(part, lo, hi)
+                some = part[lo:hi]
+                yield [c for c in SPACES.split(some) if c] if odd else some.split()
                 lo = hi
             if m:
                 yield self.special[m.group()]
                 at = m.end()
 
+    def words(self, chunk: str) -> list[str]:
+        if chunk.isascii() or self.odd.isdisjoint(chunk):
+            return [chunk] if chunk.isalpha() else WORDS.findall(chunk)
+        return [chunk[w.start():w.end()] for w in WORDS.finditer(chunk.translate(self.signs))]
+
+
+def gathered(at: np.ndarray, starts: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists ``flat[starts[i]:starts[i + 1]]`` of all i in ``at``, one after
+    the other, and where each of them begins (and the last ends)."""
+    begins = starts[at]
+    ends = np.zeros(len(at) + 1, np.int64)
+    np.cumsum(starts[at + 1] - begins, out=ends[1:])
+    return flat[np.repeat(begins - ends[:-1], np.diff(ends)) + np.arange(ends[-1])], ends
+
 
 class Vocabulary:
     """Merges, symbols and token strings of a tokenizer file, as arrays.
 
-    ``pairs`` (left id * 2^32 + right id, in rank order) and ``made`` (id of the
+    ``pairs`` (left id * 2^20 + right id, in rank order) and ``made`` (id of the
     merged token); ``inner`` and ``last``: id of each byte inside and at the end
     of a word; ``strings``: token string of each id; ``split``: the splitter.
     """
@@ -135,7 +154,8 @@ class Vocabulary:
     def __init__(self, pairs, made, inner, last, strings: list[str], split: Splitter):
         self.pairs, self.made, self.inner, self.last = pairs, made, inner, last
         self.strings, self.split = strings, split
-        self.rank = {p: (r, m) for r, (p, m) in enumerate(zip(pairs.tolist(), made.tolist()))}
+        # a merge as one number, which sorts by rank (from 1) and names the merged token
+        self.merge = {p: (r << ID_BITS) + m for r, (p, m) in enumerate(zip(pairs.tolist(), made.tolist()), 1)}
         self.starts, self.ends = inner.tolist(), last.tolist()
 
     @classmethod
@@ -147,7 +167,7 @@ class Vocabulary:
         known = (norm == ["NFC", "Replace", "Lowercase"] and t["normalizer"]["normalizers"][1] == {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
                  and split["pattern"] == {"Regex": SPLIT} and split["behavior"] == "Removed" and split["invert"]
                  and level["type"] == "ByteLevel" and not level["add_prefix_space"] and not level["use_regex"]
-                 and model["type"] == "BPE" and not model["dropout"] and not model["ignore_merges"] and t["decoder"] is None
+                 and model["type"] == "BPE" and not model["dropout"] and not model["ignore_merges"] and t["decoder"] is None and len(model["vocab"]) < 1 << ID_BITS - 1
                  and not any(a["single_word"] or a["lstrip"] or a["rstrip"] or a["normalized"] for a in t["added_tokens"]))
         if not known:
             raise ValueError(f"{path}: its settings are not those that this module encodes by")
@@ -158,27 +178,42 @@ class Vocabulary:
             strings[i] = s
         signs = byte_symbols()
         two = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        return cls(np.array([(ids[a] << 32) + ids[b] for a, b in two], np.int64), np.array([ids[a + b] for a, b in two], np.int32),
+        return cls(np.array([(ids[a] << ID_BITS) + ids[b] for a, b in two], np.int64), np.array([ids[a + b] for a, b in two], np.int32),
                    np.array([ids[s] for s in signs], np.int32), np.array([ids[s + end] for s in signs], np.int32), strings, Splitter(special, *unicode_differences()))
 
     def merged(self, word: bytes) -> list[int]:
         """Ids of a word: merges by rank, leftmost first among equals."""
         ids = [self.starts[b] for b in word]
         ids[-1] = self.ends[word[-1]]
-        n, rank = len(ids), self.rank
+        if len(ids) > SHORT:
+            return self._merged_by_heap(ids)
+        get = self.merge.get
+        found = [get((a << ID_BITS) + b, NO_MERGE) for a, b in zip(ids, ids[1:])]
+        while found and (best := min(found)) < NO_MERGE:
+            i = found.index(best)
+            ids[i] = best & ((1 << ID_BITS) - 1)
+            del ids[i + 1], found[i]
+            if i:
+                found[i - 1] = get((ids[i - 1] << ID_BITS) + ids[i], NO_MERGE)
+            if i < len(found):
+                found[i] = get((ids[i] << ID_BITS) + ids[i + 1], NO_MERGE)
+        return ids
+
+    def _merged_by_heap(self, ids: list[int]) -> list[int]:
+        n, merge = len(ids), self.merge
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(*rank[p], i) for i in range(n - 1) if (p := (ids[i] << 32) + ids[i + 1]) in rank]
+        heap = [(m, i) for i in range(n - 1) if (m := merge.get((ids[i] << ID_BITS) + ids[i + 1]))]
         heapq.heapify(heap)
         while heap:
-            _, made, i = heapq.heappop(heap)
-            if ids[i] < 0 or (j := after[i]) >= n or rank.get((ids[i] << 32) + ids[j], (0, -1))[1] != made:
+            best, i = heapq.heappop(heap)
+            if ids[i] < 0 or (j := after[i]) >= n or merge.get((ids[i] << ID_BITS) + ids[j]) != best:
                 continue  # one of the two is merged already
-            ids[i], ids[j], after[i] = made, -1, after[j]
+            ids[i], ids[j], after[i] = best & ((1 << ID_BITS) - 1), -1, after[j]
             if after[i] < n:
                 before[after[i]] = i
             for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b < n and (p := (ids[a] << 32) + ids[b]) in rank:
-                    heapq.heappush(heap, (*rank[p], a))
+                if a >= 0 and b < n and (m := merge.get((ids[a] << ID_BITS) + ids[b])):
+                    heapq.heappush(heap, (m, a))
         return [x for x in ids if x >= 0]
 
     def decoded(self, ids: Iterable[int]) -> str:
@@ -306,27 +341,41 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
         self.vocabulary, self.lexicon, self.held = vocabulary, lexicon, {}
 
-    def lists(self, words: Iterable[str]) -> dict[str, array]:
-        """Ids of each different word."""
-        words = list(words)
+    def merged(self, word: bytes) -> list[int]:
+        if word in self.held:
+            return self.held[word]
+        ids = self.vocabulary.merged(word)
+        if len(word) <= 64:
+            if len(self.held) >= HELD:
+                self.held.clear()
+            self.held[word] = ids
+        return ids
+
+    def lists(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks, one after the other, and where each chunk's begin."""
+        words: dict[str, int] = {}  # every different word and its place among them
+        of_chunk, ends = [], [0]
+        for c in chunks:
+            of_chunk += [words.setdefault(w, len(words)) for w in self.vocabulary.split.words(c)]
+            ends.append(len(of_chunk))
         raw = [w.encode() for w in words]
-        starts, ids, out = self.lexicon.starts, self.lexicon.ids, {}
-        for word, b, at in zip(words, raw, self.lexicon.places(raw).tolist()):
-            if at >= 0:
-                out[word] = array("I", ids[starts[at]:starts[at + 1]].astype(np.uint32).tobytes())
-            elif word in self.held:
-                out[word] = self.held[word]
-            else:
-                out[word] = array("I", self.vocabulary.merged(b))
-                if len(b) <= 64:
-                    if len(self.held) >= HELD:
-                        self.held.clear()
-                    self.held[word] = out[word]
-        return out
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[int, array]]:
+        places, lexicon, new = self.lexicon.places(raw), self.lexicon, []
+        begins = np.zeros((len(raw) + 1), np.int64)
+        lengths = np.where(places >= 0, lexicon.starts[places + 1] - lexicon.starts[places], 0)
+        for i in np.flatnonzero(places < 0).tolist():
+            new.append(self.merged(raw[i]))
+            lengths[i] = len(new[-1])
+        np.cumsum(lengths, out=begins[1:])
+        known = np.repeat(places >= 0, lengths)
+        ids = np.empty(begins[-1], np.uint32)
+        ids[known] = gathered(places[places >= 0], lexicon.starts, lexicon.ids)[0]
+        ids[~known] = np.fromiter((x for part in new for x in part), np.uint32, int((~known).sum()))
+        flat, at = gathered(np.array(of_chunk, np.int64), begins, ids)
+        return flat, at[np.array(ends)]
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[int, np.ndarray]]:
         """(place of a text, ids of a stretch of it), in order. Texts are taken
-        together until there are ``PIECE / 4`` words; a long one comes in several runs."""
+        together until there are ``PIECE / 4`` chunks; a long one comes in several runs."""
         some: list[tuple[int, list]] = []
         size = 0
         for i, text in enumerate(texts):
@@ -338,16 +387,14 @@ class Encoder:
                     some, size = [], 0
         yield from self._runs(some)
 
-    def _runs(self, some: list) -> Iterator[tuple[int, array]]:
-        known = self.lists({w for _, p in some if not isinstance(p, int) for w in p})
+    def _runs(self, some: list) -> Iterator[tuple[int, np.ndarray]]:
+        chunks = {c: k for k, c in enumerate({c for _, p in some if not isinstance(p, int) for c in p})}
+        flat, starts = self.lists(list(chunks))
         for i, piece in some:
-            run = array("I")
             if isinstance(piece, int):
-                run.append(piece)
+                yield i, np.array([piece], np.uint32)
             else:
-                for w in piece:
-                    run += known[w]
-            yield i, run
+                yield i, gathered(np.fromiter(map(chunks.__getitem__, piece), np.int64, len(piece)), starts, flat)[0]
 
 
 def count_words(split: Splitter, docs: DataFrame) -> DataFrame:
@@ -356,7 +403,11 @@ def count_words(split: Splitter, docs: DataFrame) -> DataFrame:
         held: Counter = Counter()
 
         def told():
-            return pa.record_batch([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
+            words: Counter = Counter()
+            for chunk, n in held.items():
+                for w in split.words(chunk):
+                    words[w] += n
+            return pa.record_batch([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["word", "n"])
 
         for b in batches:
             for text in b.column(0).to_pylist():
@@ -414,7 +465,7 @@ def encode_documents(spark: SparkSession, docs: DataFrame, tokenizer: str, most:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, ids, vocabulary in _encoded(name, batches):
-            flat = [[t for run in runs for t in run] for runs in ids]
+            flat = [[t for run in runs for t in run.tolist()] for runs in ids]
             yield pa.record_batch([part, pa.array(flat, pa.list_(pa.int32())), pa.array(map(vocabulary.decoded, flat), pa.string())],
                                   names=["doc_id", "ids", "decoded"])
 
@@ -425,14 +476,14 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def _encoded(name: str, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[list[array]], Vocabulary]]:
+def _encoded(name: str, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[list[np.ndarray]], Vocabulary]]:
     """doc_ids, ids in runs and the vocabulary, for some texts at a time."""
     vocabulary, lexicon = mapped(SparkFiles.get(name))
     encoder = Encoder(vocabulary, lexicon)
     for b in batches:
         for lo in range(0, b.num_rows, 256):
             part = b.slice(lo, 256)
-            ids: list[list[array]] = [[] for _ in range(part.num_rows)]
+            ids: list[list[np.ndarray]] = [[] for _ in range(part.num_rows)]
             for i, run in encoder.encode(part.column(1).to_pylist()):
                 ids[i].append(run)
             yield part.column(0), ids, vocabulary
@@ -461,9 +512,9 @@ def digests(spark: SparkSession, docs: DataFrame, tokenizer: str, most: int = LE
             for runs in ids:
                 of_ids, of_text, first = hashlib.sha256(), hashlib.sha256(), True
                 for run in runs:
-                    if run:
-                        of_ids.update(np.array(run, "<u4").tobytes())
-                        of_text.update((b"" if first else b" ") + vocabulary.decoded(run).encode())
+                    if len(run):
+                        of_ids.update(run.astype("<u4").tobytes())
+                        of_text.update((b"" if first else b" ") + vocabulary.decoded(run.tolist()).encode())
                         first = False
                 rows.append((sum(map(len, runs)), of_ids.hexdigest(), of_text.hexdigest()))
             n, a, t = zip(*rows)
