@@ -1,6 +1,6 @@
 """The operators' queries and, where SQL can express them, their SQL."""
 
-from tidepool.llm import bpe, decontamination, exact_dedup, filter_audit, jaccard_join, language_id, line_dedup, mixing, pii, repeated_bytes, sharding, url_filter
+from tidepool.llm import bpe, decontamination, exact_dedup, filter_audit, hard_negatives, jaccard_join, language_id, line_dedup, mixing, pii, repeated_bytes, sharding, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -15,6 +15,7 @@ QUERIES = {
     "op10_repeated_bytes": repeated_bytes.op10_repeated_bytes,
     "op11_filter_audit": filter_audit.op11_filter_audit,
     "op12_bpe": bpe.op12_bpe,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 ORACLE = {
     "op1_url_filter": url_filter.OP1_SQL,
@@ -22,4 +23,5 @@ ORACLE = {
     "op5_jaccard_join": jaccard_join.OP5_SQL,
     "op6_exact_dedup": exact_dedup.OP6_SQL,
     "op11_filter_audit": filter_audit.OP11_SQL,
+    "op13_hard_negatives": hard_negatives.OP13_SQL,
 }
