@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidepool.sinks.writers import upsert_batch_writer
 from tidepool.sources.text import stream_lines_with_origin
 from tidepool.streaming.runner import read_staged, run_append, scratch
-from tidepool.streaming.stateful import JumpProcessor, run_ordered
+from tidepool.streaming.stateful import flat_map_with_state, jump
 from tidepool.streaming.windows import stream_window_agg
 
 
@@ -47,8 +47,8 @@ def test_stateful_processor_survives_restart(spark):
 
     def run():
         sdf = read_staged(spark, f"{base}/in", schema)
-        out = run_ordered(sdf, "user_id", "ts", "event_id", ["value"], JumpProcessor(40.0),
-                          "user_id long, event_id long, prev_value double, value double")
+        out = flat_map_with_state(sdf, "user_id", "ts", "event_id", {"value": "double"}, jump(40.0), "value double",
+                                  "event_id long, prev_value double, value double")
         run_append(out, f"{base}/out", f"{base}/ckpt")
 
     run()
@@ -118,8 +118,8 @@ def test_buffered_processor_orders_late_rows(spark):
                               (3, 1, b + timedelta(seconds=40), 101.0)])
     _stage(spark, base, "c", [(4, 1, b + timedelta(seconds=90), 0.0)])
     sdf = read_staged(spark, f"{base}/in", schema)
-    out = run_ordered(sdf, "user_id", "ts", "event_id", ["value"], JumpProcessor(40.0),
-                      "user_id long, event_id long, prev_value double, value double", delay_s=10)
+    out = flat_map_with_state(sdf, "user_id", "ts", "event_id", {"value": "double"}, jump(40.0), "value double",
+                              "event_id long, prev_value double, value double", delay_s=10)
     run_append(out, f"{base}/out", f"{base}/ckpt")
     got = sorted((r.event_id, r.prev_value, r.value) for r in spark.read.parquet(f"{base}/out").collect())
     # event order 0 (10) -> 1 (55) -> 2 (100) -> 3 (101): jumps at 1 and 2; row 4 is past the watermark

@@ -3,15 +3,18 @@
 Each pattern is declarative: per-key event order comes from the skew-safe
 ``keyed_scan`` (previous/next row, running aggregates, row index), or from
 plain grouped aggregates where the contract only needs first/last events.
+``sequence`` is the general form; PAT-1 to PAT-4 are sequences.
 Streaming forms live in ``tidepool.streaming``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.operators.sequence import keyed_scan, shifted
+from tidepool.operators.sequence import deal, dealt_scan, keyed_scan
 
 US = 1_000_000
 
@@ -20,6 +23,79 @@ def _with_t(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumn("t_us", F.unix_micros(F.col(ts)))
 
 
+@dataclass(frozen=True)
+class Step:
+    """One step of a sequence: rows where ``where`` holds. ``strict``: it must be
+    the very next row of the key (else the attempt is given up without a result);
+    otherwise rows that don't fit are passed over."""
+
+    name: str
+    where: Column
+    strict: bool = False
+
+
+def sequence(df: DataFrame, keys: list[str], order: list[str], ts: str, steps: list[Step], within_s: int,
+             keep: list[str]) -> DataFrame:
+    """PAT-2 / UDF-10: general sequence of steps per key.
+
+    Every row that fits the first step starts an attempt. Each later step takes
+    the next row of the key that fits it. The attempt is ``matched`` when its
+    last step comes less than ``within_s`` after its first, and a ``timeout``
+    when time runs out before (or the input ends). Strict steps that the next
+    row misses in time end the attempt without a row.
+
+    Output: keys, ``status`` and one struct per step, named after it, with the
+    columns ``keep`` of its row (NULL for steps that a timeout did not reach).
+
+    Backwards from the last step, one suffix scan per step carries the rest of
+    the chain along, so a hot key stays split into time buckets, no row is
+    copied per attempt, and all scans share one shuffle of the rows.
+    """
+    names = [s.name for s in steps]
+    if len(steps) < 2 or len(set(names)) != len(names):
+        raise ValueError("a sequence needs two steps or more, with different names")
+    needed = list(dict.fromkeys([*keys, *order, ts, *keep]))
+    marked = df.select(*needed, F.unix_micros(F.col(ts)).alias("__t"),
+                       *[F.coalesce(s.where, F.lit(False)).alias(f"__fits_{i}") for i, s in enumerate(steps)])
+    d = deal(marked, keys, ts)
+    place = [F.col(c).alias(f"o{i}") for i, c in enumerate(order)]  # first fields: a minimum is the next row
+    for i in range(len(steps) - 1, 0, -1):
+        row = [*place, F.col("__t").alias("t"), F.col(f"__fits_{i}").alias("fits"), F.struct(*keep).alias("row")]
+        if i < len(steps) - 1:
+            row.append(F.col(f"__after_{i}").alias("after"))
+        d = d.withColumn("__step", F.struct(*row))
+        if steps[i].strict:
+            d = dealt_scan(d, keys, order, nxt=["__step"]).withColumnRenamed("next___step", f"__after_{i - 1}")
+        else:
+            d = dealt_scan(d, keys, order, reverse=True, exclusive=True,
+                           running={f"__after_{i - 1}": ("min", F.when(F.col(f"__fits_{i}"), F.col("__step")))})
+        d = d.drop("__step", *([f"__after_{i}"] if i < len(steps) - 1 else []))
+    return _judged(d.where("__fits_0"), keys, steps, within_s, keep)
+
+
+def _judged(starts: DataFrame, keys: list[str], steps: list[Step], within_s: int, keep: list[str]) -> DataFrame:
+    """Follow each attempt's chain: steps in time, given up, timed out."""
+    chain, going, given_up = F.col("__after_0"), F.lit(True), F.lit(False)
+    shown = [F.struct(*keep).alias(steps[0].name)]
+    for i, step in enumerate(steps[1:], 1):
+        in_time = chain["t"].isNotNull() & (chain["t"] - F.col("__t") < within_s * US)
+        if step.strict:
+            given_up = given_up | (going & in_time & ~chain["fits"])
+        going = going & in_time & chain["fits"]
+        shown.append(F.when(going, chain["row"]).alias(step.name))
+        chain = chain["after"] if i < len(steps) - 1 else None
+    status = F.when(going, "matched").otherwise("timeout")
+    return (starts.select(*keys, status.alias("status"), *shown, F.coalesce(given_up, F.lit(False)).alias("__given_up"))
+            .where("NOT __given_up").drop("__given_up"))
+
+
+def _span(hits: DataFrame, key: str, first: str, last: str, ts: str, id_col: str) -> DataFrame:
+    at = lambda step: F.floor(F.unix_micros(F.col(f"{step}.{ts}")) / 1000).cast("bigint")
+    return hits.where("status = 'matched'").select(
+        key, F.col(f"{first}.{id_col}").alias("first_event_id"), F.col(f"{last}.{id_col}").alias("last_event_id"),
+        at(first).alias("first_fail_ms"), at(last).alias("last_fail_ms"))
+
+
 def adjacent_pair(df: DataFrame, key: str, order: list[str], ts: str, type_col: str,
                   first: str, second: str, within_s: int, id_col: str = "event_id") -> DataFrame:
     """PAT-1 / PAT-2: a ``second`` event whose immediately preceding event of the
@@ -27,51 +103,32 @@ def adjacent_pair(df: DataFrame, key: str, order: list[str], ts: str, type_col:
 
     Output: key, first/last ids, first/last times (epoch ms).
     """
-    s = keyed_scan(_with_t(df, ts), [key], order, ts, prev=[type_col, "t_us", id_col])
-    hit = s.where((F.col(type_col) == second) & (F.col(f"prev_{type_col}") == first)
-                  & (F.col("t_us") - F.col("prev_t_us") < within_s * US))
-    return hit.select(key, F.col(f"prev_{id_col}").alias("first_event_id"),
-                      F.col(id_col).alias("last_event_id"),
-                      F.floor(F.col("prev_t_us") / 1000).cast("bigint").alias("first_fail_ms"),
-                      F.floor(F.col("t_us") / 1000).cast("bigint").alias("last_fail_ms"))
+    steps = [Step("first", F.col(type_col) == first), Step("last", F.col(type_col) == second, strict=True)]
+    return _span(sequence(df, [key], order, ts, steps, within_s, [id_col, ts]), key, "first", "last", ts, id_col)
 
 
 def n_in_a_row(df: DataFrame, key: str, order: list[str], ts: str, type_col: str, kind: str,
                n: int, within_s: int, id_col: str = "event_id") -> DataFrame:
     """PAT-3: ``n`` consecutive ``kind`` events of a key (nothing else between)
-    spanning less than ``within_s``; one row per completing event.
-
-    Row index + running count of other events; the row ``n-1`` positions back
-    comes from an equi-join on ``(key, index)``.
-    """
-    other = F.when(F.col(type_col) == kind, 0).otherwise(1)
-    s = keyed_scan(_with_t(df, ts), [key], order, ts, index="row_no",
-                   running={"n_other": ("sum", other)})
-    back = shifted(s, [key], "row_no", ["t_us", id_col, "n_other", type_col], n - 1, "b_")
-    hit = back.where((F.col(type_col) == kind) & (F.col(f"b_{type_col}") == kind)
-                     & (F.col("n_other") == F.col("b_n_other"))
-                     & (F.col("t_us") - F.col("b_t_us") < within_s * US))
-    return hit.select(key, F.col(f"b_{id_col}").alias("first_event_id"),
-                      F.col(id_col).alias("last_event_id"),
-                      F.floor(F.col("b_t_us") / 1000).cast("bigint").alias("first_fail_ms"),
-                      F.floor(F.col("t_us") / 1000).cast("bigint").alias("last_fail_ms"))
+    spanning less than ``within_s``; one row per completing event."""
+    if n == 1:
+        one = df.where(F.col(type_col) == kind).select(key, F.struct(id_col, ts).alias("s"), F.lit("matched").alias("status"))
+        return _span(one, key, "s", "s", ts, id_col)
+    steps = [Step(f"s{i}", F.col(type_col) == kind, strict=i > 0) for i in range(n)]
+    return _span(sequence(df, [key], order, ts, steps, within_s, [id_col, ts]), key, "s0", f"s{n - 1}", ts, id_col)
 
 
 def followed_by_within(df: DataFrame, keys: list[str], order: list[str], ts: str,
-                       type_col: str, start: str, end: str, within_s: int) -> DataFrame:
+                       type_col: str, start: str, end: str, within_s: int, keep: list[str]) -> DataFrame:
     """PAT-4: relaxed sequence ``start`` ... ``end`` within a time limit.
 
     Every ``start`` row is judged against the earliest later ``end`` row of the
-    key (a suffix minimum from a reverse scan): matched when it comes less than
-    ``within_s`` later, otherwise timed out. ``end`` rows without a start give
-    nothing. Adds ``next_end_us`` and ``matched``; returns start rows only.
+    key: ``matched`` when it comes less than ``within_s`` later, otherwise a
+    ``timeout``. ``end`` rows without a start give nothing. Output: keys,
+    ``status``, structs ``start`` and ``end`` with the columns ``keep``.
     """
-    d = _with_t(df, ts)
-    s = keyed_scan(d, keys, order, ts, reverse=True,
-                   running={"next_end_us": ("min", F.when(F.col(type_col) == end, F.col("t_us")))})
-    s = s.where(F.col(type_col) == start)
-    return s.withColumn("matched", F.col("next_end_us").isNotNull()
-                        & (F.col("next_end_us") - F.col("t_us") < within_s * US))
+    steps = [Step("start", F.col(type_col) == start), Step("end", F.col(type_col) == end)]
+    return sequence(df, keys, order, ts, steps, within_s, keep)
 
 
 def first_events(df: DataFrame, keys: list[str], ts: str, type_col: str, kinds: list[str],
@@ -145,18 +202,18 @@ def rising_alert(df: DataFrame, key: str, order: list[str], ts: str, value: str,
     nor cancel. One alert per run, at first rise + duration, when the next drop
     comes strictly later (or never).
     """
-    d = _with_t(df, ts)
-    s = keyed_scan(d, [key], order, ts, prev=[value])
+    d = deal(_with_t(df.select(*dict.fromkeys([key, *order, ts, value])), ts), [key], ts)
+    s = dealt_scan(d, [key], order, prev=[value])
     pv = F.col(f"prev_{value}")
     s = (s.withColumn("_drop", F.when(pv.isNull() | (F.col(value) < pv), 1).otherwise(0))
-          .withColumn("_rise", F.col(value) > pv))
-    r = keyed_scan(s, [key], order, ts, running={"run_id": ("sum", F.col("_drop"))})
-    runs = r.groupBy(key, "run_id").agg(F.min("t_us").alias("run_start"),
-                                        F.min(F.when(F.col("_rise"), F.col("t_us"))).alias("first_rise"))
-    nxt = runs.select(key, (F.col("run_id") - 1).alias("run_id"), F.col("run_start").alias("next_start"))
-    j = runs.join(nxt, on=[key, "run_id"], how="left")
+          .withColumn("_rise", F.when(F.col(value) > pv, F.col("t_us"))))
+    r = dealt_scan(s, [key], order, running={"run_id": ("sum", F.col("_drop"))})
+    # a run is long or short: combined per task, then one row a run
+    runs = r.groupBy(key, "run_id").agg(F.min("t_us").alias("run_start"), F.min("_rise").alias("first_rise"))
+    runs = runs.withColumn("_at", F.timestamp_micros("run_start"))
+    j = keyed_scan(runs, [key], ["_at", "run_id"], "_at", nxt=["run_start"])
     lim = F.col("first_rise") + duration_s * US
     return (j.where(F.col("first_rise").isNotNull()
-                    & (F.col("next_start").isNull() | (F.col("next_start") > lim)))
+                    & (F.col("next_run_start").isNull() | (F.col("next_run_start") > lim)))
              .select(key, F.floor(F.col("first_rise") / 1000).cast("bigint").alias("rise_start_ms"),
                      F.floor(lim / 1000).cast("bigint").alias("alert_ms")))

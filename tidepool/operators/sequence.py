@@ -7,14 +7,17 @@ large share of the data.
 
 ``keyed_scan`` splits each key into time buckets of ``split_seconds``:
 
-1. local window functions run per ``(key, bucket)`` (one hash shuffle);
-2. a per-``(key, bucket)`` summary is computed from the input with partial
-   aggregation (a small shuffle) and turned into a carry by a window over the
-   *summary* (one row per bucket, so a hot key contributes only #buckets rows);
+1. rows are dealt to ``(key, bucket)`` by one hash shuffle (``deal``), and local
+   window functions run there;
+2. a per-``(key, bucket)`` summary is aggregated where the rows lie, from the same
+   shuffle (it is reused, so the input is read once), and turned into a carry by a
+   window over the *summary* (one row per bucket, so a hot key contributes only
+   #buckets rows);
 3. the carry is joined back on ``(key, bucket)`` — the big side is already
    partitioned on those columns, only the carry moves.
 
-Results are exact; nothing is sampled or capped.
+Scans of scans (``dealt_scan`` on its own result) stay on that one shuffle of the
+rows. Results are exact; nothing is sampled or capped.
 """
 
 from __future__ import annotations
@@ -37,11 +40,25 @@ def _ord(cols: list[str], reverse: bool) -> list[Column]:
     return [F.col(c).desc() if reverse else F.col(c).asc() for c in cols]
 
 
+def deal(df: DataFrame, keys: list[str], ts: str, split_seconds: int = DEFAULT_SPLIT_SECONDS) -> DataFrame:
+    """``df`` shuffled to ``(keys, __ks_b)``, the time buckets.
+
+    The other columns travel as one struct that is opened behind the shuffle by
+    a generator. Column pruning does not reach through it, so every use of the
+    result has the same shuffle below it and Spark runs that shuffle once. Pass
+    only the columns that are needed.
+    """
+    rest = [F.col(c) for c in df.columns if c not in keys] or [F.lit(0).alias("__ks_none")]
+    packed = df.select(*keys, bucket_col(ts, split_seconds).alias("__ks_b"), F.struct(*rest).alias("__ks_row"))
+    opened = packed.repartition(*keys, "__ks_b").select(*keys, "__ks_b", F.inline(F.array("__ks_row")))
+    return opened.select(*df.columns, "__ks_b")
+
+
 def keyed_scan(df: DataFrame, keys: list[str], order: list[str], ts: str, *,
                running: dict[str, tuple[str, Column]] | None = None,
                prev: list[str] | None = None, nxt: list[str] | None = None,
                key_first: list[str] | None = None, index: str | None = None,
-               reverse: bool = False,
+               reverse: bool = False, exclusive: bool = False,
                split_seconds: int = DEFAULT_SPLIT_SECONDS) -> DataFrame:
     """Add per-key scan columns to ``df`` in the order given by ``order``.
 
@@ -50,17 +67,27 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], ts: str, *,
     with a NULL key are a key of their own; NULL times come first.
 
     * ``running``: ``{out: (kind, expr)}`` with kind ``sum``/``min``/``max`` —
-      inclusive running aggregate from the key's first row (or, with
-      ``reverse=True``, from its last row backwards: a suffix aggregate).
+      running aggregate from the key's first row (or, with ``reverse=True``,
+      from its last row backwards: a suffix aggregate), up to and including the
+      row, or with ``exclusive=True`` up to the row before it.
     * ``prev`` / ``nxt``: columns ``c`` -> ``prev_c`` / ``next_c`` (NULL at the
       key's first / last row).
     * ``key_first``: columns ``c`` -> ``first_c`` (value at the key's first row).
     * ``index``: 1-based row number within the key (forward order).
     """
+    return dealt_scan(deal(df, keys, ts, split_seconds), keys, order, running=running, prev=prev, nxt=nxt,
+                      key_first=key_first, index=index, reverse=reverse, exclusive=exclusive).drop("__ks_b")
+
+
+def dealt_scan(base: DataFrame, keys: list[str], order: list[str], *,
+               running: dict[str, tuple[str, Column]] | None = None,
+               prev: list[str] | None = None, nxt: list[str] | None = None,
+               key_first: list[str] | None = None, index: str | None = None,
+               reverse: bool = False, exclusive: bool = False) -> DataFrame:
+    """``keyed_scan`` on rows that ``deal`` has dealt; they stay dealt."""
     running = dict(running or {})
     prev, nxt, key_first = list(prev or []), list(nxt or []), list(key_first or [])
     kb = keys + ["__ks_b"]
-    base = df.withColumn("__ks_b", bucket_col(ts, split_seconds))
     for name, (_, expr) in running.items():
         base = base.withColumn(f"__ks_v_{name}", expr)
     if index:
@@ -69,7 +96,7 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], ts: str, *,
 
     # 1. local pass per (key, bucket)
     wf = Window.partitionBy(*kb).orderBy(*_ord(order, False))
-    wd = Window.partitionBy(*kb).orderBy(*_ord(order, reverse)).rowsBetween(_UNB, _CUR)
+    wd = Window.partitionBy(*kb).orderBy(*_ord(order, reverse)).rowsBetween(_UNB, -1 if exclusive else _CUR)
     loc = base
     for name, (kind, _) in running.items():
         loc = loc.withColumn(f"__ks_l_{name}", fn[kind](f"__ks_v_{name}").over(wd))
@@ -84,7 +111,7 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], ts: str, *,
     if nxt:
         loc = loc.withColumn("__ks_is_last", F.lead(F.lit(1)).over(wf).isNull())
 
-    # 2. bucket summary (partial aggregation on the input), carry across buckets
+    # 2. bucket summary (where the rows lie), carry across buckets
     order_struct = F.struct(*[F.col(c) for c in order])
     aggs = [fn[kind](f"__ks_v_{name}").alias(f"__ks_t_{name}") for name, (kind, _) in running.items()]
     if index:
@@ -95,7 +122,7 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], ts: str, *,
     if prev:
         aggs.append(F.max_by(F.struct(*prev), order_struct).alias("__ks_blast"))
     if not aggs:
-        return loc.drop("__ks_b")
+        return loc
     summ = base.groupBy(*kb).agg(*aggs)
     wk = Window.partitionBy(*keys).orderBy(F.col("__ks_b"))
     wkd = Window.partitionBy(*keys).orderBy(F.col("__ks_b").desc() if reverse else F.col("__ks_b"))
@@ -124,7 +151,7 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], ts: str, *,
     for name, (kind, _) in list(running.items()) + ([("index", ("sum", None))] if index else []):
         local, carry = F.col(f"__ks_l_{name}"), F.col(f"__ks_c_{name}")
         if kind == "sum":
-            val = F.when(carry.isNull(), local).otherwise(local + carry)
+            val = F.when(carry.isNull(), local).when(local.isNull(), carry).otherwise(local + carry)
         elif kind == "min":
             val = F.least(local, carry)
         else:
@@ -138,7 +165,7 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], ts: str, *,
                              .otherwise(F.col(f"__ks_ln_{c}")))
     for c in key_first:
         out = out.withColumn(f"first_{c}", F.col("__ks_carry_kfirst")[c])
-    return out.drop(*[c for c in out.columns if c.startswith("__ks")])
+    return out.drop(*[c for c in out.columns if c.startswith("__ks") and c != "__ks_b"])
 
 
 def shifted(df: DataFrame, keys: list[str], index: str, cols: list[str], k: int,

@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidepool.operators.patterns import (adjacent_pair, cap_per_key, followed_by_within,
+from tidepool.operators.patterns import (Step, adjacent_pair, cap_per_key, followed_by_within,
                                          jump_alert, match_orders, n_in_a_row, order_verdict,
-                                         rising_alert)
+                                         rising_alert, sequence)
 from tidepool.operators.windows import sliding_count
 from tidepool.plans.registry import register
 from tidepool.plans.sqlfrag import ITEM, US
@@ -106,9 +106,42 @@ FROM s WHERE event_type = 'click'
 def order_timeout_seq(spark, sf):
     ev = _day(load_events(spark, sf).select("event_id", "user_id", "ts", "event_type"))
     r = followed_by_within(ev, ["user_id", "day_ms"], ORDER, "ts", "event_type", "click",
-                           "purchase", ORDER_LIMIT_S)
-    return r.select("user_id", "day_ms", F.col("event_id").alias("create_event_id"),
-                    F.when(F.col("matched"), "payed successfully").otherwise("timeout").alias("result"))
+                           "purchase", ORDER_LIMIT_S, ["event_id"])
+    return r.select("user_id", "day_ms", F.col("start.event_id").alias("create_event_id"),
+                    F.when(F.col("status") == "matched", "payed successfully").otherwise("timeout").alias("result"))
+
+
+# --- PAT-2 in general: view, the next event a click, later a purchase, within the bound ----
+BUY_WITHIN_S = 24 * 3600
+_AFTER = "PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING"
+
+
+@register("browse_buy_sequence", f"""
+WITH s AS (SELECT user_id, event_id, ts, event_type, epoch_us(ts) AS t, lead(event_type) OVER ({_W}) AS et2,
+                  lead(event_id) OVER ({_W}) AS id2, lead(epoch_us(ts)) OVER ({_W}) AS t2,
+                  min(CASE WHEN event_type = 'purchase' THEN (epoch_us(ts), event_id) END) OVER ({_AFTER}) AS buy
+           FROM events),
+c AS (SELECT *, lead(buy) OVER ({_W}) AS buy2 FROM s),
+j AS (SELECT user_id, event_id AS view_id, t, id2, et2, t2 - t < {BUY_WITHIN_S * US} AS in2, buy2[2] AS id3,
+             coalesce(buy2[1] - t < {BUY_WITHIN_S * US}, FALSE) AS in3
+      FROM c WHERE event_type = 'view')
+SELECT user_id, view_id, CASE WHEN in2 THEN id2 END AS click_id, CASE WHEN in2 AND in3 THEN id3 END AS purchase_id,
+       CASE WHEN in2 AND in3 THEN 'matched' ELSE 'timeout' END AS status
+FROM j WHERE NOT coalesce(in2 AND et2 <> 'click', FALSE)
+""")
+def browse_buy_sequence(spark, sf):
+    ev = load_events(spark, sf).select("event_id", "user_id", "ts", "event_type")
+    return browse_buy(sequence(ev, ["user_id"], ORDER, "ts", browse_buy_steps(), BUY_WITHIN_S, ["event_id"]))
+
+
+def browse_buy_steps():
+    kind = F.col("event_type")
+    return [Step("view", kind == "view"), Step("click", kind == "click", strict=True), Step("purchase", kind == "purchase")]
+
+
+def browse_buy(found):
+    return found.select("user_id", F.col("view.event_id").alias("view_id"), F.col("click.event_id").alias("click_id"),
+                        F.col("purchase.event_id").alias("purchase_id"), "status")
 
 
 _FIRSTS = f"""

@@ -14,18 +14,19 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.text import ASCII_SPACE, tokenize
 from tidepool.operators.aggregates import payment_totals
-from tidepool.plans.registry import register
+from tidepool.operators.patterns import Step
+from tidepool.plans.registry import ORACLE, register
 from tidepool.sources.parse import parse_pay_result
 from tidepool.sources.tables import load_table
 from tidepool.sources.text import stream_lines
 from tidepool.plans.sqlfrag import ITEM, US, ev, sliding
 from tidepool.streaming.runner import events_stream, run_append, run_foreach_batch
-from tidepool.streaming.stateful import (ClickCapProcessor, ConsecutiveFailProcessor,
-                                         CreatePayProcessor, NInARowProcessor, RunningSumProcessor,
-                                         WindowRunningCountProcessor, CumulativeWindowProcessor,
-                                         CountWindowProcessor, EveryNthProcessor, JumpProcessor,
+from tidepool.streaming.stateful import (ClickCapProcessor, CountWindowProcessor,
+                                         CumulativeWindowProcessor, EveryNthProcessor,
                                          RisingProcessor, RollingReduceProcessor,
-                                         SlidingCountProcessor, run_ordered)
+                                         RunningSumProcessor, SlidingCountProcessor,
+                                         WindowRunningCountProcessor, flat_map_with_state, jump,
+                                         matched_span, run_ordered, sequence_stream)
 from tidepool.streaming.windows import (rank_batches, stream_uv_approx, stream_uv_exact,
                                         stream_window_agg)
 
@@ -120,12 +121,15 @@ SELECT user_id, pid AS first_event_id, event_id AS last_event_id, pts // 1000 AS
 FROM s WHERE event_type = 'error' AND pt = 'error' AND t - pts < {FAIL_WITHIN_S * US}
 """)
 def stream_login_fail(spark, sf):
-    sdf, base = events_stream(spark, sf, "login_fail")
-    out = run_ordered(sdf, "user_id", "ts", "event_id", ["event_type"],
-                      ConsecutiveFailProcessor("error", FAIL_WITHIN_S),
-                      "user_id long, first_event_id long, last_event_id long, "
-                      "first_fail_ms long, last_fail_ms long")
-    run_append(out, f"{base}/out", f"{base}/ckpt")
+    return _fails(spark, sf, "login_fail", 2, FAIL_WITHIN_S)
+
+
+def _fails(spark, sf, name, n, within_s, delay_s=0):
+    """``n`` fails in a row (a strict sequence) within the bound."""
+    sdf, base = events_stream(spark, sf, name, close={"user_id": -1} if delay_s else False, late_s=delay_s)
+    steps = [Step(f"s{i}", F.col("event_type") == "error", strict=i > 0) for i in range(n)]
+    found = sequence_stream(sdf, "user_id", "ts", "event_id", steps, within_s, delay_s)
+    run_append(matched_span(found, "user_id", "s0", f"s{n - 1}"), f"{base}/out", f"{base}/ckpt")
     return _read(spark, f"{base}/out")
 
 
@@ -138,8 +142,8 @@ WHERE abs(value - prev_value) > {JUMP}
 """)
 def stream_jump_alert(spark, sf):
     sdf, base = events_stream(spark, sf, "jump")
-    out = run_ordered(sdf, "user_id", "ts", "event_id", ["value"], JumpProcessor(JUMP),
-                      "user_id long, event_id long, prev_value double, value double")
+    out = flat_map_with_state(sdf, "user_id", "ts", "event_id", {"value": "double"}, jump(JUMP), "value double",
+                              "event_id long, prev_value double, value double")
     run_append(out, f"{base}/out", f"{base}/ckpt")
     return _read(spark, f"{base}/out")
 
@@ -568,10 +572,22 @@ def stream_order_timeout_seq(spark, sf):
     sdf, base = events_stream(spark, sf, "order_timeout",
                               where=F.col("event_type").isin("click", "purchase"), close=True)
     sdf = sdf.withColumn("day_ms", F.unix_millis(F.date_trunc("day", "ts")))
-    out = run_ordered(sdf, ["user_id", "day_ms"], "ts", "event_id", ["event_type"],
-                      CreatePayProcessor("click", "purchase", ORDER_LIMIT_S),
-                      "user_id long, day_ms long, create_event_id long, result string")
-    run_append(out, f"{base}/out", f"{base}/ckpt")
+    steps = [Step("create", F.col("event_type") == "click"), Step("pay", F.col("event_type") == "purchase")]
+    found = sequence_stream(sdf, ["user_id", "day_ms"], "ts", "event_id", steps, ORDER_LIMIT_S)
+    result = F.when(F.col("status") == "matched", "payed successfully").otherwise("timeout")
+    run_append(found.select("user_id", "day_ms", F.col("create.event_id").alias("create_event_id"), result.alias("result")),
+               f"{base}/out", f"{base}/ckpt")
+    return _read(spark, f"{base}/out")
+
+
+# --- PAT-2 in general on a stream: three steps, one of them strict, and timeouts ------------------------
+@register("stream_browse_buy_sequence", ORACLE["browse_buy_sequence"])
+def stream_browse_buy_sequence(spark, sf):
+    from tidepool.plans import patterns as P
+
+    sdf, base = events_stream(spark, sf, "browse_buy", close={"user_id": -1})
+    found = sequence_stream(sdf, "user_id", "ts", "event_id", P.browse_buy_steps(), P.BUY_WITHIN_S)
+    run_append(P.browse_buy(found), f"{base}/out", f"{base}/ckpt")
     return _read(spark, f"{base}/out")
 
 
@@ -623,9 +639,7 @@ SELECT user_id, id0 AS first_event_id, event_id AS last_event_id, t0 // 1000 AS
 FROM s WHERE nf = 3 AND t0 IS NOT NULL AND t - t0 < {48 * 3600 * US}
 """)
 def stream_n_failures(spark, sf):
-    return _ordered(spark, sf, "n_failures", NInARowProcessor("error", 3, 48 * 3600),
-                    "user_id long, first_event_id long, last_event_id long, first_fail_ms long, "
-                    "last_fail_ms long", payload=("event_type",))
+    return _fails(spark, sf, "n_failures", 3, 48 * 3600)
 
 
 # --- AGG-7 on a stream: running sum per event --------------------------------------------------------------
@@ -745,12 +759,7 @@ def stream_pv_hourly_late(spark, sf):
 
 @register("stream_login_fail_late", _same_as("stream_login_fail"))
 def stream_login_fail_late(spark, sf):
-    sdf, base = events_stream(spark, sf, "login_fail_late", close={"user_id": -1}, late_s=LATE_S["login"])
-    out = run_ordered(sdf, "user_id", "ts", "event_id", ["event_type"], ConsecutiveFailProcessor("error", FAIL_WITHIN_S),
-                      "user_id long, first_event_id long, last_event_id long, first_fail_ms long, "
-                      "last_fail_ms long", delay_s=LATE_S["login"])
-    run_append(out, f"{base}/out", f"{base}/ckpt")
-    return _read(spark, f"{base}/out")
+    return _fails(spark, sf, "login_fail_late", 2, FAIL_WITHIN_S, LATE_S["login"])
 
 
 @register("stream_rolling_sum_late", _same_as("stream_rolling_sum"))
@@ -776,7 +785,4 @@ def stream_pv_early(spark, sf):
 def stream_login_fail_seq(spark, sf):
     from tidepool.plans import patterns as P
 
-    out = _ordered(spark, sf, "login_fail_seq", ConsecutiveFailProcessor("error", P.SEQ_WITHIN_S),
-                   "user_id long, first_event_id long, last_event_id long, first_fail_ms long, last_fail_ms long",
-                   payload=("event_type",))
-    return out.withColumn("msg", F.lit(P.MSG_LOGIN_SEQ))
+    return _fails(spark, sf, "login_fail_seq", 2, P.SEQ_WITHIN_S).withColumn("msg", F.lit(P.MSG_LOGIN_SEQ))

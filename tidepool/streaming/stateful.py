@@ -1,32 +1,50 @@
-"""Event-ordered keyed state machines on streams (PAT-1, PAT-7, PAT-8, ...).
+"""Event-ordered keyed state machines on streams (PAT-1..9, count windows, ...).
 
 Within a micro-batch the rows of a key arrive unordered and may be late by up
 to the watermark delay. With a delay, ``OrderedKeyProcessor`` buffers rows in
 list state and registers an event-time timer per key and batch; when the
 watermark passes, the buffered rows older than it are released sorted by
 ``(ts_us, id)`` through ``step`` — a small per-row function over a carried
-state tuple. With delay 0 (ascending event time) no row older than the
-watermark can arrive later, so each batch is sorted and stepped directly
-(equal timestamps split across batches are taken in arrival order).
-State survives restarts with the query checkpoint.
+state. With delay 0 (ascending event time) no row older than the watermark can
+arrive later, so each batch is sorted and stepped directly (equal timestamps
+split across batches are taken in arrival order). State survives restarts with
+the query checkpoint. NULLs arrive as None (a NaN counts as NULL).
+
+``flat_map_with_state`` is the same for a caller's own function, ``sequence_stream``
+for patterns of steps.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import deque, namedtuple
+from collections.abc import Callable, Iterator
 from decimal import Decimal
 from math import fsum
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidepool.operators.patterns import Step
+
+SLICE = 10_000  # rows of a key that are Python objects at the same time
+
+
+def _values(column: pd.Series, kind: str) -> list:
+    """A column's values; NULL as None, whole numbers as int."""
+    if column.dtype.kind != "f":
+        return column.tolist()
+    whole = kind in ("bigint", "long", "int")
+    return [None if v != v else int(v) if whole else v for v in column.tolist()]
+
 
 class OrderedKeyProcessor(StatefulProcessor):
     """Subclasses define ``row_fields`` (DDL of buffered payload after
     ``ts_us bigint, id bigint``), ``carry_schema`` (DDL), ``out_columns`` and
-    ``step(key, carry, row) -> (carry, [output tuples])``."""
+    ``step(key, carry, row) -> (carry, [output tuples])``. ``load`` and ``save``
+    turn the stored tuple into the working state and back, once per batch."""
 
     row_fields = ""
     carry_schema = ""
@@ -43,7 +61,14 @@ class OrderedKeyProcessor(StatefulProcessor):
             self.pending = handle.getListState("pending",
                                                f"ts_us bigint, id bigint, {self.row_fields}")
         self.carry = handle.getValueState("carry", self.carry_schema)
-        self.cols = ["ts_us", "id"] + [f.split()[0] for f in self.row_fields.split(",")]
+        fields = ["ts_us bigint", "id bigint"] + self.row_fields.split(",")
+        self.cols = [tuple(f.split()[:2]) for f in fields]
+
+    def load(self, saved):
+        return saved
+
+    def save(self, carry):
+        return carry
 
     def step(self, key, carry, row):
         raise NotImplementedError
@@ -57,105 +82,225 @@ class OrderedKeyProcessor(StatefulProcessor):
         """Event time at which ``on_watermark`` must run even without new rows."""
         return None
 
-    def _records(self, rows):
-        recs = []
-        for pdf in rows:
-            recs.extend(zip(*(pdf[c].tolist() for c in self.cols)))
-        return recs
-
-    def _finish(self, carry, out):
-        if carry is None:
+    def _opened(self):
+        """The working state and the deadline whose timer is set."""
+        carry = self.load(self.carry.get() if self.carry.exists() else None)
+        return carry, None if carry is None else self.deadline_us(carry)
+
+    def _closed(self, carry, armed: int | None) -> None:
+        """Store the state; set its timer and delete the one it replaces (with
+        buffered rows an equal time may release some of them, so it stays)."""
+        due = None if carry is None else self.deadline_us(carry)
+        saved = None if carry is None else self.save(carry)
+        if saved is None:
             self.carry.clear()
         else:
-            self.carry.update(carry)
-            d = self.deadline_us(carry)
-            if d is not None:
-                self.handle.registerTimer(d // 1000 + 1)
-        if not out:
-            return iter([])
-        return iter([pd.DataFrame(out, columns=self.out_columns)])
+            self.carry.update(saved)
+        if due != armed:
+            if armed is not None and not self.buffered:
+                self.handle.deleteTimer(armed // 1000 + 1)
+            if due is not None:
+                self.handle.registerTimer(due // 1000 + 1)
+
+    def _frame(self, out: list) -> pd.DataFrame:
+        return pd.DataFrame(out, columns=self.out_columns, dtype=object)  # None stays None, whole numbers exact
+
+    def _in_order(self, rows) -> Iterator[list[tuple]]:
+        """The batch's rows of the key by time and id, ``SLICE`` at a time."""
+        every = pd.concat(list(rows), ignore_index=True)
+        every = every.iloc[np.lexsort((every["id"].to_numpy(), every["ts_us"].to_numpy()))]
+        for lo in range(0, len(every), SLICE):
+            part = every.iloc[lo:lo + SLICE]
+            yield list(zip(*(_values(part[c], kind) for c, kind in self.cols)))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        recs = self._records(rows)
         if self.buffered:
-            self.pending.appendList(recs)
+            latest = 0
+            for pdf in rows:
+                self.pending.appendList(list(zip(*(_values(pdf[c], kind) for c, kind in self.cols))))
+                latest = max(latest, int(pdf["ts_us"].max()))
             # one timer per key and batch: when it fires every row of this batch
             # is older than the watermark and gets released (in order).
-            self.handle.registerTimer(max(r[0] for r in recs) // 1000 + 1)
-            return iter([])
-        recs.sort()
-        carry = self.carry.get() if self.carry.exists() else None
+            self.handle.registerTimer(latest // 1000 + 1)
+            return
+        carry, armed = self._opened()
         carry, out = self.on_watermark(key, carry, timerValues.getCurrentWatermarkInMs() * 1000)
-        for r in recs:
-            carry, emitted = self.step(key, carry, r)
-            out.extend(emitted)
-        return self._finish(carry, out)
+        for part in self._in_order(rows):
+            for r in part:
+                carry, emitted = self.step(key, carry, r)
+                out.extend(emitted)
+            if out:
+                yield self._frame(out)
+                out = []
+        if out:
+            yield self._frame(out)
+        self._closed(carry, armed)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         wm_us = timerValues.getCurrentWatermarkInMs() * 1000
         ready = []
         if self.buffered and self.pending.exists():
             pending = list(self.pending.get())
-            ready = sorted(r for r in pending if r[0] < wm_us)
+            ready = sorted((r for r in pending if r[0] < wm_us), key=lambda r: r[:2])
             if ready:
                 keep = [r for r in pending if r[0] >= wm_us]
                 if keep:
                     self.pending.put(keep)
                 else:
                     self.pending.clear()
-        carry = self.carry.get() if self.carry.exists() else None
+        carry, armed = self._opened()
         out = []
         for r in ready:
             carry, emitted = self.step(key, carry, r)
             out.extend(emitted)
         carry, emitted = self.on_watermark(key, carry, wm_us)
         out.extend(emitted)
-        return self._finish(carry, out)
+        if out:
+            yield self._frame(out)
+        self._closed(carry, armed)
 
     def close(self) -> None:
         pass
 
 
-class ConsecutiveFailProcessor(OrderedKeyProcessor):
-    """PAT-1: a fail right after a fail less than ``within_us`` earlier."""
+class FlatMapProcessor(OrderedKeyProcessor):
+    """UDF-8: a caller's ``fn(row, state) -> (rows, state)``. ``row`` is a named
+    tuple of ``ts_us``, ``id`` and the payload; ``state`` is None at first and
+    whenever the function returned None, else a tuple of ``state_schema``."""
 
-    row_fields = "event_type string"
-    carry_schema = "type string, ts_us bigint, id bigint"
-    out_columns = ["user_id", "first_event_id", "last_event_id", "first_fail_ms", "last_fail_ms"]
+    def __init__(self, fn: Callable, row_fields: str, state_schema: str, out_columns: list[str]):
+        self.fn, self.row_fields, self.carry_schema, self.out_columns = fn, row_fields, state_schema, out_columns
+        self.names = ["ts_us", "id", *[f.split()[0] for f in row_fields.split(",")]]
 
-    def __init__(self, fail: str, within_s: int):
-        self.fail, self.within_us = fail, within_s * 1_000_000
+    def init(self, handle):
+        super().init(handle)
+        self.row = namedtuple("row", self.names)
 
     def step(self, key, carry, row):
-        ts_us, rid, etype = row
+        rows, carry = self.fn(self.row(*row), carry)
+        return carry, [(*key, *r) for r in rows]
+
+
+def flat_map_with_state(sdf: DataFrame, key, ts: str, id_col: str, payload: dict[str, str], fn: Callable,
+                        state_schema: str, out_fields: str, delay_s: int = 0) -> DataFrame:
+    """UDF-8: rows of each key, in event order, through ``fn(row, state) -> (rows, state)``.
+
+    ``payload``: columns that the function sees, with their types; ``out_fields``:
+    DDL of a row that it returns, to which the key's columns are added.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    kinds = dict(sdf.dtypes)
+    out_names = [f.split()[0] for f in out_fields.split(",")]
+    processor = FlatMapProcessor(fn, ", ".join(f"{c} {t}" for c, t in payload.items()), state_schema, keys + out_names)
+    schema = ", ".join([f"{k} {kinds[k]}" for k in keys] + [out_fields])
+    return run_ordered(sdf, keys, ts, id_col, list(payload), processor, schema, delay_s)
+
+
+def jump(threshold: float) -> Callable:
+    """PAT-8 as a flat map: ``|value - previous| > threshold``; a NULL neither alerts nor is compared with."""
+    def fn(row, state):
+        before = state[0] if state is not None else None
+        hit = before is not None and row.value is not None and abs(row.value - before) > threshold
+        return ([(row.id, before, row.value)] if hit else []), (row.value,)
+
+    return fn
+
+
+class SequenceProcessor(OrderedKeyProcessor):
+    """PAT-2 / UDF-10: ``operators.patterns.sequence`` on a stream.
+
+    ``waiting[i]``: the attempts that wait for step i, oldest first. A row that
+    fits moves all of them on together; where it doesn't, those that wait for a
+    strict step are given up. An attempt is moved once per step, never copied.
+    """
+
+    carry_schema = "lengths array<int>, ids array<bigint>, times array<bigint>"
+
+    def __init__(self, keys: list[str], strict: list[bool], within_s: int):
+        self.strict, self.within_us, n = strict, within_s * 1_000_000, len(strict)
+        self.row_fields = ", ".join(f"fits_{i} boolean" for i in range(n))
+        self.out_columns = [*keys, "status", *[f"{c}_{i}" for i in range(n) for c in ("id", "us")]]
+
+    def load(self, saved):
+        waiting = [deque() for _ in self.strict]
+        if saved is not None:
+            lengths, ids, times = saved
+            at = 0
+            for n in lengths:
+                waiting[n].append(list(zip(ids[at:at + n], times[at:at + n])))
+                at += n
+        return waiting
+
+    def save(self, waiting):
+        attempts = [a for part in waiting for a in part]
+        if not attempts:
+            return None
+        return [len(a) for a in attempts], [i for a in attempts for i, _ in a], [t for a in attempts for _, t in a]
+
+    def _row(self, key, status, attempt):
+        reached = [x for pair in attempt for x in pair]
+        return (*key, status, *reached, *[None] * (2 * len(self.strict) - len(reached)))
+
+    def _timeouts(self, key, waiting, now_us):
         out = []
-        if (etype == self.fail and carry is not None and carry[0] == self.fail
-                and ts_us - carry[1] < self.within_us):
-            out.append((key[0], carry[2], rid, carry[1] // 1000, ts_us // 1000))
-        return (etype, ts_us, rid), out
+        for part in waiting:
+            while part and part[0][0][1] + self.within_us <= now_us:
+                out.append(self._row(key, "timeout", part.popleft()))
+        return out
+
+    def step(self, key, waiting, row):
+        ts_us, rid, fits = row[0], row[1], row[2:]
+        out = self._timeouts(key, waiting, ts_us)
+        for i in range(len(self.strict) - 1, 0, -1):
+            if fits[i]:
+                for attempt in waiting[i]:
+                    attempt.append((rid, ts_us))
+                if i == len(self.strict) - 1:
+                    out.extend(self._row(key, "matched", a) for a in waiting[i])
+                else:
+                    waiting[i + 1].extend(waiting[i])
+                waiting[i] = deque()
+            elif self.strict[i]:
+                waiting[i].clear()
+        if fits[0]:
+            waiting[1].append([(rid, ts_us)])
+        return waiting, out
 
+    def on_watermark(self, key, waiting, wm_us):
+        return waiting, self._timeouts(key, waiting, wm_us)
 
-class JumpProcessor(OrderedKeyProcessor):
-    """PAT-8: ``|value - previous| > threshold``."""
+    def deadline_us(self, waiting):
+        return min((part[0][0][1] + self.within_us for part in waiting if part), default=None)
 
-    row_fields = "value double"
-    carry_schema = "value double"
-    out_columns = ["user_id", "event_id", "prev_value", "value"]
 
-    def __init__(self, threshold: float):
-        self.threshold = threshold
+def sequence_stream(sdf: DataFrame, key, ts: str, id_col: str, steps: list[Step], within_s: int, delay_s: int = 0) -> DataFrame:
+    """Attempts as ``operators.patterns.sequence`` gives them: keys, ``status``
+    and a struct (id_col, ``us``: epoch µs) per step. Timeouts are emitted when
+    the watermark passes the attempt's time limit."""
+    keys = [key] if isinstance(key, str) else list(key)
+    kinds = dict(sdf.dtypes)
+    marked = sdf.select("*", *[F.coalesce(s.where, F.lit(False)).alias(f"fits_{i}") for i, s in enumerate(steps)])
+    schema = ", ".join([*[f"{k} {kinds[k]}" for k in keys], "status string",
+                        *[f"{c}_{i} bigint" for i in range(len(steps)) for c in ("id", "us")]])
+    out = run_ordered(marked, keys, ts, id_col, [f"fits_{i}" for i in range(len(steps))],
+                      SequenceProcessor(keys, [s.strict for s in steps], within_s), schema, delay_s)
+    return out.select(*keys, "status", *[
+        F.when(F.col(f"id_{i}").isNotNull(), F.struct(F.col(f"id_{i}").alias(id_col), F.col(f"us_{i}").alias("us"))).alias(s.name)
+        for i, s in enumerate(steps)])
 
-    def step(self, key, carry, row):
-        _, rid, v = row
-        out = []
-        if carry is not None and abs(v - carry[0]) > self.threshold:
-            out.append((key[0], rid, carry[0], v))
-        return (v,), out
+
+def matched_span(found: DataFrame, key: str, first: str, last: str, id_col: str = "event_id") -> DataFrame:
+    """Matched attempts of ``sequence_stream`` as first and last event."""
+    return found.where("status = 'matched'").select(
+        key, F.col(f"{first}.{id_col}").alias("first_event_id"), F.col(f"{last}.{id_col}").alias("last_event_id"),
+        F.floor(F.col(f"{first}.us") / 1000).cast("bigint").alias("first_fail_ms"),
+        F.floor(F.col(f"{last}.us") / 1000).cast("bigint").alias("last_fail_ms"))
 
 
 class ClickCapProcessor(OrderedKeyProcessor):
     """PAT-7: per key (user, item) and UTC day pass the first ``cap`` rows, warn once at
-    ``cap + 1``; the counter resets when the day changes."""
+    ``cap + 1``; the counter resets when the day changes and is forgotten when the
+    watermark has passed its day."""
 
     row_fields = "day_ms bigint"
     carry_schema = "day_ms bigint, n bigint"
@@ -174,6 +319,12 @@ class ClickCapProcessor(OrderedKeyProcessor):
             out.append((*key, rid, day, n, "warn"))
         return (day, n), out
 
+    def on_watermark(self, key, carry, wm_us):
+        return (None if carry is not None and self.deadline_us(carry) <= wm_us else carry), []
+
+    def deadline_us(self, carry):
+        return (carry[0] + 86_400_000) * 1000
+
 
 class RisingProcessor(OrderedKeyProcessor):
     """PAT-9: after the first rise of a run (no drop since), alert once when
@@ -196,7 +347,9 @@ class RisingProcessor(OrderedKeyProcessor):
         out = []
         if carry is not None and carry[1] is not None and ts_us > carry[1]:
             carry, out = self._fire(key, carry)
-        if carry is None or v < carry[0]:           # first row or a drop: new run
+        if v is None:                               # neither a rise nor a drop
+            return (None, *(carry[1:] if carry is not None else (None, None, False))), out
+        if carry is None or carry[0] is None or v < carry[0]:  # first row, after a NULL or a drop: new run
             return (v, None, None, False), out
         if v > carry[0] and carry[1] is None and not carry[3]:
             return (v, ts_us + self.d_us, ts_us, False), out
@@ -224,7 +377,7 @@ class CountWindowProcessor(OrderedKeyProcessor):
     def step(self, key, carry, row):
         _, _, v = row
         n, w, mn = carry if carry is not None else (0, 0, None)
-        n, mn = n + 1, v if mn is None else min(mn, v)
+        n, mn = n + 1, v if mn is None else mn if v is None else min(mn, v)
         if n == self.n:
             return (0, w + 1, None), [(key[0], w + 1, mn)]
         return (n, w, mn), []
@@ -245,7 +398,8 @@ class SlidingCountProcessor(OrderedKeyProcessor):
         _, _, v = row
         rn, last = carry if carry is not None else (0, [])
         rn, last = rn + 1, (list(last) + [v])[-self.size:]
-        out = [(key[0], rn, fsum(last))] if rn % self.slide == 0 else []
+        known = [x for x in last if x is not None]
+        out = [(key[0], rn, fsum(known) if known else None)] if rn % self.slide == 0 else []
         return (rn, last), out
 
 
@@ -281,31 +435,7 @@ class RollingReduceProcessor(OrderedKeyProcessor):
             ts_s = ts_us // 1_000_000
             return (ts_s,), [(key[0], rid, ts_s, v)]
         ts_s = carry[0] + self.step_s
-        return (ts_s,), [(key[0], rid, ts_s, v + self.bump)]
-
-
-class NInARowProcessor(OrderedKeyProcessor):
-    """PAT-3: ``n`` consecutive ``kind`` rows spanning less than ``within``;
-    the carry keeps at most the last ``n - 1`` rows of the current streak."""
-
-    row_fields = "event_type string"
-    carry_schema = "ts array<bigint>, ids array<bigint>"
-    out_columns = ["user_id", "first_event_id", "last_event_id", "first_fail_ms", "last_fail_ms"]
-
-    def __init__(self, kind: str, n: int, within_s: int):
-        self.kind, self.n, self.within_us = kind, n, within_s * 1_000_000
-
-    def step(self, key, carry, row):
-        ts_us, rid, etype = row
-        if etype != self.kind:
-            return None, []
-        ts = (list(carry[0]) if carry is not None else []) + [ts_us]
-        ids = (list(carry[1]) if carry is not None else []) + [rid]
-        out = []
-        if len(ts) >= self.n and ts_us - ts[-self.n] < self.within_us:
-            out.append((key[0], ids[-self.n], rid, ts[-self.n] // 1000, ts_us // 1000))
-        drop = len(ts) - (self.n - 1)  # with n = 1 nothing is kept
-        return (ts[max(drop, 0):], ids[max(drop, 0):]), out
+        return (ts_s,), [(key[0], rid, ts_s, None if v is None else v + self.bump)]
 
 
 class RunningSumProcessor(OrderedKeyProcessor):
@@ -319,7 +449,7 @@ class RunningSumProcessor(OrderedKeyProcessor):
     def step(self, key, carry, row):
         _, rid, v = row
         total = Decimal(carry[0]) if carry is not None else Decimal(0)
-        if v is not None and v == v:
+        if v is not None:
             total += Decimal(repr(v))
         return (str(total),), [(key[0], rid, float(total))]
 
@@ -379,49 +509,6 @@ class CumulativeWindowProcessor(OrderedKeyProcessor):
         return carry[0] + self.size_us if carry[0] is not None else None
 
 
-class CreatePayProcessor(OrderedKeyProcessor):
-    """PAT-4: every ``create`` is settled by the first later ``pay`` of the key
-    (success when less than ``limit`` later, else timeout); a create whose
-    deadline the watermark has passed times out, because any later pay would
-    be too late. Keys are composite, e.g. (user, day)."""
-
-    row_fields = "event_type string"
-    carry_schema = "ts array<bigint>, ids array<bigint>"
-    out_columns = ["user_id", "day_ms", "create_event_id", "result"]
-
-    def __init__(self, create: str, pay: str, limit_s: int):
-        self.create, self.pay, self.limit_us = create, pay, limit_s * 1_000_000
-
-    def step(self, key, carry, row):
-        ts_us, rid, etype = row
-        ts, ids = (list(carry[0]), list(carry[1])) if carry is not None else ([], [])
-        out = []
-        if etype == self.create:
-            ts.append(ts_us)
-            ids.append(rid)
-        elif etype == self.pay and ts:
-            for c, i in zip(ts, ids):
-                ok = ts_us - c < self.limit_us
-                out.append((key[0], key[1], i, "payed successfully" if ok else "timeout"))
-            ts, ids = [], []
-        return ((ts, ids) if ts else None), out
-
-    def on_watermark(self, key, carry, wm_us):
-        if carry is None:
-            return carry, []
-        keep_t, keep_i, out = [], [], []
-        for c, i in zip(carry[0], carry[1]):
-            if c + self.limit_us < wm_us:
-                out.append((key[0], key[1], i, "timeout"))
-            else:
-                keep_t.append(c)
-                keep_i.append(i)
-        return ((keep_t, keep_i) if keep_t else None), out
-
-    def deadline_us(self, carry):
-        return min(carry[0]) + self.limit_us if carry and carry[0] else None
-
-
 def run_ordered(sdf: DataFrame, key, ts: str, id_col: str, payload: list[str],
                 processor: OrderedKeyProcessor, out_schema: str, delay_s: int = 0) -> DataFrame:
     """Apply an ``OrderedKeyProcessor`` per ``key`` (a column or a list of
