@@ -9,7 +9,7 @@ from tidepool.functions.text import normalize_int
 from tidepool.operators.aggregates import payment_totals, running_count
 from tidepool.operators.windows import window_agg
 from tidepool.sinks.writers import print_sink
-from tidepool.streaming.stateful import NInARowProcessor, RunningSumProcessor, WindowRunningCountProcessor
+from tidepool.streaming.stateful import RunningSumProcessor, WindowRunningCountProcessor
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -44,13 +44,6 @@ def test_running_sum_is_exact():
     assert out == [0.004, 0.008, 0.008, 0.108]
 
 
-def test_streak_of_one_keeps_no_rows():
-    p, carry = NInARowProcessor("e", 1, 10), None
-    for i in range(5):
-        carry, out = p.step((1,), carry, (i, i, "e"))
-        assert out == [(1, i, i, 0, 0)] and carry == ([], [])
-
-
 def test_closed_windows_leave_no_state():
     p = WindowRunningCountProcessor()
     carry, _ = p.step((1, 0), None, (5, 1, 100))

@@ -1,12 +1,13 @@
 """Golden micro-fixtures for the detection operators (hand-computed answers)."""
 
+import random
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from tidepool.operators.patterns import (adjacent_pair, cap_per_key, followed_by_within,
+from tidepool.operators.patterns import (Step, adjacent_pair, cap_per_key, followed_by_within,
                                          jump_alert, match_orders, n_in_a_row, order_verdict,
-                                         rising_alert)
+                                         rising_alert, sequence)
 
 B = datetime(2024, 1, 1)
 O = ["ts", "event_id"]
@@ -38,8 +39,8 @@ def test_order_sequence_and_matcher(spark):
             (3, 0, "create", 0),                           # never paid
             (4, 50, "pay", 0)]                             # pay without create
     df = _ev(spark, rows)
-    seq = followed_by_within(df, ["user_id"], O, "ts", "event_type", "create", "pay", 900)
-    assert {x.user_id: x.matched for x in seq.collect()} == {1: True, 2: False, 3: False}
+    seq = followed_by_within(df, ["user_id"], O, "ts", "event_type", "create", "pay", 900, ["event_id"])
+    assert {x.user_id: x.status for x in seq.collect()} == {1: "matched", 2: "timeout", 3: "timeout"}
     m = match_orders(df, ["user_id"], "ts", "event_type", "create", "pay", 900)
     assert {x.user_id: x.result for x in m.collect()} == {
         1: "payed successfully", 2: "payed but already timeout", 3: "order timeout",
@@ -69,3 +70,59 @@ def test_rising_alert(spark):
                      (3, 0, "t", 5), (3, 9, "t", 5)])
     r = rising_alert(df, "user_id", O, "ts", "value", 5).collect()
     assert [(x.user_id, x.alert_ms - x.rise_start_ms) for x in r] == [(1, 5000)]
+
+
+def _attempts(rows, steps, within_s):
+    """Brute force of ``sequence``: rows of one key as (id, second, kind); steps as (kind, strict)."""
+    out = []
+    for i, (rid, t, kind) in enumerate(rows):
+        if kind != steps[0][0]:
+            continue
+        reached, status, at = [rid], "matched", i
+        for want, strict in steps[1:]:
+            later = rows[at + 1:at + 2] if strict else [r for r in rows[at + 1:] if r[2] == want][:1]
+            if not later or later[0][1] - t >= within_s:
+                status = "timeout"
+            elif later[0][2] != want:
+                status = None
+            else:
+                reached.append(later[0][0])
+                at = rows.index(later[0])
+                continue
+            break
+        if status:
+            out.append((status, *reached, *[None] * (len(steps) - len(reached))))
+    return out
+
+
+def _random_events(spark, seed, n=400):
+    r = random.Random(seed)
+    rows = [(i, 0 if r.random() < 0.5 else r.randint(1, 4), B + timedelta(seconds=r.randint(0, 20_000)), r.choice("abcx")) for i in range(n)]
+    return rows, spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp, kind string")
+
+
+SEQUENCES = [[("a", False), ("b", False)], [("a", False), ("a", True)], [("a", False), ("b", True), ("c", False)],
+             [("a", False), ("b", False), ("c", True), ("a", False)], [("a", False), ("a", True), ("a", True)]]
+
+
+def test_sequence_equals_brute_force(spark):
+    rows, df = _random_events(spark, 5)
+    for steps in SEQUENCES:
+        made = [Step(f"s{i}", F.col("kind") == k, strict) for i, (k, strict) in enumerate(steps)]
+        got = sequence(df, ["user_id"], O, "ts", made, 900, ["event_id"])
+        found = sorted(((r.user_id, r.status, *[r[s.name].event_id if r[s.name] else None for s in made]) for r in got.collect()), key=str)
+        want = []
+        for u in range(5):
+            own = sorted(((t, i, k) for i, k0, t, k in rows if k0 == u))
+            want += [(u, *a) for a in _attempts([(i, (t - B).total_seconds(), k) for t, i, k in own], steps, 900)]
+        assert found == sorted(want, key=str), steps
+
+
+def test_sequence_reads_and_deals_its_rows_once(spark, tmp_path):
+    _, df = _random_events(spark, 6)
+    df.write.parquet(str(tmp_path / "e"))
+    made = [Step("a", F.col("kind") == "a"), Step("b", F.col("kind") == "b", strict=True), Step("c", F.col("kind") == "c")]
+    got = sequence(spark.read.parquet(str(tmp_path / "e")), ["user_id"], O, "ts", made, 900, ["event_id"])
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidepool.sinks.writers import upsert_batch_writer
 from tidepool.sources.text import stream_lines_with_origin
-from tidepool.streaming.runner import read_staged, run_append, scratch
+from tidepool.streaming.runner import events_stream, read_staged, run_append, run_foreach_batch, scratch, stage_files
 from tidepool.streaming.stateful import flat_map_with_state, jump
 from tidepool.streaming.windows import stream_window_agg
 
@@ -153,3 +153,133 @@ def test_top_n_refined_by_late_rows(spark):
     assert history[0][1:] == (2, 2) and history[-1][1:] == (1, 3)
     final = {r.window_end: (r.item, r.c) for r in latest_top_n(versions, ["window_end"]).collect()}
     assert final[first] == (1, 3)
+
+
+def test_staging_orders_by_arrival_and_happens_once(spark):
+    base = scratch(spark, "stage")
+    b = datetime(2024, 1, 1)
+    rows = [(i, i % 3, b + timedelta(seconds=(i * 37) % 500), float(i)) for i in range(300)]
+    df = spark.createDataFrame([*rows, (999, 1, None, 0.0)], "event_id long, user_id long, ts timestamp, value double")
+    n_files = stage_files(df, f"{base}/in", "ts", close=True)
+    first = sorted(r.f for r in spark.read.parquet(f"{base}/in").select(F.input_file_name().alias("f")).distinct().collect())
+    assert stage_files(df, f"{base}/in", "ts", close=True) == n_files  # nothing is written again
+    assert first == sorted(r.f for r in spark.read.parquet(f"{base}/in").select(F.input_file_name().alias("f")).distinct().collect())
+    seen = []
+    run_foreach_batch(read_staged(spark, f"{base}/in", df.schema, n_files),
+                      lambda batch, k: seen.append([(r.ts, r.event_id) for r in batch.collect()]), f"{base}/ckpt")
+    known = [[t for t, _ in part if t] for part in seen]
+    assert all(max(a) <= min(z) for a, z in zip(known, known[1:]) if a and z)
+    assert sum(map(len, seen)) == 302 and seen[-1][-1][0] > b + timedelta(days=3000)
+
+
+def test_a_resumed_run_counts_nothing_twice(spark, sf_small):
+    from tidepool.plans.catalog import QUERIES
+
+    spark.conf.set("spark.tidepool.stream.run", "again")
+    try:
+        first = sorted(tuple(r) for r in QUERIES["stream_running_count"](spark, sf_small).collect())
+        again = sorted(tuple(r) for r in QUERIES["stream_running_count"](spark, sf_small).collect())
+    finally:
+        spark.conf.unset("spark.tidepool.stream.run")
+    assert first == again and sum(n for _, n in first) == 1000
+
+
+def test_an_interrupted_run_continues(spark, sf_small):
+    """The first run dies in its third batch; the second takes up from there."""
+    spark.conf.set("spark.tidepool.stream.run", "broken")
+    try:
+        done = []
+
+        def run(dies: bool):
+            sdf, base = events_stream(spark, sf_small, "interrupted")
+
+            def sink(batch, k):
+                if dies and k == 2:
+                    raise RuntimeError("lost")
+                batch.write.mode("overwrite").parquet(f"{base}/out/batch_id={k}")
+                done.append(k)
+
+            run_foreach_batch(sdf, sink, f"{base}/ckpt")
+            return base
+
+        try:
+            run(True)
+            raise AssertionError("it should have died")
+        except Exception as e:
+            assert "lost" in str(e)
+        base = run(False)
+    finally:
+        spark.conf.unset("spark.tidepool.stream.run")
+    assert done == sorted(set(done))
+    out = spark.read.parquet(f"{base}/out")
+    assert out.count() == out.select("event_id").distinct().count() == 1000
+
+
+def test_nulls_on_streams_count_as_in_batches(spark):
+    from tidepool.operators.windows import window_agg
+
+    base = scratch(spark, "nulls")
+    b = datetime(2024, 1, 1)
+    rows = [(i, 1, b + timedelta(seconds=i), None if i % 3 == 0 else float(i)) for i in range(10)]
+    schema = _stage(spark, base, "a", rows)
+    _stage(spark, base, "b", [(99, -1, b + timedelta(days=9), None)])
+    sdf = read_staged(spark, f"{base}/in", schema)
+    m = {"n": ("count", None), "known": ("count", "value"), "total": ("sum", "value")}
+    run_append(stream_window_agg(sdf, "ts", 60, None, ["user_id"], m, panes=False), f"{base}/out", f"{base}/ckpt")
+    got = [tuple(r) for r in spark.read.parquet(f"{base}/out").where("user_id = 1").select("n", "known", "total").collect()]
+    batch = window_agg(spark.read.parquet(f"{base}/in").where("user_id = 1"), "ts", 60, None, ["user_id"], m)
+    assert got == [tuple(r) for r in batch.select("n", "known", "total").collect()] == [(10, 6, 27.0)]
+
+
+def test_state_machines_skip_nulls():
+    from tidepool.streaming.stateful import CountWindowProcessor, RisingProcessor, SlidingCountProcessor
+
+    def run(p, values):
+        carry, out = None, []
+        for i, v in enumerate(values):
+            carry, got = p.step((1,), carry, (i * 1_000_000, i, v))
+            out += got
+        return out
+
+    assert run(CountWindowProcessor(3), [None, 5.0, 2.0]) == [(1, 1, 2.0)]
+    assert run(SlidingCountProcessor(2, 2), [None, None, 1.0, None]) == [(1, 2, None), (1, 4, 1.0)]
+    assert run(RisingProcessor(1), [1.0, 2.0, None, 9.0, 9.0]) == [(1, 1000, 2000)]
+
+
+def test_click_count_is_forgotten_after_its_day():
+    from tidepool.streaming.stateful import ClickCapProcessor
+
+    p = ClickCapProcessor(2)
+    carry, _ = p.step((1, 7), None, (5, 1, 0))
+    assert p.deadline_us(carry) == 86_400_000_000
+    assert p.on_watermark((1, 7), carry, 86_399_000_000)[0] == carry
+    assert p.on_watermark((1, 7), carry, 86_400_000_000)[0] is None
+
+
+def test_sequence_on_a_stream_equals_batch(spark):
+    """Three steps, rows out of order within the delay, restart in the middle, timeouts by the watermark."""
+    from tidepool.operators.patterns import Step, sequence
+    from tidepool.streaming.stateful import sequence_stream
+
+    steps = [Step("a", F.col("value") < 3), Step("b", F.col("value") > 6, strict=True), Step("c", F.col("value") == 5.0)]
+    base = scratch(spark, "seq")
+    b = datetime(2024, 1, 1)
+    rows = [(i, i % 3, b + timedelta(seconds=i + (7 * i) % 5), float((i * i) % 10)) for i in range(200)]
+    end = [(999 + u, u, b + timedelta(days=9 + u), 4.0) for u in range(3)]
+    late = [end[-1][:2] + (b + timedelta(days=30), 4.0)]
+
+    def run():
+        found = sequence_stream(read_staged(spark, f"{base}/in", schema), "user_id", "ts", "event_id", steps, 60, delay_s=10)
+        run_append(found, f"{base}/out", f"{base}/ckpt")
+
+    schema = _stage(spark, base, "a", rows[:80])
+    run()
+    for part in (rows[80:140], rows[140:], end, late):
+        _stage(spark, base, "b", part)
+        run()
+    names = ["a", "b", "c"]
+    got = sorted(((r.user_id, r.status, *[r[n].event_id if r[n] else None for n in names]) for r in spark.read.parquet(f"{base}/out").collect()), key=str)
+    df = spark.createDataFrame(rows + end, schema)
+    want = sorted(((r.user_id, r.status, *[r[n].event_id if r[n] else None for n in names])
+                   for r in sequence(df, ["user_id"], ["ts", "event_id"], "ts", steps, 60, ["event_id"]).collect()), key=str)
+    assert got == want and {"matched", "timeout"} <= {r[1] for r in got}

@@ -361,8 +361,8 @@ def stream_word_count(spark, sf):
     base = scratch(spark, "word_count")
     docs = load_table(spark, sf, "documents").select("doc_id", "text")
     # land the documents as text files (line breaks are whitespace, so counts are unchanged)
-    docs.select("text").write.mode("append").text(f"{base}/landing")
-    lines = stream_lines(spark, f"{base}/landing", max_files_per_trigger=1)
+    docs.select("text").write.mode("ignore").text(f"{base}/landing")
+    lines = stream_lines(spark, f"{base}/landing", max_files_per_trigger=1000)
     counts = tokenize(lines, "value", ASCII_SPACE).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
     return _final_updates(spark, counts, base, ["word"], "cnt")
 

@@ -18,7 +18,7 @@ from tidepool.session import checkpoint_dir
 
 # Rows of one staged file and of one micro-batch; both only set parallelism and
 # batch size, never the result.
-ROWS_PER_FILE = 1_000_000
+ROWS_PER_FILE = 500_000
 ROWS_PER_BATCH = 50_000_000
 MIN_BATCHES = 4
 END_AFTER = "INTERVAL 3650 DAYS"
@@ -33,14 +33,16 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def stage_files(df: DataFrame, path: str, ts: str, close: bool | dict = False,
                 arrival: Column | None = None) -> int:
-    """Write ``df`` as time slices, one write after the other, so a file stream
-    (which orders files by modification time) replays them in order of ``arrival``
-    (epoch µs; default: the event time).
-    Returns the number of files of a slice, which is the stream's batch size.
+    """Write ``df`` as slices of time that a file stream replays in order of
+    ``arrival`` (epoch µs; default: the event time). Returns the number of files
+    of a slice, which is the stream's batch size.
 
-    Slice bounds are approximate quantiles (1 % error, a small sketch per
-    task); every slice is written in parallel, into as many files as its rows
-    ask for. Rows without a time go into the first slice.
+    The input is range-partitioned by arrival (Spark samples the order column for
+    the bounds) and written once; a task's place in that order names its slice.
+    The files are then given ascending modification times, the order in which a
+    file stream reads them, and the folder gets its name only when it is
+    complete: a second call with the same ``path`` finds it and writes nothing,
+    so a resumed run replays the same files. Rows without a time come first.
 
     ``close`` appends the end of the input: one row of NULLs far later than all
     others. It moves the watermark past every open window and deadline, and
@@ -48,28 +50,51 @@ def stage_files(df: DataFrame, path: str, ts: str, close: bool | dict = False,
     values for some columns: a join needs a key (filters on null keys are moved
     below the watermark), one that no other row has.
     """
+    spark = df.sparkSession
+    fs, at = _file_system(spark, path)
+    manifest = at.suffix("/_files_per_slice")
+    if fs.exists(manifest):
+        return int(spark.read.text(manifest.toString()).first().value)
     t = F.unix_micros(F.col(ts)) if arrival is None else arrival
-    n = df.count()
+    n, last = df.agg(F.count(F.lit(1)), F.max(ts)).first()
     n_slices = max(MIN_BATCHES, -(-n // ROWS_PER_BATCH))
     n_files = max(1, -(-n // (n_slices * ROWS_PER_FILE)))
-    cuts = df.select(t.alias("_t")).approxQuantile("_t", [i / n_slices for i in range(1, n_slices)], 0.01) if n else []
-    bounds = [None, *sorted({int(c) for c in cuts}), None]
-    for lo, hi in zip(bounds[:-1], bounds[1:]):
-        mine = F.col(ts).isNull() if lo is None else F.lit(False)
-        at = (F.lit(True) if lo is None else t >= lo) & (F.lit(True) if hi is None else t < hi)
-        df.where(mine | at).repartition(n_files).sortWithinPartitions(ts).write.mode("append").parquet(path)
+    partial = f"{path}-{uuid.uuid4().hex[:8]}.partial"
+    dealt = df.withColumn("__arrival", t).repartitionByRange(n_slices * n_files, F.col("__arrival").asc_nulls_first())
+    placed = dealt.withColumn("__slice", F.floor(F.spark_partition_id() / n_files).cast("int"))
+    placed.sortWithinPartitions("__slice", "__arrival").drop("__arrival").write.partitionBy("__slice").parquet(partial)
     if close and n:
-        last = df.agg(F.max(ts).alias("last")).select((F.col("last") + F.expr(END_AFTER)).alias("last"))
         known = close if isinstance(close, dict) else {}
-        end = last.select(*[(F.col("last") if c == ts else F.lit(known.get(c))).cast(df.schema[c].dataType).alias(c)
+        end = spark.range(1).select((F.lit(last) + F.expr(END_AFTER)).alias("last")).select(*[(F.col("last") if c == ts else F.lit(known.get(c))).cast(df.schema[c].dataType).alias(c)
                             for c in df.columns])
-        end.write.mode("append").parquet(path)
+        end.write.parquet(f"{partial}/__slice={n_slices}")
+    _land(spark, partial, path)
+    spark.range(1).select(F.lit(str(n_files)).alias("value")).write.text(manifest.toString())
     return n_files
 
 
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _land(spark: SparkSession, partial: str, path: str) -> None:
+    """Give every file a later modification time than the one before it in order
+    of arrival, and the folder its name: as many calls as there are files."""
+    fs, at = _file_system(spark, partial)
+    files = [f for s in fs.listStatus(at) if s.isDirectory() for f in fs.listStatus(s.getPath())]
+    # by slice, then by task: the order of arrival
+    files.sort(key=lambda f: (int(f.getPath().getParent().getName().rpartition("=")[2]), f.getPath().getName()))
+    newest = max([f.getModificationTime() for f in files], default=0)
+    for k, f in enumerate(files):
+        fs.setTimes(f.getPath(), newest - 1000 * (len(files) - k), -1)
+    if not fs.rename(at, _file_system(spark, path)[1]):
+        raise OSError(f"{partial} could not be renamed to {path}")
+
+
 def read_staged(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", str(files_per_trigger))
-                 .parquet(path))
+                 .option("recursiveFileLookup", "true").parquet(path))
 
 
 def run_append(sdf: DataFrame, out_path: str, ckpt: str, mode: str = "append") -> None:

@@ -12,7 +12,7 @@ _MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 
 def _agg(kind, col):
     if kind == "count":
-        return F.count(F.lit(1))
+        return F.count(F.lit(1)) if col is None else F.count(col)  # NULLs of a column don't count
     return {"sum": F.sum, "min": F.min, "max": F.max}[kind](col)
 
 
