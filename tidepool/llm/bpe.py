@@ -52,7 +52,7 @@ from tidepool.llm.common import drop_written, shared_dir, table, written
 TOKENIZER = "word_bpe_49k.json"  # of the installed package of public tokenizers
 LEXICON = 262_144  # words of the automaton at most
 PIECE = 1 << 20  # characters looked at together
-HELD = 1 << 17  # unseen words that a task remembers
+HELD = 1 << 18  # chunks that a task remembers
 
 # The split pattern of the tokenizer file.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -336,20 +336,28 @@ def mapped(path: str) -> tuple[Vocabulary, Lexicon]:
 
 
 class Encoder:
-    """Encodes texts through the lexicon; words that it hasn't are merged."""
+    """Encodes texts through the lexicon; words that it hasn't are merged. The
+    ids of up to ``HELD`` chunks are remembered from text to text."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
-        self.vocabulary, self.lexicon, self.held = vocabulary, lexicon, {}
-
-    def merged(self, word: bytes) -> list[int]:
-        if word in self.held:
-            return self.held[word]
-        ids = self.vocabulary.merged(word)
-        if len(word) <= 64:
-            if len(self.held) >= HELD:
-                self.held.clear()
-            self.held[word] = ids
-        return ids
+        self.vocabulary, self.lexicon = vocabulary, lexicon
+        self._forget()
+
+    def _forget(self) -> None:
+        self.held: dict[str, int] = {}
+        self.letters, self.flat, self.starts = 0, np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _remember(self, chunks: set[str]) -> None:
+        new = [c for c in chunks if c not in self.held]
+        if len(self.held) + len(new) > HELD or self.letters > 64 * HELD:
+            self._forget()
+            new = list(chunks)
+        if new:
+            flat, starts = self.lists(new)
+            self.held.update(zip(new, range(len(self.held), len(self.held) + len(new))))
+            self.letters += sum(map(len, new))
+            self.starts = np.concatenate([self.starts, starts[1:] + len(self.flat)])
+            self.flat = np.concatenate([self.flat, flat])
 
     def lists(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all chunks, one after the other, and where each chunk's begin."""
@@ -363,7 +371,7 @@ class Encoder:
         begins = np.zeros((len(raw) + 1), np.int64)
         lengths = np.where(places >= 0, lexicon.starts[places + 1] - lexicon.starts[places], 0)
         for i in np.flatnonzero(places < 0).tolist():
-            new.append(self.merged(raw[i]))
+            new.append(self.vocabulary.merged(raw[i]))
             lengths[i] = len(new[-1])
         np.cumsum(lengths, out=begins[1:])
         known = np.repeat(places >= 0, lengths)
@@ -388,13 +396,12 @@ class Encoder:
         yield from self._runs(some)
 
     def _runs(self, some: list) -> Iterator[tuple[int, np.ndarray]]:
-        chunks = {c: k for k, c in enumerate({c for _, p in some if not isinstance(p, int) for c in p})}
-        flat, starts = self.lists(list(chunks))
+        self._remember(set().union(*[p for _, p in some if not isinstance(p, int)]))
         for i, piece in some:
             if isinstance(piece, int):
                 yield i, np.array([piece], np.uint32)
             else:
-                yield i, gathered(np.fromiter(map(chunks.__getitem__, piece), np.int64, len(piece)), starts, flat)[0]
+                yield i, gathered(np.fromiter(map(self.held.__getitem__, piece), np.int64, len(piece)), self.starts, self.flat)[0]
 
 
 def count_words(split: Splitter, docs: DataFrame) -> DataFrame:
@@ -508,13 +515,13 @@ def digests(spark: SparkSession, docs: DataFrame, tokenizer: str, most: int = LE
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, ids, vocabulary in _encoded(name, batches):
-            rows = []
+            rows, string = [], vocabulary.strings.__getitem__
             for runs in ids:
                 of_ids, of_text, first = hashlib.sha256(), hashlib.sha256(), True
                 for run in runs:
                     if len(run):
                         of_ids.update(run.astype("<u4").tobytes())
-                        of_text.update((b"" if first else b" ") + vocabulary.decoded(run.tolist()).encode())
+                        of_text.update((b"" if first else b" ") + " ".join(map(string, run.tolist())).encode())
                         first = False
                 rows.append((sum(map(len, runs)), of_ids.hexdigest(), of_text.hexdigest()))
             n, a, t = zip(*rows)
