@@ -32,7 +32,7 @@ from tidepool.operators.patterns import Step
 SLICE = 10_000  # rows of a key that are Python objects at the same time
 
 
-def _values(column: pd.Series, kind: str) -> list:
+def column_values(column: pd.Series, kind: str) -> list:
     """A column's values; NULL as None, whole numbers as int."""
     if column.dtype.kind != "f":
         return column.tolist()
@@ -111,13 +111,13 @@ class OrderedKeyProcessor(StatefulProcessor):
         every = every.iloc[np.lexsort((every["id"].to_numpy(), every["ts_us"].to_numpy()))]
         for lo in range(0, len(every), SLICE):
             part = every.iloc[lo:lo + SLICE]
-            yield list(zip(*(_values(part[c], kind) for c, kind in self.cols)))
+            yield list(zip(*(column_values(part[c], kind) for c, kind in self.cols)))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         if self.buffered:
             latest = 0
             for pdf in rows:
-                self.pending.appendList(list(zip(*(_values(pdf[c], kind) for c, kind in self.cols))))
+                self.pending.appendList(list(zip(*(column_values(pdf[c], kind) for c, kind in self.cols))))
                 latest = max(latest, int(pdf["ts_us"].max()))
             # one timer per key and batch: when it fires every row of this batch
             # is older than the watermark and gets released (in order).
