@@ -185,3 +185,27 @@ def test_decontamination_of_copies_in_other_dress(spark, tmp_path):
     items = spark.createDataFrame([(1, item), (2, short)], "item_id long, text string")
     got = {(x.doc_id, x.item_id) for x in decontamination.contaminated(spark, spark.read.parquet(str(tmp_path / "d")), items).collect()}
     assert got == {(i, 1) for i in range(8)} | {(i, 2) for i in range(8, 13)}
+
+
+def test_only_letters_make_a_language(spark):
+    rows = [(i, "le chat est sur la table " * 3 if i % 2 else "the cat is on the table " * 3, "fr" if i % 2 else "en") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    judge = language_id.predictor(language_id.fit_documents(df))
+    odd = spark.createDataFrame([("½ ² Ⅷ",), ("½",), ("_",), ("٣",), ("é",), ("漢",), ("the ½",)], "text string")
+    got = [r.p.lang_pred for r in odd.select(judge("text").alias("p")).collect()]
+    assert got[:4] == ["und"] * 4 and "und" not in got[4:]
+    assert spark.createDataFrame([], df.schema).select(judge("text").alias("p")).count() == 0
+    nobody = language_id.predictor(language_id.fit_documents(df.limit(0)))
+    assert {r.p.lang_pred for r in odd.select(nobody("text").alias("p")).collect()} == {"und"}
+
+
+def test_solving_by_features_equals_solving_by_texts(monkeypatch):
+    import numpy as np
+
+    r = np.random.default_rng(0)
+    vectors, langs = r.random((60, 12)).astype(np.float32), [["a", "b", "c"][i % 3] for i in range(60)]
+    monkeypatch.setattr(language_id, "N_FEATURES", 12)
+    few = language_id.train(vectors, langs)
+    monkeypatch.setattr(language_id, "N_FEATURES", 100)
+    many = language_id.train(vectors, langs)
+    assert np.allclose(few.weights, many.weights, atol=1e-4)

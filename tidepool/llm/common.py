@@ -30,6 +30,14 @@ def shared_dir(spark: SparkSession) -> str:
     return _SCRATCH[app]
 
 
+def short_plans(spark: SparkSession) -> None:
+    """Keep at most 20,000 characters of a plan's description: the driver holds
+    the descriptions of the last thousand queries, and those of plans with large
+    literals are megabytes each."""
+    if int(spark.conf.get("spark.sql.maxPlanStringLength", str(1 << 31))) > 20_000:
+        spark.conf.set("spark.sql.maxPlanStringLength", "20000")
+
+
 _NOTED: list[list[str]] = []
 
 
@@ -54,6 +62,7 @@ def noting(paths: list[str]):
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts the
     lineage, survives lost executors, and later reads prune columns."""
+    short_plans(spark)
     path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)

@@ -8,24 +8,28 @@ training accuracy. A text is ambiguous when its bits differ from the chosen
 codeword in more places than the code can correct.
 
 The classifiers are fitted on a bounded sample: at most ``per_lang`` labelled
-texts of each language, chosen by hash of doc_id. The sample's
-texts are turned into vectors of fixed length by tasks; only these vectors
-reach the driver. The fitted weights (``N_FEATURES`` x bits) go to the tasks.
+texts of each language and about ``SAMPLE`` of all, chosen by hash of doc_id.
+The sample's texts are turned into vectors of fixed length by tasks; only these
+vectors reach the driver, where the system solved has at most ``N_FEATURES``
+rows. The fitted weights (``N_FEATURES`` x bits) go to the tasks.
 
 Defined results: null texts and texts without a letter are ``und`` (score 0);
 so is everything when no labelled text exists. With one learned language all
-other texts get it (score 1). Null doc_ids are never learned from and count
-as not held out. Repeated rows are judged alike; extra columns stay.
+other texts get it (score 1). Letters are Unicode's (``\\p{L}``): fractions,
+superscripts and Roman numeral signs are none. Equal losses go to the language
+first in alphabetical order. Null doc_ids are never learned from and count as
+not held out. Texts of any length are read whole. Repeated rows are judged
+alike; an empty table gives no rows; extra columns stay.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from itertools import product
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,10 +37,11 @@ from tidepool.llm.common import table
 
 N_FEATURES = 4096
 PER_LANG = 300
-MAX_LANGS = 1000
 RIDGE = 0.3
 SHARPNESS = 3.0
-_LETTER = re.compile(r"[^\W\d_]")
+SAMPLE = 20_000  # texts of all languages together; fewer a language where there are very many
+LETTER = r"\p{L}"
+_LETTER = regex.compile(LETTER)
 # bytes that are not letters (ASCII) become a space, so n-grams see word ends
 _BYTE = np.arange(256, dtype=np.uint32)
 _BYTE[[i for i in range(128) if not chr(i).isalpha()]] = 32
@@ -98,9 +103,11 @@ def train(vectors: np.ndarray, langs: list[str]) -> Model:
     size = np.array([1 / langs.count(names[i]) for i in range(len(names))])
     w = np.array([size[names.index(v)] for v in langs])
     w *= len(langs) / w.sum()  # languages count alike
-    gram = (x * np.sqrt(w)[:, None]) @ (x * np.sqrt(w)[:, None]).T
-    dual = np.linalg.solve(gram + RIDGE * np.eye(len(x)), np.sqrt(w)[:, None] * y)
-    weights = (x * np.sqrt(w)[:, None]).T @ dual
+    xw, yw = x * np.sqrt(w)[:, None], np.sqrt(w)[:, None] * y
+    if len(x) <= N_FEATURES:  # two ways to the same weights: by texts or by features, whichever are fewer
+        weights = xw.T @ np.linalg.solve(xw @ xw.T + RIDGE * np.eye(len(x)), yw)
+    else:
+        weights = np.linalg.solve(xw.T @ xw + RIDGE * np.eye(N_FEATURES), xw.T @ yw)
     right = ((x @ weights) * y > 0).mean(0)
     bit = np.clip(right - 0.5, 0.01, None)
     return Model(names, code, weights.astype(np.float32), bit / bit.sum(), (distance(code) - 1) // 2)
@@ -122,11 +129,11 @@ def decode(model: Model, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 def fit(labelled: DataFrame, per_lang: int = PER_LANG) -> Model:
     """Fit on ``labelled(doc_id, text, lang)``, a bounded sample of it."""
+    n_langs = labelled.where("lang IS NOT NULL").select("lang").distinct().count()
+    per_lang = max(1, min(per_lang, SAMPLE // max(n_langs, 1)))
     known = labelled.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").select("lang", "doc_id")
     # about twice the sample of each language by a hash bound, so that no task sees a whole language
     share = known.groupBy("lang").agg((F.lit(2.0 * per_lang) / F.count("*")).alias("share"))
-    if share.count() > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
     few = (known.join(F.broadcast(share), "lang")
            .where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.col("share") * (1 << 30)).select("lang", "doc_id"))
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
@@ -145,7 +152,7 @@ def fit(labelled: DataFrame, per_lang: int = PER_LANG) -> Model:
 
 
 def has_letter(col: str) -> Column:
-    return F.col(col).rlike(r"\p{L}")
+    return F.col(col).rlike(LETTER)
 
 
 def predictor(model: Model):
