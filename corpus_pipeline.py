@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm import decontamination, jaccard_join, language_id, mixing, sharding
-from tidepool.llm.common import delete_path, likely, new_path, noting, table, with_place, written
+from tidepool.llm.common import delete_path, likely, new_path, noting, short_plans, table, with_place, written
 
 MIN_SCORE = 0.5
 N_SHARDS = 16
@@ -53,18 +53,11 @@ def _without(spark: SparkSession, docs: DataFrame, places: DataFrame) -> DataFra
     return may.join(gone, on, "left_anti").select("__doc.*").unionByName(other.select("__doc.*"))
 
 
-_LEFT: list[str] = []
-
-
 def _stage(step):
-    """``step``, after deleting the tables that the stage before it wrote for
-    itself: that stage's result has been written and read again."""
     @wraps(step)
     def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        while _LEFT:
-            delete_path(spark, _LEFT.pop())
-        with noting(_LEFT):
-            return step(spark, docs, sf_dir)
+        short_plans(spark)
+        return step(spark, docs, sf_dir)
 
     return stage
 
@@ -119,11 +112,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages. What a stage wrote for itself, and its input, are deleted once
+    its result is written; the returned frame reads what the last stage wrote."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
+        own: list[str] = []
+        with noting(own):
+            result = stage(spark, docs, sf_dir)
         path = new_path(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        result.write.parquet(path)
         docs = spark.read.parquet(path)
+        for p in [*own, *([before] if before else [])]:
+            delete_path(spark, p)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
