@@ -70,3 +70,32 @@ def test_session_gap(spark):
     r = session_agg(df, "ts", "user_id", 10).orderBy("session_start").collect()
     assert [x.cnt for x in r] == [2, 1]
     assert r[0].session_end - r[0].session_start == 15_000
+
+
+def test_sessions_equal_the_built_in_ones_with_a_hot_key(spark):
+    import random
+
+    r, b = random.Random(9), datetime(2024, 1, 1)
+    rows = []
+    for i in range(900):
+        key = 0 if r.random() < 0.7 else r.randint(1, 5)
+        # the hot key has one endless session over many segments, and ties
+        at = i * 7 if key == 0 else r.randint(0, 20_000) // 10 * 10
+        rows.append((i, None if i % 90 == 4 else key, None if i % 100 == 9 else b + timedelta(seconds=at), float(i % 13) if i % 11 else None))
+    df = spark.createDataFrame(rows, "id long, user_id long, ts timestamp, v double")
+    m = {"cnt": ("count", None), "known": ("count", "v"), "total": ("sum", "v"), "low": ("min", "v")}
+    for gap, split in ((30, 100), (60, 600), (10, 3600)):
+        got = session_agg(df, "ts", "user_id", gap, m, split_seconds=split)
+        want = (df.where("ts IS NOT NULL").groupBy("user_id", F.session_window("ts", f"{gap} seconds").alias("s"))
+                .agg(F.count(F.lit(1)).alias("cnt"), F.count("v").alias("known"), F.sum("v").alias("total"), F.min("v").alias("low"))
+                .select("user_id", F.unix_millis("s.start").alias("session_start"), F.unix_millis("s.end").alias("session_end"), "cnt", "known", "total", "low"))
+        _same(got, want)
+
+
+def test_sessions_read_once_and_never_deal_by_key_alone(spark, sf_small):
+    got = session_agg(load_events(spark, sf_small), "ts", "user_id", 3600)
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1
+    big = [line for line in plan.splitlines() if "hashpartitioning(_key" in line and "REPARTITION_BY_COL" in line]
+    assert big and all("__ks_b" in line for line in big)

@@ -8,9 +8,11 @@ never all pairs of a key, and AQE's skew-join splits a hot ``(key, bucket)``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidepool.operators.sequence import deal, dealt_scan
+
 US = 1_000_000
 
 
@@ -43,36 +45,43 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, lts: str, rts: st
 
 def reconcile(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str, lid: str, rid: str,
               lower_s: int, upper_s: int, bucket_s: int | None = None) -> DataFrame:
-    """JN-2: matched pairs plus the unmatched rows of each side, tagged.
-
-    One full outer join on ``(key, bucket)`` with the band predicate: left rows
-    are listed in every bucket their band touches, right rows in their own, so
-    each pair is found exactly once, an unmatched right row appears once, and
-    an unmatched left row once per bucket copy. A window partitioned by the
-    left id (by the right id for right-only rows — ids, so no key skew)
-    counts each left row's matches and keeps one copy of the unmatched ones.
-    Each input is scanned and shuffled once.
+    """JN-2: matched pairs plus the unmatched rows of each side, tagged. Rows
+    without a key or a time match nothing.
+
+    Pairs come from the bucketed inner join, in which AQE splits a hot (key,
+    bucket) on either side (it can split neither side of a full outer join).
+    Whether a row is unmatched needs no join: a left row has a partner if the
+    other side's nearest row in time, before or after it, lies in its band. One
+    skew-safe scan over both sides tells every row its nearest neighbours, so a
+    hot key is never in one task and no row is copied.
     """
-    width = int(bucket_s or max(lower_s, upper_s, 1)) * US
-    lt, rt = F.unix_micros(F.col(lts)), F.unix_micros(F.col(rts))
-    lo, hi = _bucket_bounds(lt, lower_s * US, upper_s * US, width)
-    l2 = left.select(F.col(key).alias("_lk"), F.col(lid), lt.alias("_lt"),
-                     F.explode(F.sequence(lo.cast("bigint"), hi.cast("bigint"))).alias("_jb"))
-    r2 = right.select(F.col(key).alias("_rk"), F.col(rid), rt.alias("_rt"),
-                      _bucket(rt, width).cast("bigint").alias("_rjb"))
-    cond = ((F.col("_lk") == F.col("_rk")) & (F.col("_jb") == F.col("_rjb"))
-            & (F.col("_rt") >= F.col("_lt") - lower_s * US)
-            & (F.col("_rt") <= F.col("_lt") + upper_s * US))
-    j = l2.join(r2, cond, "full_outer")
-    w = Window.partitionBy(F.col(lid), F.when(F.col(lid).isNull(), F.col(rid)))
-    j = (j.withColumn("_n", F.count(F.col(rid)).over(w))
-          .withColumn("_i", F.row_number().over(w.orderBy(F.col(rid).asc_nulls_last(), F.col("_jb")))))
-    tag = (F.when(F.col(lid).isNotNull() & F.col(rid).isNotNull(), "matched")
-            .when(F.col(lid).isNull(), "unmatched_right").otherwise("unmatched_left"))
-    keep = ((F.col(lid).isNotNull() & F.col(rid).isNotNull()) | F.col(lid).isNull()
-            | ((F.col("_n") == 0) & (F.col("_i") == 1)))
-    return j.where(keep).select(tag.alias("tag"), F.coalesce("_lk", "_rk").alias(key),
-                                F.col(lid), F.col(rid))
+    pairs = interval_join(left.select(key, lid, F.col(lts).alias("_lts")), right.select(key, rid, F.col(rts).alias("_rts")),
+                          key, "_lts", "_rts", lower_s, upper_s, bucket_s)
+    none = F.lit(None)
+    both = left.select(F.col(key), F.col(lts).alias("_ts"), F.col(lid), none.cast(right.schema[rid].dataType).alias(rid), F.lit(True).alias("_left")).unionByName(
+        right.select(F.col(key), F.col(rts).alias("_ts"), none.cast(left.schema[lid].dataType).alias(lid), F.col(rid), F.lit(False).alias("_left")))
+    t = F.unix_micros("_ts")
+    d = deal(both.withColumn("_t", t), [key], "_ts")
+    other = {"l": F.when(F.col("_left"), F.col("_t")), "r": F.when(~F.col("_left"), F.col("_t"))}
+    # rows of one time see each other: those of the other side count as before and as after
+    for order, suffix in ((["_ts", "_left"], "a"), (["_ts", "_right"], "b")):
+        d = dealt_scan(d.withColumn("_right", ~F.col("_left")), [key], order,
+                       running={f"_before_{s}{suffix}": ("max", c) for s, c in other.items()})
+        d = dealt_scan(d, [key], order, reverse=True, running={f"_after_{s}{suffix}": ("min", c) for s, c in other.items()})
+
+    def near(side: str, back_s: int, ahead_s: int) -> Column:
+        last = F.greatest(F.col(f"_before_{side}a"), F.col(f"_before_{side}b"))
+        nxt = F.least(F.col(f"_after_{side}a"), F.col(f"_after_{side}b"))
+        return (F.coalesce(F.col("_t") - last <= back_s * US, F.lit(False)) | F.coalesce(nxt - F.col("_t") <= ahead_s * US, F.lit(False)))
+
+    has = F.when(F.col("_left"), near("r", lower_s, upper_s)).otherwise(near("l", upper_s, lower_s))
+    alone = d.where(F.col(key).isNull() | F.col("_t").isNull() | ~has)
+    tag = F.when(F.col("_left"), "unmatched_left").otherwise("unmatched_right")
+    return (pairs.select(F.lit("matched").alias("tag"), key, lid, rid)
+            .unionByName(alone.select(tag.alias("tag"), key, lid, rid)))
+
+
+SALTS = 16  # parts of a (key, window) in which its unmatched rows are looked for
 
 
 def window_join(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str, size_s: int,
@@ -81,11 +90,23 @@ def window_join(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str,
 
     Adds ``window_end`` (epoch ms). ``how='left'`` keeps every left row with
     NULL right columns when its window holds no right row of the key.
+
+    Pairs are an inner join, in which AQE splits a hot (key, window) on either
+    side. Left rows without a partner come from an anti join with the (key,
+    window)s that the right side has: one row each, ``SALTS`` times, so that the
+    left rows of a hot one are spread over as many tasks.
     """
+    if how not in ("inner", "left"):
+        raise ValueError("inner and left only")
     size = int(size_s) * US
     lw = left.withColumn("_wb", _bucket(F.unix_micros(F.col(lts)), size).cast("bigint"))
     rw = right.withColumn("_wb", _bucket(F.unix_micros(F.col(rts)), size).cast("bigint"))
-    j = lw.join(rw, on=[key, "_wb"], how=how)
+    j = lw.join(rw, on=[key, "_wb"], how="inner")
+    if how == "left":
+        there = rw.select(key, "_wb").distinct().withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salt = F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int")
+        alone = lw.withColumn("_salt", salt).join(there, on=[key, "_wb", "_salt"], how="left_anti").drop("_salt")
+        j = j.unionByName(alone, allowMissingColumns=True)
     return j.withColumn("window_end", (F.col("_wb") + 1) * (size // 1000)).drop("_wb")
 
 

@@ -23,7 +23,7 @@ from math import gcd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.operators.sequence import keyed_scan
+from tidepool.operators.sequence import DEFAULT_SPLIT_SECONDS, deal, dealt_scan, keyed_scan
 
 PANE_MIN_FAN_OUT = 12
 _MERGE = {"count": "sum", "sum": "sum", "min": "min", "max": "max"}
@@ -169,17 +169,34 @@ def every_nth(df: DataFrame, key: str, order: list[str], ts: str, n: int) -> Dat
 
 
 def session_agg(df: DataFrame, ts: str, key: str, gap_s: int,
-                measures: dict[str, tuple[str, str | None]] | None = None) -> DataFrame:
-    """WIN-14: session windows with inactivity gap (end = last event + gap).
-
-    Built-in ``session_window``: sessions are merged inside each map partition
-    before the shuffle, so a hot key ships merged sessions, not rows.
+                measures: dict[str, tuple[str, str | Column | None]] | None = None,
+                split_seconds: int = DEFAULT_SPLIT_SECONDS) -> DataFrame:
+    """WIN-14: session windows with inactivity gap (end = last event + gap; an
+    event exactly ``gap`` after the last one still joins). Rows without a time
+    are in no session.
+
+    Each key is split into time segments: a row begins a session when the row
+    before it, in its segment or at the end of the last one, is more than the
+    gap away; a running number of such rows names the session. Both scans share
+    one shuffle, and a session's rows are combined per segment before its parts
+    meet, so neither a hot key nor an endless session gathers in one task.
+    (The built-in ``session_window`` sorts all rows of a key in one task.)
     """
     measures = measures or {"cnt": ("count", None)}
-    return (df.groupBy(key, F.session_window(ts, _dur(gap_s)).alias("_s"))
-              .agg(*[_measure(k, c).alias(n) for n, (k, c) in measures.items()])
-              .select(key, F.unix_millis("_s.start").alias("session_start"),
-                      F.unix_millis("_s.end").alias("session_end"), *measures.keys()))
+    inputs = {n: c for n, (_, c) in measures.items() if c is not None}
+    rows = df.where(F.col(ts).isNotNull()).select(
+        F.col(key).alias("_key"), F.col(ts).alias("_ts"), F.unix_micros(F.col(ts)).alias("_t"),
+        *[(F.col(c) if isinstance(c, str) else c).alias(f"_m_{n}") for n, c in inputs.items()])
+    d = dealt_scan(deal(rows, ["_key"], "_ts", split_seconds), ["_key"], ["_ts"], prev=["_t"])
+    apart = F.col("_t") - F.col("prev__t") > int(gap_s) * 1_000_000
+    # of rows with one time, the one that begins a session is the first
+    d = d.withColumn("_goes_on", F.when(F.col("prev__t").isNull() | apart, 0).otherwise(1))
+    d = dealt_scan(d, ["_key"], ["_ts", "_goes_on"], running={"_session": ("sum", 1 - F.col("_goes_on"))})
+    start, end = F.min("_t"), F.max("_t") + int(gap_s) * 1_000_000
+    out = d.groupBy("_key", "_session").agg(start.alias("_s"), end.alias("_e"), *[
+        _measure(k, None if c is None else F.col(f"_m_{n}")).alias(n) for n, (k, c) in measures.items()])
+    return out.select(F.col("_key").alias(key), F.floor(F.col("_s") / 1000).cast("bigint").alias("session_start"),
+                      F.floor(F.col("_e") / 1000).cast("bigint").alias("session_end"), *measures.keys())
 
 
 def sliding_agg_deltas(df: DataFrame, ts: str, size_s: int, slide_s: int,
