@@ -99,3 +99,22 @@ def test_sessions_read_once_and_never_deal_by_key_alone(spark, sf_small):
     assert plan.count("FileScan") == 1
     big = [line for line in plan.splitlines() if "hashpartitioning(_key" in line and "REPARTITION_BY_COL" in line]
     assert big and all("__ks_b" in line for line in big)
+
+
+def test_sketches_of_panes_merge_into_windows(spark):
+    """20,000 users: the estimate is within 5 % of the exact count, in tumbling and sliding windows."""
+    from tidepool.operators.distinct import uv_from_sketches, uv_sketches
+
+    df = spark.range(60_000).select(F.timestamp_seconds(1_704_067_200 + F.col("id") % 7200).alias("ts"), F.pmod(F.xxhash64("id"), F.lit(20_000)).alias("user_id"))
+    df = df.unionByName(spark.createDataFrame([(None, 1), (datetime(2024, 1, 1), None)], "ts timestamp, user_id long"))
+    panes = uv_sketches(df, "ts", "user_id", 600)
+    assert panes.count() == 12
+    for size, slide in ((3600, None), (3600, 600)):
+        got = {r.window_end: r.uv_sketch for r in uv_from_sketches(panes, size, slide).collect()}
+        want = {r.window_end: r.n for r in window_agg(df.where("ts IS NOT NULL"), "ts", size, slide, [], {"u": ("count", None)}, panes=False).select("window_end", F.lit(0).alias("n")).collect()}
+        exact = {}
+        for end in want:
+            inside = df.where((F.unix_millis("ts") >= end - size * 1000) & (F.unix_millis("ts") < end))
+            exact[end] = inside.select("user_id").where("user_id IS NOT NULL").distinct().count()
+        assert got.keys() == exact.keys()
+        assert all(abs(got[e] - exact[e]) <= 0.05 * exact[e] + 1 for e in exact)

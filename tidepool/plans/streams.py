@@ -10,6 +10,7 @@ Windows, sessions, days, joins and deadlines are closed at the end of the input
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidepool.functions.text import ASCII_SPACE, tokenize
@@ -27,8 +28,8 @@ from tidepool.streaming.stateful import (ClickCapProcessor, CountWindowProcessor
                                          RunningSumProcessor, SlidingCountProcessor,
                                          WindowRunningCountProcessor, flat_map_with_state, jump,
                                          matched_span, run_ordered, sequence_stream)
-from tidepool.streaming.windows import (rank_batches, stream_uv_approx, stream_uv_exact,
-                                        stream_window_agg)
+from tidepool.streaming.windows import (rank_batches, stream_uv_exact, stream_uv_running,
+                                        stream_window_agg, version_batches)
 
 FAIL_WITHIN_S = 6 * 3600
 RISE_S = 6 * 3600
@@ -90,21 +91,31 @@ def stream_uv_hourly(spark, sf):
     return _read(spark, f"{base}/out")
 
 
-# --- AGG-9 on a stream (HLL; rows-only) ----------------------------------------------------------
+# --- AGG-9 on a stream: the running distinct count, every emitted version, beside the exact one ------
+# Batches are the weeks of the input, so which versions there are is known.
+WEEK_S = 7 * 86400
+
+
 @register("stream_uv_approx", f"""
-SELECT DISTINCT (t // {3600 * US} + 1) * 3600000 AS window_end, TRUE AS within_5_percent
-FROM ({ev("event_type = 'view'")})
+WITH v AS (SELECT *, t // {WEEK_S * US} AS week FROM ({sliding(ev("event_type = 'view'"), 48 * 3600, 86400, "user_id, t")})),
+e AS (SELECT DISTINCT ws, week FROM v)
+SELECT e.week, (e.ws + {48 * 3600 * US}) // 1000 AS window_end, count(DISTINCT v.user_id) AS uv_sketch, count(DISTINCT v.user_id) AS uv
+FROM e JOIN v ON v.ws = e.ws AND v.week <= e.week GROUP BY e.week, e.ws
 """)
 def stream_uv_approx_q(spark, sf):
-    from tidepool.operators.distinct import uv_exact
+    from tidepool.operators.windows import assign_windows
     from tidepool.sources.tables import load_events
 
-    sdf, base = events_stream(spark, sf, "uv_approx", where=F.col("event_type") == "view", close=True)
-    run_append(stream_uv_approx(sdf, "ts", "user_id", 3600), f"{base}/out", f"{base}/ckpt")
-    views = load_events(spark, sf).where(F.col("event_type") == "view")
-    both = _read(spark, f"{base}/out").join(uv_exact(views, "ts", "user_id", 3600).select("window_end", "uv"), "window_end", "full")
-    near = F.abs(F.col("uv_approx") - F.col("uv")) <= 0.05 * F.col("uv")
-    return both.select("window_end", F.coalesce(near, F.lit(False)).alias("within_5_percent"))
+    week = F.floor(F.unix_seconds("ts") / WEEK_S)
+    sdf, base = events_stream(spark, sf, "uv_approx", where=F.col("event_type") == "view", slice_by=week)
+    run_foreach_batch(stream_uv_running(sdf, "ts", "user_id", 48 * 3600, 86400), version_batches(f"{base}/out"), f"{base}/ckpt", mode="update")
+    views = assign_windows(load_events(spark, sf).where(F.col("event_type") == "view").select("ts", "user_id", week.alias("week")), "ts", 48 * 3600, 86400)
+    # batches without rows write nothing, so the k-th batch is the k-th week that has views
+    weeks = views.select("week").distinct().withColumn("batch_id", (F.row_number().over(Window.orderBy("week")) - 1).cast("int"))
+    versions = _read(spark, f"{base}/out").join(weeks, "batch_id").select("week", "window_end", "uv_sketch")
+    first = views.groupBy("window_end", "user_id").agg(F.min("week").alias("first_week"))
+    exact = versions.join(first, "window_end").where(F.col("first_week") <= F.col("week")).groupBy("week", "window_end").agg(F.count(F.lit(1)).alias("uv"))
+    return versions.join(exact, ["week", "window_end"], "full")
 
 
 _W = "PARTITION BY user_id ORDER BY ts, event_id"

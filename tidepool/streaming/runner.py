@@ -32,7 +32,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def stage_files(df: DataFrame, path: str, ts: str, close: bool | dict = False,
-                arrival: Column | None = None) -> int:
+                arrival: Column | None = None, slice_by: Column | None = None) -> int:
     """Write ``df`` as slices of time that a file stream replays in order of
     ``arrival`` (epoch µs; default: the event time). Returns the number of files
     of a slice, which is the stream's batch size.
@@ -43,6 +43,8 @@ def stage_files(df: DataFrame, path: str, ts: str, close: bool | dict = False,
     file stream reads them, and the folder gets its name only when it is
     complete: a second call with the same ``path`` finds it and writes nothing,
     so a resumed run replays the same files. Rows without a time come first.
+    ``slice_by`` (a whole number that grows with time) names the slices instead:
+    one file and one micro-batch each.
 
     ``close`` appends the end of the input: one row of NULLs far later than all
     others. It moves the watermark past every open window and deadline, and
@@ -60,8 +62,12 @@ def stage_files(df: DataFrame, path: str, ts: str, close: bool | dict = False,
     n_slices = max(MIN_BATCHES, -(-n // ROWS_PER_BATCH))
     n_files = max(1, -(-n // (n_slices * ROWS_PER_FILE)))
     partial = f"{path}-{uuid.uuid4().hex[:8]}.partial"
-    dealt = df.withColumn("__arrival", t).repartitionByRange(n_slices * n_files, F.col("__arrival").asc_nulls_first())
-    placed = dealt.withColumn("__slice", F.floor(F.spark_partition_id() / n_files).cast("int"))
+    if slice_by is None:
+        dealt = df.withColumn("__arrival", t).repartitionByRange(n_slices * n_files, F.col("__arrival").asc_nulls_first())
+        placed = dealt.withColumn("__slice", F.floor(F.spark_partition_id() / n_files).cast("int"))
+    else:
+        n_files, n_slices = 1, 1 << 30
+        placed = df.withColumn("__arrival", t).withColumn("__slice", slice_by.cast("int")).repartition("__slice")
     placed.sortWithinPartitions("__slice", "__arrival").drop("__arrival").write.partitionBy("__slice").parquet(partial)
     if close and n:
         known = close if isinstance(close, dict) else {}
@@ -112,12 +118,12 @@ def run_foreach_batch(sdf: DataFrame, fn, ckpt: str, mode: str = "append") -> No
 
 
 def events_stream(spark: SparkSession, sf_dir: str, name: str, where=None,
-                  close: bool | dict = False, late_s: int = 0) -> tuple[DataFrame, str]:
+                  close: bool | dict = False, late_s: int = 0, slice_by: Column | None = None) -> tuple[DataFrame, str]:
     """Stage ``events`` (optionally filtered; without the raw ``props``) in time
     order and open a stream over it with ``ts`` as TIMESTAMP. ``close``: the
     end of the input closes all windows. ``late_s``: every event arrives up to
     that much after its time (by a hash of its id), so the stream is out of
-    order. Returns (stream, scratch dir)."""
+    order. ``slice_by``: see ``stage_files``. Returns (stream, scratch dir)."""
     from tidepool.sources.tables import load_events
 
     base = scratch(spark, name)
@@ -126,6 +132,6 @@ def events_stream(spark: SparkSession, sf_dir: str, name: str, where=None,
         ev = ev.where(where)
     delay = F.pmod(F.xxhash64("event_id"), F.lit(late_s * 1_000_000)) if late_s else None
     arrival = None if delay is None else F.unix_micros("ts") + delay
-    n_files = stage_files(ev, f"{base}/input", "ts", close, arrival)
+    n_files = stage_files(ev, f"{base}/input", "ts", close, arrival, slice_by)
     sdf = read_staged(spark, f"{base}/input", ev.schema, n_files).withColumn("ts", F.col("ts").cast("timestamp"))
     return sdf, base

@@ -7,6 +7,8 @@ from math import gcd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidepool.operators.windows import window_starts
+
 _MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 
 
@@ -54,13 +56,29 @@ def stream_uv_exact(sdf: DataFrame, ts: str, user: str, size_s: int, delay_s: in
              .select(F.unix_millis("w.end").alias("window_end"), "uv"))
 
 
-def stream_uv_approx(sdf: DataFrame, ts: str, user: str, size_s: int, delay_s: int = 0,
-                     rsd: float = 0.01) -> DataFrame:
-    """AGG-9 on a stream: HLL per window (bounded state per window)."""
-    w = sdf.withWatermark(ts, f"{int(delay_s)} seconds")
-    return (w.groupBy(F.window(ts, f"{size_s} seconds").alias("w"))
-             .agg(F.approx_count_distinct(user, rsd).alias("uv_approx"))
-             .select(F.unix_millis("w.end").alias("window_end"), "uv_approx"))
+def stream_uv_running(sdf: DataFrame, ts: str, user: str, size_s: int, slide_s: int | None = None,
+                      delay_s: int = 0, lg_k: int = 12) -> DataFrame:
+    """AGG-9 on a stream: the running distinct count of each (sliding) window,
+    for ``update`` mode: every batch gives the windows that it changed with their
+    count so far. State is one sketch per open window; a task's rows are folded
+    into sketches before the shuffle."""
+    starts = window_starts(F.unix_micros(F.col(ts)), size_s, slide_s or size_s)
+    begin = F.explode(F.transform(starts, lambda t: F.timestamp_micros(t))).alias("_start")
+    w = sdf.withWatermark(ts, f"{int(delay_s)} seconds").where(F.col(ts).isNotNull()).select(F.col(ts), F.col(user), begin)
+    counts = (w.groupBy(F.window("_start", f"{slide_s or size_s} seconds").alias("_w"))
+               .agg(F.hll_sketch_agg(user, F.lit(lg_k)).alias("_u")))
+    start = F.unix_millis("_w.start")
+    return counts.select(start.alias("window_start"), (start + int(size_s) * 1000).alias("window_end"),
+                         F.hll_sketch_estimate("_u").alias("uv_sketch"))
+
+
+def version_batches(out_path: str):
+    """A ``foreachBatch`` function that keeps every emitted version: each batch
+    (over)writes its own ``batch_id=`` folder."""
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+
+    return fn
 
 
 def rank_batches(out_path: str, partition: list[str], by: str, tie: list[str], n: int,
