@@ -8,6 +8,7 @@ checkpoint continues exactly where it stopped.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -103,18 +104,42 @@ def read_staged(spark: SparkSession, path: str, schema, files_per_trigger: int =
                  .option("recursiveFileLookup", "true").parquet(path))
 
 
-def run_append(sdf: DataFrame, out_path: str, ckpt: str, mode: str = "append") -> None:
-    """Drain all available input (``availableNow``) into a Parquet table."""
-    q = (sdf.writeStream.format("parquet").outputMode(mode)
-            .option("path", out_path).option("checkpointLocation", ckpt)
-            .trigger(availableNow=True).start())
-    q.awaitTermination()
+def drained(query) -> list[dict]:
+    """Wait for a query's end; the progress of all its batches, by batch. Spark
+    keeps the last hundred, so they are gathered while the query runs."""
+    seen: dict[int, dict] = {}
 
+    def look() -> None:
+        for p in query.recentProgress:
+            told = json.loads(p.json)
+            seen[told["batchId"]] = told
 
-def run_foreach_batch(sdf: DataFrame, fn, ckpt: str, mode: str = "append") -> None:
-    q = (sdf.writeStream.foreachBatch(fn).outputMode(mode)
-            .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
+    while not query.awaitTermination(1):
+        look()
+    look()
+    return [seen[k] for k in sorted(seen)]
+
+
+def rows_dropped(progress: list[dict]) -> int:
+    """WM-4: rows that stateful operators dropped because the watermark had passed them."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in progress for op in p.get("stateOperators", []))
+
+
+def observed(progress: list[dict], name: str, metric: str) -> int:
+    """AGG-11 on a stream: sum of an observed metric over all batches."""
+    return sum(dict(p.get("observedMetrics", {})).get(name, {}).get(metric, 0) or 0 for p in progress)
+
+
+def run_append(sdf: DataFrame, out_path: str, ckpt: str, mode: str = "append") -> list[dict]:
+    """Drain all available input (``availableNow``) into a Parquet table; returns the progress of its batches."""
+    return drained(sdf.writeStream.format("parquet").outputMode(mode)
+                   .option("path", out_path).option("checkpointLocation", ckpt)
+                   .trigger(availableNow=True).start())
+
+
+def run_foreach_batch(sdf: DataFrame, fn, ckpt: str, mode: str = "append") -> list[dict]:
+    return drained(sdf.writeStream.foreachBatch(fn).outputMode(mode)
+                   .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
 
 
 def events_stream(spark: SparkSession, sf_dir: str, name: str, where=None,
