@@ -45,10 +45,14 @@ def test_running_sum_is_exact():
 
 
 def test_closed_windows_leave_no_state():
-    p = WindowRunningCountProcessor()
-    carry, _ = p.step((1, 0), None, (5, 1, 100))
-    assert p.on_watermark((1, 0), carry, 100_000)[0] == carry
-    assert p.on_watermark((1, 0), carry, 100_001)[0] is None
+    p = WindowRunningCountProcessor(60, 20)  # three windows hold a row
+    counts, out = p.step((1,), p.load(None), (65_000_000, 7, None))
+    assert [(r[1], r[3], r[4]) for r in out] == [(60_000, 120_000, 1), (40_000, 100_000, 1), (20_000, 80_000, 1)]
+    counts, out = p.step((1,), counts, (80_000_000, 8, None))  # the window up to 80 s is over
+    assert sorted((r[1], r[4]) for r in out) == [(40_000, 2), (60_000, 2), (80_000, 1)]
+    assert p.load(p.save(counts)) == counts and p.deadline_us(counts) == 140_000_000
+    assert p.on_watermark((1,), counts, 119_000_000)[0] == {60_000_000: 2, 80_000_000: 1}
+    assert p.save(p.on_watermark((1,), counts, 140_000_000)[0]) is None
 
 
 def test_every_row_is_printed(spark, tmp_path):

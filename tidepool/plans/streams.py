@@ -673,17 +673,9 @@ SELECT event_id, user_id, ws // 1000 AS window_start, (ws + {86400 * US}) // 100
 FROM w
 """)
 def stream_window_running_count(spark, sf):
-    sdf, base = events_stream(spark, sf, "window_running_count")
-    w = (sdf.select("*", F.window("ts", "86400 seconds", "21600 seconds").alias("w"))
-            .withColumn("window_start", F.unix_millis("w.start"))
-            .withColumn("window_end", F.unix_millis("w.end")).drop("w"))
-    out = run_ordered(w, ["user_id", "window_start"], "ts", "event_id", ["window_end"],
-                      WindowRunningCountProcessor(),
-                      "user_id long, window_start long, event_id long, window_end long, "
-                      "running_count long")
-    run_append(out, f"{base}/out", f"{base}/ckpt")
-    return _read(spark, f"{base}/out").select("event_id", "user_id", "window_start", "window_end",
-                                               "running_count")
+    out = _ordered(spark, sf, "window_running_count", WindowRunningCountProcessor(86400, 21600),
+                   "user_id long, window_start long, event_id long, window_end long, running_count long")
+    return out.select("event_id", "user_id", "window_start", "window_end", "running_count")
 
 
 # --- TOP-3 on a stream: composite key item-user, top 3 per window ------------------------------------------

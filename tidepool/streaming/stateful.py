@@ -455,23 +455,45 @@ class RunningSumProcessor(OrderedKeyProcessor):
 
 
 class WindowRunningCountProcessor(OrderedKeyProcessor):
-    """WIN-8: inside each (key, window) number the rows 1..n in event order."""
+    """WIN-8: inside each (key, sliding window) number the rows 1..n in event order.
 
-    row_fields = "window_end bigint"
-    carry_schema = "n bigint, window_end bigint"
+    State is one count per window of the key that is still open, at most
+    ``size / slide``; rows are not copied to their windows before the shuffle."""
+
+    row_fields = "value double"
+    carry_schema = "starts array<bigint>, counts array<bigint>"
     out_columns = ["user_id", "window_start", "event_id", "window_end", "running_count"]
 
-    def step(self, key, carry, row):
-        _, rid, wend = row
-        n = (carry[0] if carry is not None else 0) + 1
-        return (n, wend), [(key[0], key[1], rid, wend, n)]
+    def __init__(self, size_s: int, slide_s: int):
+        self.size_us, self.slide_us = size_s * 1_000_000, slide_s * 1_000_000
 
-    def on_watermark(self, key, carry, wm_us):
+    def load(self, saved):
+        return dict(zip(*saved)) if saved is not None else {}
+
+    def save(self, counts):
+        return (list(counts), list(counts.values())) if counts else None
+
+    def _open(self, counts, now_us):
+        for start in [s for s in counts if s + self.size_us <= now_us]:
+            del counts[start]
+
+    def step(self, key, counts, row):
+        ts_us, rid = row[0], row[1]
+        self._open(counts, ts_us)
+        out, start = [], ts_us - ts_us % self.slide_us
+        while start > ts_us - self.size_us:
+            counts[start] = n = counts.get(start, 0) + 1
+            out.append((key[0], start // 1000, rid, (start + self.size_us) // 1000, n))
+            start -= self.slide_us
+        return counts, out
+
+    def on_watermark(self, key, counts, wm_us):
         """A window that the watermark has passed gets no more rows: forget it."""
-        return (None if carry is not None and carry[1] * 1000 < wm_us else carry), []
+        self._open(counts, wm_us)
+        return counts, []
 
-    def deadline_us(self, carry):
-        return carry[1] * 1000
+    def deadline_us(self, counts):
+        return max(counts) + self.size_us if counts else None
 
 
 class CumulativeWindowProcessor(OrderedKeyProcessor):

@@ -108,13 +108,20 @@ def refine_top_n(out_path: str, partition: list[str], key: str, count: str, n: i
     previous top-n ∪ the changed rows). State is therefore n rows per window.
     Each batch writes the refreshed top-n of the windows it touched as version
     ``batch_id``; ``latest_top_n`` reads the newest version per window.
+
+    Versions lie in folders by the day of their window (``partition[0]`` is its
+    end in epoch ms), and a batch reads those of the days it touches: what it
+    reads is bounded by the lateness, not by the number of batches.
     """
+    day = F.floor(F.col(partition[0]) / 86_400_000).cast("int")
+
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         upd = batch.select(*partition, key, count).persist()  # used twice: the stateful part runs once
         cand = upd
         if batch_id > 0:  # the first batch has no previous versions
-            prev = latest_top_n(spark.read.parquet(out_path), partition, rank_col)
+            days = [r[0] for r in upd.select(day).distinct().collect()]
+            prev = latest_top_n(spark.read.parquet(out_path).where(F.col("day").isin(days)), partition, rank_col)
             touched = upd.select(*partition).distinct()
             cand = cand.unionByName(prev.join(touched, on=partition, how="left_semi")
                                     .select(*partition, key, count))
@@ -122,7 +129,7 @@ def refine_top_n(out_path: str, partition: list[str], key: str, count: str, n: i
         w = Window.partitionBy(*partition).orderBy(F.col(count).desc(), F.col(key))
         ranked = (best.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
                       .where(F.col(rank_col) <= n))
-        ranked.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        ranked.withColumn("day", day).write.mode("overwrite").partitionBy("day").parquet(f"{out_path}/batch_id={batch_id}")
         upd.unpersist()
 
     return fn
@@ -132,4 +139,4 @@ def latest_top_n(versions: DataFrame, partition: list[str], rank_col: str = "top
     """Newest top-n version of each window from ``refine_top_n`` output."""
     w = Window.partitionBy(*partition)
     return (versions.withColumn("_v", F.max("batch_id").over(w))
-                    .where(F.col("batch_id") == F.col("_v")).drop("_v", "batch_id"))
+                    .where(F.col("batch_id") == F.col("_v")).drop("_v", "batch_id", "day"))
