@@ -109,3 +109,28 @@ def test_documents_and_routing(spark, tmp_path):
     out = {}
     route_write(df, "tag", {t: (lambda d, t=t: out.__setitem__(t, d.count())) for t in ("high", "low")})
     assert out == {"high": 1, "low": 1}
+
+
+def test_strict_parsing_fails_the_job(spark):
+    import pytest
+
+    good = _lines(spark, ["s1,5,1.5"])
+    assert parse_delimited(good, "sensor", strict=True).collect()[0].time == 5
+    for bad, said in (("s1,x,1.5", "CAST_INVALID_INPUT"), ("s1,5", "no field temperature")):
+        with pytest.raises(Exception, match=said):
+            parse_delimited(_lines(spark, [bad]), "sensor", strict=True).collect()
+
+
+def test_unfiltered_words_as_the_jvm_splits_them(spark):
+    df = _lines(spark, [" a  b ", "", " \t", "c", "d\n"])
+    assert sorted(r.word for r in tokenize(df, "value", drop_empty=False).collect()) == ["", "", "a", "b", "c", "d"]
+
+
+def test_rendered_times(spark):
+    from tidepool.functions.timecols import next_midnight, render_ms
+
+    df = spark.createDataFrame([(1511658000000,), (1511658000120,), (1511658000007,), (-1,)], "ms long")
+    got = [r[0] for r in df.select(render_ms("ms")).collect()]
+    assert got == ["2017-11-26 01:00:00.0", "2017-11-26 01:00:00.12", "2017-11-26 01:00:00.007", "1969-12-31 23:59:59.999"]
+    at = df.select(F.unix_millis(next_midnight(F.timestamp_millis("ms"))).alias("m")).first().m
+    assert at == 1511740800000

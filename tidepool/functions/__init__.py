@@ -1,8 +1,6 @@
 """Scalar column helpers (FN-*)."""
 
-from tidepool.functions.timecols import (epoch_ms, epoch_us, epoch_s, utc_day, next_midnight,
-                                         render_ms, parse_log_time)
-from tidepool.functions.text import tokenize, tokenize_jvm, normalize_int
+from tidepool.functions.text import normalize_int, tokenize, tokenize_jvm
+from tidepool.functions.timecols import next_midnight, parse_log_time, render_ms
 
-__all__ = ["epoch_ms", "epoch_us", "epoch_s", "utc_day", "next_midnight", "render_ms",
-           "parse_log_time", "tokenize", "tokenize_jvm", "normalize_int"]
+__all__ = ["next_midnight", "render_ms", "parse_log_time", "tokenize", "tokenize_jvm", "normalize_int"]

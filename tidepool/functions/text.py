@@ -15,11 +15,18 @@ def _c(c) -> Column:
 
 def tokenize(df: DataFrame, text_col: str = "value", pattern: str = ASCII_SPACE,
              drop_empty: bool = True, out: str = "word") -> DataFrame:
-    """PRJ-6: one row per token of ``text_col`` split by the regex ``pattern``."""
-    tok = df.select(F.explode(F.split(_c(text_col), pattern)).alias(out))
+    """PRJ-6: one row per token of ``text_col`` split by the regex ``pattern``.
+
+    With ``drop_empty=False`` empty tokens stay as the JVM's ``split`` keeps them:
+    one before a separator at the beginning, none after one at the end, one for
+    an empty text, none for a text of separators alone.
+    """
+    text = _c(text_col)
     if drop_empty:
-        tok = tok.where(F.length(out) > 0)
-    return tok
+        return df.select(F.explode(F.split(text, pattern)).alias(out)).where(F.length(out) > 0)
+    cut = F.regexp_replace(text, f"(?:{pattern})$", "")
+    return (df.select(text.alias("_all"), cut.alias("_cut")).where((F.col("_cut") != "") | (F.col("_all") == ""))
+              .select(F.explode(F.split("_cut", pattern)).alias(out)))
 
 
 def tokenize_jvm(df: DataFrame, text_col: str = "value", sep: str = " ",

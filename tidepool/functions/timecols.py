@@ -1,4 +1,4 @@
-"""Event-time helpers (FN-7, FN-8). All JVM-side expressions."""
+"""Event-time helpers (FN-7, FN-8). All JVM-side expressions; times are UTC."""
 
 from __future__ import annotations
 
@@ -10,31 +10,18 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def epoch_us(ts) -> Column:
-    return F.unix_micros(_c(ts))
-
-
-def epoch_ms(ts) -> Column:
-    return F.unix_millis(_c(ts))
-
-
-def epoch_s(ts) -> Column:
-    return F.unix_seconds(_c(ts))
-
-
-def utc_day(ts) -> Column:
-    """Start of the UTC day holding ``ts`` (session zone is UTC)."""
-    return F.date_trunc("day", _c(ts))
-
-
 def next_midnight(ts) -> Column:
-    """FN-8: the next UTC midnight after ``ts``."""
+    """FN-8: the next UTC midnight after ``ts`` (a midnight's is a day later)."""
     return F.date_trunc("day", _c(ts)) + F.expr("INTERVAL 1 DAY")
 
 
-def render_ms(ts, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
-    """FN-7: render a timestamp as text in the session zone (UTC)."""
-    return F.date_format(_c(ts), fmt)
+def render_ms(ms) -> Column:
+    """FN-7: epoch milliseconds as ``yyyy-MM-dd HH:mm:ss.S``; the fraction has no
+    zeros at its end, but one digit at least."""
+    ms = _c(ms)
+    part = F.rtrim(F.lpad(F.pmod(ms, F.lit(1000)).cast("string"), 3, "0"), F.lit("0"))
+    text = F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd HH:mm:ss")
+    return F.concat(text, F.lit("."), F.when(part == "", "0").otherwise(part))
 
 
 def parse_log_time(s) -> Column:

@@ -15,9 +15,9 @@ from tidepool.operators.sequence import keyed_scan
 
 
 def word_count(df: DataFrame, text_col: str = "text", pattern: str = ASCII_SPACE,
-               jvm_split: bool = False) -> DataFrame:
+               jvm_split: bool = False, drop_empty: bool = True) -> DataFrame:
     """AGG-1 + PRJ-6: words and their counts over whole texts."""
-    words = tokenize_jvm(df, text_col) if jvm_split else tokenize(df, text_col, pattern)
+    words = tokenize_jvm(df, text_col) if jvm_split else tokenize(df, text_col, pattern, drop_empty)
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
 
 

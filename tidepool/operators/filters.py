@@ -18,11 +18,6 @@ def split_by(df: DataFrame, predicates: dict[str, Column], default: str | None =
     return df.withColumn(label, expr)
 
 
-def select_labels(df: DataFrame, labels: list[str], label: str = "label") -> DataFrame:
-    """FIL-5: keep the sub-streams named by ``labels``."""
-    return df.where(F.col(label).isin(*labels))
-
-
 def prefix_filter(df: DataFrame, col: str, prefix: str) -> DataFrame:
     """FIL-4: ``col`` starts with ``prefix`` (pushed to the scan as a string filter)."""
     return df.where(F.col(col).startswith(prefix))

@@ -5,16 +5,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidepool.functions.timecols import next_midnight, render_ms
+from tidepool.operators.aggregates import word_count
+from tidepool.operators.patterns import cap_per_key
 from tidepool.plans.basics import document_json
 from tidepool.plans.patterns import MSG_CLICK_CAP, ORDER
 from tidepool.plans.registry import ORACLE, register
 from tidepool.plans.sqlfrag import US
-from tidepool.operators.patterns import cap_per_key
 from tidepool.sinks.datasource import FileTarget, target_format
 from tidepool.sinks.writers import document_records, print_sink, route_write
 from tidepool.sources.kafka import drop_replayed, kafka_records, with_record_headers
 from tidepool.sources.parse import parse_delimited, split_valid
-from tidepool.sources.tables import load_events
+from tidepool.sources.tables import load_events, load_table
 from tidepool.sources.text import read_lines
 from tidepool.streaming.runner import (events_stream, observed, read_staged, rows_dropped, run_append,
                                        run_foreach_batch, scratch, stage_files)
@@ -123,6 +125,28 @@ def parse_quarantine(spark, sf):
             .unionByName(bad.select(F.lit(None).cast("bigint").alias("event_id"), F.col("value").alias("rejected"))))
 
 
+# --- PRJ-6, white space without a filter: empty words as the JVM's split leaves them ------------------------------------
+@register("word_count_unfiltered", """
+WITH d AS (SELECT text, regexp_replace(text, '[ \\t\\n\\x0B\\f\\r]+$', '') AS cut FROM documents),
+w AS (SELECT unnest(regexp_split_to_array(cut, '[ \\t\\n\\x0B\\f\\r]+')) AS word FROM d WHERE cut <> '' OR text = '')
+SELECT word, count(*) AS cnt FROM w GROUP BY word
+""")
+def word_count_unfiltered(spark, sf):
+    return word_count(load_table(spark, sf, "documents").select("text"), "text", drop_empty=False)
+
+
+# --- FN-7 + FN-8: times as text with their fraction, and the next midnight ---------------------------------------------
+@register("rendered_times", """
+WITH m AS (SELECT event_id, ts, epoch_us(ts) // 1000 AS ms, rtrim(lpad(CAST(epoch_us(ts) // 1000 % 1000 AS VARCHAR), 3, '0'), '0') AS part FROM events)
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') || '.' || CASE WHEN part = '' THEN '0' ELSE part END AS text,
+       epoch_ms(date_trunc('day', ts) + INTERVAL 1 DAY) AS midnight_ms
+FROM m
+""")
+def rendered_times(spark, sf):
+    ev = load_events(spark, sf).select("event_id", "ts")
+    return ev.select("event_id", render_ms(F.unix_millis("ts")).alias("text"), F.unix_millis(next_midnight("ts")).alias("midnight_ms"))
+
+
 # --- SNK-7: tagged sub-outputs, each to its own place -----------------------------------------------------------------
 @register("routed_outputs", """
 SELECT event_type AS place, event_id, user_id FROM events WHERE event_type IN ('view', 'click')

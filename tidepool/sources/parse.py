@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepool.functions.timecols import parse_log_time
+
 # Fixed record schemas of the behaviour-analytics jobs (Spark DDL).
 SCHEMAS = {
     "user_behavior": "userId bigint, itemId bigint, categoryId int, behavior string, timestamp bigint",
@@ -43,9 +45,11 @@ def _escape(sep: str) -> str:
 
 
 def parse_delimited(df: DataFrame, schema, sep: str = ",", text_col: str = "value",
-                    trim: bool = True, keep_raw: bool = True) -> DataFrame:
+                    trim: bool = True, keep_raw: bool = True, strict: bool = False) -> DataFrame:
     """PRJ-1 / PRJ-2: split ``text_col`` on ``sep``, trim (optional), try-cast.
 
+    ``strict`` (FN-3): a field that is missing or doesn't parse is an error
+    that fails the job. Otherwise it is NULL.
     Adds ``_ok`` (all fields present and parsed) and keeps the raw line as
     ``_raw`` for the quarantine output.
     """
@@ -55,7 +59,9 @@ def parse_delimited(df: DataFrame, schema, sep: str = ",", text_col: str = "valu
     for i, f in enumerate(st.fields):
         raw = F.get(parts, i)
         raw = F.trim(raw) if trim else raw
-        val = raw if isinstance(f.dataType, T.StringType) else raw.try_cast(f.dataType)
+        if strict:
+            raw = F.coalesce(raw, F.raise_error(F.concat(F.lit(f"no field {f.name} in: "), F.col(text_col))))
+        val = raw if isinstance(f.dataType, T.StringType) else raw.cast(f.dataType) if strict else raw.try_cast(f.dataType)
         cols.append(val.alias(f.name))
         oks.append(val.isNotNull())
     ok = F.size(parts) >= len(st.fields)
@@ -76,7 +82,7 @@ def parse_access_log(df: DataFrame, text_col: str = "value") -> DataFrame:
     """PRJ-3: space separated access log; fields 0,1,3,5,6 = ip,user,time,method,url."""
     p = F.split(F.col(text_col), " ")
     return df.select(F.get(p, 0).alias("ip"), F.get(p, 1).alias("user_id"),
-                     F.try_to_timestamp(F.get(p, 3), F.lit("dd/MM/yyyy:HH:mm:ss")).alias("event_time"),
+                     parse_log_time(F.get(p, 3)).alias("event_time"),
                      F.get(p, 5).alias("method"), F.get(p, 6).alias("url"))
 
 
