@@ -18,6 +18,18 @@ from tidepool.operators.sequence import deal, dealt_scan, keyed_scan
 
 US = 1_000_000
 
+# Verdict texts of the order jobs.
+PAYED, PAYED_LATE, NOT_PAYED, NO_CREATE = ("payed successfully", "payed but already timeout", "order timeout",
+                                           "already payed but not found create log")
+ORDER_PAYED, ORDER_TIMEOUT = "order payed successfully", "order timeout"
+
+
+def four_outcomes(create_us: Column, pay_us: Column, limit_us: int) -> Column:
+    """PAT-5: the verdict on a key's first create and first pay."""
+    both = create_us.isNotNull() & pay_us.isNotNull()
+    return (F.when(both & (pay_us < create_us + limit_us), PAYED).when(both, PAYED_LATE)
+            .when(create_us.isNotNull(), NOT_PAYED).otherwise(NO_CREATE))
+
 
 def _with_t(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumn("t_us", F.unix_micros(F.col(ts)))
@@ -152,10 +164,7 @@ def match_orders(df: DataFrame, keys: list[str], ts: str, type_col: str, create:
     """PAT-5: four outcomes per key from its first create and first pay."""
     g = first_events(df, keys, ts, type_col, [create, pay])
     c, p = F.col(f"first_{create}_us"), F.col(f"first_{pay}_us")
-    res = (F.when(c.isNotNull() & p.isNotNull() & (p < c + timeout_s * US), "payed successfully")
-            .when(c.isNotNull() & p.isNotNull(), "payed but already timeout")
-            .when(c.isNotNull(), "order timeout")
-            .otherwise("already payed but not found create log"))
+    res = four_outcomes(c, p, timeout_s * US)
     return g.select(*keys, res.alias("result"))
 
 
@@ -169,7 +178,7 @@ def order_verdict(df: DataFrame, keys: list[str], ts: str, type_col: str, create
     pay_first = p.isNotNull() & ((p < c) | ((p == c) & (pi < ci)))
     ok = p.isNotNull() & (p <= c + timeout_s * US)
     return (g.where(c.isNotNull() & ~pay_first)
-             .select(*keys, F.when(ok, "order payed successfully").otherwise("order timeout")
+             .select(*keys, F.when(ok, ORDER_PAYED).otherwise(ORDER_TIMEOUT)
                      .alias("result")))
 
 

@@ -7,12 +7,12 @@ purchases = ``event_type = 'purchase'`` (pay side), clicks = ``'click'``
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidepool.operators.joins import interval_join, lookup, reconcile, window_join
 from tidepool.plans.registry import register
 from tidepool.plans.sqlfrag import US
 from tidepool.sources.tables import load_events
+from tidepool.sources.text import from_rows
 
 BAND_S = 30 * 60
 WJ_SIZE_S = 3600
@@ -95,6 +95,10 @@ def window_join_left(spark, sf):
     return j.select("user_id", "window_end", "view_id", "click_id")
 
 
+def lookup_rows(spark):
+    return from_rows(spark, [(i, n, f) for i, (n, f) in enumerate(LOOKUP_ROWS)], "pos int, name string, factor double")
+
+
 # --- JN-5: lookup join, case-insensitive, first match wins, default row -------------------
 @register("lookup_join", f"""
 WITH l AS (SELECT * FROM (VALUES {_LOOKUP_VALUES}) t(pos, name, factor)),
@@ -105,10 +109,7 @@ SELECT e.event_id,
 FROM events e LEFT JOIN d ON lower(e.event_type) = d.lk
 """)
 def lookup_join(spark, sf):
-    small = spark.createDataFrame(
-        [(i, n, f) for i, (n, f) in enumerate(LOOKUP_ROWS)],
-        T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("name", T.StringType()),
-                      T.StructField("factor", T.DoubleType())]))
+    small = lookup_rows(spark)
     ev = load_events(spark, sf).select("event_id", "event_type", "value")
     j = lookup(ev, small, "event_type", "name", ["factor"], "pos")
     hit = F.col("factor").isNotNull()

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidepool.operators.patterns import (Step, adjacent_pair, cap_per_key, followed_by_within,
+from tidepool.operators.patterns import (PAYED, Step, adjacent_pair, cap_per_key, followed_by_within,
                                          jump_alert, match_orders, n_in_a_row, order_verdict,
                                          rising_alert, sequence)
 from tidepool.operators.windows import sliding_count
@@ -108,7 +108,7 @@ def order_timeout_seq(spark, sf):
     r = followed_by_within(ev, ["user_id", "day_ms"], ORDER, "ts", "event_type", "click",
                            "purchase", ORDER_LIMIT_S, ["event_id"])
     return r.select("user_id", "day_ms", F.col("start.event_id").alias("create_event_id"),
-                    F.when(F.col("status") == "matched", "payed successfully").otherwise("timeout").alias("result"))
+                    F.when(F.col("status") == "matched", PAYED).otherwise("timeout").alias("result"))
 
 
 # --- PAT-2 in general: view, the next event a click, later a purchase, within the bound ----

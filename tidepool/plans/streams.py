@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.text import ASCII_SPACE, tokenize
 from tidepool.operators.aggregates import payment_totals
-from tidepool.operators.patterns import Step
+from tidepool.operators.patterns import ORDER_PAYED, ORDER_TIMEOUT, PAYED, Step, four_outcomes
+from tidepool.plans import joins, patterns  # noqa: F401  (their SQL is used below)
 from tidepool.plans.registry import ORACLE, register
 from tidepool.sources.parse import parse_pay_result
 from tidepool.sources.tables import load_table
@@ -319,18 +320,7 @@ def stream_session_counts(spark, sf):
 
 
 # --- PAT-5 on a stream: one verdict per (user, day) once the day has closed --------------------------
-@register("stream_order_match", f"""
-WITH f AS (SELECT user_id, epoch_ms(date_trunc('day', ts)) AS day_ms,
-                  min(CASE WHEN event_type = 'click' THEN epoch_us(ts) END) AS c,
-                  min(CASE WHEN event_type = 'purchase' THEN epoch_us(ts) END) AS p
-           FROM events WHERE event_type IN ('click', 'purchase') GROUP BY ALL)
-SELECT user_id, day_ms,
-       CASE WHEN c IS NOT NULL AND p IS NOT NULL AND p < c + {ORDER_LIMIT_S * US} THEN 'payed successfully'
-            WHEN c IS NOT NULL AND p IS NOT NULL THEN 'payed but already timeout'
-            WHEN c IS NOT NULL THEN 'order timeout'
-            ELSE 'already payed but not found create log' END AS result
-FROM f
-""")
+@register("stream_order_match", ORACLE["order_match"])
 def stream_order_match(spark, sf):
     sdf, base = events_stream(spark, sf, "order_match",
                               where=F.col("event_type").isin("click", "purchase"), close=True)
@@ -340,10 +330,7 @@ def stream_order_match(spark, sf):
               .agg(F.min(F.when(F.col("event_type") == "click", t)).alias("c"),
                    F.min(F.when(F.col("event_type") == "purchase", t)).alias("p")))
     c, p = F.col("c"), F.col("p")
-    res = (F.when(c.isNotNull() & p.isNotNull() & (p < c + ORDER_LIMIT_S * US), "payed successfully")
-            .when(c.isNotNull() & p.isNotNull(), "payed but already timeout")
-            .when(c.isNotNull(), "order timeout")
-            .otherwise("already payed but not found create log"))
+    res = four_outcomes(c, p, ORDER_LIMIT_S * US)
     out = day.select("user_id", F.unix_millis("d.start").alias("day_ms"), res.alias("result"))
     run_append(out, f"{base}/out", f"{base}/ckpt")
     return _read(spark, f"{base}/out")
@@ -450,7 +437,7 @@ def stream_window_join_inner(spark, sf):
     return _read(spark, f"{base}/out")
 
 
-# --- JN-5 on a stream: stream-static lookup (checked-size broadcast); same answer as lookup_join -----
+# --- JN-5 on a stream: stream-static lookup, the planner chooses the join; same answer as lookup_join -----
 def _lookup_sql():
     from tidepool.plans.registry import ORACLE
     import tidepool.plans.joins  # noqa: F401  (registers lookup_join)
@@ -460,15 +447,10 @@ def _lookup_sql():
 
 @register("stream_lookup_join", _lookup_sql())
 def stream_lookup_join(spark, sf):
-    from pyspark.sql import types as T
-
     from tidepool.operators.joins import lookup
     from tidepool.plans import joins as J
 
-    small = spark.createDataFrame(
-        [(i, n, f) for i, (n, f) in enumerate(J.LOOKUP_ROWS)],
-        T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("name", T.StringType()),
-                      T.StructField("factor", T.DoubleType())]))
+    small = J.lookup_rows(spark)
     sdf, base = events_stream(spark, sf, "lookup")
     j = lookup(sdf.select("event_id", "event_type", "value"), small, "event_type", "name",
                ["factor"], "pos")
@@ -510,7 +492,7 @@ def stream_order_verdict(spark, sf):
     ok = p.isNotNull() & (p.t <= c.t + ORDER_LIMIT_S * US)
     out = (day.where(c.isNotNull() & ~pay_first)
               .select("user_id", F.unix_millis("d.start").alias("day_ms"),
-                      F.when(ok, "order payed successfully").otherwise("order timeout").alias("result")))
+                      F.when(ok, ORDER_PAYED).otherwise(ORDER_TIMEOUT).alias("result")))
     run_append(out, f"{base}/out", f"{base}/ckpt")
     return _read(spark, f"{base}/out")
 
@@ -585,7 +567,7 @@ def stream_order_timeout_seq(spark, sf):
     sdf = sdf.withColumn("day_ms", F.unix_millis(F.date_trunc("day", "ts")))
     steps = [Step("create", F.col("event_type") == "click"), Step("pay", F.col("event_type") == "purchase")]
     found = sequence_stream(sdf, ["user_id", "day_ms"], "ts", "event_id", steps, ORDER_LIMIT_S)
-    result = F.when(F.col("status") == "matched", "payed successfully").otherwise("timeout")
+    result = F.when(F.col("status") == "matched", PAYED).otherwise("timeout")
     run_append(found.select("user_id", "day_ms", F.col("create.event_id").alias("create_event_id"), result.alias("result")),
                f"{base}/out", f"{base}/ckpt")
     return _read(spark, f"{base}/out")
