@@ -45,6 +45,8 @@ WINDOW = 10
 NEED = 4
 MIN_TOKENS = 4
 MAX_SIEVE = 1 << 22
+PART_BITS = 17
+PART = 1 << PART_BITS
 NAME, UNIT, NUMBER = 1, 2, 3
 # Units recognised after a number.
 UNITS = ["mm", "cm", "m", "km", "mg", "g", "kg", "t", "ml", "l", "s", "min", "h", "percent", "inch", "inches", "foot", "feet",
@@ -119,8 +121,11 @@ def templates(spark: SparkSession, items: DataFrame) -> DataFrame:
 
 
 def sieve(templates_: DataFrame, slots: int) -> Column:
-    """The templates' hashes as a binary literal of ``slots`` bytes, 1 where a
-    hash falls. Bitmaps of 32,768 slots reach the driver, ``slots / 8`` bytes."""
+    """The templates' hashes as a literal of ``slots`` bytes, 1 where a hash
+    falls, in an array of binaries of ``PART`` bytes: descriptions of plans spell
+    a large binary out, an array's elements they don't, and the driver's heap
+    takes small pieces more easily. Bitmaps of 32,768 slots reach the driver,
+    ``slots / 8`` bytes."""
     at = templates_.select(F.pmod(F.col("hash"), F.lit(slots)).alias("slot"))
     bitmaps = (at.groupBy(F.expr("slot div 32768").alias("part"))
                .agg(F.bitmap_construct_agg(F.col("slot") % 32768).alias("bits")).collect())
@@ -130,7 +135,7 @@ def sieve(templates_: DataFrame, slots: int) -> Column:
             if byte:
                 for j in range(8):
                     out[r.part * 32768 + i * 8 + j] = byte >> j & 1
-    return F.lit(bytes(out[:slots]))
+    return F.array(*[F.lit(bytes(out[at:at + PART])) for at in range(0, slots, PART)])
 
 
 def sieved(w: int, slots: int, held: Column, typed: bool) -> Column:
@@ -139,8 +144,9 @@ def sieved(w: int, slots: int, held: Column, typed: bool) -> Column:
     words, s = ("typed_words", "typed_s") if typed else ("words", "s")
 
     def passes(x: Column) -> Column:
-        at = F.pmod(x["hash"], F.lit(slots)).cast("int") + 1
-        return F.substring(held, at, F.lit(1)) == F.lit(b"\x01")
+        at = F.pmod(x["hash"], F.lit(slots)).cast("int")
+        part = F.element_at(held, F.shiftright(at, PART_BITS) + 1)
+        return F.substring(part, at.bitwiseAND(F.lit(PART - 1)) + 1, F.lit(1)) == F.lit(b"\x01")
 
     def with_words(x: Column) -> Column:
         named = has_names(F.slice("typed_words", x["at"] + 1, w))
