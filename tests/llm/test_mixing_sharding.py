@@ -123,3 +123,19 @@ def test_pipeline_of_an_empty_table(spark, no_docs, tmp_path):
     spark.createDataFrame([(1, "x y z")], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
     spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
     assert corpus_pipeline.run(spark, sf).count() == 0
+
+
+def test_two_results_are_built_before_either_is_read(spark, docs, tmp_path):
+    import os
+
+    from tidepool.llm.common import shared_dir
+
+    sf = str(tmp_path)
+    docs.where("doc_id < 20").write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([(1, "x y z")], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+    before = set(os.listdir(f"{shared_dir(spark)}/llm"))
+    first, second = corpus_pipeline.run(spark, sf), corpus_pipeline.run(spark, sf)
+    assert first.count() == second.count() == 20
+    left = [n for n in os.listdir(f"{shared_dir(spark)}/llm") if n not in before and n.startswith("stage-")]
+    assert len(left) == 2  # each run keeps the input of its last stage only

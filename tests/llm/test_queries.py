@@ -11,12 +11,13 @@ COLUMNS = {
     "op4_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
     "op7_language_id": ["doc_id", "held_out", "lang_pred", "score"],
     "op8_mixing": ["doc_id", "n_tokens", "p_high", "p_low", "p_toxic", "rate", "copies"],
+    "op12_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op10_repeated_bytes": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
 }
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
