@@ -765,6 +765,26 @@ def stream_pv_early(spark, sf):
     return _final_updates(spark, counts, base, ["window_end"], "pv")
 
 
+# --- WIN-9: every early version: batches are days, a window of two days is refreshed by each of them ------
+@register("stream_pv_early_versions", f"""
+WITH v AS (SELECT epoch_us(ts) // {86400 * US} AS day, epoch_us(ts) // {2 * 86400 * US} AS w FROM events WHERE event_type = 'view'),
+c AS (SELECT day, w, count(*) AS n FROM v GROUP BY day, w)
+SELECT day, (w + 1) * {2 * 86400 * 1000} AS window_end, CAST(sum(n) OVER (PARTITION BY w ORDER BY day) AS BIGINT) AS pv FROM c
+""")
+def stream_pv_early_versions(spark, sf):
+    from tidepool.sources.tables import load_events
+
+    day = F.floor(F.unix_seconds("ts") / 86400)
+    sdf, base = events_stream(spark, sf, "pv_versions", where=F.col("event_type") == "view", slice_by=day)
+    counts = (sdf.withWatermark("ts", "0 seconds").groupBy(F.window("ts", "2 days").alias("w"))
+                 .agg(F.count(F.lit(1)).alias("pv")).select(F.unix_millis("w.end").alias("window_end"), "pv"))
+    run_foreach_batch(counts, version_batches(f"{base}/out"), f"{base}/ckpt", mode="update")
+    # the k-th batch is the k-th day that has views
+    days = load_events(spark, sf).where(F.col("event_type") == "view").select(day.alias("day")).distinct()
+    days = days.withColumn("batch_id", (F.row_number().over(Window.orderBy("day")) - 1).cast("int"))
+    return _read(spark, f"{base}/out").join(days, "batch_id").select("day", "window_end", "pv")
+
+
 # --- PAT-2 on a stream: its own bound -----------------------------------------------------------------
 @register("stream_login_fail_seq", _same_as("login_fail_seq"))
 def stream_login_fail_seq(spark, sf):
