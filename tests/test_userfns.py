@@ -1,6 +1,7 @@
 """User functions: partial states, window and co-group bodies, rich maps; batch and stream."""
 
 import random
+import time
 from collections import defaultdict
 from datetime import datetime, timedelta
 
@@ -178,3 +179,34 @@ def test_flat_map_state_comes_back_and_can_be_cleared(spark):
     got = _feed(spark, "flat", make, [rows[:2], rows[2:5], rows[5:]])
     assert sorted((r.kind, r.n) for r in got.collect()) == [("2.0", 1), ("5.0", 3), ("cleared", 0)]
     assert got.columns == ["user_id", "kind", "n"]
+
+
+def test_window_bodies_on_streams_call_python_by_batch_not_by_window(spark):
+    """Keys without a value, late rows, several windows of a key in a batch, a body that leaves rows."""
+    base = scratch(spark, "bodies")
+    rows = [(i, None if i % 7 == 0 else i % 90, B + timedelta(seconds=(i * 977) % 7200), None if i % 5 == 0 else i / 2) for i in range(600)]
+    for k, part in enumerate((rows[:300], rows[300:], [(-1, -1, B + timedelta(days=9), None)])):
+        spark.createDataFrame(part, "id long, k long, ts timestamp, v double").coalesce(1).write.mode("append").parquet(f"{base}/in")
+        time.sleep(0.05)
+
+    def body(key, window, rows):
+        first = next(rows)
+        yield (1 if first[0] is None else 2,)
+        if key[0] != 5:
+            yield (100 + sum(1 for _ in rows),)
+
+    sdf = read_staged(spark, f"{base}/in", spark.read.parquet(f"{base}/in").schema)
+    out = stream_window_apply(sdf, "ts", 600, None, ["k"], ["v", "id"], body, "n long", delay_s=7200)
+    run_append(out, f"{base}/out", f"{base}/ckpt")
+    got, want = defaultdict(list), defaultdict(int)
+    for r in spark.read.parquet(f"{base}/out").collect():
+        got[r.k, r.window_start // 1000, r.window_end // 1000].append(r.n)
+    for _, k, t, _ in rows:
+        s = int((t - datetime(1970, 1, 1)).total_seconds()) // 600 * 600
+        want[k, s, s + 600] += 1
+    assert set(got) == set(want)
+    for (k, *w), n in want.items():
+        told = sorted(got[k, *w])
+        assert told[0] in (1, 2) and told[1:] == ([] if k == 5 else [99 + n])
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert "MapInArrow" in plan and "TransformWithState" not in plan

@@ -1,21 +1,27 @@
 """User functions on event-time windows of streams (UDF-5, UDF-6, UDF-9).
 
-State is kept per (key, window) and leaves when an event-time timer at the
-window's end fires; rows of a window that the watermark has passed are dropped.
+State is kept per (key, window) and leaves when the watermark passes the
+window's end; rows of a window that it has passed are dropped. An aggregate's
+state is merged in Python, closed by an event-time timer. Rows for a body wait
+in Spark's own aggregate, which costs no Python call per (key, window) and
+batch; a window's rows are one value there, so they must fit in 2 GB.
 """
 
 from __future__ import annotations
 
 import pickle
+from collections import deque
 from collections.abc import Callable, Iterator
+from itertools import islice
 from math import gcd
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
-from tidepool.operators.userfns import Aggregate, partial_states
+from tidepool.operators.userfns import Aggregate, _in_batches, _rows, _schema_of, partial_states
 from tidepool.operators.windows import floor_to, window_starts
 from tidepool.streaming.stateful import column_values
 
@@ -73,31 +79,6 @@ def _tuples(rows: Iterator[pd.DataFrame], ddl: str) -> Iterator[tuple]:
         yield from zip(*(column_values(pdf[c], kind) for c, kind in cols))
 
 
-class BodyProcessor(WindowProcessor):
-    """Buffers rows in list state (of both sides, for a co-group)."""
-
-    def __init__(self, size_s, out_columns, sides: list[str], body: Callable):
-        super().__init__(size_s, out_columns)
-        self.sides, self.body = sides, body
-
-    def open_state(self):
-        self.rows = [self.handle.getListState(f"rows{i}", ddl) for i, ddl in enumerate(self.sides)]
-
-    def take(self, rows):
-        for pdf in rows:
-            for i, ddl in enumerate(self.sides):
-                mine = pdf[pdf["x_side"] == i]
-                if len(mine):
-                    self.rows[i].appendList(list(_tuples([mine], ddl)))
-
-    def results(self, key, window):
-        return self.body(key, window, *[(tuple(r) for r in state.get()) if state.exists() else iter(()) for state in self.rows])
-
-    def clear(self):
-        for state in self.rows:
-            state.clear()
-
-
 class AggregateProcessor(WindowProcessor):
     """One merged state of a user aggregate."""
 
@@ -152,22 +133,53 @@ def stream_window_user_aggregate(sdf: DataFrame, ts: str, size_s: int, slide_s:
     return _closing(rows, keys, AggregateProcessor(size_s, columns, agg), ddl)
 
 
-def _side(sdf: DataFrame, ts: str, keys: list[str], size_s: int, slide_s: int, side: int, names: list[list[str]], inputs: list[list[str]], kinds: list[dict]) -> DataFrame:
-    cols = [F.col(c).alias(n) if i == side else F.lit(None).cast(kinds[i][c]).alias(n)
+def _side(sdf: DataFrame, ts: str, keys: list[str], side: int, names: list[list[str]], inputs: list[list[str]], kinds: list[dict]) -> DataFrame:
+    def own(c):  # a NaN counts as NULL
+        return F.when(~F.isnan(c), F.col(c)) if kinds[side][c] in ("float", "double") else F.col(c)
+
+    cols = [(own(c) if i == side else F.lit(None).cast(kinds[i][c])).alias(n)
             for i in range(len(names)) for c, n in zip(inputs[i], names[i])]
-    return sdf.where(F.col(ts).isNotNull()).select(*keys, F.col(ts).alias("x_ts"), _starts_ms(F.unix_micros(F.col(ts)), size_s, slide_s).alias("window_start"), F.lit(side).alias("x_side"), *cols)
+    return sdf.where(F.col(ts).isNotNull()).select(*keys, F.col(ts).alias("x_ts"), F.lit(side).alias("x_side"), *cols)
+
+
+def _lists(column: pa.ListArray) -> Iterator[Iterator[tuple]]:
+    """The rows of each list of structs, some thousand of them as Python objects at a time."""
+    every = column.flatten()
+    rows = (r for lo in range(0, len(every), 10_000) for r in zip(*(c.to_pylist() for c in every.slice(lo, 10_000).flatten())))
+    for n in column.value_lengths().to_pylist():
+        mine = islice(rows, n)
+        yield mine
+        deque(mine, maxlen=0)  # what the body left
 
 
 def _bodies(sides: list[DataFrame], ts: str, size_s: int, slide_s: int, keys: list[str], inputs: list[list[str]], body, schema: str, delay_s: int) -> DataFrame:
+    """Rows wait in a watermarked aggregate, one list a side for each (key,
+    window); the lists of closed windows go through the body in Arrow batches.
+    Python sees a window once, when it is complete."""
     kinds = [dict(d.dtypes) for d in sides]
     names = [[f"x{i}_{c}" for c in cols] for i, cols in enumerate(inputs)]
-    parts = [_side(d.withWatermark(ts, f"{int(delay_s)} seconds"), ts, keys, size_s, slide_s, i, names, inputs, kinds) for i, d in enumerate(sides)]
+    parts = [_side(d.withWatermark(ts, f"{int(delay_s)} seconds"), ts, keys, i, names, inputs, kinds) for i, d in enumerate(sides)]
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
-    held = [", ".join(f"{n} {kinds[i][c]}" for c, n in zip(cols, names[i])) for i, cols in enumerate(inputs)]
-    ddl, columns = _out(sides[0], keys, schema)
-    return _closing(rows, keys, BodyProcessor(size_s, columns, held, body), ddl)
+    held = rows.groupBy(*keys, F.window("x_ts", f"{int(size_s)} seconds", f"{int(slide_s)} seconds").alias("x_window")).agg(
+        *[F.collect_list(F.when(F.col("x_side") == i, F.struct(*cols))).alias(f"x_rows{i}") for i, cols in enumerate(names)])
+    ddl, _ = _out(sides[0], keys, schema)
+    out, n, size_ms = _schema_of(ddl), len(keys), int(size_s) * 1000
+
+    def results(b: pa.RecordBatch) -> Iterator[tuple]:
+        lists = [_lists(b.column(i)) for i in range(n + 1, b.num_columns)]
+        for (*key, start), *some in zip(_rows(b, 0, n + 1), *lists):
+            window = (start, start + size_ms)
+            for r in body(tuple(key), window, *some):
+                yield (*key, *window, *r)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield from _in_batches(results(b), out)
+
+    closed = held.select(*keys, F.unix_millis("x_window.start").alias("window_start"), *[f"x_rows{i}" for i in range(len(sides))])
+    return closed.mapInArrow(run, ddl)
 
 
 def stream_window_apply(sdf: DataFrame, ts: str, size_s: int, slide_s: int | None, keys: list[str], inputs: list[str],
