@@ -210,3 +210,23 @@ def test_window_bodies_on_streams_call_python_by_batch_not_by_window(spark):
         assert told[0] in (1, 2) and told[1:] == ([] if k == 5 else [99 + n])
     plan = out._jdf.queryExecution().analyzed().toString()
     assert "MapInArrow" in plan and "TransformWithState" not in plan
+
+
+def test_cogroups_on_streams_see_windows_of_either_side(spark):
+    from tidepool.streaming.userfns import stream_window_cogroup
+
+    base = scratch(spark, "cogroup")
+    rows = [(i, i % 40, B + timedelta(seconds=(i * 977) % 7200)) for i in range(400)]
+    sides = []
+    for side in (0, 1):
+        for part in ([r for r in rows if r[0] % 3 % 2 == side], [(-1, -1, B + timedelta(days=9))]):
+            spark.createDataFrame(part, "id long, k long, ts timestamp").coalesce(1).write.mode("append").parquet(f"{base}/in{side}")
+            time.sleep(0.05)
+        sides.append(read_staged(spark, f"{base}/in{side}", spark.read.parquet(f"{base}/in{side}").schema))
+    out = stream_window_cogroup(*sides, ["k"], "ts", 600, ["id"], ["id"], lambda key, window, a, b: [(sum(1 for _ in b), sum(1 for _ in a))], "b long, a long")
+    run_append(out, f"{base}/out", f"{base}/ckpt")
+    want = defaultdict(lambda: [0, 0])
+    for i, k, t in rows:
+        want[k, int((t - datetime(1970, 1, 1)).total_seconds()) // 600][i % 3 % 2] += 1
+    assert {(r.k, r.window_start // 600_000): [r.a, r.b] for r in spark.read.parquet(f"{base}/out").collect()} == dict(want)
+    assert "TransformWithState" not in out._jdf.queryExecution().analyzed().toString()
