@@ -283,3 +283,29 @@ def test_sequence_on_a_stream_equals_batch(spark):
     want = sorted(((r.user_id, r.status, *[r[n].event_id if r[n] else None for n in names])
                    for r in sequence(df, ["user_id"], ["ts", "event_id"], "ts", steps, 60, ["event_id"]).collect()), key=str)
     assert got == want and {"matched", "timeout"} <= {r[1] for r in got}
+
+
+def test_python_is_called_for_a_bucket_not_for_a_key(spark, tmp_path):
+    """300 keys, one of them NULL, in 4 buckets: at most 4 calls a batch; every key has its own state over batches."""
+    from tidepool.streaming.stateful import EveryNthProcessor, run_ordered
+
+    log = str(tmp_path / "calls")
+
+    class Noted(EveryNthProcessor):
+        def handleInputRows(self, key, rows, timerValues):
+            with open(log, "a") as f:
+                f.write("x")
+            yield from super().handleInputRows(key, rows, timerValues)
+
+    base = scratch(spark, "buckets")
+    b = datetime(2024, 1, 1)
+    big = 1 << 60
+    rows = [(i, None if i % 300 == 7 else big + i % 300, b + timedelta(seconds=i), float(i)) for i in range(1500)]
+    for part in (rows[:700], rows[700:]):
+        schema = _stage(spark, base, "a", part)
+    out = run_ordered(read_staged(spark, f"{base}/in", schema), "user_id", "ts", "event_id", ["value"], Noted(2),
+                      "user_id long, event_id long, row_no long", buckets=4)
+    run_append(out, f"{base}/out", f"{base}/ckpt")
+    got = sorted((r.event_id, r.user_id, r.row_no) for r in spark.read.parquet(f"{base}/out").collect())
+    assert got == [(i, u, i // 300 + 1) for i, u, _, _ in rows if i // 300 % 2]
+    assert len(open(log).read()) <= 4 * 3

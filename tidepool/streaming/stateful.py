@@ -1,10 +1,14 @@
 """Event-ordered keyed state machines on streams (PAT-1..9, count windows, ...).
 
+Keys are dealt to buckets by their hash. Spark calls Python once for a bucket
+and batch, not once for a key, which would cost milliseconds for a row or two;
+a bucket's keys are one value of state and have one event-time timer.
+
 Within a micro-batch the rows of a key arrive unordered and may be late by up
 to the watermark delay. With a delay, ``OrderedKeyProcessor`` buffers rows in
-list state and registers an event-time timer per key and batch; when the
-watermark passes, the buffered rows older than it are released sorted by
-``(ts_us, id)`` through ``step`` — a small per-row function over a carried
+list state, and the timer fires when the watermark passes the oldest; the
+buffered rows older than the watermark are released, by key and sorted by
+``(ts_us, id)``, through ``step`` — a small per-row function over a carried
 state. With delay 0 (ascending event time) no row older than the watermark can
 arrive later, so each batch is sorted and stepped directly (equal timestamps
 split across batches are taken in arrival order). State survives restarts with
@@ -19,24 +23,31 @@ from __future__ import annotations
 from collections import deque, namedtuple
 from collections.abc import Callable, Iterator
 from decimal import Decimal
+from itertools import groupby
 from math import fsum
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
 
 from tidepool.operators.patterns import Step
 
-SLICE = 10_000  # rows of a key that are Python objects at the same time
+SLICE = 10_000  # rows that are Python objects at the same time
+BUCKETS = 4096  # of keys that share a state
+WHOLE = ("bigint", "long", "int", "smallint", "tinyint")
 
 
 def column_values(column: pd.Series, kind: str) -> list:
     """A column's values; NULL as None, whole numbers as int."""
     if column.dtype.kind != "f":
         return column.tolist()
-    whole = kind in ("bigint", "long", "int")
+    whole = kind in WHOLE
     return [None if v != v else int(v) if whole else v for v in column.tolist()]
 
 
@@ -52,15 +63,18 @@ class OrderedKeyProcessor(StatefulProcessor):
 
     # Set by run_ordered: buffer rows until the watermark passes them (delay > 0),
     # or process each micro-batch directly (delay 0: event time ascends, no row
-    # older than the watermark can arrive later).
+    # older than the watermark can arrive later); the types of the key's columns;
+    # the columns of a bucket's state.
     buffered = True
+    key_kinds: list[str] = []
+    stored: pa.Schema | None = None
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        # all keys of the bucket as an Arrow stream; its timer; time of the oldest waiting row
+        self.state = handle.getValueState("state", "kept binary, armed_ms bigint, oldest_us bigint")
         if self.buffered:
-            self.pending = handle.getListState("pending",
-                                               f"ts_us bigint, id bigint, {self.row_fields}")
-        self.carry = handle.getValueState("carry", self.carry_schema)
+            self.pending = handle.getListState("pending", "rows binary")  # an Arrow stream a batch
         fields = ["ts_us bigint", "id bigint"] + self.row_fields.split(",")
         self.cols = [tuple(f.split()[:2]) for f in fields]
 
@@ -82,87 +96,127 @@ class OrderedKeyProcessor(StatefulProcessor):
         """Event time at which ``on_watermark`` must run even without new rows."""
         return None
 
-    def _opened(self):
-        """The working state and the deadline whose timer is set."""
-        carry = self.load(self.carry.get() if self.carry.exists() else None)
-        return carry, None if carry is None else self.deadline_us(carry)
-
-    def _closed(self, carry, armed: int | None) -> None:
-        """Store the state; set its timer and delete the one it replaces (with
-        buffered rows an equal time may release some of them, so it stays)."""
-        due = None if carry is None else self.deadline_us(carry)
+    def _opened(self) -> tuple[dict, int | None, int | None]:
+        """The bucket's keys, each with its stored state and deadline; the timer
+        that is set; the time of the oldest waiting row."""
+        if not self.state.exists():
+            return {}, None, None
+        kept, armed, oldest = self.state.get()
+        n = len(self.key_kinds)
+        rows = zip(*(c.to_pylist() for c in pa.ipc.open_stream(bytes(kept)).read_all().columns))
+        return {r[:n]: (r[n + 1:], r[n]) for r in rows}, armed, oldest
+
+    def _keep(self, held: dict, key, carry) -> None:
         saved = None if carry is None else self.save(carry)
         if saved is None:
-            self.carry.clear()
+            held.pop(key, None)
+        else:
+            held[key] = tuple(saved), self.deadline_us(carry)
+
+    def _closed(self, held: dict, armed: int | None, oldest: int | None) -> None:
+        """Store the state; one timer, for the first deadline or waiting row,
+        replaces the one that was set."""
+        times = [due for _, due in held.values() if due is not None] + ([] if oldest is None else [oldest])
+        due = min(times) // 1000 + 1 if times else None
+        if held or oldest is not None:
+            self.state.update((_stream([(*key, at, *saved) for key, (saved, at) in held.items()], self.stored), due, oldest))
         else:
-            self.carry.update(saved)
+            self.state.clear()
         if due != armed:
-            if armed is not None and not self.buffered:
-                self.handle.deleteTimer(armed // 1000 + 1)
+            if armed is not None:
+                self.handle.deleteTimer(armed)
             if due is not None:
-                self.handle.registerTimer(due // 1000 + 1)
+                self.handle.registerTimer(due)
 
     def _frame(self, out: list) -> pd.DataFrame:
         return pd.DataFrame(out, columns=self.out_columns, dtype=object)  # None stays None, whole numbers exact
 
-    def _in_order(self, rows) -> Iterator[list[tuple]]:
-        """The batch's rows of the key by time and id, ``SLICE`` at a time."""
-        every = pd.concat(list(rows), ignore_index=True)
-        every = every.iloc[np.lexsort((every["id"].to_numpy(), every["ts_us"].to_numpy()))]
+    def _in_order(self, every: pd.DataFrame) -> Iterator[tuple[tuple, tuple]]:
+        """(key, row) by key, time and id, made ``SLICE`` at a time."""
+        by = [every["id"].to_numpy(), every["ts_us"].to_numpy()]
+        for i in range(len(self.key_kinds)):
+            by += [pd.factorize(every[f"x_key{i}"])[0], every[f"x_null{i}"].to_numpy()]
+        every = every.iloc[np.lexsort(by)]
         for lo in range(0, len(every), SLICE):
             part = every.iloc[lo:lo + SLICE]
-            yield list(zip(*(column_values(part[c], kind) for c, kind in self.cols)))
+            keys = [[None if none else v for v, none in zip(column_values(part[f"x_key{i}"], kind), part[f"x_null{i}"].tolist())]
+                    for i, kind in enumerate(self.key_kinds)]
+            yield from zip(zip(*keys), zip(*(column_values(part[c], kind) for c, kind in self.cols)))
+
+    def _stepped(self, held: dict, every: pd.DataFrame, wm_us: int | None) -> Iterator[list]:
+        """Step all rows, key by key; results, some thousand at a time. With a
+        watermark, first what it decides for a key that has rows."""
+        out: list = []
+        for key, rows in groupby(self._in_order(every), itemgetter(0)):
+            carry = self.load(held[key][0] if key in held else None)
+            if wm_us is not None:
+                carry, emitted = self.on_watermark(key, carry, wm_us)
+                out.extend(emitted)
+            for _, row in rows:
+                carry, emitted = self.step(key, carry, row)
+                out.extend(emitted)
+                if len(out) >= SLICE:
+                    yield out
+                    out = []
+            self._keep(held, key, carry)
+        if out:
+            yield out
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        every = pd.concat(list(rows), ignore_index=True)
+        held, armed, oldest = self._opened()
         if self.buffered:
-            latest = 0
-            for pdf in rows:
-                self.pending.appendList(list(zip(*(column_values(pdf[c], kind) for c, kind in self.cols))))
-                latest = max(latest, int(pdf["ts_us"].max()))
-            # one timer per key and batch: when it fires every row of this batch
-            # is older than the watermark and gets released (in order).
-            self.handle.registerTimer(latest // 1000 + 1)
-            return
-        carry, armed = self._opened()
-        carry, out = self.on_watermark(key, carry, timerValues.getCurrentWatermarkInMs() * 1000)
-        for part in self._in_order(rows):
-            for r in part:
-                carry, emitted = self.step(key, carry, r)
-                out.extend(emitted)
-            if out:
+            columns = [c for c in every.columns if c not in ("x_bucket", "x_ts")]
+            self.pending.appendValue((_stream(every[columns]),))
+            # the timer fires when the oldest row is older than the watermark; all
+            # rows that are then get released (in order)
+            first = every["ts_us"].min()
+            oldest = min(t for t in (oldest, 0 if first != first else int(first)) if t is not None)
+        else:
+            for out in self._stepped(held, every, timerValues.getCurrentWatermarkInMs() * 1000):
                 yield self._frame(out)
-                out = []
-        if out:
-            yield self._frame(out)
-        self._closed(carry, armed)
+        self._closed(held, armed, oldest)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         wm_us = timerValues.getCurrentWatermarkInMs() * 1000
-        ready = []
-        if self.buffered and self.pending.exists():
-            pending = list(self.pending.get())
-            ready = sorted((r for r in pending if r[0] < wm_us), key=lambda r: r[:2])
-            if ready:
-                keep = [r for r in pending if r[0] >= wm_us]
-                if keep:
-                    self.pending.put(keep)
-                else:
-                    self.pending.clear()
-        carry, armed = self._opened()
+        held, _, oldest = self._opened()
+        if oldest is not None and oldest < wm_us:
+            every = pd.concat([pa.ipc.open_stream(bytes(b)).read_all().to_pandas() for (b,) in self.pending.get()], ignore_index=True)
+            waits = (every["ts_us"] >= wm_us).to_numpy()
+            keep = every[waits]
+            if len(keep):
+                self.pending.put([(_stream(keep),)])
+            else:
+                self.pending.clear()
+            oldest = int(keep["ts_us"].min()) if len(keep) else None
+            for out in self._stepped(held, every[~waits], None):
+                yield self._frame(out)
         out = []
-        for r in ready:
-            carry, emitted = self.step(key, carry, r)
+        for k in [k for k, (_, due) in held.items() if due is not None and due < wm_us]:
+            carry, emitted = self.on_watermark(k, self.load(held[k][0]), wm_us)
             out.extend(emitted)
-        carry, emitted = self.on_watermark(key, carry, wm_us)
-        out.extend(emitted)
+            self._keep(held, k, carry)
         if out:
             yield self._frame(out)
-        self._closed(carry, armed)
+        self._closed(held, None, oldest)  # the timer that fired is gone
 
     def close(self) -> None:
         pass
 
 
+def _stream(rows: list | pd.DataFrame, schema: pa.Schema | None = None) -> bytes:
+    """Rows as an Arrow stream."""
+    if schema is None:
+        batch = pa.RecordBatch.from_pandas(rows, preserve_index=False)
+    else:
+        columns = zip(*rows) if rows else [()] * len(schema)
+        batch = pa.record_batch([pa.array(list(c), t) for c, t in zip(columns, schema.types)], schema=schema)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as to:
+        to.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
 class FlatMapProcessor(OrderedKeyProcessor):
     """UDF-8: a caller's ``fn(row, state) -> (rows, state)``. ``row`` is a named
     tuple of ``ts_us``, ``id`` and the payload; ``state`` is None at first and
@@ -532,15 +586,26 @@ class CumulativeWindowProcessor(OrderedKeyProcessor):
 
 
 def run_ordered(sdf: DataFrame, key, ts: str, id_col: str, payload: list[str],
-                processor: OrderedKeyProcessor, out_schema: str, delay_s: int = 0) -> DataFrame:
+                processor: OrderedKeyProcessor, out_schema: str, delay_s: int = 0, buckets: int = BUCKETS) -> DataFrame:
     """Apply an ``OrderedKeyProcessor`` per ``key`` (a column or a list of
-    columns) with event-time timers."""
+    columns) with event-time timers. Keys are dealt to ``buckets`` by their hash,
+    and a bucket's keys share a state, a timer and a Python call per batch. The
+    number belongs to the checkpoint; it should grow with the number of keys
+    that are open at a time, to some hundred or thousand a bucket."""
     keys = [key] if isinstance(key, str) else list(key)
+    kinds = dict(sdf.dtypes)
     processor.buffered = delay_s > 0
+    processor.key_kinds = [kinds[k] for k in keys]
+    processor.stored = to_arrow_schema(StructType.fromDDL(", ".join(
+        [*[f"x_key{i} {kind}" for i, kind in enumerate(processor.key_kinds)], "x_due bigint", processor.carry_schema])))
+    # whole numbers without NULLs stay whole in pandas
+    parts = [c for i, k in enumerate(keys) for c in (
+        (F.coalesce(k, F.lit(0).cast(kinds[k])) if kinds[k] in WHOLE else F.col(k)).alias(f"x_key{i}"), F.col(k).isNull().alias(f"x_null{i}"))]
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     src = (sdf.withWatermark(ts, f"{int(delay_s)} seconds")
-              .select(*keys, F.unix_micros(ts).alias("ts_us"), F.col(id_col).alias("id"),
-                      *payload, ts))
-    return (src.groupBy(*keys)
+              .select(bucket.alias("x_bucket"), *parts, F.unix_micros(ts).alias("ts_us"), F.col(id_col).alias("id"),
+                      *payload, F.col(ts).alias("x_ts")))
+    return (src.groupBy("x_bucket")
                .transformWithStateInPandas(statefulProcessor=processor,
                                            outputStructType=out_schema,
                                            outputMode="Append", timeMode="EventTime"))
