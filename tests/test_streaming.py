@@ -309,3 +309,32 @@ def test_python_is_called_for_a_bucket_not_for_a_key(spark, tmp_path):
     got = sorted((r.event_id, r.user_id, r.row_no) for r in spark.read.parquet(f"{base}/out").collect())
     assert got == [(i, u, i // 300 + 1) for i, u, _, _ in rows if i // 300 % 2]
     assert len(open(log).read()) <= 4 * 3
+
+
+def test_sliding_top_n_is_refined_from_panes(spark):
+    """Late rows, ties, several batches: the last version of every window is the exact ranking; no row is copied to its windows in the state."""
+    import random
+
+    from tidepool.streaming.windows import latest_top_n, refine_sliding_top_n
+
+    r, b, base = random.Random(5), datetime(2024, 1, 1, 23, 58), scratch(spark, "panes")
+    rows = [(i, r.randint(0, 6), b + timedelta(seconds=i // 4 - r.choice((0, 0, 7, 19))), 1.0) for i in range(1600)]
+    for part in (rows[:500], rows[500:1100], rows[1100:]):
+        schema = _stage(spark, base, "a", part)
+    sdf = read_staged(spark, f"{base}/in", schema).withColumnRenamed("user_id", "item")
+    panes = (sdf.withWatermark("ts", "80 seconds").groupBy("item", F.window("ts", "5 seconds").alias("w"))
+                .agg(F.count(F.lit(1)).alias("c"), F.max(F.unix_micros("ts")).alias("last_us"))
+                .select("item", F.unix_millis("w.start").alias("pane"), "c", "last_us"))
+    progress = run_foreach_batch(panes, refine_sliding_top_n(f"{base}/out", "item", "c", 60, 5, 2, 20), f"{base}/ckpt", mode="update")
+    counts = {}
+    for _, item, t, _ in rows:
+        s = int((t - datetime(1970, 1, 1)).total_seconds()) // 5 * 5
+        for start in range(s - 55, s + 5, 5):
+            at = counts.setdefault((start + 60) * 1000, {})
+            at[item] = at.get(item, 0) + 1
+    want = sorted((end, item, n, k) for end, at in counts.items()
+                  for k, (n, item) in enumerate(sorted(((-n, i) for i, n in at.items()))[:2], 1) for n in [-n])
+    versions = spark.read.parquet(f"{base}/out")
+    assert sorted(tuple(x) for x in latest_top_n(versions, ["window_end"]).select("window_end", "item", "c", "top_rank").collect()) == want
+    assert versions.select("batch_id").distinct().count() == 3
+    assert sum(op["numRowsUpdated"] for p in progress for op in p["stateOperators"]) <= len(rows)

@@ -535,14 +535,14 @@ r AS (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY click_count
 SELECT window_end, item_id, click_count, top_rank FROM r WHERE top_rank <= 5
 """)
 def stream_hot_pages_refined(spark, sf):
-    from tidepool.streaming.windows import latest_top_n, refine_top_n
+    from tidepool.streaming.windows import latest_top_n, refine_sliding_top_n
 
     sdf, base = events_stream(spark, sf, "hot_pages_refined", where=F.col("event_type") == "click", late_s=60)
-    counts = (sdf.withWatermark("ts", "60 seconds")
-                 .groupBy("item_id", F.window("ts", "600 seconds", "5 seconds").alias("w"))
-                 .agg(F.count(F.lit(1)).alias("click_count"))
-                 .select("item_id", F.unix_millis("w.end").alias("window_end"), "click_count"))
-    run_foreach_batch(counts, refine_top_n(f"{base}/out", ["window_end"], "item_id", "click_count", 5),
+    panes = (sdf.withWatermark("ts", f"{60 + 600} seconds")
+                .groupBy("item_id", F.window("ts", "5 seconds").alias("w"))
+                .agg(F.count(F.lit(1)).alias("click_count"), F.max(F.unix_micros("ts")).alias("last_us"))
+                .select("item_id", F.unix_millis("w.start").alias("pane"), "click_count", "last_us"))
+    run_foreach_batch(panes, refine_sliding_top_n(f"{base}/out", "item_id", "click_count", 600, 5, 5, 60),
                       f"{base}/ckpt", mode="update")
     return latest_top_n(_read(spark, f"{base}/out"), ["window_end"]).select(
         "window_end", "item_id", "click_count", "top_rank")

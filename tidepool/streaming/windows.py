@@ -7,7 +7,7 @@ from math import gcd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.operators.windows import window_starts
+from tidepool.operators.windows import sliding_agg_deltas, window_starts
 
 _MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 
@@ -135,6 +135,51 @@ def refine_top_n(out_path: str, partition: list[str], key: str, count: str, n: i
     return fn
 
 
+def refine_sliding_top_n(out_path: str, key: str, count: str, size_s: int, slide_s: int, n: int, delay_s: int, rank_col: str = "top_rank"):
+    """``refine_top_n`` for sliding windows from counts of panes: a
+    ``foreachBatch`` function for an ``update``-mode count per (``key``,
+    ``pane``: its start in epoch ms, of ``slide_s``) with ``last_us``, the
+    pane's latest time. No row is copied ``size/slide`` times: sums over panes
+    are made in the delta form, and windows exist only to be ranked.
+
+    The stream's watermark has a delay of ``delay_s + size_s``, so that a pane
+    is counted as long as one of its windows is open; windows that
+    ``delay_s`` has closed keep their version. A batch reads earlier panes in
+    blocks of ``size_s`` next to its own, by day, and refreshes all open
+    windows that meet its blocks.
+    """
+    size_ms = int(size_s) * 1000
+    day, block = F.floor(F.col("pane") / 86_400_000).cast("int"), F.floor(F.col("pane") / size_ms)
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        upd = batch.select(key, "pane", count, "last_us").persist()
+        before = spark.read.parquet(f"{out_path}-seen/batch_id={batch_id - 1}").first().last_us if batch_id else None
+        last = max((t for t in (before, upd.agg(F.max("last_us")).first()[0]) if t is not None), default=None)
+        blocks = upd.select(block.alias("block")).distinct()
+        panes = upd.select(key, "pane", count)
+        if batch_id:
+            days = [r[0] for r in upd.select(F.explode(F.sequence(day - 1, day + 1))).distinct().collect()]
+            near = blocks.select(F.explode(F.sequence(F.col("block") - 1, F.col("block") + 1)).alias("block")).distinct()
+            old = spark.read.parquet(f"{out_path}-panes").where((F.col("batch_id") < batch_id) & F.col("day").isin(days))
+            panes = panes.unionByName(old.withColumn("block", block).join(near, "block", "left_semi").select(key, "pane", count))
+        panes = panes.groupBy(key, "pane").agg(F.max(count).alias(count)).withColumn("__ts", F.timestamp_millis("pane"))
+        counts = sliding_agg_deltas(panes, "__ts", size_s, slide_s, [key], {count: ("sum", count)})
+        touched = blocks.select(F.explode(F.array(F.col("block"), F.col("block") - 1)).alias("block")).distinct()
+        counts = counts.withColumn("block", F.floor(F.col("window_start") / size_ms)).join(touched, "block", "left_semi")
+        if before is not None:
+            counts = counts.where(F.col("window_end") > before // 1000 - int(delay_s) * 1000)
+        w = Window.partitionBy("window_end").orderBy(F.col(count).desc(), F.col(key))
+        ranked = counts.select("window_end", key, count, F.row_number().over(w).cast("bigint").alias(rank_col)).where(F.col(rank_col) <= n)
+        (ranked.withColumn("day", F.floor(F.col("window_end") / 86_400_000).cast("int"))
+               .write.mode("overwrite").partitionBy("day").parquet(f"{out_path}/batch_id={batch_id}"))
+        upd.select(key, "pane", count, day.alias("day")).write.mode("overwrite").partitionBy("day").parquet(f"{out_path}-panes/batch_id={batch_id}")
+        spark.range(1).select(F.lit(last).cast("bigint").alias("last_us")).write.mode("overwrite").parquet(f"{out_path}-seen/batch_id={batch_id}")
+        upd.unpersist()
+
+    return fn
+
+
 def latest_top_n(versions: DataFrame, partition: list[str], rank_col: str = "top_rank") -> DataFrame:
     """Newest top-n version of each window from ``refine_top_n`` output."""
     w = Window.partitionBy(*partition)
