@@ -119,6 +119,25 @@ def test_encoder_equals_library(library, frequent):
         assert v.decoded(ids) == library.decode(want, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("held, piece", [(1 << 18, 1 << 20), (40, 64)])
+def test_digests_are_of_the_encoded_ids(monkeypatch, held, piece):
+    """Hashed chunk by chunk, each chunk's bytes made once; also when chunks are forgotten and texts come in pieces."""
+    import hashlib
+
+    v = bpe.Vocabulary.read(PATH)
+    texts = [*TEXTS, *[t or "" for _, t in ROWS], *TEXTS]
+    ids = encoded(bpe.Encoder(v, bpe.Lexicon.build({})), texts)
+    want = [(len(x), hashlib.sha256(np.array(x, "<u4").tobytes()).hexdigest(), hashlib.sha256(v.decoded(x).encode()).hexdigest()) for x in ids]
+    monkeypatch.setattr(bpe, "HELD", held)
+    monkeypatch.setattr(bpe, "PIECE", piece)
+    encoder, calls = bpe.Encoder(v, bpe.Lexicon.build({})), []
+    lists = encoder.lists
+    monkeypatch.setattr(encoder, "lists", lambda chunks: calls.append(len(chunks)) or lists(chunks))
+    assert encoder.digests(texts) == want
+    if piece > 64:
+        assert calls == [len({c for t in texts for p in v.split.pieces(t) if not isinstance(p, int) for c in p})]
+
+
 def test_encoder_equals_library_on_random_texts(library):
     r = random.Random(1)
     signs = "abcdefgh ABCDé'’sStTm.,!?0123456789\n\t ΣÅ漢🙂-_#<|>" + "́Ᲊ"

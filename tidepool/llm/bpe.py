@@ -346,6 +346,9 @@ class Encoder:
     def _forget(self) -> None:
         self.held: dict[str, int] = {}
         self.letters, self.flat, self.starts = 0, np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.ids_of: dict[str, bytes] = {}
+        self.said_of: dict[str, str] = {}
+        self.said = 0
 
     def _remember(self, chunks: set[str]) -> None:
         new = [c for c in chunks if c not in self.held]
@@ -381,19 +384,52 @@ class Encoder:
         flat, at = gathered(np.array(of_chunk, np.int64), begins, ids)
         return flat, at[np.array(ends)]
 
+    def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """Of each text: number of ids, SHA-256 of the ids and of the decoded text."""
+        of_ids, of_text, n = [hashlib.sha256() for _ in texts], [hashlib.sha256() for _ in texts], [0] * len(texts)
+        for some in self._together(texts):
+            self._tell(set().union(*[p for _, p in some if not isinstance(p, int)]))
+            for i, piece in some:
+                if isinstance(piece, int):
+                    ids, said = piece.to_bytes(4, "little"), " " + self.vocabulary.strings[piece]
+                else:
+                    ids, said = b"".join(map(self.ids_of.__getitem__, piece)), "".join(map(self.said_of.__getitem__, piece))
+                of_ids[i].update(ids)
+                of_text[i].update((said if n[i] else said[1:]).encode())
+                n[i] += len(ids) >> 2
+        return [(k, x.hexdigest(), y.hexdigest()) for k, x, y in zip(n, of_ids, of_text)]
+
+    def _tell(self, chunks: set[str]) -> None:
+        """Remember ids, as bytes, and token strings, a space before each, of new chunks."""
+        new = list(chunks.difference(self.ids_of))
+        if len(self.ids_of) + len(new) > HELD or self.said > 64 * HELD:
+            self._forget()
+            new = list(chunks)
+        if new:
+            flat, starts = self.lists(new)
+            raw, at = flat.astype("<u4").tobytes(), starts.tolist()
+            strings = [" " + self.vocabulary.strings[i] for i in flat.tolist()]
+            self.said += sum(map(len, new))
+            for c, lo, hi in zip(new, at, at[1:]):
+                self.ids_of[c], self.said_of[c] = raw[4 * lo:4 * hi], "".join(strings[lo:hi])
+
     def encode(self, texts: list[str]) -> Iterator[tuple[int, np.ndarray]]:
-        """(place of a text, ids of a stretch of it), in order. Texts are taken
-        together until there are ``PIECE / 4`` chunks; a long one comes in several runs."""
-        some: list[tuple[int, list]] = []
+        """(place of a text, ids of a stretch of it), in order; a long one comes in several runs."""
+        for some in self._together(texts):
+            yield from self._runs(some)
+
+    def _together(self, texts: list[str]) -> Iterator[list[tuple[int, int | list]]]:
+        """(place of a text, piece of it), in order, until there are ``PIECE / 4`` chunks."""
+        some: list[tuple[int, int | list]] = []
         size = 0
         for i, text in enumerate(texts):
             for piece in self.vocabulary.split.pieces(text):
                 some.append((i, piece))
                 size += 1 if isinstance(piece, int) else 1 + len(piece)
                 if size >= PIECE // 4:
-                    yield from self._runs(some)
+                    yield some
                     some, size = [], 0
-        yield from self._runs(some)
+        yield some
 
     def _runs(self, some: list) -> Iterator[tuple[int, np.ndarray]]:
         self._remember(set().union(*[p for _, p in some if not isinstance(p, int)]))
@@ -514,18 +550,10 @@ def digests(spark: SparkSession, docs: DataFrame, tokenizer: str, most: int = LE
     name = compile_lexicon(spark, docs, Vocabulary.read(tokenizer), most)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, ids, vocabulary in _encoded(name, batches):
-            rows, string = [], vocabulary.strings.__getitem__
-            for runs in ids:
-                of_ids, of_text, first = hashlib.sha256(), hashlib.sha256(), True
-                for run in runs:
-                    if len(run):
-                        of_ids.update(run.astype("<u4").tobytes())
-                        of_text.update((b"" if first else b" ") + " ".join(map(string, run.tolist())).encode())
-                        first = False
-                rows.append((sum(map(len, runs)), of_ids.hexdigest(), of_text.hexdigest()))
-            n, a, t = zip(*rows)
-            yield pa.record_batch([part, pa.array(n, pa.int64()), pa.array(a), pa.array(t)],
+        encoder = Encoder(*mapped(SparkFiles.get(name)))
+        for part in (b.slice(lo, 256) for b in batches for lo in range(0, b.num_rows, 256)):
+            n, a, t = zip(*encoder.digests(part.column(1).to_pylist()))
+            yield pa.record_batch([part.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(t)],
                                   names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return _texts(docs).mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
