@@ -230,3 +230,31 @@ def test_cogroups_on_streams_see_windows_of_either_side(spark):
         want[k, int((t - datetime(1970, 1, 1)).total_seconds()) // 600][i % 3 % 2] += 1
     assert {(r.k, r.window_start // 600_000): [r.a, r.b] for r in spark.read.parquet(f"{base}/out").collect()} == dict(want)
     assert "TransformWithState" not in out._jdf.queryExecution().analyzed().toString()
+
+
+def test_state_has_a_partition_for_cores_not_for_each_of_the_session_shuffles(spark):
+    base, before = scratch(spark, "state_partitions"), spark.conf.get("spark.sql.shuffle.partitions")
+    rows = [(i, i % 30, B + timedelta(seconds=(i * 977) % 7200)) for i in range(300)]
+    for part in (rows, [(-1, -1, B + timedelta(days=9))]):
+        spark.createDataFrame(part, "id long, k long, ts timestamp").coalesce(1).write.mode("append").parquet(f"{base}/in")
+        time.sleep(0.05)
+
+    def run():
+        sdf = read_staged(spark, f"{base}/in", spark.read.parquet(f"{base}/in").schema)
+        out = stream_window_apply(sdf, "ts", 600, None, ["k"], ["id"], lambda key, window, mine: [(sum(1 for _ in mine),)], "n long")
+        return run_append(out, f"{base}/out", f"{base}/ckpt")
+
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 200)
+        first = {op["numShufflePartitions"] for p in run() for op in p["stateOperators"]}
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+        spark.createDataFrame([(-2, -2, B + timedelta(days=30))], "id long, k long, ts timestamp").coalesce(1).write.mode("append").parquet(f"{base}/in")
+        spark.conf.set("spark.sql.shuffle.partitions", 3)  # a resumed stream keeps its own
+        again = {op["numShufflePartitions"] for p in run() for op in p["stateOperators"]}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert first == again == {2 * spark.sparkContext.defaultParallelism}
+    want = defaultdict(int)
+    for _, k, t in [*rows, (-1, -1, B + timedelta(days=9))]:
+        want[k, int((t - datetime(1970, 1, 1)).total_seconds()) // 600] += 1
+    assert {(r.k, r.window_start // 600_000): r.n for r in spark.read.parquet(f"{base}/out").collect()} == dict(want)

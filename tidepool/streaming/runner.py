@@ -23,6 +23,7 @@ ROWS_PER_FILE = 500_000
 ROWS_PER_BATCH = 50_000_000
 MIN_BATCHES = 4
 END_AFTER = "INTERVAL 3650 DAYS"
+STATE_PARTITIONS_PER_CORE = 2
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -130,16 +131,39 @@ def observed(progress: list[dict], name: str, metric: str) -> int:
     return sum(dict(p.get("observedMetrics", {})).get(name, {}).get(metric, 0) or 0 for p in progress)
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """Partitions of a new stream's state: as many as keep the cores busy, and
+    not more than the session's shuffles have. Each is a RocksDB store of its
+    own, opened and committed in every batch, rows or none, which costs more
+    than the rows of a small one. A store keeps its state on disk, and a batch
+    has at most ``ROWS_PER_BATCH`` rows a source, so tasks stay bounded.
+    ``spark.tidepool.stream.statePartitions`` sets another number; a stream
+    keeps that of its first run."""
+    own = spark.conf.get("spark.tidepool.stream.statePartitions", None)
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return int(own) if own else min(most, STATE_PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism)
+
+
+def started(writer, spark: SparkSession):
+    """Start a stream; it takes its settings from the session as it starts."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", state_partitions(spark))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def run_append(sdf: DataFrame, out_path: str, ckpt: str, mode: str = "append") -> list[dict]:
     """Drain all available input (``availableNow``) into a Parquet table; returns the progress of its batches."""
-    return drained(sdf.writeStream.format("parquet").outputMode(mode)
-                   .option("path", out_path).option("checkpointLocation", ckpt)
-                   .trigger(availableNow=True).start())
+    return drained(started(sdf.writeStream.format("parquet").outputMode(mode)
+                           .option("path", out_path).option("checkpointLocation", ckpt)
+                           .trigger(availableNow=True), sdf.sparkSession))
 
 
 def run_foreach_batch(sdf: DataFrame, fn, ckpt: str, mode: str = "append") -> list[dict]:
-    return drained(sdf.writeStream.foreachBatch(fn).outputMode(mode)
-                   .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    return drained(started(sdf.writeStream.foreachBatch(fn).outputMode(mode)
+                           .option("checkpointLocation", ckpt).trigger(availableNow=True), sdf.sparkSession))
 
 
 def events_stream(spark: SparkSession, sf_dir: str, name: str, where=None,
