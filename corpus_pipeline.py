@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm import decontamination, jaccard_join, language_id, mixing, sharding
-from tidepool.llm.common import delete_path, likely, new_path, noting, short_plans, table, with_place, written
+from tidepool.llm.common import delete_path, likely, new_path, noting, short_plans, small_batches, table, with_place, written
 
 MIN_SCORE = 0.5
 N_SHARDS = 16
@@ -57,6 +57,7 @@ def _stage(step):
     @wraps(step)
     def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         short_plans(spark)
+        small_batches(spark)
         return step(spark, docs, sf_dir)
 
     return stage

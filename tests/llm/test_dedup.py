@@ -183,3 +183,34 @@ def test_empty_tables(spark, no_docs):
     assert jaccard_join.similar_sets(spark, no_docs, 5, 80, 100).count() == 0
     assert repeated_bytes.remove_repeated(spark, no_docs).count() == 0
     assert line_dedup.repeated_lines(spark, no_docs).count() == 0
+
+
+def test_texts_come_to_python_a_few_mb_at_a_time(spark):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([b.nbytes]), pa.array([b.num_rows])], names=["bytes", "n"])
+
+    docs = spark.range(0, 9000, 1, 1).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 400) AS text")
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    try:
+        jaccard_join.similar_sets(spark, docs.limit(3), 5, 80, 100)
+        got = docs.mapInArrow(sizes, "bytes long, n long").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
+    assert sum(r.n for r in got) == 9000 and max(r.bytes for r in got) < 5 << 20
+
+
+def test_equal_sets_of_a_task_are_routed_once_over_batches_and_long_texts():
+    import pyarrow as pa
+
+    order = jaccard_join.TokenOrder(np.zeros(1 << 16, np.uint8), np.zeros(0, np.uint64), 5)
+    texts = [" ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(200_000)), "", None]
+    batch = pa.record_batch([pa.array(["f"] * 4), pa.array(range(4), pa.int64()), pa.array(range(4), pa.int64()), pa.array(texts)],
+                            names=["place_file", "place_row", "doc_id", "text"])
+    first, again = jaccard_join.point_maker(order, 80, 100)(iter([batch, batch]))
+    assert first.column("n").to_pylist() == again.column("n").to_pylist() == [36, 199_996, 0, 0]
+    assert [len(r) > 0 for r in first.column("routes").to_pylist()] == [True, True, False, False]
+    assert [len(r) for r in again.column("routes").to_pylist()] == [0, 0, 0, 0]
+    assert first.column("sig1").to_pylist() == again.column("sig1").to_pylist()

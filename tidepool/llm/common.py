@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 _SCRATCH: dict[str, str] = {}
+BATCH_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,6 +38,12 @@ def short_plans(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.maxPlanStringLength", "20000")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Give Python rows in Arrow batches of about 4 MB: ten thousand whole texts at
+    a time are held several times over, by the executor and by each worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 _NOTED: list[list[str]] = []
 
 

@@ -39,12 +39,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import components, likely, table, with_place, written
+from tidepool.llm.common import components, likely, small_batches, table, with_place, written
 from tidepool.llm.shingles import U, mix, pieces, shingle_hashes, word_hashes
 
 LEAF = 512
 LEAF_TOKENS = 400_000
 SAMPLE_DOCS = 10_000
+PIECE = 1 << 19  # bytes of text looked at together, each with some 60 bytes of arrays
+SEEN = 40_000  # sets that a task remembers
 _COMMON = 63
 
 
@@ -91,7 +93,7 @@ class TokenOrder:
 
     def sets(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         """(row, sorted token ids) of every text."""
-        for at, data, off in pieces(texts):
+        for at, data, off in pieces(texts, PIECE):
             words, first = word_hashes(data, off)
             h, start, row = shingle_hashes(words, first, self.k)
             level = self.word_level[words & U(0xFFFF)].astype(np.int64)
@@ -116,7 +118,7 @@ def fit_order(docs: DataFrame, k: int, sample_docs: int = SAMPLE_DOCS) -> TokenO
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = np.zeros(1 << 16, np.int64)
         for b in batches:
-            for at, data, off in pieces(b.column(0)):
+            for at, data, off in pieces(b.column(0), PIECE):
                 words, first = word_hashes(data, off)
                 level += np.bincount((words & U(0xFFFF)).astype(np.int64), minlength=1 << 16)
                 h, _, row = shingle_hashes(words, first, k)
@@ -154,12 +156,15 @@ def point_maker(order: TokenOrder, num: int, den: int):
         return np.concatenate(out).view(np.int64)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
         for b in batches:
-            seen, out = set(), ([], [], [], [], [])
+            out = ([], [], [], [], [])
+            if len(seen) > SEEN:
+                seen.clear()
             for _, ids in order.sets(b.column("text")):
                 n = len(ids)
                 sig = int(mix(ids).sum()), int(mix(ids ^ U(0x5851F42D4C957F2D)).sum())
-                routes = routes_of(ids) if n and sig not in seen else np.zeros(0, np.int64)  # equal sets of a batch once
+                routes = routes_of(ids) if n and sig not in seen else np.zeros(0, np.int64)  # equal sets of some batches once
                 seen.add(sig)
                 out[0].append(n)
                 out[1].append(sig[0] - (1 << 63))
@@ -332,6 +337,7 @@ def similar_sets(spark: SparkSession, docs: DataFrame, k: int, num: int, den: in
     (distinct ``k``-word shingles), component_id, root (names the component;
     null for an empty set). Documents link where
     ``den * intersection >= num * union``."""
+    small_batches(spark)
     placed = with_place(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     order = fit_order(docs.select("doc_id", "text"), k, sample_docs)
     points = placed.mapInArrow(point_maker(order, num, den), POINTS).withColumn("row", F.monotonically_increasing_id())

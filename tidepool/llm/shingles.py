@@ -40,15 +40,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def pieces(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def pieces(texts: pa.Array, size: int = PIECE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, row offsets into them) for runs of rows of about
-    ``PIECE`` bytes, or one longer row; null texts are empty."""
+    ``size`` bytes, or one longer row; null texts are empty."""
     texts = texts.cast(pa.large_binary()).fill_null(b"") if texts.null_count else texts.cast(pa.large_binary())
     off = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
     at = 0
     while at < len(texts):
-        end = max(at + 1, int(np.searchsorted(off, off[at] + PIECE, side="right")) - 1)
+        end = max(at + 1, int(np.searchsorted(off, off[at] + size, side="right")) - 1)
         yield at, data[off[at]:off[end]], off[at:end + 1] - off[at]
         at = end
 
