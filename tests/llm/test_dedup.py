@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from llm_fixture import ROWS
+from pyspark.sql import functions as F
 
 from tidepool.llm import exact_dedup, jaccard_join, line_dedup, repeated_bytes
 from tidepool.llm.common import components
@@ -80,6 +81,71 @@ def test_large_group_is_cut_into_leaves(spark, tmp_path, monkeypatch):
     assert {r.component_id for r in got if r.doc_id == 100} == {100}
 
 
+@pytest.mark.parametrize("num,den", [(80, 100), (90, 100), (51, 100), (40, 100)])
+def test_linked_sets_share_a_route(num, den):
+    rng = np.random.default_rng(1)
+    linked = 0
+    for n in [*range(1, 60), 300, 1000]:
+        for _ in range(30):
+            drawn = np.unique(rng.integers(0, 2 ** 40, 3 * n, dtype=np.uint64))
+            rng.shuffle(drawn)
+            out = int(rng.integers(0, int((1 - num / den) * n) + 1))
+            more = int(((n - out) * den / num - n) + 1e-9)
+            a, b = np.sort(drawn[:n]), np.sort(np.concatenate([drawn[out:n], drawn[n:n + max(0, more)]]))
+            both = len(np.intersect1d(a, b))
+            if both and den * both >= num * (len(a) + len(b) - both):
+                linked += 1
+                assert set(jaccard_join.route_keys(a, num, den).tolist()) & set(jaccard_join.route_keys(b, num, den).tolist())
+    assert linked > 1000
+
+
+def leaf_rows(spark, monkeypatch, docs, k, num, den, **kw):
+    """The result, and how many rows of leaf pairs the points and the sets made."""
+    seen, real = [], jaccard_join.join_leaves
+
+    def counted(points, *args):
+        seen.append(points.agg(F.sum(F.size("pairs"))).first()[0] or 0)
+        return real(points, *args)
+    monkeypatch.setattr(jaccard_join, "join_leaves", counted)
+    return jaccard_join.similar_sets(spark, docs, k, num, den, **kw).collect(), sum(seen)
+
+
+def test_texts_that_share_single_shingles_are_not_one_group(spark, tmp_path, monkeypatch):
+    """Every text shares shingles with many others, none is like another: that
+    must not put all of them into one subtree, whose leaves meet pairwise."""
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(jaccard_join, "LEAF", 8)
+    parts = [" ".join(f"p{i}x{j}" for j in range(5)) for i in range(480)]
+    deal = np.concatenate([rng.permutation(480) for _ in range(4)])  # each part in about four of 160 texts
+    rows = [(d, " ".join(f"{parts[p]} u{d}y{p}" for p in deal[12 * d:12 * d + 12])) for d in range(160)]
+    rows += [(1000, rows[7][1] + " and one more")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    got, made = leaf_rows(spark, monkeypatch, spark.read.parquet(str(tmp_path / "d")), 5, 80, 100, sample_docs=1)
+    assert {r.doc_id: r.component_id for r in got} == {**{d: d for d in range(160)}, 1000: 7}
+    assert made < 160
+
+
+def test_near_copies_are_not_joined_leaf_by_leaf(spark, tmp_path, monkeypatch):
+    """A group of many leaves is one component after a few leaf pairs each; texts
+    that meet it without being like it, or like only some of it, are still compared."""
+    rng = np.random.default_rng(4)
+    monkeypatch.setattr(jaccard_join, "LEAF", 8)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for d in range(200):
+        words = list(base)
+        words[int(rng.integers(0, 200))] = f"x{d}"
+        rows.append((d, " ".join(words[:200 - d % 3])))
+    far = base[:150] + [f"far{i}" for i in range(50)]  # under 0.8 to all, but one step from each other
+    rows += [(1000 + d, " ".join(far[:-1] + [f"z{d}"])) for d in range(20)]
+    rows += [(2000, " ".join(base[:180] + [f"far{i}" for i in range(2)] + [f"q{i}" for i in range(8)]))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    got, made = leaf_rows(spark, monkeypatch, spark.read.parquet(str(tmp_path / "d")), 5, 80, 100)
+    ids = {r.doc_id: r.component_id for r in got}
+    assert {ids[d] for d in range(200)} == {0} and {ids[1000 + d] for d in range(20)} == {1000} and ids[2000] == 0
+    assert made < 2 * 221 * 9  # 28 leaves; every leaf with every other one: 221 * 28 on points, as many on sets
+
+
 def test_bound_never_prunes_a_link():
     rng = np.random.default_rng(0)
     for n in (5, 40, 700, 3000):

@@ -7,20 +7,26 @@ at most the same sum over the corners of their boxes; pairs whose bound is
 under ``t/(1+t) (|A|+|B|)`` are pruned, the others are verified on the sets.
 
 One tree over a corpus cannot be searched by one task, so points are first
-routed on very fine groups. With the groups in any fixed order, a set with n
-tokens shares with every set of similarity t one of its first
-``n - ceil(t n) + 1`` tokens (otherwise the sum of minima is too small), so it
-is routed to those only. The order puts groups first that are rare by an
-estimate: shingles that a bounded sample of documents holds three times or
-more come last, the others stand by the frequency of their words in the sample.
-The order decides only how many candidates there are; every order is exact.
+routed on very fine groups. The tokens of a set stand in one fixed order, and
+the set is routed by its first ``2 (1-t) n + 1`` pairs of neighbours in it: sets
+of similarity t share one of those (see ``route_keys``), while sets that share
+a few tokens by chance or through a passage hardly ever have two of them side
+by side. A single shared token must not be enough: in a large corpus nearly
+every long text shares one with some other, and all become one subtree. The
+order puts tokens first that are rare by an estimate: shingles that a bounded
+sample of documents holds three times or more come last, the others stand by
+the frequency of their words in the sample. The order decides only how many
+candidates there are; every order is exact.
 
 Sets that meet, directly or over others, form a candidate subtree. A subtree
-is cut into leaves of at most ``LEAF`` points by size and hash; leaves whose
-sizes can match are joined pairwise, first on points, then, for what is left,
-on whole sets. A leaf pair returns a spanning forest of its links, never all
-pairs, and skips pairs that it has connected already. Identical sets are one
-point. So groups of thousands of near copies cost no quadratic output and no
+is cut into leaves of at most ``LEAF`` points by size and hash, which are joined
+pairwise, first on points, then, for what is left, on whole sets. A leaf pair
+returns a spanning forest of its links, never all pairs, and skips pairs that it
+has connected already. Identical sets are one point. Of a subtree with many
+leaves each is first joined with itself and one other: near copies become one
+component by that. Only points that share a route with another component
+take part in the remaining leaf pairs, and none within the largest component (see
+``linked``). So groups of thousands of near copies cost no quadratic work and no
 task holds more than two leaves.
 
 Defined results: null and empty texts, and texts without words, have an empty
@@ -32,7 +38,7 @@ an empty table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,15 +56,6 @@ SEEN = 40_000  # sets that a task remembers
 _COMMON = 63
 
 
-def size_bands(num: int, den: int) -> np.ndarray:
-    """Lower bounds of size bands, each 1/t^2 times the one before. Linked sets
-    are in the same band or, the smaller one near its upper end, in adjacent ones."""
-    out = [1]
-    while out[-1] < 1 << 40:
-        out.append(max(out[-1] + 1, int(out[-1] * (den / num) ** 2)))
-    return np.array(out, np.int64)
-
-
 def groups_of(n: int) -> int:
     """Groups of a set of ``n`` tokens: a power of two of about n / 6, so that
     the bound tells unrelated sets of any size apart; 64 to 4096."""
@@ -141,20 +138,21 @@ def fit_order(docs: DataFrame, k: int, sample_docs: int = SAMPLE_DOCS) -> TokenO
 POINTS = ("place_file string, place_row long, doc_id long, n long, sig1 long, sig2 long, point binary, routes array<long>")
 
 
-def point_maker(order: TokenOrder, num: int, den: int):
-    bands = size_bands(num, den)
-
-    def routes_of(ids: np.ndarray) -> np.ndarray:
-        """Prefix tokens, in the band of the set's size and, if a larger set of
-        the next band could link with it, in that one."""
-        n = len(ids)
-        prefix = ids[:n - (num * n + den - 1) // den + 1]
-        band = int(np.searchsorted(bands, n, side="right"))  # bands[band] starts the next one
-        out = [prefix ^ mix(np.array([band], np.uint64))]
-        if den * n >= num * int(bands[band]):
-            out.append(prefix ^ mix(np.array([band + 1], np.uint64)))
-        return np.concatenate(out).view(np.int64)
+def route_keys(ids: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Keys of a set, of which any two linked sets share one: its first pairs of
+    neighbours in the order, the last token's neighbour being the end. Of ``x``
+    a token that ``y`` lacks breaks two pairs, one that only ``y`` has breaks
+    one, so with t above a half at most ``2 (1-t) |x|`` pairs of x are not pairs
+    of y, and the first shared pair is among the first of both. With lower t,
+    single tokens."""
+    n = len(ids)
+    if 2 * num <= den:
+        return mix(ids[:n - (num * n + den - 1) // den + 1])
+    first = 2 * (den - num) * n // den + 1
+    return mix(mix(ids[:first]) + np.append(ids[1:], U(2 ** 64 - 1))[:first])
+
 
+def point_maker(order: TokenOrder, num: int, den: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         for b in batches:
@@ -164,7 +162,7 @@ def point_maker(order: TokenOrder, num: int, den: int):
             for _, ids in order.sets(b.column("text")):
                 n = len(ids)
                 sig = int(mix(ids).sum()), int(mix(ids ^ U(0x5851F42D4C957F2D)).sum())
-                routes = routes_of(ids) if n and sig not in seen else np.zeros(0, np.int64)  # equal sets of some batches once
+                routes = route_keys(ids, num, den).view(np.int64) if n and sig not in seen else np.zeros(0, np.int64)  # equal sets of some batches once
                 seen.add(sig)
                 out[0].append(n)
                 out[1].append(sig[0] - (1 << 63))
@@ -301,27 +299,63 @@ def leaf_joiner(num: int, den: int, exact: bool):
     return run
 
 
-def leaf_pairs(points: DataFrame, num: int, den: int) -> DataFrame:
-    """``points(root, node, n)`` with ``pairs``, the leaf pairs that each point
-    takes part in: (band, kind, i, j, side)."""
-    step = 1.01 * math.log(den / num)
+def split(points: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``points(root, node, n)`` of the subtrees that are one leaf, and of those that are cut; not those of one point."""
     sizes = points.groupBy("root").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
     sizes = sizes.where("c > 1").withColumn("small", (F.col("c") <= LEAF) & (F.col("s") <= LEAF_TOKENS)).drop("c", "s")
     p = points.join(sizes, "root")
-    one = F.expr("array(named_struct('band', 0, 'kind', 0, 'i', 0, 'j', 0, 'side', 0))")
-    alone = p.where("small").select("root", "node", "n", one.alias("pairs"))
-    big = p.where("NOT small").drop("small").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / step).cast("int"))
-    leaves = big.groupBy("root", "band").agg(F.ceil(F.greatest(F.count("*") / LEAF, F.sum("n") / LEAF_TOKENS)).cast("int").alias("k"))
-    around = (leaves.select("root", "band", F.lit("own").alias("w"), "k")
-              .unionByName(leaves.select("root", (F.col("band") - 1).alias("band"), F.lit("next").alias("w"), "k"))
-              .unionByName(leaves.select("root", (F.col("band") + 1).alias("band"), F.lit("prev").alias("w"), "k"))
-              .groupBy("root", "band").pivot("w", ["own", "next", "prev"]).agg(F.first("k")))
-    big = big.join(around, ["root", "band"]).withColumn("sub", F.pmod(F.xxhash64("node"), F.col("own")).cast("int"))
-    return alone.unionByName(big.select("root", "node", "n", F.expr("""concat(
-        transform(sequence(0, own - 1), x -> named_struct('band', band, 'kind', 0, 'i', least(sub, x), 'j', greatest(sub, x), 'side', int(sub > x))),
-        if(next is null, array(), transform(sequence(0, next - 1), x -> named_struct('band', band, 'kind', 1, 'i', sub, 'j', x, 'side', 0))),
-        if(prev is null, array(), transform(sequence(0, prev - 1), x -> named_struct('band', band - 1, 'kind', 1, 'i', x, 'j', sub, 'side', 1)))
-        )""").alias("pairs")))
+    return p.where("small").drop("small"), p.where("NOT small").drop("small")
+
+
+def leaves_around(points: DataFrame, num: int, den: int) -> DataFrame:
+    """``points(root, node, n, part)`` with the size band and its leaf in it
+    (``sub``), and the numbers of leaves of either part, 0 or 1, in that band, the
+    next and the one before (``own_0`` to ``prev_1``)."""
+    step = 1.01 * math.log(den / num)
+    p = points.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / step).cast("int"))
+    leaves = p.groupBy("root", "band", "part").agg(F.ceil(F.greatest(F.count("*") / LEAF, F.sum("n") / LEAF_TOKENS)).cast("int").alias("k"))
+    names = [f"{w}_{part}" for w in ("own", "next", "prev") for part in (0, 1)]
+    at = F.expr("explode(map('own', band, 'next', band - 1, 'prev', band + 1))").alias("w", "near")
+    around = (leaves.select("root", "part", "k", at).select("root", F.col("near").alias("band"), F.expr("concat(w, '_', part)").alias("w"), "k")
+              .groupBy("root", "band").pivot("w", names).agg(F.first("k")))
+    return p.join(around, ["root", "band"]).withColumn("sub", F.expr("cast(pmod(xxhash64(node), if(part = 0, own_0, own_1)) as int)"))
+
+
+def _pair(band: str, kind: int, i: str, j: str, side: str) -> str:
+    return f"named_struct('band', {band}, 'kind', {kind}, 'i', {i}, 'j', {j}, 'side', {side})"
+
+
+def _with_each(leaves: str, pair: str) -> str:
+    return f"if({leaves} is null, array(), transform(sequence(0, {leaves} - 1), x -> {pair}))"
+
+
+def first_pairs(points: DataFrame, num: int, den: int) -> DataFrame:
+    """``points(root, node, n)`` with ``pairs``, the leaf pairs (band, kind, i, j,
+    side) that each point takes part in: every leaf with itself and with the first one of
+    its band, first ones with those of the next band. All pairs of a subtree that
+    is one leaf; else about four rows a point."""
+    small, big = split(points)
+    big = leaves_around(big.withColumn("part", F.lit(0)), num, den)
+    return small.select("root", "node", "n", F.expr(f"array({_pair('0', 0, '0', '0', '0')})").alias("pairs")).unionByName(
+        big.select("root", "node", "n", F.expr(f"""concat(array({_pair('band', 0, 'sub', 'sub', '0')}),
+            if(sub > 0, array({_pair('band', 0, '0', 'sub', '1')}), array()),
+            if(sub = 0 AND own_0 > 1, transform(sequence(1, own_0 - 1), x -> {_pair('band', 0, '0', 'x', '0')}), array()),
+            if(sub = 0 AND next_0 is not null, array({_pair('band', 1, '0', '0', '0')}), array()),
+            if(sub = 0 AND prev_0 is not null, array({_pair('band - 1', 1, '0', '0', '1')}), array()))""").alias("pairs")))
+
+
+def other_pairs(points: DataFrame, num: int, den: int) -> DataFrame:
+    """``points(root, node, n, part)`` with ``pairs``, all leaf pairs whose sizes can match, but not those within part 1."""
+    rest = ", ".join([_with_each("own_0", _pair("band", 0, "least(sub, x)", "greatest(sub, x)", "int(sub > x)")),
+                      _with_each("next_0", _pair("band", 1, "sub", "x", "0")),
+                      _with_each("prev_0", _pair("band - 1", 1, "x", "sub", "1")),
+                      _with_each("own_1", _pair("band", 2, "x", "sub", "1")),
+                      _with_each("prev_1", _pair("band - 1", 3, "x", "sub", "1")),
+                      _with_each("next_1", _pair("band", 4, "sub", "x", "0"))])
+    main = ", ".join([_with_each("own_0", _pair("band", 2, "sub", "x", "0")),
+                      _with_each("next_0", _pair("band", 3, "sub", "x", "0")),
+                      _with_each("prev_0", _pair("band - 1", 4, "x", "sub", "1"))])
+    return leaves_around(points, num, den).select("root", "node", "n", F.expr(f"if(part = 0, concat({rest}), concat({main}))").alias("pairs"))
 
 
 def join_leaves(points: DataFrame, num: int, den: int, exact: bool) -> DataFrame:
@@ -332,6 +366,31 @@ def join_leaves(points: DataFrame, num: int, den: int, exact: bool) -> DataFrame
             .mapInArrow(leaf_joiner(num, den, exact), "a long, b long"))
 
 
+def linked(spark: SparkSession, points: DataFrame, payload: Callable[[DataFrame], DataFrame], routed: DataFrame,
+           num: int, den: int, exact: bool) -> DataFrame:
+    """Components, as (node, root), of the links among ``points(root, node, n)``;
+    ``payload`` adds the points or sets. Subtrees of many leaves are joined twice:
+    first in a few leaf pairs each, which makes one component of a group of near
+    copies; then the points that share a key of ``routed(node, token)`` with another
+    component, except pairs within the subtree's largest one."""
+    points = written(spark, points, "candidates")
+    found = components(spark, join_leaves(payload(first_pairs(points, num, den)), num, den, exact))
+    _, big = split(points)
+    big = written(spark, big.join(found.select("node", F.col("root").alias("part_of")), "node", "left")
+                  .select("root", "node", "n", F.coalesce("part_of", "node").alias("part_of")), "big")
+    parts = big.groupBy("root", "part_of").agg(F.count("*").alias("c")).groupBy("root").agg(
+        F.max(F.struct("c", "part_of"))["part_of"].alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    open_ = written(spark, big.join(parts, "root").select("root", "node", "n", "part_of", (F.col("part_of") == F.col("main")).cast("int").alias("part")), "open")
+    if open_.isEmpty():
+        return found
+    keys = written(spark, routed.join(open_, "node").select("root", "node", "token", "part_of"), "keys")
+    meet = keys.groupBy("root", "token").agg(F.min("part_of").alias("a"), F.max("part_of").alias("b")).where("a != b")
+    met = keys.join(meet, ["root", "token"]).select("node").distinct()
+    more = join_leaves(payload(other_pairs(written(spark, open_.join(met, "node").select("root", "node", "n", "part"), "open"), num, den)),
+                       num, den, exact)
+    return components(spark, more.unionByName(found.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
+
 def similar_sets(spark: SparkSession, docs: DataFrame, k: int, num: int, den: int, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """One row per document: place_file, place_row (see ``with_place``), doc_id, n
     (distinct ``k``-word shingles), component_id, root (names the component;
@@ -353,18 +412,19 @@ def similar_sets(spark: SparkSession, docs: DataFrame, k: int, num: int, den: in
     classes = written(spark, classes, "classes")
     cand = classes.join(subtree.withColumnRenamed("node", "sig1"), "sig1").select("root", "node", "n")
     own = points.select(F.col("row").alias("node"), F.col("point").alias("payload"))
-    near = components(spark, join_leaves(leaf_pairs(written(spark, cand, "candidates"), num, den).join(own, "node"), num, den, False))
+    keys = points.select(F.col("row").alias("node"), F.explode("routes").alias("token"))
+    near = linked(spark, cand, lambda p: p.join(own, "node"), keys, num, den, False)
+
+    def sets(p: DataFrame) -> DataFrame:
+        p = written(spark, p.join(points.select(F.col("row").alias("node"), "place_file", "place_row"), "node"), "candidates")
+        texts = placed.select("place_file", "place_row", "text").where(likely(spark, p, ["place_file", "place_row"]))
+        return (texts.join(p, ["place_file", "place_row"]).select("root", "node", "n", "pairs", "text")
+                .mapInArrow(set_maker(order), f"root long, node long, n long, pairs {p.schema['pairs'].dataType.simpleString()}, payload binary"))
 
     left = near.join(classes.select("node", "n"), "node").select("root", "node", "n")
-    left = leaf_pairs(written(spark, left, "candidates"), num, den).join(
-        points.select(F.col("row").alias("node"), "place_file", "place_row"), "node")
-    left = written(spark, left, "candidates")
-    texts = placed.select("place_file", "place_row", "text").where(likely(spark, left, ["place_file", "place_row"]))
-    sets = (texts.join(left, ["place_file", "place_row"]).select("root", "node", "n", "pairs", "text")
-            .mapInArrow(set_maker(order), f"root long, node long, n long, pairs {left.schema['pairs'].dataType.simpleString()}, payload binary"))
-    linked = components(spark, join_leaves(sets, num, den, True))
-
-    root = classes.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    same = linked(spark, left, sets, keys, num, den, True)
+
+    root = classes.join(same, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = root.groupBy("root").agg(F.min("first_id").alias("component_id"))
     ids = root.join(first, "root").select("sig1", "sig2", "n", "component_id", "root")
     own = points.select("place_file", "place_row", "doc_id", "n", "sig1", "sig2")
