@@ -24,10 +24,10 @@ pairwise, first on points, then, for what is left, on whole sets. A leaf pair
 returns a spanning forest of its links, never all pairs, and skips pairs that it
 has connected already. Identical sets are one point. Of a subtree with many
 leaves each is first joined with itself and one other: near copies become one
-component by that. Only points that share a route with another component
-take part in the remaining leaf pairs, and none within the largest component (see
-``linked``). So groups of thousands of near copies cost no quadratic work and no
-task holds more than two leaves.
+component by that, and only what is not in the subtree's largest component
+takes part in the remaining leaf pairs (see ``linked``). So groups of thousands
+of near copies cost no quadratic work and no task holds more than two leaves;
+points outside the largest component still meet all others leaf by leaf.
 
 Defined results: null and empty texts, and texts without words, have an empty
 set, are linked with nothing and are their own component; null doc_ids take
@@ -366,13 +366,12 @@ def join_leaves(points: DataFrame, num: int, den: int, exact: bool) -> DataFrame
             .mapInArrow(leaf_joiner(num, den, exact), "a long, b long"))
 
 
-def linked(spark: SparkSession, points: DataFrame, payload: Callable[[DataFrame], DataFrame], routed: DataFrame,
-           num: int, den: int, exact: bool) -> DataFrame:
+def linked(spark: SparkSession, points: DataFrame, payload: Callable[[DataFrame], DataFrame], num: int, den: int, exact: bool) -> DataFrame:
     """Components, as (node, root), of the links among ``points(root, node, n)``;
     ``payload`` adds the points or sets. Subtrees of many leaves are joined twice:
     first in a few leaf pairs each, which makes one component of a group of near
-    copies; then the points that share a key of ``routed(node, token)`` with another
-    component, except pairs within the subtree's largest one."""
+    copies; then, where there are several, in all others except those within the
+    subtree's largest component."""
     points = written(spark, points, "candidates")
     found = components(spark, join_leaves(payload(first_pairs(points, num, den)), num, den, exact))
     _, big = split(points)
@@ -380,14 +379,10 @@ def linked(spark: SparkSession, points: DataFrame, payload: Callable[[DataFrame]
                   .select("root", "node", "n", F.coalesce("part_of", "node").alias("part_of")), "big")
     parts = big.groupBy("root", "part_of").agg(F.count("*").alias("c")).groupBy("root").agg(
         F.max(F.struct("c", "part_of"))["part_of"].alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    open_ = written(spark, big.join(parts, "root").select("root", "node", "n", "part_of", (F.col("part_of") == F.col("main")).cast("int").alias("part")), "open")
-    if open_.isEmpty():
+    several = written(spark, big.join(parts, "root").select("root", "node", "n", (F.col("part_of") == F.col("main")).cast("int").alias("part")), "several")
+    if several.isEmpty():
         return found
-    keys = written(spark, routed.join(open_, "node").select("root", "node", "token", "part_of"), "keys")
-    meet = keys.groupBy("root", "token").agg(F.min("part_of").alias("a"), F.max("part_of").alias("b")).where("a != b")
-    met = keys.join(meet, ["root", "token"]).select("node").distinct()
-    more = join_leaves(payload(other_pairs(written(spark, open_.join(met, "node").select("root", "node", "n", "part"), "open"), num, den)),
-                       num, den, exact)
+    more = join_leaves(payload(other_pairs(several, num, den)), num, den, exact)
     return components(spark, more.unionByName(found.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
 
@@ -412,8 +407,7 @@ def similar_sets(spark: SparkSession, docs: DataFrame, k: int, num: int, den: in
     classes = written(spark, classes, "classes")
     cand = classes.join(subtree.withColumnRenamed("node", "sig1"), "sig1").select("root", "node", "n")
     own = points.select(F.col("row").alias("node"), F.col("point").alias("payload"))
-    keys = points.select(F.col("row").alias("node"), F.explode("routes").alias("token"))
-    near = linked(spark, cand, lambda p: p.join(own, "node"), keys, num, den, False)
+    near = linked(spark, cand, lambda p: p.join(own, "node"), num, den, False)
 
     def sets(p: DataFrame) -> DataFrame:
         p = written(spark, p.join(points.select(F.col("row").alias("node"), "place_file", "place_row"), "node"), "candidates")
@@ -422,7 +416,7 @@ def similar_sets(spark: SparkSession, docs: DataFrame, k: int, num: int, den: in
                 .mapInArrow(set_maker(order), f"root long, node long, n long, pairs {p.schema['pairs'].dataType.simpleString()}, payload binary"))
 
     left = near.join(classes.select("node", "n"), "node").select("root", "node", "n")
-    same = linked(spark, left, sets, keys, num, den, True)
+    same = linked(spark, left, sets, num, den, True)
 
     root = classes.join(same, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = root.groupBy("root").agg(F.min("first_id").alias("component_id"))
