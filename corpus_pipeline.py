@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm import decontamination, jaccard_join, language_id, mixing, sharding
-from tidepool.llm.common import delete_path, likely, new_path, noting, short_plans, small_batches, table, with_place, written
+from tidepool.llm.common import delete_path, likely, merged, new_path, noting, short_plans, small_batches, table, with_place, written
 
 MIN_SCORE = 0.5
 N_SHARDS = 16
@@ -50,7 +50,7 @@ def _without(spark: SparkSession, docs: DataFrame, places: DataFrame) -> DataFra
     """``docs`` without the rows at ``places``."""
     gone = written(spark, places.select(F.col("place_file").alias("__file"), F.col("place_row").alias("__row")), "gone")
     may, other, on = _met(spark, docs, gone)
-    return may.join(gone, on, "left_anti").select("__doc.*").unionByName(other.select("__doc.*"))
+    return may.join(merged(gone), on, "left_anti").select("__doc.*").unionByName(other.select("__doc.*"))
 
 
 def _stage(step):

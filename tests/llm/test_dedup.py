@@ -146,6 +146,27 @@ def test_near_copies_are_not_joined_leaf_by_leaf(spark, tmp_path, monkeypatch):
     assert made < 2 * 221 * 9  # 28 leaves; every leaf with every other one: 221 * 28 on points, as many on sets
 
 
+def test_points_and_leaf_pairs_are_not_sent_over_the_driver(spark, tmp_path, monkeypatch):
+    """A group of many leaves whose rows Spark takes for small: neither they nor
+    their leaf pairs, which grow with the square of the group, are broadcast."""
+    monkeypatch.setattr(jaccard_join, "LEAF", 8)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(d, " ".join([*base[:119 - d % 3], f"x{d}"])) for d in range(120)]
+    far = base[:90] + [f"far{i}" for i in range(30)]
+    rows += [(1000 + d, " ".join(far[:-1] + [f"z{d}"])) for d in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    joined, real = [], jaccard_join.join_leaves
+
+    def noted(points, *args):
+        plan = points._jdf.queryExecution().executedPlan().toString()
+        joined.append(set(re.findall(r"(SortMergeJoin|BroadcastHashJoin) \[(node|place_file)#", plan)))
+        return real(points, *args)
+    monkeypatch.setattr(jaccard_join, "join_leaves", noted)
+    got = {r.doc_id: r.component_id for r in jaccard_join.similar_sets(spark, spark.read.parquet(str(tmp_path / "d")), 5, 80, 100).collect()}
+    assert {got[d] for d in range(120)} == {0} and {got[1000 + d] for d in range(20)} == {1000}
+    assert len(joined) > 2 and set().union(*joined) == {("SortMergeJoin", "node"), ("SortMergeJoin", "place_file")}
+
+
 def test_bound_never_prunes_a_link():
     rng = np.random.default_rng(0)
     for n in (5, 40, 700, 3000):

@@ -90,6 +90,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """``df`` for a join that is not to be broadcast. Spark takes the compressed files
+    of ``written`` for the size of the rows, which are ten or a hundred times that
+    (paths, ids, arrays), and a broadcast table is built in the driver."""
+    return df.hint("merge")
+
+
 def with_place(docs: DataFrame) -> DataFrame:
     """Add ``place_file`` and ``place_row``, which name a row of a table in files for good."""
     try:

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import components, likely, small_batches, table, with_place, written
+from tidepool.llm.common import components, likely, merged, small_batches, table, with_place, written
 from tidepool.llm.shingles import U, mix, pieces, shingle_hashes, word_hashes
 
 LEAF = 512
@@ -329,23 +329,31 @@ def _with_each(leaves: str, pair: str) -> str:
     return f"if({leaves} is null, array(), transform(sequence(0, {leaves} - 1), x -> {pair}))"
 
 
-def first_pairs(points: DataFrame, num: int, den: int) -> DataFrame:
-    """``points(root, node, n)`` with ``pairs``, the leaf pairs (band, kind, i, j,
+def first_leaves(points: DataFrame, num: int, den: int) -> DataFrame:
+    """``points(root, node, n)`` with their size band, their leaf in it and the leaves
+    around (see ``leaves_around``); a subtree that is one leaf has no other."""
+    small, big = split(points)
+    big = leaves_around(big.withColumn("part", F.lit(0)), num, den)
+    none = F.lit(None).cast("int")
+    return small.select("root", "node", "n", F.lit(0).alias("band"), F.lit(0).alias("sub"), F.lit(1).alias("own_0"),
+                        none.alias("next_0"), none.alias("prev_0")).unionByName(
+        big.select("root", "node", "n", "band", "sub", "own_0", "next_0", "prev_0"))
+
+
+def first_pairs(points: DataFrame) -> DataFrame:
+    """``first_leaves`` and a payload, with ``pairs``, the leaf pairs (band, kind, i, j,
     side) that each point takes part in: every leaf with itself and with the first one of
     its band, first ones with those of the next band. All pairs of a subtree that
     is one leaf; else about four rows a point."""
-    small, big = split(points)
-    big = leaves_around(big.withColumn("part", F.lit(0)), num, den)
-    return small.select("root", "node", "n", F.expr(f"array({_pair('0', 0, '0', '0', '0')})").alias("pairs")).unionByName(
-        big.select("root", "node", "n", F.expr(f"""concat(array({_pair('band', 0, 'sub', 'sub', '0')}),
+    return points.select("root", "node", "n", "payload", F.expr(f"""concat(array({_pair('band', 0, 'sub', 'sub', '0')}),
             if(sub > 0, array({_pair('band', 0, '0', 'sub', '1')}), array()),
             if(sub = 0 AND own_0 > 1, transform(sequence(1, own_0 - 1), x -> {_pair('band', 0, '0', 'x', '0')}), array()),
             if(sub = 0 AND next_0 is not null, array({_pair('band', 1, '0', '0', '0')}), array()),
-            if(sub = 0 AND prev_0 is not null, array({_pair('band - 1', 1, '0', '0', '1')}), array()))""").alias("pairs")))
+            if(sub = 0 AND prev_0 is not null, array({_pair('band - 1', 1, '0', '0', '1')}), array()))""").alias("pairs"))
 
 
-def other_pairs(points: DataFrame, num: int, den: int) -> DataFrame:
-    """``points(root, node, n, part)`` with ``pairs``, all leaf pairs whose sizes can match, but not those within part 1."""
+def other_pairs(points: DataFrame) -> DataFrame:
+    """``leaves_around`` and a payload, with ``pairs``, all leaf pairs whose sizes can match, but not those within part 1."""
     rest = ", ".join([_with_each("own_0", _pair("band", 0, "least(sub, x)", "greatest(sub, x)", "int(sub > x)")),
                       _with_each("next_0", _pair("band", 1, "sub", "x", "0")),
                       _with_each("prev_0", _pair("band - 1", 1, "x", "sub", "1")),
@@ -355,7 +363,7 @@ def other_pairs(points: DataFrame, num: int, den: int) -> DataFrame:
     main = ", ".join([_with_each("own_0", _pair("band", 2, "sub", "x", "0")),
                       _with_each("next_0", _pair("band", 3, "sub", "x", "0")),
                       _with_each("prev_0", _pair("band - 1", 4, "x", "sub", "1"))])
-    return leaves_around(points, num, den).select("root", "node", "n", F.expr(f"if(part = 0, concat({rest}), concat({main}))").alias("pairs"))
+    return points.select("root", "node", "n", "payload", F.expr(f"if(part = 0, concat({rest}), concat({main}))").alias("pairs"))
 
 
 def join_leaves(points: DataFrame, num: int, den: int, exact: bool) -> DataFrame:
@@ -368,21 +376,23 @@ def join_leaves(points: DataFrame, num: int, den: int, exact: bool) -> DataFrame
 
 def linked(spark: SparkSession, points: DataFrame, payload: Callable[[DataFrame], DataFrame], num: int, den: int, exact: bool) -> DataFrame:
     """Components, as (node, root), of the links among ``points(root, node, n)``;
-    ``payload`` adds the points or sets. Subtrees of many leaves are joined twice:
+    ``payload`` adds the points or sets. The leaf pairs, as many as a subtree has leaves,
+    are listed after that, on the executors: Spark counts an array as one element and
+    would take a table that has them for small and send it over the driver. Subtrees of many leaves are joined twice:
     first in a few leaf pairs each, which makes one component of a group of near
     copies; then, where there are several, in all others except those within the
     subtree's largest component."""
     points = written(spark, points, "candidates")
-    found = components(spark, join_leaves(payload(first_pairs(points, num, den)), num, den, exact))
+    found = components(spark, join_leaves(first_pairs(payload(first_leaves(points, num, den))), num, den, exact))
     _, big = split(points)
-    big = written(spark, big.join(found.select("node", F.col("root").alias("part_of")), "node", "left")
+    big = written(spark, big.join(merged(found.select("node", F.col("root").alias("part_of"))), "node", "left")
                   .select("root", "node", "n", F.coalesce("part_of", "node").alias("part_of")), "big")
     parts = big.groupBy("root", "part_of").agg(F.count("*").alias("c")).groupBy("root").agg(
         F.max(F.struct("c", "part_of"))["part_of"].alias("main"), F.count("*").alias("parts")).where("parts > 1")
     several = written(spark, big.join(parts, "root").select("root", "node", "n", (F.col("part_of") == F.col("main")).cast("int").alias("part")), "several")
     if several.isEmpty():
         return found
-    more = join_leaves(payload(other_pairs(several, num, den)), num, den, exact)
+    more = join_leaves(other_pairs(payload(leaves_around(several, num, den))), num, den, exact)
     return components(spark, more.unionByName(found.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
 
@@ -407,18 +417,19 @@ def similar_sets(spark: SparkSession, docs: DataFrame, k: int, num: int, den: in
     classes = written(spark, classes, "classes")
     cand = classes.join(subtree.withColumnRenamed("node", "sig1"), "sig1").select("root", "node", "n")
     own = points.select(F.col("row").alias("node"), F.col("point").alias("payload"))
-    near = linked(spark, cand, lambda p: p.join(own, "node"), num, den, False)
+    near = linked(spark, cand, lambda p: p.join(merged(own), "node"), num, den, False)
 
     def sets(p: DataFrame) -> DataFrame:
-        p = written(spark, p.join(points.select(F.col("row").alias("node"), "place_file", "place_row"), "node"), "candidates")
+        kept = p.columns
+        p = written(spark, p.join(merged(points.select(F.col("row").alias("node"), "place_file", "place_row")), "node"), "candidates")
         texts = placed.select("place_file", "place_row", "text").where(likely(spark, p, ["place_file", "place_row"]))
-        return (texts.join(p, ["place_file", "place_row"]).select("root", "node", "n", "pairs", "text")
-                .mapInArrow(set_maker(order), f"root long, node long, n long, pairs {p.schema['pairs'].dataType.simpleString()}, payload binary"))
+        return (texts.join(merged(p), ["place_file", "place_row"]).select(*kept, "text")
+                .mapInArrow(set_maker(order), p.select(*kept).schema.add("payload", "binary")))
 
-    left = near.join(classes.select("node", "n"), "node").select("root", "node", "n")
+    left = near.join(merged(classes.select("node", "n")), "node").select("root", "node", "n")
     same = linked(spark, left, sets, num, den, True)
 
-    root = classes.join(same, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    root = classes.join(merged(same), "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = root.groupBy("root").agg(F.min("first_id").alias("component_id"))
     ids = root.join(first, "root").select("sig1", "sig2", "n", "component_id", "root")
     own = points.select("place_file", "place_row", "doc_id", "n", "sig1", "sig2")
